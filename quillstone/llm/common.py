@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Sequence
 
@@ -56,6 +57,12 @@ def _drop_left() -> None:
             return
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Lets Spark's cleaner remove the shuffle files of steps whose results have been written."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def set_batches(spark: SparkSession) -> None:
     """Bounds what one Arrow batch holds, for every operator that hands texts to Python."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quillstone.llm.common import table
 from quillstone.llm.exact_dedup import exact_dedup
 from quillstone.llm.sharding import shard_documents
+from quillstone.llm.suffix_dedup import remove_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,8 +22,12 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op7_exact_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op7_exact_dedup, op9_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
