@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstone.llm.common import table
 from quillstone.llm.exact_dedup import exact_dedup
+from quillstone.llm.minhash import near_duplicates
 from quillstone.llm.sharding import shard_documents
 from quillstone.llm.suffix_dedup import remove_repeats
 
@@ -26,8 +27,12 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
 
+def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op7_exact_dedup, op9_suffix_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op7_exact_dedup, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
