@@ -60,7 +60,7 @@ def signatures(keys: np.ndarray, counts: np.ndarray, n_rows: int) -> np.ndarray:
     time, point = np.zeros(len(row)), 0
     while len(row):
         point += 1
-        r = mix(seed + U(point) * U(0x9E3779B97F4A7C15))
+        r = mix(seed + U(point * 0x9E3779B97F4A7C15 % 2**64))
         time = time - np.log(((r >> U(11)).astype(np.float64) + 0.5) * 2.0**-53) / (REGISTERS * rate)
         alive = time < latest[row]
         row, seed, rate, base, count, time, r = (x[alive] for x in (row, seed, rate, base, count, time, r))

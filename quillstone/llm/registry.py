@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quillstone.llm.common import table
 from quillstone.llm.exact_dedup import exact_dedup
 from quillstone.llm.minhash import near_duplicates
+from quillstone.llm.pieces import encode_documents
 from quillstone.llm.sharding import shard_documents
 from quillstone.llm.suffix_dedup import remove_repeats
 
@@ -19,6 +20,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -32,7 +37,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op7_exact_dedup, op9_suffix_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op4_sentencepiece, op7_exact_dedup, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
