@@ -13,6 +13,7 @@ from quillstone.llm.pieces import encode_documents
 from quillstone.llm.quality import score_quality
 from quillstone.llm.sharding import shard_documents
 from quillstone.llm.suffix_dedup import remove_repeats
+from quillstone.llm.toxicity import score_toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -33,6 +34,10 @@ def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(table(spark, sf_dir, "documents"))
 
@@ -42,7 +47,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op4_sentencepiece, op7_exact_dedup, op9_suffix_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op4_sentencepiece, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
