@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from quillstone.llm.common import table
+from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
 from quillstone.llm.minhash import near_duplicates
 from quillstone.llm.pieces import encode_documents
@@ -30,6 +31,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"))
 
@@ -47,7 +52,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op4_sentencepiece, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op4_sentencepiece, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
