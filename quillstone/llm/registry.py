@@ -10,6 +10,7 @@ from quillstone.llm.common import table
 from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
 from quillstone.llm.minhash import near_duplicates
+from quillstone.llm.pii import find_personal_data
 from quillstone.llm.pieces import encode_documents
 from quillstone.llm.quality import score_quality
 from quillstone.llm.sharding import shard_documents
@@ -27,6 +28,10 @@ def op2_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_personal_data(table(spark, sf_dir, "documents"))
+
+
 def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
@@ -52,7 +57,7 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op4_sentencepiece, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
