@@ -6,14 +6,77 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import table, write_scratch
+from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
+from quillstone.llm.minhash import near_duplicates
+from quillstone.llm.pieces import encode_documents
+from quillstone.llm.toxicity import score_toxicity
 
-STAGES: list = []
+
+#: Names a row within a stage: its doc_id, and for rows without one a number from the text, after all real ids.
+KEY = "__row_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    stand_in = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
+    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), stand_in))
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """What an operator gets: the key as doc_id, and the text."""
+    return docs.select(F.col(KEY).alias("doc_id"), "text")
+
+
+def _without(docs: DataFrame, rejected: DataFrame) -> DataFrame:
+    """docs, with all their columns, but for the rows whose key is rejected."""
+    gone = rejected.select(F.col("doc_id").alias(KEY)).distinct()
+    return docs.join(gone, KEY, "left_anti").drop(KEY)
+
+
+def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not predicted toxic."""
+    docs = _keyed(docs)
+    return _without(docs, score_toxicity(_judged(docs), table(spark, sf_dir, "labels")).where("predicted = 1"))
+
+
+def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each text; of rows that repeat an id, one."""
+    docs = _keyed(docs)
+    repeated = docs.groupBy(KEY).count().where("count > 1").limit(1).count()
+    once = docs.dropDuplicates([KEY]) if repeated else docs
+    return _without(once, exact_dedup(_judged(docs)).where("not kept"))
+
+
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each class of near duplicates."""
+    docs = _keyed(docs)
+    return _without(docs, near_duplicates(_judged(docs)).where("not kept"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that overlap no benchmark item."""
+    docs = _keyed(docs)
+    return _without(docs, contaminated(_judged(docs), table(spark, sf_dir, "benchmark")))
+
+
+def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The ids of the remaining documents: doc_id, n_tokens, ids, round_trip."""
+    return encode_documents(docs)
+
+
+STAGES = [
+    ("toxicity", toxicity),
+    ("exact_dedup", exact),
+    ("minhash_near_dedup", near),
+    ("benchmark_decontamination", decontamination),
+    ("sentencepiece", pieces),
+]
+#: The classifier and the encoder can't be put in SQL; tests/llm/test_pipeline.py has the brute-force version.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = write_scratch(stage(spark, docs, sf_dir), name)[0]
+        docs, _ = write_scratch(stage(spark, docs, sf_dir), name)
     return docs
