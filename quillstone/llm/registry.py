@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quillstone.llm import chat
 from quillstone.llm.common import table
 from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
@@ -36,6 +37,10 @@ def op4_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.format_chats(table(spark, sf_dir, "conversations"))
+
+
 def op6_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -57,11 +62,12 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op5_chat_formatting, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op5_chat_formatting": chat.SQL,
         "op7_exact_dedup": r"""
             WITH d AS (
                 SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
