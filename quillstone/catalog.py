@@ -1,9 +1,465 @@
-"""Every query of the engine by name, with its SQL."""
+"""Every query of the engine by name, with its SQL.
 
+The driver's tables hold no legal or academic texts, manifests or pins, so these are derived from
+`documents` by fixed rules, the same in both languages: a line of a document is a chunk, chunk k
+begins with the header `Article k+1` and ends in a citation.
+"""
 
-def queries():
-    return {}
+from __future__ import annotations
 
+from collections.abc import Callable
 
-def oracle_sql():
-    return {}
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillstone.functions import ids, text as tx
+from quillstone.operators import chunking, citations, contexts, gates, graph, lexical
+from quillstone.plans import build
+from quillstone.sources import planning
+
+Query = Callable[[SparkSession, str], DataFrame]
+_queries: dict[str, Query] = {}
+_sql: dict[str, str] = {}
+
+BM25_QUERY = "idiot worthless stupid thorough src3"
+MIN_BODY = 20
+
+
+def _query(sql: str | None = None):
+    def add(f):
+        _queries[f.__name__] = f
+        if sql:
+            _sql[f.__name__] = f"WITH {_COMMON}{sql}"
+        return f
+
+    return add
+
+
+_COMMON = """
+    s AS (
+        SELECT doc_id AS d, lang, source, 'https://corpus.example/' || source || '/' || doc_id AS url, 'v' || (doc_id % 3 + 1) AS version,
+               string_split(coalesce(text, ''), chr(10)) AS lines
+        FROM documents
+    ), c AS (
+        SELECT d, url, version, lang, source, sha256(url || chr(31) || version) AS doc_id, k AS chunk_index,
+               sha256(url || chr(31) || version || chr(31) || k) AS chunk_id, t AS text, 'Part ' || ((k // 3) % 2) AS heading,
+               lang || ' ' || source AS context
+        FROM (SELECT *, unnest(lines) AS t, generate_subscripts(lines, 1) - 1 AS k FROM s)
+    ), l AS (
+        SELECT d, doc_id, chunk_index, chunk_id, 'Article ' || (chunk_index + 1) AS header,
+               'Article ' || (chunk_index + 1) || chr(10) || text || ' See Article ' || ((d * 7 + chunk_index) % 12 + 1) || '(1).' AS text,
+               CAST((d * 7 + chunk_index) % 12 + 1 AS VARCHAR) AS cited
+        FROM c
+    ), ai AS (
+        SELECT doc_id, 'article' AS kind, CAST(chunk_index + 1 AS VARCHAR) AS value,
+               CASE WHEN length(text) - length(header) < 20 AND lead(chunk_id) OVER w IS NOT NULL THEN lead(chunk_id) OVER w ELSE chunk_id END AS target
+        FROM l WINDOW w AS (PARTITION BY doc_id ORDER BY chunk_index)
+    ), kn AS (
+        SELECT d, 'd' || d AS slug, sha256(url || chr(31) || version) AS doc_id FROM s WHERE d % 11 <> 0
+    ), sc AS (
+        SELECT DISTINCT a.doc_id, b.doc_id AS scope_doc FROM kn a JOIN kn b ON b.d = a.d OR (a.d % 5 < 2 AND b.d = a.d + 1)
+    ), rc AS (
+        SELECT l.chunk_id, l.doc_id, l.cited, count(DISTINCT ai.target) AS n, min(ai.target) AS target
+        FROM l LEFT JOIN sc ON sc.doc_id = l.doc_id
+        LEFT JOIN ai ON ai.doc_id = coalesce(sc.scope_doc, l.doc_id) AND ai.value = l.cited
+        GROUP BY ALL
+    ), rr AS (
+        SELECT chunk_id, doc_id, cited, CASE WHEN n = 1 THEN target END AS target,
+               CASE WHEN n > 1 THEN 'ambiguous' WHEN n = 0 THEN 'unresolved' WHEN target = chunk_id THEN 'self' ELSE 'resolved' END AS outcome
+        FROM rc
+    ), ad AS (
+        SELECT * FROM (SELECT doc_id, chunk_id AS from_chunk, lead(chunk_id) OVER (PARTITION BY doc_id ORDER BY chunk_index) AS to_chunk FROM c) WHERE to_chunk IS NOT NULL
+    ), re AS (
+        SELECT sha256('["' || chunk_id || '",' || CASE WHEN outcome = 'resolved' THEN '"' || target || '"' ELSE 'null' END || ',"references","Article ' || cited || '(1)"]') AS edge_id,
+               chunk_id AS from_chunk, doc_id AS from_doc, CASE WHEN outcome = 'resolved' THEN target END AS to_chunk,
+               CASE WHEN outcome = 'unresolved' THEN 'article:' || cited END AS to_external_ref,
+               'Article ' || cited || '(1)' AS provenance, CASE WHEN outcome = 'resolved' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence
+        FROM rr WHERE outcome IN ('resolved', 'unresolved')
+    ), tk AS (
+        SELECT chunk_id, 0 AS field, unnest(regexp_extract_all(lower(context), '([\\p{L}\\p{N}\\p{M}]+)')) AS term FROM c
+        UNION ALL SELECT chunk_id, 1, unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}\\p{M}]+)')) FROM c
+    ), po AS (
+        SELECT term, chunk_id, count(*) FILTER (field = 0) AS tf_context, count(*) FILTER (field = 1) AS tf_text FROM tk GROUP BY ALL
+    ), ln AS (
+        SELECT c.chunk_id, count(tk.term) AS length FROM c LEFT JOIN tk ON tk.chunk_id = c.chunk_id GROUP BY ALL
+    )
+"""
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    d = F.col("doc_id").cast("string")
+    return table(spark, sf_dir, "documents").select(
+        F.col("doc_id").alias("d"),
+        F.concat(F.lit("d"), d).alias("slug"),
+        F.concat(F.lit("https://corpus.example/"), "source", F.lit("/"), d).alias("url"),
+        F.concat(F.lit("v"), (F.col("doc_id") % 3 + 1).cast("string")).alias("version"),
+        "lang", "source", F.coalesce("text", F.lit("")).alias("text"),
+    )
+
+
+def corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The chunks: a line each."""
+    rows = _sources(spark, sf_dir).select("*", F.posexplode(F.split("text", "\n", -1)).alias("k", "t"))
+    k = F.col("k").cast("long")
+    return rows.select(
+        "d", "url", "version", "lang", "source",
+        ids.doc_id(F.col("url"), F.col("version")).alias("doc_id"),
+        k.alias("chunk_index"),
+        ids.chunk_id(F.col("url"), F.col("version"), k).alias("chunk_id"),
+        F.col("t").alias("text"),
+        F.array(F.concat(F.lit("Part "), (F.floor(k / 3) % 2).cast("string"))).alias("heading_path"),
+        F.concat_ws(" ", "lang", "source").alias("context"),
+        F.lit("text").alias("chunk_type"),
+    )
+
+
+def legal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same chunks with headers and citations."""
+    k = F.col("chunk_index")
+    cited = ((F.col("d") * 7 + k) % 12 + 1).cast("string")
+    body = F.concat(F.lit("Article "), (k + 1).cast("string"), F.lit("\n"), "text", F.lit(" See Article "), cited, F.lit("(1)."))
+    return corpus(spark, sf_dir).select("d", "doc_id", "chunk_index", "chunk_id", body.alias("text"), F.array().cast("array<string>").alias("heading_path"))
+
+
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    other = F.when(F.col("d") % 5 < 2, F.array(F.concat(F.lit("d"), (F.col("d") + 1).cast("string")))).otherwise(F.array().cast("array<string>"))
+    return _sources(spark, sf_dir).select("slug", "url", "version", other.alias("references"))
+
+
+def _pins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _sources(spark, sf_dir).where("d % 11 <> 0").select("slug", F.col("version").alias("resolved_version"))
+
+
+def _resolved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    chunks = legal(spark, sf_dir)
+    refs = citations.references(chunks, ("legal",), "doc_id")
+    scope = graph.scopes(_manifest(spark, sf_dir), _pins(spark, sf_dir))
+    return graph.resolve(graph.candidates(refs, graph.anchor_index(chunks, MIN_BODY), scope))
+
+
+
+@_query("SELECT d, doc_id FROM (SELECT d, sha256(url || chr(31) || version) AS doc_id FROM s)")
+def doc_ids(spark, sf_dir):
+    return _sources(spark, sf_dir).select("d", ids.doc_id(F.col("url"), F.col("version")).alias("doc_id"))
+
+
+@_query("SELECT d, chunk_index, chunk_id FROM c")
+def chunk_ids(spark, sf_dir):
+    return corpus(spark, sf_dir).select("d", "chunk_index", "chunk_id")
+
+
+@_query("SELECT doc_id, sha256(text) AS text_sha256 FROM documents")
+def text_hash(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", ids.text_sha256(F.col("text")).alias("text_sha256"))
+
+
+@_query("""SELECT n_nationkey, sha256('["' || n_name || '",null,"in","' || n_regionkey || '"]') AS edge_id FROM nation""")
+def edge_ids_ascii(spark, sf_dir):
+    made = ids.edge_id(F.col("n_name"), F.lit(None).cast("string"), F.lit("in"), F.col("n_regionkey").cast("string"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", made.alias("edge_id"))
+
+
+@_query("""SELECT page_id, CASE WHEN page_id % 4 = 0 THEN 'local' WHEN page_id % 4 = 1 THEN 'arxiv' ELSE 'generic' END AS recipe,
+    CASE WHEN page_id % 4 = 0 THEN 'corpus/' || page_id || '.html' WHEN page_id % 4 = 1 THEN 'https://arxiv.org/html/2001.' || (10000 + page_id) || 'v2' ELSE url END AS target_url
+    FROM pages""")
+def fetch_plan(spark, sf_dir):
+    p = F.col("page_id").cast("string")
+    url = (
+        F.when(F.col("page_id") % 4 == 0, F.concat(F.lit("corpus/"), p, F.lit(".html")))
+        .when(F.col("page_id") % 4 == 1, F.concat(F.lit("https://export.arxiv.org/abs/2001."), (F.col("page_id") + 10000).cast("string"), F.lit("v7")))
+        .otherwise(F.col("url"))
+    )
+    rows = table(spark, sf_dir, "pages").select(F.col("page_id").alias("slug"), url.alias("url"), F.lit("v2").alias("version"))
+    return planning.plan_fetches(rows).withColumnRenamed("slug", "page_id")
+
+
+@_query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN 'cs/0' || (100000 + page_id) ELSE '2001.' || (10000 + page_id) END AS arxiv_id FROM pages")
+def arxiv_ids(spark, sf_dir):
+    p = F.col("page_id")
+    url = F.when(p % 2 == 0, F.concat(F.lit("https://arxiv.org/pdf/cs/0"), (p + 100000).cast("string"), F.lit("v3.pdf"))).otherwise(
+        F.concat(F.lit("https://arxiv.org/html/2001."), (p + 10000).cast("string"), F.lit("v12?x=1#y"))
+    )
+    return table(spark, sf_dir, "pages").select("page_id", planning.arxiv_id(url).alias("arxiv_id"))
+
+
+@_query(r"""SELECT page_id, regexp_matches(lower(regexp_extract(url, '^[a-zA-Z]+://([^/:]*)', 1)), '^(.*\.)?example\.(com|org)$') AS needs_render FROM pages""")
+def host_match(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", planning.host_matches(F.col("url"), ["example.com", "example.org"]).alias("needs_render"))
+
+
+@_query("""SELECT * FROM (
+    SELECT slug, unnest([CASE WHEN s_suppkey % 7 = 0 THEN 'format' END, CASE WHEN s_suppkey % 5 = 0 THEN 'license' END, CASE WHEN count(*) OVER (PARTITION BY slug) > 1 THEN 'duplicate' END]) AS rule
+    FROM (SELECT s_suppkey, 's' || (s_suppkey % 90) AS slug FROM supplier)) WHERE rule IS NOT NULL""")
+def manifest_violations(spark, sf_dir):
+    k = F.col("s_suppkey")
+    rows = table(spark, sf_dir, "supplier").select(
+        F.concat(F.lit("s"), (k % 90).cast("string")).alias("slug"), F.when(k % 7 == 0, "doc").otherwise("pdf").alias("format"), (k % 5 != 0).alias("license_ok")
+    )
+    return planning.manifest_violations(rows)
+
+
+@_query("SELECT doc_id, doc_id % 7 = 0 OR doc_id % 7 = 1 AS boilerplate FROM documents")
+def boilerplate_filter(spark, sf_dir):
+    d = F.col("doc_id")
+    links = F.concat(F.lit("prose\n"), F.repeat(F.lit("\n [a](https://x.example/y) \r\n"), 6))
+    menu = F.concat(F.lit("  Code: "), F.lit("A B Select Code\n"), F.coalesce("text", F.lit("")))
+    t = F.when(d % 7 == 0, links).when(d % 7 == 1, menu).otherwise(F.concat(F.lit("See [a](https://x.example/y)\n"), F.coalesce("text", F.lit(""))))
+    return table(spark, sf_dir, "documents").select("doc_id", tx.is_boilerplate(t).alias("boilerplate"))
+
+
+@_query("SELECT d, chunk_index AS pos, row_number() OVER (PARTITION BY d ORDER BY chunk_index) - 1 AS chunk_index FROM c WHERE chunk_index % 5 <> 4")
+def chunk_dense_index(spark, sf_dir):
+    k = F.col("chunk_index")
+    menu = F.when(k % 5 == 4, F.lit("Code: Select Code")).otherwise(F.col("text"))
+    rows = corpus(spark, sf_dir).select("d", F.col("d").alias("doc"), k.alias("pos"), menu.alias("text"))
+    return chunking.dense_chunks(rows).select("d", "pos", F.col("chunk_index").cast("long").alias("chunk_index"))
+
+
+@_query("SELECT chunk_id, greatest(1, CAST(ceil(length(text) / 4.0) AS BIGINT)) AS est_tokens, '## ' || heading || chr(10) || text AS rendered FROM c")
+def rendered_chunks(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return rows.select("chunk_id", tx.est_tokens(F.col("text")).cast("long").alias("est_tokens"), tx.render_chunk(F.col("heading_path"), F.col("text")).alias("rendered"))
+
+
+@_query("SELECT d, chunk_index, chunk_index // 3 AS section_index FROM c")
+def sections(spark, sf_dir):
+    rows = chunking.with_sections(corpus(spark, sf_dir).withColumn("doc", F.col("d")))
+    return rows.select("d", "chunk_index", F.col("section_index").cast("long").alias("section_index"))
+
+
+def _windowed(spark, sf_dir):
+    return corpus(spark, sf_dir).withColumn("doc", F.col("d"))
+
+
+@_query()
+def context_windows(spark, sf_dir):
+    return chunking.context_windows(_windowed(spark, sf_dir), 150, 200)
+
+
+@_query()
+def cost_estimate(spark, sf_dir):
+    return contexts.estimate_cost(_windowed(spark, sf_dir), 150, 200, contexts.Pricing(min_cacheable=330))
+
+
+@_query("""SELECT chunk_id, 'article' AS kind, CAST(chunk_index + 1 AS VARCHAR) AS value, 0::BIGINT AS line, length(header) AS "end" FROM l""")
+def text_anchors(spark, sf_dir):
+    rows = citations.text_anchors(legal(spark, sf_dir))
+    return rows.select("chunk_id", "kind", "value", F.col("line").cast("long").alias("line"), F.col("end").cast("long").alias("end"))
+
+
+@_query("SELECT chunk_id, 'section' AS kind, CAST(chunk_index AS VARCHAR) || CASE WHEN chunk_index % 2 = 0 THEN 'a' ELSE '' END AS value FROM c WHERE chunk_index % 3 <> 2")
+def heading_anchors(spark, sf_dir):
+    k = F.col("chunk_index")
+    name = F.concat(F.lit(" "), k.cast("string"), F.when(k % 2 == 0, "a").otherwise(""), F.when(k % 3 == 1, ".").when(k % 3 == 2, " - 9").otherwise(""))
+    return citations.heading_anchors(corpus(spark, sf_dir).withColumn("heading_path", F.array(F.lit("TITLE 1"), name)))
+
+
+@_query("SELECT chunk_id, 'article' AS kind, cited AS value, 'Article ' || cited || '(1)' AS raw FROM l")
+def references(spark, sf_dir):
+    return citations.references(legal(spark, sf_dir), ("legal", "unheard")).select("chunk_id", "kind", "value", "raw")
+
+
+@_query("""SELECT chunk_id, '{"article":["' || (chunk_index + 1) || '"]}' AS anchors FROM l""")
+def anchors_map(spark, sf_dir):
+    return citations.anchors_map(legal(spark, sf_dir)).select("chunk_id", F.to_json("citation_anchors").alias("anchors"))
+
+
+@_query("SELECT * FROM ai")
+def anchor_index(spark, sf_dir):
+    return graph.anchor_index(legal(spark, sf_dir), MIN_BODY)
+
+
+@_query("SELECT * FROM sc")
+def scope(spark, sf_dir):
+    return graph.scopes(_manifest(spark, sf_dir), _pins(spark, sf_dir))
+
+
+@_query("SELECT chunk_id, cited AS value, outcome, target FROM rr")
+def resolve_refs(spark, sf_dir):
+    return _resolved(spark, sf_dir).select("chunk_id", "value", "outcome", "target")
+
+
+@_query("SELECT edge_id, from_chunk, to_chunk, to_external_ref, provenance, confidence FROM re")
+def reference_edges(spark, sf_dir):
+    return graph.reference_edges(_resolved(spark, sf_dir)).select("edge_id", "from_chunk", "to_chunk", "to_external_ref", "provenance", "confidence")
+
+
+@_query("""SELECT sha256('["' || from_chunk || '","' || to_chunk || '","adjacent",null]') AS edge_id, from_chunk, to_chunk FROM ad""")
+def adjacent_edges(spark, sf_dir):
+    return graph.adjacent_edges(corpus(spark, sf_dir)).select("edge_id", "from_chunk", "to_chunk")
+
+
+@_query("""SELECT (SELECT count(*) FROM ad) AS adjacent, count(*) FILTER (outcome = 'resolved') AS resolved, count(*) FILTER (outcome = 'unresolved') AS unresolved,
+    count(*) FILTER (outcome = 'ambiguous') AS ambiguous, count(*) FILTER (outcome = 'self') AS self_citations,
+    (SELECT count(*) FROM ad) + count(*) FILTER (outcome IN ('resolved', 'unresolved')) AS edges FROM rr""")
+def graph_stats(spark, sf_dir):
+    return graph.graph_stats(graph.adjacent_edges(corpus(spark, sf_dir)), _resolved(spark, sf_dir))
+
+
+def _edges(spark, sf_dir):
+    return graph.reference_edges(_resolved(spark, sf_dir))
+
+
+@_query("SELECT from_doc, c.doc_id AS to_doc, count(*) AS n FROM re JOIN c ON c.chunk_id = re.to_chunk GROUP BY ALL")
+def edge_counts_by_doc(spark, sf_dir):
+    return graph.edge_counts(_edges(spark, sf_dir), corpus(spark, sf_dir))
+
+
+@_query("SELECT count(*) AS known, count(*) FILTER (d % 2 = 0) AS present, count(*) > 0 AND count(*) FILTER (d % 2 = 0) = 0 AS stale FROM kn")
+def stale_guard(spark, sf_dir):
+    here = corpus(spark, sf_dir).where("d % 2 = 0").select("doc_id").distinct()
+    return graph.is_stale(_manifest(spark, sf_dir), _pins(spark, sf_dir), here)
+
+
+@_query("SELECT DISTINCT c.doc_id FROM c WHERE c.doc_id NOT IN (SELECT doc_id FROM kn)")
+def prune_plan(spark, sf_dir):
+    known = graph.documents_of(_manifest(spark, sf_dir), _pins(spark, sf_dir))
+    return build.prune_plan(corpus(spark, sf_dir).select("doc_id").distinct(), known)
+
+
+@_query("SELECT DISTINCT d, doc_id FROM c WHERE chunk_index >= 3")
+def present_docs(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return build.present_docs(rows.select("d", "doc_id").distinct(), rows.where("chunk_index >= 3"))
+
+
+@_query("SELECT from_chunk, to_chunk FROM ad WHERE to_chunk IN (SELECT chunk_id FROM c WHERE d % 13 = 0)")
+def orphan_edges(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return gates.orphans(graph.adjacent_edges(rows), "to_chunk", rows.where("d % 13 <> 0"), "chunk_id").select("from_chunk", "to_chunk")
+
+
+def _pin_rows(spark, sf_dir):
+    k = F.col("chunk_index")
+    return corpus(spark, sf_dir).select(
+        "chunk_id",
+        F.when(k % 4 == 0, "old").otherwise("m").alias("model"),
+        F.lit(1).alias("prompt_version"),
+        F.when(k % 5 == 0, F.lit(" \t")).otherwise(F.concat(F.lit(" about "), "source", F.lit("\n"))).alias("context"),
+        F.when(k % 7 == 0, "stale").otherwise(ids.text_sha256(F.col("text"))).alias("text_sha256"),
+        F.lit(0).alias("window_index"),
+    )
+
+
+@_query("SELECT chunk_id, 'about ' || source AS context FROM c WHERE chunk_index % 4 <> 0 AND chunk_index % 5 <> 0 AND chunk_index % 7 <> 0")
+def pins_valid(spark, sf_dir):
+    return contexts.valid_pins(_pin_rows(spark, sf_dir), corpus(spark, sf_dir), "m", 1)
+
+
+@_query("""SELECT chunk_id, CASE WHEN chunk_index % 3 = 0 THEN 'new' WHEN chunk_index % 5 = 0 THEN ' ' || chr(9) ELSE ' about ' || source || chr(10) END AS context
+    FROM c WHERE chunk_index % 3 = 0 OR chunk_index % 4 <> 0""")
+def contexts_merge(spark, sf_dir):
+    old = _pin_rows(spark, sf_dir)
+    new = corpus(spark, sf_dir).where("chunk_index % 3 = 0").select("chunk_id", F.lit("new").alias("context"), F.lit("x").alias("text_sha256"), F.lit(1).alias("window_index"))
+    return contexts.merge_pins(old, new, "m", 1).select("chunk_id", "context")
+
+
+@_query("""SELECT origin, count(*) AS n FROM (SELECT CASE WHEN chunk_index % 4 <> 0 AND chunk_index % 5 <> 0 AND chunk_index % 7 <> 0 THEN 'pinned'
+    WHEN d % 2 = 0 THEN 'generated' ELSE 'missing' END AS origin FROM c) GROUP BY origin""")
+def context_origins(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    pinned = contexts.valid_pins(_pin_rows(spark, sf_dir), rows, "m", 1)
+    made = lambda todo: todo.select("chunk_id", F.when(F.col("d") % 2 == 0, "made up").otherwise(" ").alias("context"))
+    return contexts.with_contexts(rows, pinned, made).groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
+
+
+@_query("""SELECT count(*) AS total, count(*) FILTER (chunk_index % 4 <> 0) AS with_context, count(*) FILTER (chunk_index % 4 = 0) AS empty,
+    count(*) FILTER (chunk_index % 4 = 1 OR (chunk_index % 4 = 3 AND text = '')) AS suspicious FROM c""")
+def context_coverage(spark, sf_dir):
+    k = F.col("chunk_index") % 4
+    enough = F.lit("one two three four five six")
+    written = F.when(k == 1, "too short").when(k == 2, enough).when(k == 3, F.when(F.col("text") == "", "short").otherwise(enough))
+    return contexts.coverage(corpus(spark, sf_dir).withColumn("context", written))
+
+
+@_query("SELECT term, chunk_id, tf_context, tf_text FROM po")
+def bm25_postings(spark, sf_dir):
+    return lexical.postings(corpus(spark, sf_dir), stemmed=False)
+
+
+@_query("SELECT count(*) AS n, round(avg(length), 6) AS average FROM ln")
+def bm25_stats(spark, sf_dir):
+    return lexical.index_stats(lexical.lengths(corpus(spark, sf_dir))).select("n", F.round("average", 6).alias("average"))
+
+
+@_query(""", df AS (
+        SELECT term, count(*) AS df FROM po WHERE term IN ('idiot', 'worthless', 'stupid', 'thorough', 'src3') GROUP BY term
+    ), g AS (SELECT count(*) AS n, avg(length) AS average FROM ln), sx AS (
+        SELECT po.chunk_id, sum(
+            CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END
+            * (tf_context + 2.0 * tf_text) * 2.2 / (tf_context + 2.0 * tf_text + 1.2 * (0.25 + 0.75 * length / average))) AS score
+        FROM po JOIN df USING (term) JOIN ln USING (chunk_id), g GROUP BY po.chunk_id
+    ) SELECT chunk_id, round(score, 6) AS score FROM sx ORDER BY round(score, 9) DESC, chunk_id LIMIT 50""")
+def bm25_topk(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    found = lexical.search(lexical.postings(rows, stemmed=False), lexical.lengths(rows), BM25_QUERY, 50, stemmed=False)
+    return found.select("chunk_id", F.round("score", 6).alias("score"))
+
+
+@_query()
+def bm25_topk_stemmed(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return lexical.search(lexical.postings(rows), lexical.lengths(rows), BM25_QUERY, 50)
+
+
+@_query("""SELECT conv_id, turn, array_to_string(list_transform(regexp_extract_all(text, '([\\p{L}\\p{N}\\p{M}_]+)'), lambda x: '"' || x || '"'), ' OR ') AS query FROM conversations""")
+def match_query(spark, sf_dir):
+    return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.match_query(F.col("text")).alias("query"))
+
+
+@_query("""SELECT count(*) AS n, sha256(string_agg(sha256(chunk_id || chr(31) || context || chr(31) || text), '' ORDER BY chunk_id)) AS digest FROM c""")
+def corpus_digest(spark, sf_dir):
+    return lexical.corpus_digest(corpus(spark, sf_dir))
+
+
+@_query("""SELECT 'item ' || b.item_id AS name, coalesce(contains(t.whole, b.text), false) AS passed
+    FROM benchmark b LEFT JOIN (SELECT d, coalesce(text, '') AS whole FROM (SELECT doc_id AS d, text FROM documents)) t ON t.d = b.item_id * 3""")
+def structure_gate(spark, sf_dir):
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("needle"))
+    known = _sources(spark, sf_dir).select("d", ids.doc_id(F.col("url"), F.col("version")).alias("doc_id"))
+    fixtures = items.join(known, F.col("d") == F.col("item_id") * 3, "left").select(
+        F.concat(F.lit("item "), F.col("item_id").cast("string")).alias("name"), "doc_id", F.array("needle").alias("must_contain"), F.lit(None).cast("array<string>").alias("must_contain_in_table")
+    )
+    return gates.structure_gate(fixtures, corpus(spark, sf_dir)).select("name", "passed")
+
+
+@_query(""", ec AS (SELECT from_doc, c.doc_id AS to_doc, count(*) AS n FROM re JOIN c ON c.chunk_id = re.to_chunk GROUP BY ALL)
+    SELECT 'x' || s.d AS name, coalesce(ec.n, 0) AS edges, coalesce(ec.n, 0) >= 1 AS passed, s.d % 9 = 0 AS pending
+    FROM s LEFT JOIN kn a ON a.d = s.d LEFT JOIN kn b ON b.d = s.d + 1 LEFT JOIN ec ON ec.from_doc = a.doc_id AND ec.to_doc = b.doc_id""")
+def graph_gate(spark, sf_dir):
+    d = F.col("d")
+    expected = _sources(spark, sf_dir).select(
+        F.concat(F.lit("x"), d.cast("string")).alias("name"), F.col("slug").alias("from_slug"), F.concat(F.lit("d"), (d + 1).cast("string")).alias("to_slug"), F.lit(1).alias("min_edges"), (d % 9 == 0).alias("pending")
+    )
+    known = graph.documents_of(_manifest(spark, sf_dir), _pins(spark, sf_dir))
+    counts = graph.edge_counts(_edges(spark, sf_dir), corpus(spark, sf_dir))
+    return gates.graph_gate(expected, known, counts)
+
+
+@_query()
+def html_blocks(spark, sf_dir):
+    return chunking.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html")
+
+
+@_query()
+def page_chunks(spark, sf_dir):
+    return chunking.structural_chunks(chunking.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html"))
+
+
+@_query("SELECT count(*) AS rows, count(DISTINCT chunk_id) AS chunks, 0::BIGINT AS repeated FROM c")
+def unique_chunks(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    twice = gates.duplicates(rows, "doc_id", "chunk_index").agg(F.count(F.lit(1)).alias("repeated"))
+    return rows.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("chunk_id").alias("chunks")).crossJoin(twice)
+
+
+def queries() -> dict[str, Query]:
+    return dict(_queries)
+
+
+def oracle_sql() -> dict[str, str]:
+    return dict(_sql)
