@@ -38,11 +38,11 @@ def fold(token: str) -> str:
 
 
 class _Porter:
-    """Porter's stemmer, from the published algorithm (Porter 1980)."""
+    """Porter's stemmer, from the published algorithm (Porter 1980) with its author's later rules bli and logi."""
 
     DOUBLE = {"bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt"}
     # The suffix tables of steps 2 to 4.
-    STEP2 = "ational:ate tional:tion enci:ence anci:ance izer:ize abli:able alli:al entli:ent eli:e ousli:ous ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble logi:log"
+    STEP2 = "ational:ate tional:tion enci:ence anci:ance izer:ize bli:ble alli:al entli:ent eli:e ousli:ous ization:ize ation:ate ator:ate alism:al iveness:ive fulness:ful ousness:ous aliti:al iviti:ive biliti:ble logi:log"
     STEP3 = "icate:ic ative: alize:al iciti:ic ical:ic ful: ness:"
     STEP4 = "al ance ence er ic able ible ant ement ment ent ion ou ism ate iti ous ive ize"
 
