@@ -25,6 +25,8 @@ WORDS, SIMILAR = 5, 0.8
 #: At similarity 0.8, 24 bands of 4 registers miss a pair with probability 0.59**24 = 3e-6.
 BANDS, BAND_ROWS = 24, 4
 REGISTERS = BANDS * BAND_ROWS
+#: Times that texts with too many shingles of their own are taken out of mixed buckets.
+PEELINGS = 2
 _ROW_BITS = 20
 _HASH_BITS = 64 - _ROW_BITS
 
@@ -74,6 +76,17 @@ def signatures(keys: np.ndarray, counts: np.ndarray, n_rows: int) -> np.ndarray:
     return registers
 
 
+def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i, j, data, offsets in text_slices(batch.column(1)):
+            keys, counts = bags(data, offsets)
+            rows = pa.array((keys >> U(_HASH_BITS)).astype(np.int64))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, j - i).take(rows), pa.array((keys & U((1 << _HASH_BITS) - 1)).view(np.int64)), pa.array(counts.astype(np.int32))],
+                names=["gid", "shingle", "n"],
+            )
+
+
 _SIGNED = "gid binary, size int, bands array<long>"
 
 
@@ -143,7 +156,9 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     pairs: a bucket's members are paired with its leader, the text that shares most buckets; members
     that still lie in several classes are paired with the leader of the bucket's largest other
     class, and after that all pairs of different classes that remain in a bucket are verified, so no
-    link that could join two classes is left out.
+    link that could join two classes is left out. What keeps that few is an exact bound: shingles that
+    no other text of the mixed buckets has can't be shared, so a text with too many of them has no
+    link, and two texts share at most the smaller of what either has left.
 
     Null text counts as empty; texts without words stay alone. Null ids are never a class_id unless
     no row of the class has another. Rows that repeat the id that stays are all kept. Other columns
@@ -165,38 +180,59 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     scores = members.groupBy("gid").agg(F.sum("n").alias("score"))
     scored, scored_path = write_scratch(members.join(scores, "gid").drop("n"), "minhash")
     drop_scratch(spark, members_path)
-    best = lambda: F.max_by(F.struct("gid", "size"), F.struct("score", "gid"))
-    within = F.least("a_size", "b_size") >= similar * F.greatest("a_size", "b_size")
+    best = lambda: F.max_by(F.struct("gid", "size", "most"), F.struct("score", "gid"))
+
+    def sides(frame: DataFrame, other: str) -> DataFrame:
+        return frame.select(
+            F.col("gid").alias("a"), F.col("size").alias("sa"), F.col("most").alias("ma"),
+            F.col(f"{other}.gid").alias("b"), F.col(f"{other}.size").alias("sb"), F.col(f"{other}.most").alias("mb"),
+        )
+
+    #: Two texts share at most the smaller of what either can share at all.
+    shared = F.least("ma", "mb")
+    within = shared >= similar * (F.col("sa") + F.col("sb") - shared)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """pairs (a, a_size, b, b_size) to links (a, b), each pair once; sizes too far apart can't be similar."""
+        """Pairs to links (a, b), each once; bags whose bounds are too low can't be similar."""
         pairs = pairs.where(F.col("a") != F.col("b")).where(within)
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         left, right = texts.select(F.col("gid").alias("a"), F.col("norm").alias("ta")), texts.select(F.col("gid").alias("b"), F.col("norm").alias("tb"))
-        return pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb").mapInArrow(_verify, "a binary, b binary, similarity double").where(F.col("similarity") >= similar).select("a", "b")
+        found = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+        return found.mapInArrow(_verify, "a binary, b binary, similarity double").where(F.col("similarity") >= similar).select("a", "b")
 
+    def kept_apart(placed: DataFrame) -> DataFrame:
+        """Members of the buckets that hold several classes."""
+        mixed = placed.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band")
+        rows, path = write_scratch(placed.join(mixed, "band"), "minhash")
+        paths.append(path)
+        return rows
+
+    def bounded(rows: DataFrame) -> DataFrame:
+        """rows with `most`, the shingles that a text can share with any other text in rows: those that two
+        of them have. A text that can share less than `similar` of its bag has no link and is dropped."""
+        bag = texts.join(rows.select("gid").distinct(), "gid", "left_semi").mapInArrow(_bag_rows, "gid binary, shingle long, n int")
+        alone = bag.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("gid").alias("gid"), F.min("n").alias("n")).where("texts = 1")
+        own = alone.groupBy("gid").agg(F.sum("n").alias("own"))
+        rows = rows.join(own, "gid", "left").withColumn("most", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+        return rows.where(F.col("most") >= similar * F.col("size"))
+
+    scored = scored.withColumn("most", F.col("size").cast("long"))
     leaders = scored.groupBy("band").agg(best().alias("leader"))
-    links, links_path = write_scratch(
-        verified(scored.join(leaders, "band").select(F.col("gid").alias("a"), F.col("size").alias("a_size"), F.col("leader.gid").alias("b"), F.col("leader.size").alias("b_size"))),
-        "minhash",
-    )
+    links, links_path = write_scratch(verified(sides(scored.join(leaders, "band"), "leader")), "minhash")
     paths = [links_path, scored_path, texts_path]
     for step in ("leaders", "rest"):
         classes = components(links, "a", "b", "minhash")
-        placed = scored.join(classes.withColumnRenamed("node", "gid"), "gid", "left").withColumn("root", F.coalesce("root", "gid"))
-        mixed = placed.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band")
-        open_, open_path = write_scratch(placed.join(mixed, "band"), "minhash")
-        paths.append(open_path)
+        open_ = kept_apart(scored.join(classes.withColumnRenamed("node", "gid"), "gid", "left").withColumn("root", F.coalesce("root", "gid")))
+        for _ in range(PEELINGS):
+            open_ = kept_apart(bounded(open_))
         if step == "leaders":
             by_class = open_.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), best().alias("leader"))
             top = by_class.groupBy("band").agg(F.max(F.struct("n", "root", "leader")).alias("top"))
-            pairs = open_.join(top, "band").where(F.col("root") != F.col("top.root")).select(
-                F.col("gid").alias("a"), F.col("size").alias("a_size"), F.col("top.leader.gid").alias("b"), F.col("top.leader.size").alias("b_size")
-            )
+            pairs = sides(open_.join(top, "band").where(F.col("root") != F.col("top.root")), "top.leader")
         else:
-            one = open_.select("band", F.col("gid").alias("a"), F.col("size").alias("a_size"), F.col("root").alias("ra"))
-            two = open_.select("band", F.col("gid").alias("b"), F.col("size").alias("b_size"), F.col("root").alias("rb"))
-            pairs = one.join(two, "band").where("ra < rb").select("a", "a_size", "b", "b_size")
+            one = open_.select("band", F.col("gid").alias("a"), F.col("size").alias("sa"), F.col("most").alias("ma"), F.col("root").alias("ra"))
+            two = open_.select("band", F.col("gid").alias("b"), F.col("size").alias("sb"), F.col("most").alias("mb"), F.col("root").alias("rb"))
+            pairs = one.join(two, "band").where("ra < rb")
         more, more_path = write_scratch(verified(pairs), "minhash")
         paths.append(more_path)
         links = links.unionByName(more).distinct()
