@@ -230,9 +230,13 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
             top = by_class.groupBy("band").agg(F.max(F.struct("n", "root", "leader")).alias("top"))
             pairs = sides(open_.join(top, "band").where(F.col("root") != F.col("top.root")), "top.leader")
         else:
-            one = open_.select("band", F.col("gid").alias("a"), F.col("size").alias("sa"), F.col("most").alias("ma"), F.col("root").alias("ra"))
-            two = open_.select("band", F.col("gid").alias("b"), F.col("size").alias("sb"), F.col("most").alias("mb"), F.col("root").alias("rb"))
-            pairs = one.join(two, "band").where("ra < rb")
+            # a pair meets in every bucket that both are in, and counts in the one with the smallest key
+            mine = open_.groupBy("gid").agg(F.collect_set("band").alias("bands"))
+            full = open_.join(mine, "gid")
+            one = full.select("band", F.col("gid").alias("a"), F.col("size").alias("sa"), F.col("most").alias("ma"), F.col("root").alias("ra"), F.col("bands").alias("ba"))
+            two = full.select("band", F.col("gid").alias("b"), F.col("size").alias("sb"), F.col("most").alias("mb"), F.col("root").alias("rb"), F.col("bands").alias("bb"))
+            first = F.array_min(F.array_intersect("ba", "bb")) == F.col("band")
+            pairs = one.join(two, "band").where("ra < rb").where(within).where(first)
         more, more_path = write_scratch(verified(pairs), "minhash")
         paths.append(more_path)
         links = links.unionByName(more).distinct()
