@@ -17,18 +17,38 @@ WINDOW, SUBSTITUTED = 13, 2
 BROADCAST_SEEDS = 1_000_000
 
 
-def _seeds(hashes: Column) -> Column:
-    """(seed, pos) for each mask at each position of an array of token hashes."""
+#: Distinct tokens of the benchmark up to which documents' positions are screened with them before they are hashed.
+SCREEN_TOKENS = 20_000
+_NONE = "array<struct<seed:bigint,pos:int>>"
 
-    def at(mask: str, number: int):
-        def seed(i: Column) -> Column:
-            taken = [F.get(hashes, i + k) for k, bit in enumerate(mask) if bit == "1"]
-            return F.struct(F.xxhash64(F.lit(number), *taken).alias("seed"), i.alias("pos"))
 
-        return F.transform(F.sequence(F.lit(0), F.size(hashes) - SPAN), seed)
+def _places(hashes: str, known: str | None) -> Column:
+    """The positions where a mask fits and, if `known` says which tokens the benchmark has, all tokens are known that both masks take."""
+    everywhere = F.sequence(F.lit(0), F.size(hashes) - SPAN)
+    if known:
+        shared = [k for k in range(SPAN) if all(m[k] == "1" for m in MASKS)]
+
+        def fits(i: Column) -> Column:
+            found = F.get(known, i + shared[0])
+            for k in shared[1:]:
+                found = found & F.get(known, i + k)
+            return found
+
+        everywhere = F.filter(everywhere, fits)
+    return F.when(F.size(hashes) >= SPAN, everywhere).otherwise(F.array().cast("array<int>"))
+
+
+def _seeds(hashes: str, known: str | None = None) -> Column:
+    """(seed, pos) for each mask at each place of an array of token hashes."""
+
+    def both(i: Column) -> Column:
+        made = []
+        for number, mask in enumerate(MASKS):
+            taken = [F.get(hashes, i + k) for k, bit in enumerate(mask) if bit == "1"]
+            made.append(F.struct(F.xxhash64(F.lit(number), *taken).alias("seed"), i.alias("pos")))
+        return F.array(*made)
 
-    none = F.array().cast("array<struct<seed:bigint,pos:int>>")
-    return F.when(F.size(hashes) >= SPAN, F.concat(*[at(m, n) for n, m in enumerate(MASKS)])).otherwise(none)
+    return F.flatten(F.transform(_places(hashes, known), both)).cast(_NONE)
 
 
 def _tokens(norm: Column) -> Column:
@@ -50,16 +70,22 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", words_of(F.col("text")).alias("norm")).distinct()
+    tokens = items.select("item_id", F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
     seeds = (
-        items.select("item_id", F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
-        .select("item_id", F.inline(_seeds(F.col("hashes"))))
+        tokens.select("item_id", F.inline(_seeds("hashes")))
         .select("item_id", F.col("seed").alias("item_seed"), F.col("pos").alias("item_pos"))
     )
     seeds, seeds_path = write_scratch(seeds, "seeds")
     small = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
     rows = docs.select("doc_id", words_of(F.col("text")).alias("norm")).withColumn("key", F.xxhash64("doc_id", "norm"))
     hashed = rows.select("key", F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
-    found = hashed.select("key", F.inline(_seeds(F.col("hashes"))))
+    vocabulary = [r[0] for r in tokens.select(F.explode("hashes")).distinct().limit(SCREEN_TOKENS + 1).collect()]
+    if 0 < len(vocabulary) <= SCREEN_TOKENS:
+        listed = ", ".join(f"{h}L" for h in vocabulary)
+        hashed = hashed.select("key", "hashes", F.expr(f"transform(hashes, x -> x in ({listed}))").alias("known"))
+        found = hashed.select("key", F.inline(_seeds("hashes", "known")))
+    else:
+        found = hashed.select("key", F.inline(_seeds("hashes")))
     hits, hits_path = write_scratch(
         found.join(F.broadcast(seeds) if small else seeds, F.col("seed") == F.col("item_seed"))
         .select("key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
@@ -74,7 +100,9 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
     )
     low = F.greatest(F.lit(0), -F.col("shift"))
     high = F.least(F.size("t"), F.size("d") - F.col("shift"))
-    equal = F.transform(F.sequence(low, high - 1), lambda i: (F.get("d", F.col("shift") + i) == F.get("t", i)).cast("int"))
+    # slices, so that each side is split once and not again for every token
+    ours, theirs = F.slice("d", low + F.col("shift") + 1, high - low), F.slice("t", low + 1, high - low)
+    equal = F.zip_with(ours, theirs, lambda a, b: (a == b).cast("int"))
     width = F.least(F.lit(WINDOW), F.size("t"))
     add = lambda a, x: a + x
     best = F.array_max(
