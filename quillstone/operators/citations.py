@@ -84,8 +84,7 @@ def references(chunks: DataFrame, extractors: Sequence[str] = ("legal", "academi
     """
     lines = _lines(chunks, *keep).where(_header(F.col("content")).isNull())
     kinds = [x for name in REFERENCES if name in extractors for x in REFERENCES[name]]
-    empty = F.array().cast("array<struct<kind:string,value:string,raw:string,n:int>>")
-    parts = [empty]
+    parts = [F.array().cast("array<struct<kind:string,value:string,raw:string,n:int>>")]
     for kind, pattern in kinds:
         values = F.regexp_extract_all("content", F.lit(pattern), F.lit(1))
         raws = F.regexp_extract_all("content", F.lit(pattern), F.lit(0))

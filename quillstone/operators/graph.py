@@ -11,6 +11,7 @@ from quillstone.sources.planning import arxiv_id, host_matches
 
 #: Kinds that name one document wherever it is cited.
 GLOBAL_KINDS = ("arxiv", "doi")
+# Fixed value: the shape of a DOI in an address.
 DOI = r"(?Ui)\b(10\.\d{4,9}/[-._;()/:A-Za-z0-9]+)"
 
 
