@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions.ids import text_sha256
@@ -32,6 +32,27 @@ class Pricing:
         return max(1, -(-chars // max(1, self.chars_per_token)))
 
 
+PIN_FILE = "doc_id string, model string, prompt_version int, generated_at string, contexts map<string,struct<context:string,text_sha256:string,window_index:int>>"
+
+
+def read_pin_files(spark: SparkSession, glob: str) -> DataFrame:
+    """Pin files as rows; a broken file, or one that is no object, gives none."""
+    rows = spark.read.schema(f"{PIN_FILE}, _corrupt_record string").option("multiLine", True).json(glob)
+    return rows.where("_corrupt_record is null and doc_id is not null").drop("_corrupt_record")
+
+
+def save_pin_files(files: DataFrame, path: str) -> None:
+    """Writes beside the target and renames, so that readers see the old files or the new ones."""
+    spark = files.sparkSession
+    jvm = spark.sparkContext._jvm
+    new, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.new", path))
+    files.write.mode("overwrite").json(f"{path}.new")
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.delete(target, True)
+    if not fs.rename(new, target):
+        raise OSError(f"{path}.new can't be renamed")
+
+
 def pin_rows(files: DataFrame) -> DataFrame:
     """(slug, model, prompt_version, chunk_id, context, text_sha256, window_index) of pin files with a contexts map."""
     return files.select(F.col("doc_id").alias("slug"), "model", "prompt_version", F.explode("contexts").alias("chunk_id", "c")).select(
