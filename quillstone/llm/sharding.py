@@ -2,20 +2,19 @@
 
 from __future__ import annotations
 
+from itertools import count
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import drop_scratch, gapless_rank, hash_bucket, write_scratch
 
-#: Rounds of propagation; it stops sooner when no move is accepted.
-ROUNDS = 4
-
 
 def _pick(shard: Column, values: list[int]) -> Column:
     return F.element_at(F.array(*[F.lit(int(v)).cast("long") for v in values]), shard + 1)
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Documents with equal texts are linked. Labels are shards. The start deals rows out evenly in
@@ -23,7 +22,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
     (ties by hash), pre-aggregated by (group, shard), so no pairs are made. Quotas keep the law
     `rows` (counts at most one apart) exactly: a shard takes as many movers as it has unlinked
     rows to give, small groups first, and shards that gained hand that many unlinked rows to those
-    that lost. A group larger than a shard fills one and leaves the rest where they are.
+    that lost. Rounds go on until one accepts no move (or for `rounds` of them, if given). A group larger than a shard fills one and leaves the rest where they are.
 
     Null text: size 1 and CRC 0, linked with other null texts only. slot numbers a shard's rows
     from 0. grown_shard is null: the law is not `key`. Other columns are ignored. Only counts by
@@ -45,7 +44,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int = ROUNDS) -> D
     base, base_path = write_scratch(dealt.withColumn("shard", (F.col("rank") % shards).cast("int")).drop("rank"), "shard")
     drop_scratch(spark, path)
     state, paths = base, [base_path]
-    for turn in range(rounds):
+    for turn in count() if rounds is None else range(rounds):
         linked = state.where("gsize > 1").groupBy("gid", "shard").agg(F.count(F.lit(1)).alias("n"))
         aims = linked.groupBy("gid").agg(
             F.max_by("shard", F.struct("n", F.xxhash64("gid", "shard").alias("tie"))).alias("aim")

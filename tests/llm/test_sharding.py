@@ -38,6 +38,21 @@ def test_a_group_larger_than_a_shard(spark):
     assert max(hot.values()) >= 55 and len({r.shard for r in rows if texts[r.doc_id] == "pair"}) == 1
 
 
+def whole(rows, texts):
+    """How many repeated texts have all their rows in one shard."""
+    by = {}
+    for r in rows:
+        by.setdefault(texts[r.doc_id], []).append(r.shard)
+    return sum(len(s) > 1 and len(set(s)) == 1 for s in by.values())
+
+
+def test_rounds_go_on_until_few_single_texts_have_made_all_pairs_whole(spark):
+    texts = [f"pair {g}" for g in range(4750)] * 2 + [f"single {i}" for i in range(500)]
+    rows = shard_documents(docs(spark, texts), shards=8).collect()
+    check(rows, texts, 8)
+    assert whole(rows, texts) == 4750
+
+
 def test_few_repeated_and_no_rows(spark):
     rows = shard_documents(docs(spark, ["a", "a", "b"], [1, 1, None])).collect()
     assert sorted(Counter(r.shard for r in rows).values()) == [1, 1, 1]
