@@ -2,7 +2,7 @@ import random
 import zlib
 from collections import Counter
 
-from quillstone.llm.sharding import shard_documents
+from quillstone.llm.sharding import _exchange, _pack, shard_documents
 from tests.llm.cases import CLASH, docs
 
 
@@ -53,6 +53,52 @@ def test_rounds_go_on_until_few_single_texts_have_made_all_pairs_whole(spark):
     assert whole(rows, texts) == 4750
 
 
+def test_tables_without_single_texts(spark):
+    for texts in ([f"pair {g}" for g in range(800)] * 2, [f"five {g}" for g in range(320)] * 5):
+        rows = shard_documents(docs(spark, texts), shards=8).collect()
+        check(rows, texts, 8)
+        assert whole(rows, texts) == len(set(texts))
+
+
+def test_groups_of_ten_beside_few_single_texts(spark):
+    texts = [f"group {g}" for g in range(180)] * 10 + [f"single {i}" for i in range(200)]
+    for rounds in (None, 0):
+        rows = shard_documents(docs(spark, texts), shards=8, rounds=rounds).collect()
+        check(rows, texts, 8)
+        assert whole(rows, texts) == 180
+
+
+def test_a_hot_group_beside_many_pairs(spark):
+    texts = ["hot"] * 533 + [f"pair {g}" for g in range(320)] * 2 + [f"single {i}" for i in range(427)]
+    rows = shard_documents(docs(spark, texts), shards=8).collect()
+    check(rows, texts, 8)
+    assert whole(rows, texts) == 320
+    assert sorted(Counter(r.shard for r in rows if texts[r.doc_id] == "hot").values()) == [133, 200, 200]
+
+
+def test_only_one_text(spark):
+    texts = ["hot"] * 19
+    check(shard_documents(docs(spark, texts), shards=8).collect(), texts, 8)
+
+
+def test_exchanges_keep_counts_and_packing_fills_rooms():
+    rng = random.Random(3)
+    for _ in range(200):
+        wishes = {(s, t): rng.randint(1, 9) for s in range(6) for t in range(6) if s != t and rng.random() < 0.5}
+        free = [rng.choice([0, 0, 5]) for _ in range(6)]
+        moved, given = _exchange(wishes, free)
+        for s in range(6):
+            flow = [n if a == s else -n if b == s else 0 for x in (moved, given) for (a, b), n in x.items()]
+            assert sum(flow) == 0 and sum(n for (a, _), n in given.items() if a == s) <= free[s]
+        assert all(n <= wishes[e] for e, n in moved.items())
+    assert _exchange({(0, 1): 4, (1, 2): 3, (2, 0): 3}, [0, 1, 0]) == ({(0, 1): 4, (1, 2): 3, (2, 0): 3}, {(1, 0): 1})
+    groups = Counter(rng.randint(2, 40) for _ in range(400))
+    total = sum(z * n for z, n in groups.items())
+    room = [total // 8 + (s < total % 8) for s in range(8)]
+    plan, lost = _pack(groups, room)
+    assert lost == 0 and [sum(z * n for z, p in plan.items() for t, n in p if t == s) for s in range(8)] == room
+
+
 def test_few_repeated_and_no_rows(spark):
     rows = shard_documents(docs(spark, ["a", "a", "b"], [1, 1, None])).collect()
     assert sorted(Counter(r.shard for r in rows).values()) == [1, 1, 1]
