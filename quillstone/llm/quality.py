@@ -13,7 +13,7 @@ from quillstone.llm.common import set_batches
 from quillstone.llm.labelled import held_out, training_rows
 from quillstone.llm.textops import BYTE_TABLE, U, mix, powers, prefix_hash, span_hash, text_slices, word_spans
 
-BITS = 18
+BITS = 20
 #: Training rows of either label at most, and the bytes of their texts.
 EACH, MOST_BYTES = 5_000, 1 << 15
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 0.02, 1.0
@@ -43,8 +43,9 @@ def _shape_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.
 def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Row, hashed feature and value of the word n-grams of each row.
 
-    Grams: words; shapes of one, two and three words; and a word's repetition of one of the two
-    before it. A value is the square root of the gram's share of its row's grams.
+    Grams: one, two and three words; shapes of one, two and three words; and a word's repetition of
+    one of the two before it. A value is the square root of the gram's count over the row's grams other than
+    those of two and three words, which thus take no weight from the rest.
     """
     starts, ends, rows = word_spans(data, offsets)
     n = len(starts)
@@ -52,22 +53,23 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
     word = mix(span_hash(prefix_hash(data), starts, ends) + U(1))
     shape = _shape_hashes(data, starts, ends)
-    grams, at = [word, shape * U(3)], [rows, rows]
+    grams, at, phrases, phrases_at = [word, shape * U(3)], [rows, rows], [], []
     for k in (2, 3):
         if n >= k:
-            joined = shape[: n - k + 1]
-            for j in range(1, k):
-                joined = mix(joined) + shape[j : n - k + 1 + j] * U(k)
             same = rows[: n - k + 1] == rows[k - 1 :]
-            grams.append(joined[same])
-            at.append(rows[: n - k + 1][same])
+            for unit, salt in ((shape, 0), (word, 11)):
+                joined = unit[: n - k + 1]
+                for j in range(1, k):
+                    joined = mix(joined) + unit[j : n - k + 1 + j] * U(k + salt)
+                (grams if unit is shape else phrases).append(joined[same])
+                (at if unit is shape else phrases_at).append(rows[: n - k + 1][same])
             again = same & (word[: n - k + 1] == word[k - 1 :])
             grams.append(np.full(int(again.sum()), k * 977, np.uint64))
             at.append(rows[: n - k + 1][again])
-    row = np.concatenate(at)
-    key, count = np.unique(row.astype(np.uint64) << U(BITS) | mix(np.concatenate(grams)) >> U(64 - BITS), return_counts=True)
+    total = np.bincount(np.concatenate(at), minlength=len(offsets) - 1)
+    row = np.concatenate(at + phrases_at)
+    key, count = np.unique(row.astype(np.uint64) << U(BITS) | mix(np.concatenate(grams + phrases)) >> U(64 - BITS), return_counts=True)
     row = (key >> U(BITS)).astype(np.int64)
-    total = np.bincount(row, count, len(offsets) - 1)
     return row, (key & U((1 << BITS) - 1)).astype(np.int64), np.sqrt(count / total[row])
 
 

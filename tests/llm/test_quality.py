@@ -18,6 +18,16 @@ def test_shapes_ignore_letters_but_not_case_or_marks():
     assert len(grams("THE!!") & grams("the")) == 0
 
 
+def test_order_of_words_counts():
+    def grams(t):
+        data = np.frombuffer(t.encode(), np.uint8)
+        return set(features(data, np.array([0, len(data)]))[1].tolist())
+
+    # the same words and shapes, and no repeats: four pairs and three triples of words have changed
+    one, other = grams("red fox dog cat"), grams("cat dog fox red")
+    assert len(one - other) == 5 and len(other - one) == 5
+
+
 def test_held_out_accuracy(spark):
     labels = table(spark, SF, "labels")
     scored = score_quality(table(spark, SF, "documents"), labels).join(labels, "doc_id").collect()
