@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import table, write_scratch
+from quillstone.llm.common import gapless_rank, table, write_scratch
 from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
 from quillstone.llm.minhash import near_duplicates
@@ -13,13 +13,25 @@ from quillstone.llm.pieces import encode_documents
 from quillstone.llm.toxicity import score_toxicity
 
 
-#: Names a row within a stage: its doc_id, and for rows without one a number from the text, after all real ids.
+#: Names a row within a stage: by its id and text. Rows without id have a number from the text, after all real ids.
 KEY = "__row_key"
+#: Ranges of ids within which rows are numbered where an id stands for different texts.
+RANGES = 200
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
+    """docs with KEY: the id or, if an id stands for different texts, the rank of (id, hash of the text), so that smaller ids keep smaller keys."""
     stand_in = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
-    return docs.withColumn(KEY, F.coalesce(F.col("doc_id").cast("long"), stand_in))
+    number = F.col("doc_id").cast("long")
+    texts = docs.select(number.alias("__id"), F.xxhash64("text").alias("__text")).where("__id is not null")
+    if not texts.groupBy("__id").agg(F.min("__text").alias("a"), F.max("__text").alias("b")).where("a <> b").limit(1).count():
+        return docs.withColumn(KEY, F.coalesce(number, stand_in))
+    cuts = sorted(set(texts.select(F.percentile_approx("__id", [k / RANGES for k in range(1, RANGES)])).first()[0]))
+    bucket = F.size(F.filter(F.array(*[F.lit(c).cast("long") for c in cuts]), lambda c: c <= F.col("__id")))
+    ranks, _ = write_scratch(gapless_rank(texts.distinct(), [], bucket, ["__id", "__text"], "__rank"), "keys")
+    named = docs.withColumn("__i", number).withColumn("__t", F.xxhash64("text"))
+    found = named.join(ranks, (F.col("__i") == F.col("__id")) & (F.col("__t") == F.col("__text")), "left")
+    return found.withColumn(KEY, F.coalesce("__rank", stand_in)).drop("__i", "__t", "__id", "__text", "__rank")
 
 
 def _judged(docs: DataFrame) -> DataFrame:
@@ -40,7 +52,7 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each text; of rows that repeat an id, one."""
+    """The document with the smallest id of each text; of rows that repeat an id and its text, one."""
     docs = _keyed(docs)
     repeated = docs.groupBy(KEY).count().where("count > 1").limit(1).count()
     once = docs.dropDuplicates([KEY]) if repeated else docs

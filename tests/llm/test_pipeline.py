@@ -40,3 +40,13 @@ def test_rows_without_ids_are_judged_by_themselves(spark):
     for _, stage in corpus_pipeline.STAGES[1:4]:
         frame = stage(spark, frame, SF)
     assert sorted(str((r.doc_id, r.text)) for r in frame.collect()) == ["(1, 'one two three')", "(2, '')", "(3, 'a')"]
+
+
+def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
+    item = table(spark, SF, "benchmark").first().text
+    rows = [(5, "A"), (5, "B"), (3, "B"), (5, "A"), (7, "C"), (9, "C"), (9, item), (9, "D"), (-1, "E")]
+    frame = docs(spark, [t for _, t in rows], [i for i, _ in rows], DOCS)
+    for _, stage in corpus_pipeline.STAGES[1:4]:
+        frame = stage(spark, frame, SF)
+    assert frame.columns == DOCS.names
+    assert sorted((r.doc_id, r.text) for r in frame.collect()) == [(-1, "E"), (3, "B"), (5, "A"), (7, "C"), (9, "D")]
