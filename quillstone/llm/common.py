@@ -5,7 +5,8 @@ from __future__ import annotations
 import atexit
 import gc
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,12 +20,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: A table of at most so many rows is broadcast where its rows have a fixed size of some 100 bytes.
+BROADCAST_ROWS = 200_000
+#: A key with more than one in so many of the rows is hot; there can't be more than so many of them.
+HOT_KEYS = 1_000
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where the cluster names none, one for local runs."""
+    """The folder that driver and executors share. A local master, where all run on one machine, may leave it unset."""
     where = spark.conf.get("spark.checkpoint.dir", None)
     if not where:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir names no folder that driver and executors share")
         where = "/tmp/checkpoints"
-        spark.conf.set("spark.checkpoint.dir", where)
     return where.rstrip("/")
 
 
@@ -57,6 +65,14 @@ def _drop_left() -> None:
             return
 
 
+@contextmanager
+def scratch_scope(spark: SparkSession, keep: list[str]) -> Iterator[None]:
+    """Drops the scratch tables that the block has written, but for those whose paths it puts into keep."""
+    before = set(_left)
+    yield
+    drop_scratch(spark, *[p for p in list(_left) if p not in before and p not in keep])
+
+
 def free_shuffles(spark: SparkSession) -> None:
     """Lets Spark's cleaner remove the shuffle files of steps whose results have been written."""
     gc.collect()
@@ -93,36 +109,69 @@ def hash_bucket(key: Column, bits: int = 10) -> Column:
     return F.shiftrightunsigned(key, 64 - bits)
 
 
+def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: str, total: int, small: bool = False, how: str = "left") -> DataFrame:
+    """rows joined (left or inner) with groups, which has one row for each (non-null) key and the number `size` of the key's rows.
+
+    No task gets more than a fixed share of the rows by a key: the keys with more than one in HOT_KEYS
+    of all `total` rows, of which there are less than HOT_KEYS, are broadcast and their rows stay where
+    they are; the others are shuffled. small: groups has at most BROADCAST_ROWS rows and is broadcast whole.
+    """
+    own = [c for c in groups.columns if c not in keys]
+    named = groups.select(*[F.col(k).alias(f"_g_{k}") for k in keys], *own)
+    same = F.lit(True)
+    for k in keys:
+        same = same & (F.col(k) == F.col(f"_g_{k}"))
+    clean = lambda frame: frame.drop(*[f"_g_{k}" for k in keys])
+    if small:
+        return clean(rows.join(F.broadcast(named), same, how))
+    many = F.col(size) * HOT_KEYS > total
+    hot, rest = F.broadcast(named.where(many)), named.where(~many | F.col(size).isNull())
+    near = rows.join(hot, same)
+    far = rows.join(hot.select([f"_g_{k}" for k in keys]), same, "left_anti").join(rest, same, how)
+    return clean(near).unionByName(clean(far))
+
+
+def _digest(edges: DataFrame) -> tuple:
+    """Number of edges and two sums of hashes: equal for equal sets."""
+    r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.sum(F.xxhash64("v", F.lit(7), "u").cast("decimal(20,0)"))).first()
+    return tuple(r)
+
+
 def components(edges: DataFrame, a: str, b: str, label: str) -> DataFrame:
     """Connected components as rows (node, root), root the smallest node; only nodes with an edge.
 
     Alternating large-star and small-star rounds over edge tables in the shared folder; the number
-    of rounds grows with the logarithm of the diameter, and nothing but a count reaches the driver.
-    Stars are summed by min() with map-side aggregation, so a node with very many edges is no hot spot.
+    of rounds grows with the logarithm of the diameter, and nothing but counts and sums reach the
+    driver. Minima are found by map-side aggregation and go back to the edges by join_groups(), so
+    that a node with very many edges is no task of its own. Rounds end when an edge table has the
+    same count and hash sums (two of 64 bits) as the one before.
     """
     spark = edges.sparkSession
     now, path = write_scratch(
         edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct(), label
     )
+    state = _digest(now)
     while True:
+        total = 2 * state[0]
         # large star: every larger neighbour of a node is linked to the smallest node of its neighbourhood
         both = now.select("u", "v").unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("w"), F.least("u", "m").alias("m"))
-        large = both.join(least, both.u == least.w).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        least = both.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n")).select("u", F.least("u", "m").alias("m"), "n")
+        large = join_groups(both.where("v > u"), least, ["u"], "n", total, total <= BROADCAST_ROWS)
+        large = large.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         # small star: every smaller neighbour of a node is linked to the smallest of them
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
+        low = large.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("n"))
         small = (
-            large.join(low.withColumnRenamed("u", "w"), F.col("u") == F.col("w"))
+            join_groups(large, low, ["u"], "n", total, total <= BROADCAST_ROWS)
             .where("v <> m")
             .select(F.col("v").alias("u"), F.col("m").alias("v"))
             .unionByName(low.select("u", F.col("m").alias("v")))
             .distinct()
         )
         new, new_path = write_scratch(small, label)
-        changed = new.exceptAll(now).limit(1).count() + now.exceptAll(new).limit(1).count()
         drop_scratch(spark, path)
+        before, state = state, _digest(new)
         now, path = new, new_path
-        if not changed:
+        if state == before:
             return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(
                 now.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
             )
