@@ -10,12 +10,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import set_batches
-from quillstone.llm.labelled import held_out, training_rows
+from quillstone.llm.labelled import Parameters, held_out, trained, training_rows
 from quillstone.llm.textops import BYTE_TABLE, U, mix, powers, prefix_hash, span_hash, text_slices, word_spans
 
 BITS = 20
 #: Training rows of either label at most, and the bytes of their texts.
-EACH, MOST_BYTES = 5_000, 1 << 15
+EACH, MOST_BYTES = 5_000, 1 << 13
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 0.02, 1.0
 THRESHOLD = 0.3
 
@@ -81,7 +81,7 @@ def train(rows: list[tuple[str, int]]) -> np.ndarray:
     for text, label in rows:
         data = np.frombuffer(text.encode(), np.uint8)
         _, index, value = features(data, np.array([0, len(data)]))
-        examples.append((np.r_[index, bias], np.r_[value, 0.3], label))
+        examples.append((np.r_[index, bias].astype(np.int32), np.r_[value, 0.3].astype(np.float32), label))
 
     def weights(i):
         return np.where(np.abs(z[i]) <= L1, 0.0, -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
@@ -98,17 +98,23 @@ def train(rows: list[tuple[str, int]]) -> np.ndarray:
     return weights(np.arange(bias + 1)).astype(np.float32)
 
 
-def score_quality(docs: DataFrame, labels: DataFrame, each: int = EACH, most_bytes: int = MOST_BYTES) -> DataFrame:
+def fit_quality(docs: DataFrame, labels: DataFrame, each: int = EACH, most_bytes: int = MOST_BYTES, path: str | None = None) -> Parameters:
+    """The model of score_quality(), trained on at most `each` rows of either label outside the held-out fold (see
+    training_rows) and written to path, if given, from where labelled.load() reads it."""
+    return trained(training_rows(docs, labels, "quality", each, most_bytes), lambda rows: {"weights": train(rows)}, path)
+
+
+def score_quality(docs: DataFrame, labels: DataFrame | None, each: int = EACH, most_bytes: int = MOST_BYTES, model: Parameters | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, held_out, score, predicted.
 
-    labels: doc_id, quality. Only the text is scored. Trained on at most `each` rows of either label
-    outside the held-out fold (see training_rows); the weights (2**BITS floats) are broadcast.
-    Null and empty texts have no grams and get the score of the bias. Without labels every score is
-    0.5. Other columns are ignored.
+    labels: doc_id, quality. Only the text is scored, by `model` or, without one, by fit_quality();
+    the weights (2**BITS floats) are broadcast. Null and empty texts have no grams and get the score
+    of the bias. Without labels every score is 0.5. Equal texts have equal scores; repeated rows each
+    get their row. Other columns are ignored.
     """
     spark = docs.sparkSession
     set_batches(spark)
-    shared = spark.sparkContext.broadcast(train(training_rows(docs, labels, "quality", each, most_bytes)))
+    shared = spark.sparkContext.broadcast((model or fit_quality(docs, labels, each, most_bytes))["weights"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.llm.common import set_batches
-from quillstone.llm.labelled import held_out, training_rows
+from quillstone.llm.labelled import Parameters, held_out, trained, training_rows
 from quillstone.llm.textops import U, mix, text_slices, word_spans, powers
 
 WINDOW, STRIDE = 48, 36
@@ -26,6 +26,8 @@ GRAMS = (3, 5)
 EACH, MOST_BYTES = 3_000, 1 << 12
 EPOCHS, BATCH, RATE = 5, 64, 0.01
 THRESHOLD = 0.5
+#: Training texts that have to hold a word or n-gram for its bucket to have an embedding at the start, and the scale of its evidence in it.
+LEAST_TEXTS, EVIDENCE = 3, 0.3
 #: Windows that go through the network at once.
 LANES = 2_048
 
@@ -187,6 +189,23 @@ def lanes(data, starts, ends, first, size) -> tuple[Words, np.ndarray, np.ndarra
     return words, words.index[np.minimum(first - lo + at, hi - lo - 1)], (at < size).astype(np.float32)
 
 
+def _prime(net: Network, raw: list[np.ndarray], labels: np.ndarray) -> None:
+    """Starts the first dimension of both embeddings at the z-score of the log-odds between toxic and other
+    training texts; what fewer than LEAST_TEXTS texts hold starts at zero."""
+    held = {"word": np.zeros((2, 1 << WORD_BITS)), "char": np.zeros((2, 1 << CHAR_BITS))}
+    for data, y in zip(raw, labels.astype(int)):
+        starts, ends, _ = word_spans(data, np.array([0, len(data)]))
+        words = Words(data, starts, ends)
+        held["word"][y][np.unique(words.bucket)] += 1
+        held["char"][y][np.unique(words.gram)] += 1
+    n = [(labels == y).sum() + 1 for y in (0, 1)]
+    for k, (clean, toxic) in held.items():
+        z = (np.log((toxic + 0.5) / n[1]) - np.log((clean + 0.5) / n[0])) / np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
+        seen = clean + toxic >= LEAST_TEXTS
+        net.p[k][~seen] = 0
+        net.p[k][seen, 0] = EVIDENCE * z[seen]
+
+
 def train(rows: list[tuple[str, int]], seed: int = 3) -> Network:
     """Adam on the logistic loss of each text's worst window. Without texts of both labels: as initialised, bias -2."""
     net = Network(seed)
@@ -196,6 +215,7 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Network:
         net.p["c"][0] = -2
         return net
     raw = [np.frombuffer(t.encode(), np.uint8) for t, _ in rows]
+    _prime(net, raw, labels)
     rng = np.random.default_rng(seed)
     m, v = ({k: np.zeros_like(x) for k, x in net.p.items()} for _ in range(2))
     sides = [np.flatnonzero(labels == y) for y in (0, 1)]
@@ -229,16 +249,23 @@ def train(rows: list[tuple[str, int]], seed: int = 3) -> Network:
     return net
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, most_bytes: int = MOST_BYTES) -> DataFrame:
+def fit_toxicity(docs: DataFrame, labels: DataFrame, each: int = EACH, most_bytes: int = MOST_BYTES, path: str | None = None) -> Parameters:
+    """The model of score_toxicity(), trained on at most `each` rows of either label outside the held-out fold (see
+    training_rows) and written to path, if given, from where labelled.load() reads it."""
+    return trained(training_rows(docs, labels, "toxic", each, most_bytes), lambda rows: train(rows).p, path)
+
+
+def score_toxicity(docs: DataFrame, labels: DataFrame | None, each: int = EACH, most_bytes: int = MOST_BYTES, model: Parameters | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, held_out, score, predicted.
 
-    labels: doc_id, toxic. Only the text is scored, in all its windows. Trained on at most `each`
-    rows of either label outside the held-out fold (see training_rows); the parameters, of fixed
-    size, are broadcast. Null texts and texts without words score 0. Other columns are ignored.
+    labels: doc_id, toxic. Only the text is scored, in all its windows, by `model` or, without one,
+    by fit_toxicity(); the parameters, of fixed size, are broadcast. Null texts and texts without
+    words score 0. Equal texts have equal scores; repeated rows each get their row. Other columns
+    are ignored.
     """
     spark = docs.sparkSession
     set_batches(spark)
-    shared = spark.sparkContext.broadcast(train(training_rows(docs, labels, "toxic", each, most_bytes)).p)
+    shared = spark.sparkContext.broadcast(model or fit_toxicity(docs, labels, each, most_bytes))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         net = Network.__new__(Network)
