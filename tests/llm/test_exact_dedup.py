@@ -27,8 +27,9 @@ def test_equals_brute_force(spark):
     rng.shuffle(ids)
     ids[3] = ids[5] = None
     ids[20], texts[20] = ids[21], texts[21]
-    got = exact_dedup(docs(spark, texts, ids, CLASH).repartition(5)).collect()
-    assert sorted((tuple(r) for r in got), key=str) == brute(list(zip(ids, texts)))
+    for bound in (10**6, 3):
+        got = exact_dedup(docs(spark, texts, ids, CLASH).repartition(5), bound).collect()
+        assert sorted((tuple(r) for r in got), key=str) == brute(list(zip(ids, texts)))
 
 
 def test_no_rows(spark):
