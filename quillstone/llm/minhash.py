@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import components, drop_scratch, free_shuffles, set_batches, write_scratch
+from quillstone.llm.common import BROADCAST_ROWS, components, drop_scratch, free_shuffles, join_groups, set_batches, write_scratch
 from quillstone.llm.textops import U, mix, shingles, text_slices
 
 WORDS, SIMILAR = 5, 0.8
@@ -29,6 +29,8 @@ REGISTERS = BANDS * BAND_ROWS
 PEELINGS = 2
 _ROW_BITS = 20
 _HASH_BITS = 64 - _ROW_BITS
+#: Pairs that are compared at once: their shingles are told apart by 56 bits of hash.
+_PAIR_BITS = 8
 
 
 def words_of(text: Column) -> Column:
@@ -36,10 +38,10 @@ def words_of(text: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), "[\\x20\\x09-\\x0D]+", " "))
 
 
-def bags(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, 44-bit shingle) keys in ascending order, and their counts."""
+def bags(data: np.ndarray, offsets: np.ndarray, row_bits: int = _ROW_BITS) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct (row, shingle of 64 - row_bits bits) keys in ascending order, and their counts."""
     h, rows = shingles(data, offsets, WORDS)
-    keys, counts = np.unique(rows.astype(np.uint64) << U(_HASH_BITS) | h >> U(_ROW_BITS), return_counts=True)
+    keys, counts = np.unique(rows.astype(np.uint64) << U(64 - row_bits) | h >> U(row_bits), return_counts=True)
     return keys, counts
 
 
@@ -87,33 +89,28 @@ def _bag_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-_SIGNED = "gid binary, size int, bands array<long>"
+_SIGNED = "doc_id long, gid binary, size int, bands array<long>"
 
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, j, data, offsets in text_slices(batch.column(1)):
+        for i, j, data, offsets in text_slices(batch.column(2)):
             keys, counts = bags(data, offsets)
             held = signatures(keys, counts, j - i).view(np.uint64).reshape(j - i, BANDS, BAND_ROWS)
             band = np.arange(BANDS, dtype=np.uint64)[None, :] * U(0xA0761D6478BD642F)
             for k in range(BAND_ROWS):
                 band = mix(band ^ held[:, :, k])
             size = np.bincount((keys >> U(_HASH_BITS)).astype(np.int64), counts, j - i).astype(np.int32)
-            some = np.flatnonzero(size > 0)
+            some = size > 0
+            ends = np.r_[0, np.cumsum(np.where(some, BANDS, 0))].astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).slice(i, j - i).take(pa.array(some)),
-                    pa.array(size[some]),
-                    pa.ListArray.from_arrays(
-                        pa.array(np.arange(0, (len(some) + 1) * BANDS, BANDS, dtype=np.int32)), pa.array(band[some].reshape(-1).view(np.int64))
-                    ),
-                ],
-                names=["gid", "size", "bands"],
+                [*(batch.column(k).slice(i, j - i) for k in (0, 1)), pa.array(size), pa.ListArray.from_arrays(pa.array(ends), pa.array(band[some].reshape(-1).view(np.int64)))],
+                names=["doc_id", "gid", "size", "bands"],
             )
 
 
 def overlap(one: pa.Array, two: pa.Array) -> np.ndarray:
-    """The weighted Jaccard similarity of each pair of texts, from their whole bags."""
+    """The weighted Jaccard similarity of each of up to 2**_PAIR_BITS pairs of texts, from their whole bags of 56-bit shingle hashes."""
     out = []
     halves = [list(text_slices(x)) for x in (one, two)]
     n = len(one)
@@ -121,13 +118,13 @@ def overlap(one: pa.Array, two: pa.Array) -> np.ndarray:
     for half in halves:
         keys, counts = [], []
         for i, _, data, offsets in half:
-            k, c = bags(data, offsets)
-            keys.append(k + (U(i) << U(_HASH_BITS)))
+            k, c = bags(data, offsets, _PAIR_BITS)
+            keys.append(k + (U(i) << U(64 - _PAIR_BITS)))
             counts.append(c)
         sides.append((np.concatenate(keys), np.concatenate(counts)))
     (ka, ca), (kb, cb) = sides
     both, ia, ib = np.intersect1d(ka, kb, assume_unique=True, return_indices=True)
-    row = lambda k: (k >> U(_HASH_BITS)).astype(np.int64)
+    row = lambda k: (k >> U(64 - _PAIR_BITS)).astype(np.int64)
     shared = np.bincount(row(both), np.minimum(ca[ia], cb[ib]), n)
     total = np.bincount(row(ka), ca, n) + np.bincount(row(kb), cb, n) - shared
     out = np.divide(shared, total, out=np.zeros(n), where=total > 0)
@@ -136,8 +133,8 @@ def overlap(one: pa.Array, two: pa.Array) -> np.ndarray:
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i in range(0, batch.num_rows, 256):
-            part = batch.slice(i, 256)
+        for i in range(0, batch.num_rows, 1 << _PAIR_BITS):
+            part = batch.slice(i, 1 << _PAIR_BITS)
             if part.num_rows:
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), part.column(1), pa.array(overlap(part.column(2), part.column(3)))], names=["a", "b", "similarity"]
@@ -160,26 +157,33 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     no other text of the mixed buckets has can't be shared, so a text with too many of them has no
     link, and two texts share at most the smaller of what either has left.
 
-    Null text counts as empty; texts without words stay alone. Null ids are never a class_id unless
-    no row of the class has another. Rows that repeat the id that stays are all kept. Other columns
-    are ignored.
+    Buckets, classes and copies of one text may hold any share of the rows: what is known of them goes
+    back to their rows by join_groups(). Null text counts as empty; texts without words stay alone. Null
+    ids are never a class_id unless no row of the class has another. Rows that repeat the id that stays
+    are all kept. Other columns are ignored.
     """
     spark = docs.sparkSession
     set_batches(spark)
-    # a text without words is its own node through its id, so that it links to nothing
     norm = words_of(F.col("text"))
-    rows = docs.select("doc_id", norm.alias("norm")).withColumn("gid", F.unhex(F.md5("norm")))
-    signed, signed_path = write_scratch(rows.select("gid", "norm").mapInArrow(_sign, _SIGNED), "minhash")
-    signed = signed.groupBy("gid").agg(F.min(F.struct("size", "bands")).alias("x")).select("gid", "x.size", F.explode("x.bands").alias("band"))
-    counted = signed.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    members, members_path = write_scratch(signed.join(counted, "band"), "minhash")
-    drop_scratch(spark, signed_path)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), norm.alias("norm"))
+    # a text without words is its own node through its id, so that it links to nothing
+    alone = F.concat(F.lit("\n"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    rows = rows.withColumn("gid", F.unhex(F.md5(F.when(F.col("norm") == "", alone).otherwise(F.col("norm")))))
+    signed, _ = write_scratch(rows.select("doc_id", "gid", "norm").mapInArrow(_sign, _SIGNED), "minhash")
+    n_rows = signed.count()
+    nodes = signed.groupBy("gid").agg(F.min(F.struct("size", "bands")).alias("x"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    nodes, nodes_path = write_scratch(nodes.select("gid", "first_id", "copies", "x.size", "x.bands"), "minhash")
+    free_shuffles(spark)
+    banded = nodes.select("gid", "size", F.explode("bands").alias("band"))
+    counted = banded.groupBy("band").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    members, members_path = write_scratch(join_groups(banded, counted, ["band"], "n", BANDS * nodes.count(), how="inner"), "minhash")
     free_shuffles(spark)
-    nodes = rows.select("gid", "norm").join(members.select("gid").distinct(), "gid", "left_semi").groupBy("gid").agg(F.first("norm").alias("norm"))
-    texts, texts_path = write_scratch(nodes, "minhash")
+    wanted = members.select("gid").distinct()
+    texts, texts_path = write_scratch(rows.select("gid", "norm").join(wanted, "gid", "left_semi").groupBy("gid").agg(F.first("norm").alias("norm")), "minhash")
     scores = members.groupBy("gid").agg(F.sum("n").alias("score"))
-    scored, scored_path = write_scratch(members.join(scores, "gid").drop("n"), "minhash")
+    scored, scored_path = write_scratch(members.join(scores, "gid"), "minhash")
     drop_scratch(spark, members_path)
+    n_scored = scored.count()
     best = lambda: F.max_by(F.struct("gid", "size", "most"), F.struct("score", "gid"))
 
     def sides(frame: DataFrame, other: str) -> DataFrame:
@@ -202,8 +206,8 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 
     def kept_apart(placed: DataFrame) -> DataFrame:
         """Members of the buckets that hold several classes."""
-        mixed = placed.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).where("r1 <> r2").select("band")
-        rows, path = write_scratch(placed.join(mixed, "band"), "minhash")
+        mixed = placed.groupBy("band").agg(F.min("root").alias("r1"), F.max("root").alias("r2"), F.count(F.lit(1)).alias("n")).where("r1 <> r2").select("band", "n")
+        rows, path = write_scratch(join_groups(placed.drop("n"), mixed, ["band"], "n", n_scored, how="inner"), "minhash")
         paths.append(path)
         return rows
 
@@ -213,22 +217,24 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         bag = texts.join(rows.select("gid").distinct(), "gid", "left_semi").mapInArrow(_bag_rows, "gid binary, shingle long, n int")
         alone = bag.groupBy("shingle").agg(F.count(F.lit(1)).alias("texts"), F.min("gid").alias("gid"), F.min("n").alias("n")).where("texts = 1")
         own = alone.groupBy("gid").agg(F.sum("n").alias("own"))
-        rows = rows.join(own, "gid", "left").withColumn("most", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
+        rows = rows.drop("most").join(own, "gid", "left").withColumn("most", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
         return rows.where(F.col("most") >= similar * F.col("size"))
 
     scored = scored.withColumn("most", F.col("size").cast("long"))
-    leaders = scored.groupBy("band").agg(best().alias("leader"))
-    links, links_path = write_scratch(verified(sides(scored.join(leaders, "band"), "leader")), "minhash")
-    paths = [links_path, scored_path, texts_path]
+    leaders = scored.groupBy("band").agg(best().alias("leader"), F.first("n").alias("of"))
+    links, links_path = write_scratch(verified(sides(join_groups(scored, leaders, ["band"], "of", n_scored, how="inner"), "leader")), "minhash")
+    paths = [links_path, scored_path, texts_path, nodes_path]
     for step in ("leaders", "rest"):
         classes = components(links, "a", "b", "minhash")
         open_ = kept_apart(scored.join(classes.withColumnRenamed("node", "gid"), "gid", "left").withColumn("root", F.coalesce("root", "gid")))
         for _ in range(PEELINGS):
-            open_ = kept_apart(bounded(open_))
+            open_ = open_ if open_.isEmpty() else kept_apart(bounded(open_))
+        if open_.isEmpty():
+            break
         if step == "leaders":
             by_class = open_.groupBy("band", "root").agg(F.count(F.lit(1)).alias("n"), best().alias("leader"))
-            top = by_class.groupBy("band").agg(F.max(F.struct("n", "root", "leader")).alias("top"))
-            pairs = sides(open_.join(top, "band").where(F.col("root") != F.col("top.root")), "top.leader")
+            top = by_class.groupBy("band").agg(F.max(F.struct("n", "root", "leader")).alias("top"), F.sum("n").alias("of"))
+            pairs = sides(join_groups(open_, top, ["band"], "of", n_scored, how="inner").where(F.col("root") != F.col("top.root")), "top.leader")
         else:
             # a pair meets in every bucket that both are in, and counts in the one with the smallest key
             mine = open_.groupBy("gid").agg(F.collect_set("band").alias("bands"))
@@ -240,19 +246,18 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         more, more_path = write_scratch(verified(pairs), "minhash")
         paths.append(more_path)
         links = links.unionByName(more).distinct()
-    classes = components(links, "a", "b", "minhash")
-    degree = links.select(F.col("a").alias("g")).unionByName(links.select(F.col("b").alias("g"))).groupBy("g").agg(F.count(F.lit(1)).alias("n_links"))
-    bare = F.col("norm") == ""
-    plain = docs.select("doc_id", norm.alias("norm")).select(
-        "doc_id", F.unhex(F.when(bare, F.md5(F.concat(F.lit("\n"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))).otherwise(F.md5("norm"))).alias("gid")
-    )
-    tagged = plain.join(classes.withColumnRenamed("node", "gid"), "gid", "left").join(degree.withColumnRenamed("g", "gid"), "gid", "left").select(
-        "doc_id", F.coalesce("root", "gid").alias("root"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links")
-    )
-    tagged, tagged_path = write_scratch(tagged, "minhash")
-    drop_scratch(spark, *paths)
+    degree = links.select(F.col("a").alias("gid")).unionByName(links.select(F.col("b").alias("gid"))).groupBy("gid").agg(F.count(F.lit(1)).alias("n_links"))
+    placed = nodes.select("gid", "first_id", "copies").join(components(links, "a", "b", "minhash").withColumnRenamed("node", "gid"), "gid", "left").join(degree, "gid", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "gid")).where("n_links > 0 or copies > 1")
+    placed, placed_path = write_scratch(placed, "minhash")
+    named = placed.groupBy("root").agg(F.min("first_id").alias("class_id"), F.sum("copies").alias("class_size"), F.count(F.lit(1)).alias("texts"))
+    classed, _ = write_scratch(join_groups(placed, named, ["root"], "texts", placed.count()).select("gid", "copies", "class_id", "class_size", "n_links"), "minhash")
+    drop_scratch(spark, placed_path, *paths)
     free_shuffles(spark)
-    named = tagged.groupBy("root").agg(F.min("doc_id").alias("class_id"), F.count(F.lit(1)).alias("class_size"))
-    return tagged.join(named, "root").select(
-        "doc_id", "class_id", "class_size", "n_links", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept")
-    )
+    found = join_groups(signed.select("doc_id", "gid"), classed, ["gid"], "copies", n_rows, classed.count() <= BROADCAST_ROWS)
+    single = F.col("class_size").isNull()
+    found = found.withColumn("class_id", F.when(single, F.col("doc_id")).otherwise(F.col("class_id")))
+    return found.select(
+        "doc_id", "class_id", F.coalesce("class_size", F.lit(1)).cast("long").alias("class_size"), F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"),
+    )

@@ -113,8 +113,8 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> tuple[np.ndar
     start = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
     counts = np.diff(np.r_[start, n])
     for s, c in zip(start[counts < k].tolist(), counts[counts < k].tolist()):
-        acc = U(c)
+        acc = np.full(1, c, np.uint64)  # an array, since scalars warn when they overflow
         for j in range(c):
             acc = acc * U(0xD6E8FEB86659FD93) + h[s + j]
-        out[s], full[s] = acc, True
+        out[s], full[s] = acc[0], True
     return mix(out[full]), rows[full]

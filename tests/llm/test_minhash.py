@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
+from quillstone.llm.common import table
 from quillstone.llm.minhash import REGISTERS, bags, near_duplicates, overlap, signatures
 from quillstone.llm.textops import text_slices
 from tests.llm.cases import CLASH, docs
@@ -73,6 +74,19 @@ def test_classes_equal_brute_force(spark):
         assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_recall_of_similar_pairs(spark):
+    """Queries: every row whose id is divisible by 50, against all rows; found: in the same class."""
+    rows = [(r.doc_id, bag(r.text)) for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
+    classes = {r.doc_id: r.class_id for r in near_duplicates(table(spark, "/root/testdata/sf0.01", "documents")).collect()}
+    at = {}
+    for i, b in rows:
+        for s in b:
+            at.setdefault(s, set()).add(i)
+    held = dict(rows)
+    pairs = [(i, j) for i, b in rows if i % 50 == 0 for j in set().union(*(at[s] for s in b)) if i != j and jaccard(b, held[j]) >= 0.8]
+    assert len(pairs) >= 3 and all(classes[i] == classes[j] for i, j in pairs)
+
+
 def test_null_ids_repeated_rows_and_no_rows(spark):
     got = near_duplicates(docs(spark, ["a b c d e f", "a b c d e f", "a b c d e f", None, ""], [7, 7, None, None, 3])).collect()
     assert sorted((str(r.doc_id), str(r.class_id), r.class_size, r.kept) for r in got) == [
