@@ -9,7 +9,7 @@ from itertools import count
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import drop_scratch, gapless_rank, hash_bucket, write_scratch
+from quillstone.llm.common import BROADCAST_ROWS, drop_scratch, gapless_rank, hash_bucket, join_groups, write_scratch
 
 #: A round that moves less than this share of the rows that wish to move is the last one.
 PROGRESS = 1 / 4
@@ -106,8 +106,8 @@ def _pack(groups: dict[int, int], room: list[int]) -> tuple[dict[int, list[tuple
     return plan, sum(n for z, n in left.items() if z > 1)
 
 
-def _seat(state: DataFrame, room: list[int]) -> DataFrame:
-    """Puts the groups that are still split, or all groups if that leaves fewer of them split, whole into shards; unlinked rows fill up."""
+def _seat(state: DataFrame, room: list[int], few: bool) -> DataFrame:
+    """Puts the groups that are still split, or all groups if that leaves fewer of them split, whole into shards; unlinked rows fill up. few: at most BROADCAST_ROWS groups."""
     spark = state.sparkSession
     groups = state.where("gsize > 1").groupBy("gid", "gsize").agg(F.min("shard").alias("least"), F.max("shard").alias("most"))
     groups = groups.withColumn("home", F.when(F.col("least") == F.col("most"), F.col("least"))).drop("least", "most")
@@ -133,9 +133,9 @@ def _seat(state: DataFrame, room: list[int]) -> DataFrame:
     numbered = gapless_rank(pool, ["gsize"], hash_bucket(F.xxhash64("gid")), ["gid"], "nth").join(
         _plan(spark, "z long, lo long, hi long, to int", puts), (F.col("gsize") == F.col("z")) & (F.col("nth") >= F.col("lo")) & (F.col("nth") < F.col("hi")), "left"
     )
-    numbered = numbered.select(F.col("gid").alias("g"), F.col("gsize").alias("gs"), "to")
-    rows = state.join(numbered, (F.col("gid") == F.col("g")) & (F.col("gsize") == F.col("gs")), "left")
-    rows = rows.withColumn("fills", (F.col("gsize") == 1) | F.col("g").isNotNull() & F.col("to").isNull()).withColumnRenamed("to", "seat").drop("g", "gs")
+    numbered = numbered.select("gid", "gsize", F.col("gsize").alias("of"), "to")
+    rows = join_groups(state, numbered, ["gid", "gsize"], "of", sum(room), few)
+    rows = rows.withColumn("fills", (F.col("gsize") == 1) | F.col("of").isNotNull() & F.col("to").isNull()).withColumnRenamed("to", "seat").drop("of")
     bucket = F.when(F.col("gsize") == 1, hash_bucket(F.col("key")) + 1024).otherwise(hash_bucket(F.xxhash64("gid"), 4) * 64 + hash_bucket(F.col("key"), 6))
     ranked = gapless_rank(rows, ["fills"], bucket, ["gid", "key", "doc_id"], "rank")
     filled = ranked.join(
@@ -172,10 +172,11 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
     state, path = write_scratch(rows, "shard")
     total = state.count()
     room = [total // shards + (s < total % shards) for s in range(shards)]
-    sizes = state.groupBy("gid").agg(F.count(F.lit(1)).alias("gsize")).where("gsize > 1")
+    sizes, sizes_path = write_scratch(state.groupBy("gid").agg(F.count(F.lit(1)).alias("gsize")).where("gsize > 1"), "shard")
     # fewer than shards, but for tables of fewer rows than that
     large = sizes.where(F.col("gsize") > max(room)).select(F.hex("gid").alias("g"), "gsize").orderBy("g").collect()
-    rows = state.join(sizes.withColumnRenamed("gid", "g"), F.col("gid") == F.col("g"), "left").drop("g")
+    few = sizes.count() <= BROADCAST_ROWS
+    rows = join_groups(state, sizes.withColumn("of", F.col("gsize")), ["gid"], "of", total, few).drop("of")
     rows = rows.withColumn("gsize", F.coalesce("gsize", F.lit(1).cast("long")))
     closed, seats = 0, []
     for r in large:
@@ -200,15 +201,14 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
     dealt = gapless_rank(rows, [], hash_bucket(F.col("key")), ["key", "doc_id"], "rank")
     dealt = dealt.withColumn("shard", (F.col("rank") % max(1, shards - closed) + closed).cast("int")).drop("rank")
     base, base_path = write_scratch(dealt if seated is None else dealt.unionByName(seated), "shard")
-    drop_scratch(spark, path)
+    drop_scratch(spark, path, sizes_path)
     state, paths = base, [base_path]
     for turn in count():
         linked = state.where("gsize > 1").groupBy("gid", "gsize", "shard").agg(F.count(F.lit(1)).alias("n"))
         aims = linked.groupBy("gid", "gsize").agg(
             F.max_by("shard", F.struct("n", F.xxhash64("gid", "shard", F.lit(turn)).alias("tie"))).alias("aim")
         )
-        aims = aims.select(F.col("gid").alias("g"), F.col("gsize").alias("gs"), "aim")
-        wishes = state.join(aims, (F.col("gid") == F.col("g")) & (F.col("gsize") == F.col("gs")), "left").drop("g", "gs")
+        wishes = join_groups(state, aims.withColumn("of", F.col("gsize")), ["gid", "gsize"], "of", total, few).drop("of")
         wishes = wishes.withColumn(
             "kind", F.when(F.col("gsize") == 1, "free").when(F.col("aim") != F.col("shard"), "move").otherwise("stay")
         ).withColumn("queue", F.when(F.col("kind") == "move", F.col("shard") * shards + F.col("aim")).otherwise(F.col("shard")))
@@ -228,7 +228,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
         if not wished:
             break
         if rounds is not None and turn >= rounds:
-            state = _seat(state, room)
+            state = _seat(state, room, few)
             break
         moved, given = _exchange(wished, [have.get(("free", s), 0) for s in range(shards)])
         flows = [("move", s * shards + t, 0, n, t) for (s, t), n in moved.items()]
@@ -241,7 +241,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
         if done == wanted:
             break
         if done < PROGRESS * wanted:
-            state = _seat(state, room)
+            state = _seat(state, room, few)
             break
     placed = gapless_rank(state.withColumn("salt", F.xxhash64("key", F.lit(-1))), ["shard"], hash_bucket(F.col("salt")), ["salt", "doc_id"], "slot")
     return placed.select(
