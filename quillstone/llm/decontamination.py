@@ -17,8 +17,11 @@ WINDOW, SUBSTITUTED = 13, 2
 BROADCAST_SEEDS = 1_000_000
 
 
-#: Distinct tokens of the benchmark up to which documents' positions are screened with them before they are hashed.
-SCREEN_TOKENS = 20_000
+#: Bits of the table of the benchmark's tokens with which documents' positions are screened before they are hashed:
+#: 512 KB, whatever the benchmark. The fuller it is, the fewer positions it rules out; it never rules out a match.
+SCREEN_BITS = 22
+#: Positions of a text that one row of alignments covers.
+BLOCK = 256
 _NONE = "array<struct<seed:bigint,pos:int>>"
 
 
@@ -55,6 +58,16 @@ def _tokens(norm: Column) -> Column:
     return F.split(norm, " ")
 
 
+def _screen(tokens: DataFrame) -> DataFrame:
+    """One row: the bits of the hashes of all tokens, in 2**(SCREEN_BITS - 6) longs."""
+    at = F.shiftrightunsigned("h", 64 - SCREEN_BITS)
+    words = tokens.select(F.explode("hashes").alias("h")).distinct()
+    words = words.groupBy(F.shiftright(at, 6).cast("int").alias("word")).agg(F.bit_or(F.expr(f"shiftleft(1L, cast(shiftrightunsigned(h, {64 - SCREEN_BITS}) & 63 as int))")).alias("bits"))
+    everywhere = tokens.sparkSession.range(1 << SCREEN_BITS - 6).select(F.col("id").cast("int").alias("word"))
+    filled = everywhere.join(words, "word", "left").select(F.struct("word", F.coalesce("bits", F.lit(0)).alias("bits")).alias("x"))
+    return filled.agg(F.sort_array(F.collect_list("x")).alias("x")).select(F.col("x.bits").alias("screen"))
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """A row (doc_id, item_id, window_matches, matched, item_tokens) for each document and item that overlap.
 
@@ -64,44 +77,52 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
     window_matches is the best window's number of equal tokens, matched that of the whole alignment.
 
     Masked hashes of test and training tokens are joined; the alignments hit are then compared token
-    by token with the whole texts, so hash collisions add nothing. Documents (doc_id, text) and
-    benchmark (item_id, text): null texts are empty, other columns are ignored, repeated rows give
-    one row, a null id stands for all rows without id.
+    by token, so hash collisions add nothing. What is compared is the part of the text that lies
+    beside the item, cut from blocks of BLOCK tokens, so that a long or repetitive text costs as many
+    rows as it has alignments, each as long as the item. Documents (doc_id, text) and benchmark
+    (item_id, text): null texts are empty, other columns are ignored, repeated rows give one row, a
+    null id stands for all rows without id.
     """
     spark = docs.sparkSession
     items = benchmark.select("item_id", words_of(F.col("text")).alias("norm")).distinct()
-    tokens = items.select("item_id", F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
+    tokens = items.select("item_id", _tokens(F.col("norm")).alias("t"), F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
     seeds = (
         tokens.select("item_id", F.inline(_seeds("hashes")))
         .select("item_id", F.col("seed").alias("item_seed"), F.col("pos").alias("item_pos"))
     )
     seeds, seeds_path = write_scratch(seeds, "seeds")
     small = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
+    longest = tokens.agg(F.max(F.size("t"))).first()[0] or 0
     rows = docs.select("doc_id", words_of(F.col("text")).alias("norm")).withColumn("key", F.xxhash64("doc_id", "norm"))
     hashed = rows.select("key", F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
-    vocabulary = [r[0] for r in tokens.select(F.explode("hashes")).distinct().limit(SCREEN_TOKENS + 1).collect()]
-    if 0 < len(vocabulary) <= SCREEN_TOKENS:
-        listed = ", ".join(f"{h}L" for h in vocabulary)
-        hashed = hashed.select("key", "hashes", F.expr(f"transform(hashes, x -> x in ({listed}))").alias("known"))
-        found = hashed.select("key", F.inline(_seeds("hashes", "known")))
-    else:
-        found = hashed.select("key", F.inline(_seeds("hashes")))
+    screen = _screen(tokens).scalar()
+    top = 64 - SCREEN_BITS
+
+    def shown(h: Column) -> Column:
+        word = F.get(F.col("screen"), F.shiftrightunsigned(h, top + 6).cast("int"))
+        return F.getbit(word, F.shiftrightunsigned(h, top).bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
+
+    found = hashed.withColumn("screen", screen).select("key", "hashes", F.transform("hashes", shown).alias("known"))
+    found = found.select("key", F.inline(_seeds("hashes", "known")))
     hits, hits_path = write_scratch(
         found.join(F.broadcast(seeds) if small else seeds, F.col("seed") == F.col("item_seed"))
         .select("key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
         .distinct(),
         "hits",
     )
-    texts = rows.join(hits.select("key").distinct(), "key", "left_semi").distinct()
-    aligned = (
-        texts.join(hits, "key")
-        .join(items.withColumnRenamed("norm", "item").withColumnRenamed("item_id", "i"), F.col("item_id").eqNullSafe(F.col("i")))
-        .select("doc_id", "item_id", "shift", _tokens(F.col("norm")).alias("d"), _tokens(F.col("item")).alias("t"))
+    # a block of a text holds what lies beside the items that start in it or, in the first one, before it
+    block = lambda at: F.floor(F.greatest(at, F.lit(0)) / BLOCK).cast("int")
+    texts = rows.join(hits.select("key").distinct(), "key", "left_semi").distinct().withColumn("d", _tokens(F.col("norm")))
+    blocks = texts.select("doc_id", "key", "d", F.explode(F.sequence(F.lit(0), block(F.size("d") - 1))).alias("block"))
+    blocks = blocks.select("doc_id", F.col("key").alias("k"), F.col("block").alias("b"), F.slice("d", F.col("block") * BLOCK + 1, BLOCK + longest).alias("d"))
+    placed = hits.withColumn("block", block(F.col("shift"))).join(
+        tokens.select(F.col("item_id").alias("i"), "t"), F.col("item_id").eqNullSafe(F.col("i"))
     )
+    aligned = placed.join(blocks, (F.col("key") == F.col("k")) & (F.col("block") == F.col("b")))
     low = F.greatest(F.lit(0), -F.col("shift"))
-    high = F.least(F.size("t"), F.size("d") - F.col("shift"))
-    # slices, so that each side is split once and not again for every token
-    ours, theirs = F.slice("d", low + F.col("shift") + 1, high - low), F.slice("t", low + 1, high - low)
+    # slices, so that each side is cut once and not again for every token
+    ours = F.slice("d", F.col("shift") + low - F.col("block") * BLOCK + 1, F.size("t") - low)
+    theirs = F.slice("t", low + 1, F.size(ours))
     equal = F.zip_with(ours, theirs, lambda a, b: (a == b).cast("int"))
     width = F.least(F.lit(WINDOW), F.size("t"))
     add = lambda a, x: a + x
@@ -110,7 +131,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
     )
     need = F.col("width") - F.when(F.col("width") == WINDOW, SUBSTITUTED).otherwise(0)
     judged = (
-        aligned.where(high > low)
+        aligned.where(F.size("t") > low)
         .select("doc_id", "item_id", F.size("t").alias("item_tokens"), equal.alias("equal"), width.alias("width"))
         .where(F.size("equal") >= F.col("width"))
         .select("doc_id", "item_id", "item_tokens", best.alias("best"), need.alias("need"), F.aggregate("equal", F.lit(0), add).alias("matched"))

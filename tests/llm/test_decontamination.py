@@ -1,6 +1,9 @@
 import random
 from itertools import combinations
 
+import numpy as np
+
+from quillstone.llm import decontamination
 from quillstone.llm.decontamination import MASKS, SPAN, SUBSTITUTED, WINDOW, contaminated
 from tests.llm.cases import CLASH, docs
 
@@ -13,16 +16,19 @@ def test_masks_find_every_window_within_the_tolerance():
 
 
 def brute(texts, items):
-    out = set()
+    """All windows of all alignments, a matrix of equal tokens for each document and item."""
+    number, out = {}, set()
+    coded = lambda t: np.array([number.setdefault(w, len(number)) for w in (t or "").lower().split()], np.int32)
+    held = [(j, coded(u)) for j, u in items]
     for i, t in texts:
-        d = (t or "").lower().split()
-        for j, u in items:
-            b = (u or "").lower().split()
+        d = coded(t)
+        for j, b in held:
             w = min(WINDOW, len(b))
-            if w < SPAN:
+            if w < SPAN or len(d) < w:
                 continue
-            need = w - (SUBSTITUTED if w == WINDOW else 0)
-            if any(sum(d[p + k] == b[q + k] for k in range(w)) >= need for p in range(len(d) - w + 1) for q in range(len(b) - w + 1)):
+            same = (d[:, None] == b[None, :]).astype(np.int8)
+            rows, columns = len(d) - w + 1, len(b) - w + 1
+            if sum(same[k : k + rows, k : k + columns] for k in range(w)).max() >= w - (SUBSTITUTED if w == WINDOW else 0):
                 out.add((i, j))
     return out
 
@@ -51,6 +57,33 @@ def test_equals_brute_force(spark):
         assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want) > 30
 
 
+def test_a_vocabulary_that_fills_the_screen_and_texts_of_many_blocks(spark, monkeypatch):
+    """More than 20,000 benchmark tokens, with a screen that passes almost all and with one that passes few."""
+    rng = random.Random(12)
+    items = [(k, " ".join(f"t{rng.randrange(10**6)}" for _ in range(rng.choice([13, 30, 400])))) for k in range(180)]
+    assert len({w for _, t in items for w in t.split()}) > 20_000
+    texts = []
+    for _ in range(5):
+        t = []
+        for _ in range(6):
+            u = items[rng.randrange(180)][1].split()
+            a = rng.randrange(len(u))
+            t += [f"w{rng.randrange(9)}" for _ in range(rng.randrange(500))] + u[a : a + rng.choice([9, 13, 200])]
+        texts.append(" ".join(t))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute(enumerate(texts), items)
+    for bits in (22, 10):
+        monkeypatch.setattr(decontamination, "SCREEN_BITS", bits)
+        got = contaminated(docs(spark, texts), bench).collect()
+        assert {(r.doc_id, r.item_id) for r in got} == want and len(got) == len(want) > 10
+
+
+def test_a_long_text_of_one_word(spark):
+    bench = spark.createDataFrame([(1, "the " * 30), (2, "the " * 12 + "end")], "item_id long, text string")
+    got = contaminated(docs(spark, ["the " * 20_000, "the " * 11]), bench).collect()
+    assert sorted((r.doc_id, r.item_id, r.window_matches, r.matched) for r in got) == [(0, 1, 13, 30), (0, 2, 12, 12)]
+
+
 def test_null_ids_repeats_and_no_rows(spark):
     item = " ".join(f"w{k}" for k in range(20))
     bench = spark.createDataFrame([(1, item), (1, item), (None, item)], "item_id long, text string")
