@@ -1,8 +1,12 @@
 import re
 
+import pytest
+
 import corpus_pipeline
 from quillstone.llm.common import table
 from tests.llm import test_decontamination, test_minhash
+from pyspark.sql import functions as F
+
 from tests.llm.cases import DOCS, docs
 
 SF = "/root/testdata/sf0.001"
@@ -50,3 +54,33 @@ def test_rows_that_share_an_id_are_judged_by_their_own_text(spark):
         frame = stage(spark, frame, SF)
     assert frame.columns == DOCS.names
     assert sorted((r.doc_id, r.text) for r in frame.collect()) == [(-1, "E"), (3, "B"), (5, "A"), (7, "C"), (9, "D")]
+
+
+def test_rows_without_ids_in_all_stages(spark):
+    frame = docs(spark, ["one two three", None, "", "plain words here"], [None, None, 2, None], DOCS)
+    for _, stage in corpus_pipeline.STAGES:
+        frame = stage(spark, frame, SF)
+    assert sorted(str((r.doc_id, r.n_tokens > 0, r.round_trip)) for r in frame.collect()) == ["(2, False, True)", "(None, True, True)", "(None, True, True)"]
+
+
+@pytest.mark.parametrize("rows", [0, 3])
+def test_empty_table_and_clashing_columns(spark, rows):
+    frame = docs(spark, ["a b", "c d", "c d"][:rows], [1, 2, 3][:rows], DOCS)
+    frame = frame.withColumns({c: F.lit(k) for k, c in enumerate(("__row_key", "__row", "__id", "h", "count"))})
+    columns = frame.columns
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        frame = stage(spark, frame, SF)
+        assert frame.columns == columns
+    assert sorted((r.doc_id, r["__row_key"]) for r in frame.collect()) == [(1, 0), (2, 0)][:rows]
+
+
+def test_repeated_rows_keep_one_by_the_hash_of_all_columns(spark):
+    frame = docs(spark, ["A", "A", "A"], [5, 5, 5], DOCS).withColumn("source", F.expr("uuid()")).cache()
+    kept = [corpus_pipeline.exact(spark, x, SF).collect() for x in (frame, frame.repartition(3), frame.orderBy("source"))]
+    assert len(kept[0]) == 1 and kept[0] == kept[1] == kept[2]
+
+
+def test_more_rejected_rows_than_are_broadcast(spark, monkeypatch):
+    frame = docs(spark, ["A", "B", "A", "A"], [5, 6, 7, 8], DOCS)
+    monkeypatch.setattr(corpus_pipeline, "BROADCAST_KEYS", 1)
+    assert sorted(r.doc_id for r in corpus_pipeline.exact(spark, frame, SF).collect()) == [5, 6]
