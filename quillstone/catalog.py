@@ -29,7 +29,7 @@ def _query(sql: str | None = None):
     def add(f):
         _queries[f.__name__] = f
         if sql:
-            _sql[f.__name__] = f"WITH {_COMMON}{sql}"
+            _sql[f.__name__] = f"WITH RECURSIVE {_COMMON}{sql}"
         return f
 
     return add
@@ -76,14 +76,41 @@ _COMMON = """
                'Article ' || cited || '(1)' AS provenance, CASE WHEN outcome = 'resolved' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS confidence
         FROM rr WHERE outcome IN ('resolved', 'unresolved')
     ), tk AS (
-        SELECT chunk_id, 0 AS field, unnest(regexp_extract_all(lower(context), '([\\p{L}\\p{N}\\p{M}]+)')) AS term FROM c
-        UNION ALL SELECT chunk_id, 1, unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}\\p{M}]+)')) FROM c
+        SELECT chunk_id, 0 AS field, unnest(regexp_extract_all(lower(context), '([\\p{L}\\p{N}\\p{Co}][\\p{L}\\p{N}\\p{Co}\\x{300}-\\x{331}]*)')) AS term FROM c
+        UNION ALL SELECT chunk_id, 1, unnest(regexp_extract_all(lower(text), '([\\p{L}\\p{N}\\p{Co}][\\p{L}\\p{N}\\p{Co}\\x{300}-\\x{331}]*)')) FROM c
     ), po AS (
         SELECT term, chunk_id, count(*) FILTER (field = 0) AS tf_context, count(*) FILTER (field = 1) AS tf_text FROM tk GROUP BY ALL
     ), ln AS (
         SELECT c.chunk_id, count(tk.term) AS length FROM c LEFT JOIN tk ON tk.chunk_id = c.chunk_id GROUP BY ALL
     )
-"""
+"""
+
+#: Windows of target 150 and cap 200: a step for each chunk, then the parts of each window.
+_WINDOWS = """, wc AS (
+        SELECT d, chunk_index AS i, chunk_index // 3 AS sec, length(text) AS chars, length('## ' || heading) AS head FROM c
+    ), ws AS (
+        SELECT *, greatest(1, CAST(ceil((head + 1 + sum(chars) OVER s + 2 * (count(*) OVER s - 1)) / 4.0) AS BIGINT)) AS section_tokens,
+               greatest(1, CAST(ceil((head + 1 + chars) / 4.0) AS BIGINT)) AS chunk_tokens, i % 3 = 0 AS starts
+        FROM wc WINDOW s AS (PARTITION BY d, sec)
+    ), st AS (
+        SELECT d, i, starts, section_tokens > 200 AS large, coalesce(lag(section_tokens) OVER (PARTITION BY d ORDER BY i) > 200, false) AS after_large,
+               CASE WHEN section_tokens > 200 THEN chunk_tokens ELSE section_tokens END AS cost, CASE WHEN section_tokens > 200 THEN 200 ELSE 150 END AS most
+        FROM ws
+    ), r AS (
+        SELECT d, i, 0::BIGINT AS w, cost AS used FROM st WHERE i = 0
+        UNION ALL
+        SELECT d, i, CASE WHEN fresh THEN w + 1 ELSE w END, CASE WHEN goes_on THEN used WHEN fresh THEN cost ELSE used + cost END
+        FROM (SELECT st.d, st.i, r.w, r.used, st.cost, NOT large AND NOT starts AS goes_on,
+                     (large OR starts) AND (starts AND after_large OR large AND starts OR r.used + st.cost > st.most) AS fresh
+              FROM r JOIN st ON st.d = r.d AND st.i = r.i + 1)
+    ), wp AS (
+        SELECT r.d, w, sec, any_value(head) + 1 + sum(chars) + 2 * (count(*) - 1) AS chars, count(*) AS n, list(r.i ORDER BY r.i) AS parts
+        FROM r JOIN wc ON wc.d = r.d AND wc.i = r.i GROUP BY r.d, w, sec
+    ), wi AS (
+        SELECT d, w, array_to_string(list_sort(flatten(list(parts))), ',') AS chunk_indices, CAST(sum(n) AS BIGINT) AS n,
+               greatest(1, CAST(ceil((sum(chars) + 2 * (count(*) - 1)) / 4.0) AS BIGINT)) AS est_tokens
+        FROM wp GROUP BY d, w
+    ) """
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -235,14 +262,33 @@ def _windowed(spark, sf_dir):
     return corpus(spark, sf_dir).withColumn("doc", F.col("d"))
 
 
-@_query()
+@_query(f"{_WINDOWS} SELECT d AS doc, w AS window_index, chunk_indices, est_tokens FROM wi")
 def context_windows(spark, sf_dir):
-    return chunking.context_windows(_windowed(spark, sf_dir), 150, 200)
+    rows = chunking.context_windows(_windowed(spark, sf_dir), 150, 200)
+    return rows.select("doc", F.col("window_index").cast("long").alias("window_index"), F.array_join("chunk_indices", ",").alias("chunk_indices"), F.col("est_tokens").cast("long").alias("est_tokens"))
 
 
-@_query()
+@_query("SELECT d AS doc, count(*) AS chunks, count(*) AS covered, 0::BIGINT AS repeated FROM c GROUP BY d")
+def windows_cover(spark, sf_dir):
+    rows = _windowed(spark, sf_dir)
+    return chunking.window_cover(rows, chunking.context_windows(rows, 150, 200))
+
+
+_COST = ("windows", "chunks", "cacheable_windows", "input_tokens", "cache_write_tokens", "cache_read_tokens", "output_tokens")
+
+
+@_query(f"""{_WINDOWS}, pr AS (
+        SELECT d, 1 AS windows, n AS chunks, CASE WHEN est_tokens + 165 >= 330 THEN 1 ELSE 0 END AS cacheable_windows,
+               CASE WHEN est_tokens + 165 >= 330 THEN 0 ELSE (est_tokens + 165) * n END AS input_tokens,
+               CASE WHEN est_tokens + 165 >= 330 THEN est_tokens + 165 ELSE 0 END AS cache_write_tokens,
+               CASE WHEN est_tokens + 165 >= 330 THEN (est_tokens + 165) * (n - 1) ELSE 0 END AS cache_read_tokens, n * 150 AS output_tokens
+        FROM wi
+        UNION ALL SELECT d, 0, 0, 0, greatest(1, CAST(ceil(length(text) / 4.0) AS BIGINT)) + 36, 0, 0, 0 FROM c
+    ), t AS (SELECT d AS doc, {", ".join(f"CAST(sum({c}) AS BIGINT) AS {c}" for c in _COST)} FROM pr GROUP BY ROLLUP (d))
+    SELECT *, round_even((input_tokens * 1.0::DOUBLE + cache_write_tokens * 2.0::DOUBLE + cache_read_tokens * 0.1::DOUBLE + output_tokens * 5.0::DOUBLE) / 1000000, 4) AS usd FROM t""")
 def cost_estimate(spark, sf_dir):
-    return contexts.estimate_cost(_windowed(spark, sf_dir), 150, 200, contexts.Pricing(min_cacheable=330))
+    rows = contexts.estimate_cost(_windowed(spark, sf_dir), 150, 200, contexts.Pricing(min_cacheable=330))
+    return rows.select("doc", *[F.col(c).cast("long").alias(c) for c in _COST], "usd")
 
 
 @_query("""SELECT chunk_id, 'article' AS kind, CAST(chunk_index + 1 AS VARCHAR) AS value, 0::BIGINT AS line, length(header) AS "end" FROM l""")
@@ -389,17 +435,33 @@ def bm25_stats(spark, sf_dir):
 @_query(""", df AS (
         SELECT term, count(*) AS df FROM po WHERE term IN ('idiot', 'worthless', 'stupid', 'thorough', 'src3') GROUP BY term
     ), g AS (SELECT count(*) AS n, avg(length) AS average FROM ln), sx AS (
-        SELECT po.chunk_id, sum(
+        SELECT po.chunk_id, term,
             CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END
-            * (tf_context + 2.0 * tf_text) * 2.2 / (tf_context + 2.0 * tf_text + 1.2 * (0.25 + 0.75 * length / average))) AS score
-        FROM po JOIN df USING (term) JOIN ln USING (chunk_id), g GROUP BY po.chunk_id
-    ) SELECT chunk_id, round(score, 6) AS score FROM sx ORDER BY round(score, 9) DESC, chunk_id LIMIT 50""")
+            * ((tf_context + 2.0::DOUBLE * tf_text) * 2.2::DOUBLE / (tf_context + 2.0::DOUBLE * tf_text + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average))) AS part
+        FROM po JOIN df USING (term) JOIN ln USING (chunk_id), g
+    ), sc1 AS (
+        SELECT chunk_id, coalesce(max(part) FILTER (term = 'idiot'), 0) + coalesce(max(part) FILTER (term = 'worthless'), 0) + coalesce(max(part) FILTER (term = 'stupid'), 0)
+            + coalesce(max(part) FILTER (term = 'thorough'), 0) + coalesce(max(part) FILTER (term = 'src3'), 0) AS score
+        FROM sx GROUP BY chunk_id
+    ) SELECT chunk_id, round(score, 6) AS score FROM sc1 ORDER BY sc1.score DESC, chunk_id LIMIT 50""")
 def bm25_topk(spark, sf_dir):
     rows = corpus(spark, sf_dir)
     found = lexical.search(lexical.postings(rows, stemmed=False), lexical.lengths(rows), BM25_QUERY, 50, stemmed=False)
     return found.select("chunk_id", F.round("score", 6).alias("score"))
 
 
+@_query(""", lc AS (
+        SELECT chunk_id, 1 + length AS length FROM ln
+    ), g AS (SELECT avg(length) AS average FROM lc), sx AS (
+        SELECT chunk_id, 1e-6::DOUBLE * (1.0::DOUBLE * 2.2::DOUBLE / (1.0::DOUBLE + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average))) AS score FROM lc, g
+    ) SELECT chunk_id, round(score, 12) AS score FROM sx ORDER BY sx.score DESC, chunk_id LIMIT 200""")
+def bm25_common_term(spark, sf_dir):
+    """A term that every chunk has: its idf is clamped, and its tiny scores still rank by length."""
+    rows = corpus(spark, sf_dir).withColumn("context", F.concat(F.lit("everywhere "), "context"))
+    found = lexical.search(lexical.postings(rows, stemmed=False), lexical.lengths(rows), "everywhere", 200, stemmed=False)
+    return found.select("chunk_id", F.round("score", 12).alias("score"))
+
+
 @_query()
 def bm25_topk_stemmed(spark, sf_dir):
     rows = corpus(spark, sf_dir)
@@ -457,6 +519,306 @@ def unique_chunks(spark, sf_dir):
     return rows.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("chunk_id").alias("chunks")).crossJoin(twice)
 
 
+@_query("""SELECT 'd' || d AS slug, version AS resolved_version FROM s WHERE d % 5 >= 2""")
+def pins_parsed(spark, sf_dir):
+    """One object a file, over several lines, or one a line; broken files and lists give nothing."""
+    d = F.col("d") % 5
+    one = F.to_json(F.struct(F.col("slug").alias("doc_id"), F.col("version").alias("resolved_version")))
+    text = F.when(d == 0, F.lit('{"doc_id": "x')).when(d == 1, F.lit("[1]")).when(d == 2, F.replace(one, F.lit(","), F.lit(",\n "))).otherwise(F.concat(one, F.lit("\n")))
+    return planning.pin_records(_sources(spark, sf_dir).select(text.alias("v")), "v").select("slug", "resolved_version")
+
+
+@_query("SELECT page_id, sha256(html) AS content_hash FROM pages")
+def content_hashes(spark, sf_dir):
+    return table(spark, sf_dir, "pages").select("page_id", planning.content_hash(F.col("html").cast("binary")).alias("content_hash"))
+
+
+def _page(*more):
+    return ("page_id", F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("slug"), *more)
+
+
+@_query("SELECT 'p' || page_id AS slug FROM pages WHERE page_id % 3 <> 0 AND page_id % 2 = 0")
+def cached_sources(spark, sf_dir):
+    name = F.concat(F.lit("p"), F.col("page_id").cast("string"), F.lit(".html"))
+    rows = table(spark, sf_dir, "pages").select(*_page(F.when(F.col("page_id") % 3 != 0, name).alias("raw_filename")))
+    return planning.cached(rows, table(spark, sf_dir, "pages").where("page_id % 2 = 0").select(name.alias("raw_filename")))
+
+
+@_query("SELECT page_id, CASE WHEN page_id % 2 = 0 THEN '/data/a b+é' || page_id ELSE 'corpus/%20' || page_id END AS path FROM pages")
+def local_paths(spark, sf_dir):
+    p = F.col("page_id").cast("string")
+    url = F.when(F.col("page_id") % 2 == 0, F.concat(F.lit("file:///data/a%20b+%C3%A9"), p)).otherwise(F.concat(F.lit("corpus/%20"), p))
+    return table(spark, sf_dir, "pages").select("page_id", planning.local_path(url).alias("path"))
+
+
+@_query("""SELECT slug, recipe, CASE WHEN nth IS NULL THEN 'error' ELSE 'ok' END AS status, CASE WHEN nth = 0 THEN CASE WHEN recipe = 'arxiv' THEN 'html' ELSE 'other' END WHEN nth = 1 THEN 'pdf' END AS format,
+        CASE WHEN nth IS NULL THEN CASE WHEN recipe = 'arxiv' THEN 'gone pdf' ELSE 'no answer' END END AS error
+    FROM (SELECT 'p' || page_id AS slug, CASE WHEN page_id % 2 = 0 THEN 'arxiv' ELSE 'generic' END AS recipe,
+                 CASE WHEN page_id % 2 = 0 THEN CASE WHEN page_id % 3 = 0 THEN 0 WHEN page_id % 5 = 0 THEN 1 END WHEN page_id % 3 = 0 THEN 0 END AS nth FROM pages)""")
+def fetched_sources(spark, sf_dir):
+    """arXiv sources fall back from HTML to PDF; a failure is a row and stops nothing."""
+    k = F.col("page_id")
+    p = (k + 10000).cast("string")
+    url = F.when(k % 2 == 0, F.concat(F.lit("https://arxiv.org/abs/2001."), p)).otherwise(F.concat(F.lit("https://x.example/"), p))
+    pages = table(spark, sf_dir, "pages")
+    manifest = pages.select(*_page(url.alias("url"), F.lit("v1").alias("version"), F.lit("other").alias("format")))
+    at = lambda kind: F.concat(F.lit(f"https://arxiv.org/{kind}/2001."), p, F.lit("v1"))
+    answer = lambda ok, url, error: F.struct(url.alias("url"), F.when(ok, "hash").alias("content_hash"), F.when(~ok, error).alias("error"))
+    papers = F.array(answer(k % 3 == 0, at("html"), "gone html"), answer(k % 5 == 0, at("pdf"), "gone pdf"))
+    answers = pages.where(k % 2 == 0).select(F.inline(papers)).unionByName(pages.where((k % 2 == 1) & (k % 3 == 0)).select(url.alias("url"), F.lit("hash").alias("content_hash"), F.lit(None).cast("string").alias("error")))
+    return planning.fetched(manifest, answers).drop("final_url")
+
+
+@_query("""SELECT s_suppkey, (s_suppkey % 4 = 0 OR s_suppkey % 4 >= 2) AND s_suppkey % 3 < 2 AS again FROM supplier""")
+def retry_rule(spark, sf_dir):
+    k = F.col("s_suppkey")
+    status = F.when(k % 4 == 1, 404).when(k % 4 == 2, 500).when(k % 4 == 3, 503)
+    return table(spark, sf_dir, "supplier").select("s_suppkey", planning.should_retry(status, k % 3, 2).alias("again"))
+
+
+@_query("""SELECT 's' || s_suppkey AS slug, 's' || s_suppkey || CASE s_suppkey % 3 WHEN 0 THEN '.html' WHEN 1 THEN '.pdf' ELSE '.bin' END AS raw,
+    'raw/s' || s_suppkey || '.meta.json' AS meta, 'ctx/s' || s_suppkey || '.json' AS contexts, 'parsed/s' || s_suppkey || '.json' AS parsed FROM supplier""")
+def raw_paths(spark, sf_dir):
+    k = F.col("s_suppkey")
+    slug, fmt = F.concat(F.lit("s"), k.cast("string")), F.when(k % 3 == 0, "html").when(k % 3 == 1, "pdf").otherwise("other")
+    return table(spark, sf_dir, "supplier").select(slug.alias("slug"), planning.raw_name(slug, fmt).alias("raw"), planning.paths(slug, "raw", "ctx", "parsed").alias("p")).select("slug", "raw", "p.*")
+
+
+@_query(r"""SELECT n_nationkey, '# ' || n_name || chr(10) || 'Source: u' || n_regionkey AS header,
+    '[{"type":"text","text":"# ' || n_name || '\nSource: u' || n_regionkey || '\n\nwindow","cache_control":{"type":"ephemeral"}},{"type":"text","text":"' || n_name || '"}]' AS messages FROM nation""")
+def prompts(spark, sf_dir):
+    header = tx.doc_header(F.col("n_name"), F.concat(F.lit("u"), F.col("n_regionkey").cast("string")))
+    return table(spark, sf_dir, "nation").select("n_nationkey", header.alias("header"), tx.prompt_messages(header, F.lit("window"), F.col("n_name")).alias("messages"))
+
+
+@_query("SELECT s_suppkey, CASE WHEN s_suppkey % 3 = 0 THEN 'table' ELSE 'text' END AS chunk_type, CASE WHEN s_suppkey % 3 = 0 THEN 'g' || s_suppkey END AS grid FROM supplier")
+def chunk_types(spark, sf_dir):
+    k = F.col("s_suppkey")
+    item = lambda label, grid: F.struct(F.lit(label).alias("label"), grid.alias("grid"))
+    none, own = F.lit(None).cast("string"), F.concat(F.lit("g"), k.cast("string"))
+    items = F.when(k % 3 == 0, F.array(item("text", none), item("table", own), item("table", F.lit("second")))).otherwise(F.array(item("text", none)))
+    return table(spark, sf_dir, "supplier").select("s_suppkey", chunking.chunk_type(items).alias("chunk_type"), chunking.first_grid(items).alias("grid"))
+
+
+_HTML = """p AS (SELECT page_id AS k, 'p' || page_id AS slug, 'https://w.example/' || page_id AS url FROM pages WHERE page_id % 4 <> 0), x AS (
+        SELECT slug, sha256(url || chr(31) || 'v1') AS doc_id, unnest([0, 1, 2]) AS chunk_index, unnest(['T' || k, 'T' || k, 'T' || k || ' > S' || k]) AS path,
+               unnest(['text', 'table', 'text']) AS chunk_type, unnest(['a & b ' || k, 'x | y' || chr(10) || '1 | ' || k, 'c']) AS text, url FROM p)"""
+
+
+def _web(spark, sf_dir):
+    """Manifest, pins and pages with headings, a table and a script; each fourth source has no pin."""
+    k = F.col("page_id").cast("string")
+    html = F.concat(
+        F.lit("<h1>T"), k, F.lit("</h1><p>a &amp; b "), k, F.lit("</p><table><tr><th>x</th><th>y</th></tr><tr><td>1</td><td>"), k, F.lit("</td></tr></table><script>no</script><h2>S"), k, F.lit("</h2><p>c</p>")
+    )
+    pages = table(spark, sf_dir, "pages")
+    manifest = pages.select(*_page(F.concat(F.lit("https://w.example/"), k).alias("url"), F.array().cast("array<string>").alias("references")))
+    return manifest, manifest.where("page_id % 4 <> 0").select("slug", F.lit("v1").alias("resolved_version")), pages.select(*_page(html.alias("html")))
+
+
+@_query(f""", {_HTML} SELECT doc_id, sha256(url || chr(31) || 'v1' || chr(31) || chunk_index) AS chunk_id, chunk_index::BIGINT AS chunk_index, path, chunk_type, text FROM x""")
+def loaded_chunks(spark, sf_dir):
+    rows = build.load_documents(*_web(spark, sf_dir))[1]
+    return rows.select("doc_id", "chunk_id", "chunk_index", F.array_join("heading_path", " > ").alias("path"), "chunk_type", "text")
+
+
+@_query(f""", {_HTML} SELECT slug, doc_id, 'T' || substr(slug, 2) AS title FROM x WHERE chunk_index = 0""")
+def loaded_documents(spark, sf_dir):
+    return build.load_documents(*_web(spark, sf_dir))[0].select("slug", "doc_id", "title")
+
+
+@_query(f""", {_HTML} SELECT doc_id, 'x,y' AS columns, '1,' || substr(slug, 2) AS first_row, 1::BIGINT AS n FROM x WHERE chunk_type = 'table'""")
+def chunk_tables(spark, sf_dir):
+    rows = chunking.with_tables(build.load_documents(*_web(spark, sf_dir))[1]).where("table is not null")
+    return rows.select("doc_id", F.array_join("table.columns", ",").alias("columns"), F.array_join(F.get("table.data", F.lit(0)), ",").alias("first_row"), F.size("table.index").cast("long").alias("n"))
+
+
+def _empty_store(spark, sf_dir):
+    none = lambda schema: spark.createDataFrame([], schema)
+    chunks = "doc_id string, chunk_id string, chunk_index long, heading_path array<string>, chunk_type string, text string, context string"
+    return build.Store(none("canonical_url string"), none("doc_id string, slug string, url string, title string"), none(chunks), none(build.EDGES))
+
+
+@_query(f""", {_HTML} SELECT x.doc_id, chunk_index::BIGINT AS chunk_index, CASE WHEN chunk_index = 2 THEN 'about it' END AS context FROM x""")
+def built_chunks(spark, sf_dir):
+    """Manifest, pins, pages and pinned contexts to chunks in one call."""
+    manifest, pins, pages = _web(spark, sf_dir)
+    rows = build.load_documents(manifest, pins, pages)[1].where("chunk_index = 2")
+    pinned = rows.select("chunk_id", F.lit("m").alias("model"), F.lit(1).alias("prompt_version"), F.lit(" about it").alias("context"), ids.text_sha256(F.col("text")).alias("text_sha256"))
+    return build.build_corpus(_empty_store(spark, sf_dir), manifest, pins, pages, pinned, "m", 1)[0].chunks.select("doc_id", "chunk_index", "context")
+
+
+@_query(f""", {_HTML} SELECT count(*) FILTER (chunk_index = 0) AS built, 0::BIGINT AS skipped, count(*) AS chunks, 0::BIGINT AS errors, 'ok' AS status, true AS full FROM x""")
+def build_counts(spark, sf_dir):
+    manifest, pins, pages = _web(spark, sf_dir)
+    none = spark.createDataFrame([], "chunk_id string, model string, prompt_version int, context string, text_sha256 string")
+    return build.build_corpus(_empty_store(spark, sf_dir), manifest, pins, pages, none, "m", 1)[1]
+
+
+@_query("""SELECT sha256(url || chr(31) || 'v1') AS doc_id, kind, value, sha256(url || chr(31) || 'v1' || chr(31) || 0) AS target FROM (
+    SELECT CASE page_id % 3 WHEN 0 THEN 'arxiv' ELSE 'doi' END AS kind, CASE page_id % 3 WHEN 0 THEN '2001.' || (10000 + page_id) ELSE '10.1000/abc.' || page_id END AS value,
+           CASE page_id % 3 WHEN 0 THEN 'https://arxiv.org/pdf/2001.' || (10000 + page_id) || 'v2.pdf' ELSE 'https://doi.org/10.1000/ABC.' || page_id END AS url
+    FROM pages WHERE page_id % 3 < 2)""")
+def document_anchors(spark, sf_dir):
+    k = F.col("page_id")
+    url = (
+        F.when(k % 3 == 0, F.concat(F.lit("https://arxiv.org/pdf/2001."), (k + 10000).cast("string"), F.lit("v2.pdf")))
+        .when(k % 3 == 1, F.concat(F.lit("https://doi.org/10.1000/ABC."), k.cast("string")))
+        .otherwise(F.col("url"))
+    )
+    manifest = table(spark, sf_dir, "pages").select(*_page(url.alias("url")))
+    pins = manifest.select("slug", F.lit("v1").alias("resolved_version"))
+    rows = manifest.select(ids.doc_id(F.col("url"), F.lit("v1")).alias("doc_id"), "url", F.explode(F.array(F.lit(2), F.lit(0), F.lit(1))).alias("chunk_index"))
+    rows = rows.withColumn("chunk_id", ids.chunk_id(F.col("url"), F.lit("v1"), F.col("chunk_index")))
+    return graph.document_anchors(manifest, pins, rows)
+
+
+@_query("""SELECT k, unnest(['recital', 'section', 'section', 'case', 'arxiv', 'doi', 'article', 'article']) AS kind,
+    unnest([CAST(k AS VARCHAR), k || '-2', '3.1', 'roe v. wade', '1706.' || (10000 + k), '10.1000/x' || k, '5', k || 'a']) AS value,
+    unnest(['Recital ' || k, '§' || k || '-2', 'Sections 3.1', 'Roe v. Wade', 'arXiv:1706.' || (10000 + k), 'doi: 10.1000/x' || k, 'Article 5', 'Article ' || k || 'a(2)']) AS raw
+    FROM (SELECT s_suppkey AS k FROM supplier)""")
+def references_of_all_kinds(spark, sf_dir):
+    """Several citations in a line, one twice, and headers, which are no citations, between them."""
+    k = F.col("s_suppkey").cast("string")
+    more = (F.col("s_suppkey") + 10000).cast("string")
+    text = F.concat(
+        F.lit("Recital "), k, F.lit(" holds, cf. §"), k, F.lit("-2 and Sections 3.1 of\nArticle 77\nin Roe v. Wade and\n Recital 9\t\narXiv:1706."), more,
+        F.lit(" (doi: 10.1000/x"), k, F.lit(" )\nArticle 5, Article "), k, F.lit("a(2), Article 5."),
+    )
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_suppkey").alias("chunk_id"), text.alias("text"))
+    return citations.references(rows, ("legal", "academic"), "k").select("k", "kind", "value", "raw")
+
+
+@_query("""SELECT k, unnest(['article', 'recital']) AS kind, unnest([k || 'b', '7']) AS value, unnest([1, 3])::BIGINT AS line, unnest([12 + length(k || ''), 24 + length(k || '')])::BIGINT AS "end"
+    FROM (SELECT s_suppkey AS k FROM supplier)""")
+def text_anchors_in_mid_text(spark, sf_dir):
+    k = F.col("s_suppkey").cast("string")
+    text = F.concat(F.lit("é\n Article "), k, F.lit("b\ny\nRecital 7\nArticle "), k, F.lit("b\nArticle 3 applies"))
+    rows = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("k"), F.col("s_suppkey").alias("chunk_id"), text.alias("text"))
+    return citations.text_anchors(rows, "k").select("k", "kind", "value", F.col("line").cast("long").alias("line"), F.col("end").cast("long").alias("end"))
+
+
+@_query("""SELECT chunk_id, length(text) AS chars, '{"article":["' || (chunk_index + 1) || '"]}' AS anchors FROM l""")
+def chunks_with_anchors(spark, sf_dir):
+    return citations.with_anchors(legal(spark, sf_dir)).select("chunk_id", F.length("text").cast("long").alias("chars"), F.to_json("citation_anchors").alias("anchors"))
+
+
+@_query("""SELECT edge_id, 'references' AS edge_type, from_chunk, to_chunk FROM re UNION ALL
+    SELECT sha256('["' || from_chunk || '","' || to_chunk || '","adjacent",null]'), 'adjacent', from_chunk, to_chunk FROM ad""")
+def graph_edges(spark, sf_dir):
+    edges, _ = graph.build_graph(legal(spark, sf_dir), _manifest(spark, sf_dir), _pins(spark, sf_dir), ("legal",), MIN_BODY)
+    return edges.select("edge_id", "edge_type", "from_chunk", "to_chunk")
+
+
+@_query("""SELECT edge_type, to_chunk FROM (SELECT 'adjacent' AS edge_type, from_chunk, to_chunk FROM ad UNION ALL SELECT 'references', from_chunk, to_chunk FROM re)
+    WHERE from_chunk = (SELECT arg_min(chunk_id, (d, chunk_index)) FROM c)""")
+def edges_of_chunk(spark, sf_dir):
+    first = corpus(spark, sf_dir).agg(F.min_by("chunk_id", F.struct("d", "chunk_index"))).first()[0]
+    edges, _ = graph.build_graph(legal(spark, sf_dir), _manifest(spark, sf_dir), _pins(spark, sf_dir), ("legal",), MIN_BODY)
+    return graph.edges_from(edges, first).select("edge_type", "to_chunk")
+
+
+@_query("SELECT 'adjacent' AS edge_type, from_chunk FROM ad JOIN c ON c.chunk_id = from_chunk WHERE d % 2 = 0 UNION ALL SELECT 'similar', from_chunk FROM ad")
+def edges_replaced(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    old = graph.adjacent_edges(rows)
+    kept = old.withColumn("edge_type", F.lit("similar"))
+    return graph.replace_edges(old.unionByName(kept), graph.adjacent_edges(rows.where("d % 2 = 0")), ["adjacent"]).select("edge_type", "from_chunk")
+
+
+@_query("SELECT CAST(sum(o_orderkey) AS BIGINT) AS o_orderkey, CAST(sum(o_custkey) AS BIGINT) AS o_custkey FROM orders")
+def usage_totals(spark, sf_dir):
+    return contexts.usage_total(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey")
+
+
+@_query("""SELECT source, count(*) FILTER (p) AS pinned, count(*) FILTER (NOT p AND d % 2 = 0) AS generated, count(*) FILTER (NOT p AND d % 2 = 1) AS missing,
+    CASE WHEN count(*) FILTER (NOT p AND d % 2 = 1) > 0 THEN 'error' END AS shortfall
+    FROM (SELECT *, chunk_index % 4 <> 0 AND chunk_index % 5 <> 0 AND chunk_index % 7 <> 0 AS p FROM c) GROUP BY source""")
+def shortfalls(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    made = lambda todo: todo.select("chunk_id", F.when(F.col("d") % 2 == 0, "made up").alias("context"))
+    stats = contexts.context_stats(contexts.with_contexts(rows, contexts.valid_pins(_pin_rows(spark, sf_dir), rows, "m", 1), made), "source")
+    return stats.withColumn("shortfall", contexts.shortfall(stats, True))
+
+
+def _store(spark, sf_dir, keep):
+    """Documents with d % 3 < 2 stored, those with d % 3 = 1 without chunks; keep picks the new ones."""
+    rows = corpus(spark, sf_dir)
+    docs = rows.select("doc_id", "d").distinct()
+    sources = _sources(spark, sf_dir).where("d % 3 < 2").select(F.col("url").alias("canonical_url"), F.lit("old").alias("version"))
+    old = build.Store(sources, docs.where("d % 3 < 2"), rows.where("d % 3 = 0").select("chunk_id", "doc_id", "d"), graph.adjacent_edges(rows.where("d % 3 = 0")))
+    return old, docs.where(keep), rows.where(keep).select("chunk_id", "doc_id", "d")
+
+
+@_query("""SELECT count(DISTINCT doc_id) FILTER (d % 3 > 0) AS built, count(DISTINCT doc_id) FILTER (d % 3 = 0) AS skipped, count(*) FILTER (d % 3 > 0) AS chunks, 1::BIGINT AS errors, 'partial' AS status, true AS full FROM c""")
+def rebuild_counts(spark, sf_dir):
+    old, docs, chunks = _store(spark, sf_dir, "d % 3 > 0")
+    errors = spark.createDataFrame([("x", "gone")], "slug string, error string")
+    return build.rebuild(old, old.sources.limit(0), docs, chunks, errors)[1]
+
+
+@_query("""SELECT 'run' AS ingest_run_id, 'ok' AS status, '{"built":' || count(DISTINCT doc_id) FILTER (d % 3 > 0) || ',"skipped":' || count(DISTINCT doc_id) FILTER (d % 3 = 0) || ',"chunks":' || count(*) FILTER (d % 3 > 0) || ',"errors":0}' AS stats FROM c""")
+def run_log(spark, sf_dir):
+    old, docs, chunks = _store(spark, sf_dir, "d % 3 > 0")
+    stats = build.rebuild(old, old.sources.limit(0), docs, chunks, spark.createDataFrame([], "slug string, error string"))[1]
+    return build.run_row(stats, "run").drop("finished_at")
+
+
+@_query("SELECT doc_id, count(*) AS chunks FROM c GROUP BY doc_id")
+def rebuilt_chunks(spark, sf_dir):
+    old, docs, chunks = _store(spark, sf_dir, "d % 3 > 0")
+    new, _ = build.rebuild(old, old.sources.limit(0), docs, chunks, spark.createDataFrame([], "slug string, error string"))
+    return new.docs.join(new.chunks, "doc_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("chunks"))
+
+
+@_query("SELECT url AS canonical_url, CASE WHEN d % 3 < 2 THEN 'old' ELSE 'new' END AS version FROM s")
+def sources_added(spark, sf_dir):
+    old, _, _ = _store(spark, sf_dir, "d % 3 > 0")
+    return build.add_sources(old.sources, _sources(spark, sf_dir).select(F.col("url").alias("canonical_url"), F.lit("new").alias("version")))
+
+
+@_query("""SELECT 'doc' AS kind, doc_id AS id FROM (SELECT DISTINCT doc_id, d FROM c) WHERE d % 5 <> 0
+    UNION ALL SELECT 'chunk', chunk_id FROM c WHERE d % 5 <> 0
+    UNION ALL SELECT 'edge', from_chunk FROM ad JOIN c ON c.chunk_id = from_chunk WHERE d % 5 <> 0""")
+def documents_deleted(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    docs = rows.select("doc_id", "d").distinct()
+    left = build.delete_docs(build.Store(docs, docs, rows, graph.adjacent_edges(rows)), docs.where("d % 5 = 0"))
+    named = lambda kind, frame, c: frame.select(F.lit(kind).alias("kind"), F.col(c).alias("id"))
+    return named("doc", left.docs, "doc_id").unionByName(named("chunk", left.chunks, "chunk_id")).unionByName(named("edge", left.edges, "from_chunk"))
+
+
+@_query("SELECT chunk_id, CASE WHEN d % 2 = 0 THEN 'new' ELSE 'old' END AS state FROM c WHERE d % 2 = 0 OR d % 3 = 0")
+def rows_upserted(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return build.upsert(rows.where("d % 3 = 0").select("chunk_id", F.lit("old").alias("state")), rows.where("d % 2 = 0").select("chunk_id", F.lit("new").alias("state")), "chunk_id")
+
+
+@_query("SELECT chunk_index, text FROM c WHERE doc_id = (SELECT max(doc_id) FROM c)")
+def chunks_of_document(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return build.chunks_of(rows, rows.agg(F.max("doc_id")).first()[0]).select("chunk_index", "text")
+
+
+@_query("SELECT d, chunk_index, text FROM c WHERE chunk_id = (SELECT max(chunk_id) FROM c)")
+def chunk_by_id(spark, sf_dir):
+    rows = corpus(spark, sf_dir)
+    return build.chunk(rows, rows.agg(F.max("chunk_id")).first()[0]).select("d", "chunk_index", "text")
+
+
+@_query("SELECT bool_and(s_suppkey > 5) AS passed FROM supplier WHERE s_suppkey % 2 = 0")
+def all_passed(spark, sf_dir):
+    k = F.col("s_suppkey")
+    return gates.all_passed(table(spark, sf_dir, "supplier").select((k > 5).alias("passed"), (k % 2 == 1).alias("pending")))
+
+
+@_query(""", b AS (
+        SELECT substr(sha256(chunk_id), 1, 4) AS bucket, count(*) AS n, sha256(string_agg(sha256(chunk_id || chr(31) || context || chr(31) || text), '' ORDER BY chunk_id)) AS digest FROM c GROUP BY 1
+    ) SELECT CAST(sum(n) AS BIGINT) AS chunk_count, sha256(string_agg(digest, '' ORDER BY bucket)) AS digest, 'porter unicode61' AS tokenize, '[1.0, 2.0]' AS weights, 1 AS schema_version FROM b""")
+def index_fingerprint(spark, sf_dir):
+    return lexical.fingerprint(corpus(spark, sf_dir))
+
+
 def queries() -> dict[str, Query]:
     return dict(_queries)
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as Unicode has it; Spark's trim() only takes spaces.
 _EDGES = r"(?U)\A\s+|\s+\z"
+# What boilerplate looks like, its shares, and the line of chunks without a heading.
 LINK_LINE = r"\A\[[^\]]+\]\(https?://[^)]+\)\z"
 MENU_START, MENU_MARK, MENU_WITHIN = "Code:", "Select Code", 200
 LEAST_LINES, LINK_SHARE = 5, 0.85

@@ -91,6 +91,25 @@ def context_windows(chunks: DataFrame, target: int = 6000, most: int = 8000, cha
     )
 
 
+def window_cover(chunks: DataFrame, windows: DataFrame) -> DataFrame:
+    """(doc, chunks, covered, repeated): windows must cover each chunk of a document once, so repeated has to be 0 and covered equal chunks."""
+    placed = windows.select("doc", F.explode("chunk_indices").alias("chunk_index")).groupBy("doc", "chunk_index").agg(F.count(F.lit(1)).alias("n"))
+    rows = chunks.select("doc", "chunk_index").join(placed, ["doc", "chunk_index"], "left")
+    return rows.groupBy("doc").agg(F.count(F.lit(1)).alias("chunks"), F.count("n").alias("covered"), F.count_if(F.col("n") > 1).alias("repeated"))
+
+
+def with_tables(chunks: DataFrame) -> DataFrame:
+    """chunks with `table`: the grid (columns: the first row's cells, index, data: the other rows) of table chunks, else null.
+
+    Cells are what structural_chunks() has put between bars.
+    """
+    rows = F.transform(F.split("text", "\n"), lambda x: F.split(x, r" \| "))
+    data = F.slice(rows, 2, F.size(rows))
+    index = F.transform(data, lambda _, i: i)
+    grid = F.struct(F.get(rows, F.lit(0)).alias("columns"), index.alias("index"), data.alias("data"))
+    return chunks.withColumn("table", F.when(F.col("chunk_type") == "table", grid))
+
+
 def window_texts(chunks: DataFrame, windows: DataFrame) -> DataFrame:
     """(doc, window_index, text): headings and chunks of each window as the model reads them."""
     rows = with_sections(chunks).join(windows.select("doc", "window_index", F.explode("chunk_indices").alias("chunk_index")), ["doc", "chunk_index"])
@@ -172,7 +191,7 @@ def html_blocks(pages: DataFrame, id_column: str, html_column: str) -> DataFrame
     return chosen.mapInArrow(run, "doc string, pos int, kind string, level int, text string")
 
 
-def structural_chunks(blocks: DataFrame, max_tokens: int = 512, chars_per_token: int = 4) -> DataFrame:
+def structural_chunks(blocks: DataFrame, max_tokens: int = 512, chars_per_token: int = 4, drop_boilerplate: bool = True) -> DataFrame:
     """Chunks (doc, chunk_index, heading_path, chunk_type, text) of html_blocks().
 
     A block's heading path has the last heading of each level above it. Blocks of one path are packed
@@ -200,4 +219,4 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = 512, chars_per_token:
         F.min("pos").alias("pos"), F.first("heading_path").alias("heading_path"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("x")
     )
     packed = packed.select("doc", "pos", "heading_path", F.col("kind").alias("chunk_type"), strip(F.array_join(F.col("x.text"), "\n")).alias("text"))
-    return dense_chunks(packed).drop("pos")
+    return dense_chunks(packed, drop_boilerplate).drop("pos")

@@ -1,14 +1,14 @@
 """Definitions of sections (anchors) and citations (references) in chunk texts.
 
-Chunks are split into lines once; every pattern stays within a line. (?U) gives digits and word
-characters the Unicode meaning.
+Every pattern stays within a line, so that a chunk's row is worked on whole and nothing is shuffled.
+(?U) gives digits and word characters the Unicode meaning. chunk_id names a row.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillstone.functions.text import strip
@@ -19,13 +19,12 @@ ANCHORS = (
     ("recital", r"(?U)\A[ \t]*Recital[ \t]+(\d+)[ \t]*\z"),
 )
 HEADING_ANCHOR = r"(?U)\A(\d+[a-z]?)\.?\z"
-_NAME = r"[A-Z][A-Za-z.&'\-]+(?:[ \t]+[A-Z][A-Za-z.&'\-]+)?"
 REFERENCES = {
     "legal": (
         ("article", r"(?U)\bArticle[ \t]+(\d+[a-z]?)(?:\(\d+\))?"),
         ("recital", r"(?U)\bRecital[ \t]+(\d+)"),
         ("section", r"(?U)(?:§[ \t]*|\bSections?[ \t]+)(\d+(?:[-.]\d+)*)"),
-        ("case", rf"(?U)\b({_NAME}[ \t]+v\.[ \t]+{_NAME})"),
+        ("case", r"(?U)\b([A-Z][A-Za-z.&'\-]+(?:[ \t]+[A-Z][A-Za-z.&'\-]+)?[ \t]+v\.[ \t]+[A-Z][A-Za-z.&'\-]+(?:[ \t]+[A-Z][A-Za-z.&'\-]+)?)"),
     ),
     "academic": (
         ("arxiv", r"(?Ui)\barXiv:(\d{4}\.\d{4,5})"),
@@ -34,9 +33,18 @@ REFERENCES = {
 }
 
 
-def _lines(chunks: DataFrame, *keep: str) -> DataFrame:
-    """(chunk_id, ..., line, content, length): lines of each chunk from 0."""
-    return chunks.select("chunk_id", *keep, F.posexplode(F.split("text", "\n", -1)).alias("line", "content"))
+#: What a text must hold for a kind's pattern to match at all.
+HINTS = {"article": ("Article",), "recital": ("Recital",), "section": ("§", "Section"), "case": ("v.",), "arxiv": (":",), "doi": ("10.",)}
+#: A whole header line within a text.
+_HEADER_LINE = r"(?Umd)^[ \t]*(?:Article[ \t]+\d+[a-z]?|Recital[ \t]+\d+)[ \t]*$"
+_ANCHOR = "array<struct<kind:string,value:string,line:int,end:int>>"
+
+
+def _hinted(text: Column, *kinds: str) -> Column:
+    found = F.lit(False)
+    for hint in (h for k in kinds for h in HINTS[k]):
+        found = found | text.contains(hint)
+    return found
 
 
 def _header(content: Column) -> Column:
@@ -47,58 +55,78 @@ def _header(content: Column) -> Column:
     return found
 
 
+def _text_anchors(text: Column) -> Column:
+    """(kind, value, line, end) of the first header line of each (kind, value); end: characters up to its end."""
+    lines = F.split(text, "\n", -1)
+    marked = F.filter(F.transform(lines, lambda c, i: F.struct(_header(c).alias("a"), i.alias("line"))), lambda x: x["a"].isNotNull())
+    first = F.filter(marked, lambda x, i: F.array_position(F.transform(marked, lambda y: y["a"]), x["a"]) == i + 1)
+    upto = lambda line: F.length(F.array_join(F.slice(lines, 1, line + 1), "\n"))
+    found = F.transform(first, lambda x: F.struct(x["a"]["kind"].alias("kind"), x["a"]["value"].alias("value"), x["line"].alias("line"), upto(x["line"]).alias("end")))
+    return F.when(_hinted(text, "article", "recital"), found.cast(_ANCHOR)).otherwise(F.array().cast(_ANCHOR))
+
+
 def text_anchors(chunks: DataFrame, *keep: str) -> DataFrame:
     """(chunk_id, ..., kind, value, line, end): the first header line of each (kind, value); end: characters up to its end."""
-    lines = _lines(chunks, *keep)
-    upto = Window.partitionBy("chunk_id").orderBy("line").rowsBetween(Window.unboundedPreceding, 0)
-    marked = lines.withColumn("end", (F.sum(F.length("content") + 1).over(upto) - 1).cast("int")).withColumn("a", _header(F.col("content")))
-    rows = marked.where("a is not null").select("chunk_id", *keep, "a.kind", "a.value", "line", "end")
-    first = Window.partitionBy("chunk_id", "kind", "value").orderBy("line")
-    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")
+    return chunks.select("chunk_id", *keep, F.inline(_text_anchors(F.col("text"))))
+
+
+def _heading_anchor(path: Column) -> Column:
+    """The number of the section that is the whole last heading, or an empty text or null."""
+    return F.regexp_extract(strip(F.get(path, F.size(path) - 1)), HEADING_ANCHOR, 1)
+
+
+def anchor_list(text: Column, heading_path: Column) -> Column:
+    """Text anchors and, with line -1 and end null, the heading's, as an array of (kind, value, line, end)."""
+    value = _heading_anchor(heading_path)
+    head = F.struct(F.lit("section").alias("kind"), value.alias("value"), F.lit(-1).alias("line"), F.lit(None).cast("int").alias("end"))
+    return F.concat(_text_anchors(text), F.when(value != "", F.array(head)).otherwise(F.array()).cast(_ANCHOR))
 
 
 def heading_anchors(chunks: DataFrame, *keep: str) -> DataFrame:
     """(chunk_id, ..., kind, value): a section whose number is the whole last heading."""
-    last = strip(F.get("heading_path", F.size("heading_path") - 1))
-    rows = chunks.select("chunk_id", *keep, F.lit("section").alias("kind"), F.regexp_extract(last, HEADING_ANCHOR, 1).alias("value"))
+    rows = chunks.select("chunk_id", *keep, F.lit("section").alias("kind"), _heading_anchor(F.col("heading_path")).alias("value"))
     return rows.where("value <> ''")
 
 
 def anchors(chunks: DataFrame) -> DataFrame:
     """(chunk_id, kind, value), each once."""
-    return text_anchors(chunks).select("chunk_id", "kind", "value").unionByName(heading_anchors(chunks)).distinct()
+    return chunks.select("chunk_id", F.inline(anchor_list(F.col("text"), F.col("heading_path")))).select("chunk_id", "kind", "value").distinct()
+
+
+def with_anchors(chunks: DataFrame) -> DataFrame:
+    """chunks with citation_anchors, a map of kinds to sorted values; chunks without anchors have an empty map."""
+    pairs = F.transform(anchor_list(F.col("text"), F.col("heading_path")), lambda x: F.struct(x["kind"].alias("kind"), x["value"].alias("value")))
+    kinds = F.array_sort(F.array_distinct(F.transform("_pairs", lambda x: x["kind"])))
+    values = lambda k: F.array_sort(F.array_distinct(F.transform(F.filter("_pairs", lambda x: x["kind"] == k), lambda x: x["value"])))
+    made = F.map_from_entries(F.transform(kinds, lambda k: F.struct(k.alias("key"), values(k).alias("value"))))
+    return chunks.drop("citation_anchors").withColumn("_pairs", pairs).withColumn("citation_anchors", made).drop("_pairs")
 
 
 def anchors_map(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, citation_anchors: kind to sorted values); chunks without anchors have an empty map."""
-    by_kind = anchors(chunks).groupBy("chunk_id", "kind").agg(F.array_sort(F.collect_set("value")).alias("values"))
-    maps = by_kind.groupBy("chunk_id").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("kind", "values")))).alias("citation_anchors"))
-    empty = F.create_map().cast("map<string,array<string>>")
-    return chunks.select("chunk_id").join(maps, "chunk_id", "left").select("chunk_id", F.coalesce("citation_anchors", empty).alias("citation_anchors"))
+    """(chunk_id, citation_anchors) of with_anchors()."""
+    return with_anchors(chunks).select("chunk_id", "citation_anchors")
 
 
 def references(chunks: DataFrame, extractors: Sequence[str] = ("legal", "academic"), *keep: str) -> DataFrame:
-    """(chunk_id, ..., kind, value, raw, line): citations outside header lines, the first of each (kind, value).
+    """(chunk_id, ..., kind, value, raw): citations outside header lines, the first of each (kind, value).
 
-    Unknown extractor names are ignored. A case's value is in lower case.
+    Unknown extractor names are ignored. A case's value is in lower case. A pattern runs once, over
+    texts that hold its hint; its group is taken from what it has matched.
     """
-    lines = _lines(chunks, *keep).where(_header(F.col("content")).isNull())
     kinds = [x for name in REFERENCES if name in extractors for x in REFERENCES[name]]
-    parts = [F.array().cast("array<struct<kind:string,value:string,raw:string,n:int>>")]
-    for kind, pattern in kinds:
-        values = F.regexp_extract_all("content", F.lit(pattern), F.lit(1))
-        raws = F.regexp_extract_all("content", F.lit(pattern), F.lit(0))
-        shown = (lambda v: F.lower(v)) if kind == "case" else (lambda v: v)
-        pairs = F.zip_with(values, raws, _paired(kind, shown))
-        parts.append(F.transform(pairs, lambda x, i: x.withField("n", i)))
-    found = lines.select("chunk_id", *keep, "line", F.inline(F.concat(*parts)))
-    first = Window.partitionBy("chunk_id", "kind", "value").orderBy("line", "n")
-    return found.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n", "n")
+    body = chunks.select(
+        "chunk_id", *keep, F.when(_hinted(F.col("text"), "article", "recital"), F.regexp_replace("text", _HEADER_LINE, "")).otherwise(F.col("text")).alias("_body")
+    )
+    none = F.array().cast("array<struct<kind:string,value:string,raw:string>>")
+    return body.select("chunk_id", *keep, F.inline(F.concat(none, *[_cited(F.col("_body"), kind, pattern) for kind, pattern in kinds])))
 
 
-def _reference(kind: str, value: Column, raw: Column) -> Column:
-    return F.struct(F.lit(kind).alias("kind"), value.alias("value"), raw.alias("raw"), F.lit(0).alias("n"))
+def _cited(body: Column, kind: str, pattern: str) -> Column:
+    raws = F.when(_hinted(body, kind), F.regexp_extract_all(body, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
+    def one(raw: Column) -> Column:
+        value = F.regexp_extract(raw, pattern, 1)
+        return F.struct(F.lit(kind).alias("kind"), (F.lower(value) if kind == "case" else value).alias("value"), raw.alias("raw"))
 
-def _paired(kind: str, shown):
-    return lambda v, r: _reference(kind, shown(v), r)
+    found = F.transform(raws, one)
+    return F.filter(found, lambda x, i: F.array_position(F.transform(found, lambda y: y["value"]), x["value"]) == i + 1)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from quillstone.functions.ids import text_sha256
 from quillstone.functions.text import est_tokens, is_suspicious, strip
 from quillstone.operators.chunking import context_windows
+from quillstone.sources.planning import read_json, write_json
 
 
 @dataclass(frozen=True)
@@ -36,21 +37,13 @@ PIN_FILE = "doc_id string, model string, prompt_version int, generated_at string
 
 
 def read_pin_files(spark: SparkSession, glob: str) -> DataFrame:
-    """Pin files as rows; a broken file, or one that is no object, gives none."""
-    rows = spark.read.schema(f"{PIN_FILE}, _corrupt_record string").option("multiLine", True).json(glob)
-    return rows.where("_corrupt_record is null and doc_id is not null").drop("_corrupt_record")
+    """Pin files of one object, or of one a line, as rows; a broken one, or one that is no object, gives none."""
+    return read_json(spark, glob, PIN_FILE).where("doc_id is not null")
 
 
 def save_pin_files(files: DataFrame, path: str) -> None:
-    """Writes beside the target and renames, so that readers see the old files or the new ones."""
-    spark = files.sparkSession
-    jvm = spark.sparkContext._jvm
-    new, target = (jvm.org.apache.hadoop.fs.Path(x) for x in (f"{path}.new", path))
-    files.write.mode("overwrite").json(f"{path}.new")
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    fs.delete(target, True)
-    if not fs.rename(new, target):
-        raise OSError(f"{path}.new can't be renamed")
+    """Replaces a folder of pins, which the rows may be read from; a crash leaves the old ones or the new ones (see write_json)."""
+    write_json(files, path)
 
 
 def pin_rows(files: DataFrame) -> DataFrame:

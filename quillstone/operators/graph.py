@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstone.functions.ids import doc_id, edge_id
-from quillstone.operators.citations import heading_anchors, references, text_anchors
+from quillstone.operators.citations import anchor_list, references
 from quillstone.sources.planning import arxiv_id, host_matches
 
 #: Kinds that name one document wherever it is cited.
@@ -26,18 +26,15 @@ def anchor_index(chunks: DataFrame, min_body_chars: int = 0) -> DataFrame:
 
     The first definer by chunk_index wins. If a header in the text has less than min_body_chars
     after it, the document's next chunk is the target, where there is one; a heading path's own
-    section is where it is. One exchange by doc_id serves the look-ahead and the choice.
+    section is where it is. One exchange, of ids and the few anchors, serves the look-ahead and the choice.
     """
     order = Window.partitionBy("doc_id").orderBy("chunk_index")
-    rows = chunks.select("doc_id", "chunk_index", "chunk_id", "text", "heading_path", F.length("text").alias("chars"), F.lead("chunk_id").over(order).alias("next"))
-    keep = ("doc_id", "chunk_index", "chars", "next")
-    texts = text_anchors(rows, *keep).withColumn("body", F.col("chars") - F.col("end")).drop("end")
-    heads = heading_anchors(rows, *keep).withColumn("line", F.lit(-1)).withColumn("body", F.lit(None).cast("int"))
-    both = texts.unionByName(heads)
-    thin = F.col("body").isNotNull() & (F.col("body") < min_body_chars) & F.col("next").isNotNull()
-    first = Window.partitionBy("doc_id", "kind", "value").orderBy("chunk_index", "line")
-    chosen = both.withColumn("_n", F.row_number().over(first)).where("_n = 1")
-    return chosen.select("doc_id", "kind", "value", F.when(thin, F.col("next")).otherwise(F.col("chunk_id")).alias("target"))
+    found = F.transform(anchor_list(F.col("text"), F.col("heading_path")), lambda x: x.withField("body", F.length("text") - x["end"]).dropFields("end"))
+    listed = chunks.select("doc_id", "chunk_index", "chunk_id", found.alias("found"))
+    rows = listed.withColumn("next", F.lead("chunk_id").over(order)).select("doc_id", "chunk_index", "chunk_id", "next", F.explode("found").alias("a"))
+    thin = F.col("a.body").isNotNull() & (F.col("a.body") < min_body_chars) & F.col("next").isNotNull()
+    target = F.when(thin, F.col("next")).otherwise(F.col("chunk_id"))
+    return rows.groupBy("doc_id", "a.kind", "a.value").agg(F.min_by(target, F.struct("chunk_index", "a.line")).alias("target"))
 
 
 def document_anchors(manifest: DataFrame, pins: DataFrame, chunks: DataFrame) -> DataFrame:
@@ -113,9 +110,9 @@ def adjacent_edges(chunks: DataFrame) -> DataFrame:
 def identified(edges: DataFrame) -> DataFrame:
     """Edges with edge_id, one for each id (the external name decides between rows with one id)."""
     ids = edge_id(F.col("from_chunk"), F.col("to_chunk"), F.col("edge_type"), F.col("provenance"))
-    rows = edges.select(ids.alias("edge_id"), "*")
-    last = Window.partitionBy("edge_id").orderBy(F.desc_nulls_last("to_external_ref"))
-    return rows.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
+    rest = [c for c in edges.columns if c != "edge_id"]
+    last = F.max_by(F.struct(*rest), F.coalesce("to_external_ref", F.lit("")))
+    return edges.select(ids.alias("edge_id"), *rest).groupBy("edge_id").agg(last.alias("e")).select("edge_id", "e.*")
 
 
 def build_graph(chunks: DataFrame, manifest: DataFrame, pins: DataFrame, extractors=("legal", "academic"), min_body_chars: int = 0, record_unresolved: bool = True) -> tuple[DataFrame, DataFrame]:

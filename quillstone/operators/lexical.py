@@ -26,9 +26,14 @@ class NotBuiltError(RuntimeError):
     """There is no complete index at that place."""
 
 
+# Fixed value: what a token is made of, by the rule of the unicode61 tokenizer: letters, digits and
+# characters of private use, with accents after the first; other marks and the underscore divide.
+TOKEN = r"([\p{L}\p{N}\p{Co}][\p{L}\p{N}\p{Co}\x{300}-\x{331}]*)"
+
+
 def tokens(text: Column) -> Column:
-    """Lower-case runs of letters and digits; an underscore divides."""
-    return F.regexp_extract_all(F.lower(text), F.lit(r"([\p{L}\p{N}\p{M}]+)"), F.lit(1))
+    """The lower-case tokens of a text, see TOKEN."""
+    return F.regexp_extract_all(F.lower(text), F.lit(TOKEN), F.lit(1))
 
 
 @lru_cache(maxsize=100_000)
@@ -136,8 +141,8 @@ def postings(chunks: DataFrame, stemmed: bool = True) -> DataFrame:
     counts = _occurrences(chunks).groupBy("word", "chunk_id").agg(n(0).alias("tf_context"), n(1).alias("tf_text"))
     if not stemmed:
         return counts.withColumnRenamed("word", "term")
-    vocabulary = counts.select("word").distinct().withColumn("term", _stems("word"))
-    return counts.join(vocabulary, "word").groupBy("term", "chunk_id").agg(F.sum("tf_context").alias("tf_context"), F.sum("tf_text").alias("tf_text"))
+    stemmed_words = counts.select("word").distinct().withColumn("term", _stems("word"))
+    return counts.join(stemmed_words, "word").groupBy("term", "chunk_id").agg(F.sum("tf_context").alias("tf_context"), F.sum("tf_text").alias("tf_text"))
 
 
 def lengths(chunks: DataFrame) -> DataFrame:
@@ -154,22 +159,29 @@ def scores(posted: DataFrame, sizes: DataFrame, terms: list[str], weights: tuple
     """(chunk_id, score) of the chunks with any of the terms; a term given twice counts twice.
 
     The few query terms select postings at the scan; their document counts and the corpus size are
-    one row each and are broadcast.
+    one row each and are broadcast. A chunk's parts are summed in the order of the query's terms, so
+    that equal chunks have equal scores to the last bit.
     """
     spark = posted.sparkSession
-    asked = spark.createDataFrame([(t, terms.count(t)) for t in sorted(set(terms))], "term string, times int")
-    hits = posted.where(F.col("term").isin(sorted(set(terms)))).join(F.broadcast(asked), "term")
+    asked = spark.createDataFrame(list(enumerate(terms)), "nth int, term string")
+    wanted = sorted(set(terms))
+    hits = posted.where(F.col("term").isin(wanted))
     known = hits.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     f = F.col("tf_context") * weights[0] + F.col("tf_text") * weights[1]
     raw = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
     idf = F.when(raw <= 0, LEAST_IDF).otherwise(raw)
     share = f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / F.col("average")))
-    rows = hits.join(F.broadcast(known), "term").join(sizes, "chunk_id").crossJoin(F.broadcast(index_stats(sizes)))
-    return rows.groupBy("chunk_id").agg(F.sum(F.col("times") * idf * share).alias("score"))
+    idfs = asked.join(known, "term").crossJoin(index_stats(sizes)).select("term", "nth", idf.alias("idf"), "average")
+    rows = hits.join(F.broadcast(idfs), "term").join(sizes, "chunk_id").select("chunk_id", F.struct("nth", (F.col("idf") * share).alias("part")).alias("x"))
+    parts = rows.groupBy("chunk_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
+    return parts.select("chunk_id", F.aggregate("xs", F.lit(0.0), lambda acc, x: acc + x["part"]).alias("score"))
 
 
 def query_terms(text: str, stemmed: bool = True) -> list[str]:
-    found = re.findall(r"[^\W_]+", text.lower())
+    """The tokens of a query by the rule of tokens()."""
+    of = lambda c: unicodedata.category(c)
+    kept = "".join(c if of(c)[0] in "LN" or of(c) == "Co" or "\u0300" <= c <= "\u0331" else " " for c in text.lower())
+    found = [t for t in (x.lstrip("".join(map(chr, range(0x300, 0x332)))) for x in kept.split()) if t]
     return [stem(t) for t in found] if stemmed else found
 
 
@@ -178,7 +190,7 @@ def search(posted: DataFrame, sizes: DataFrame, text: str, top_k: int = 50, stem
     if top_k < 0:
         raise ValueError("top_k is negative")
     found = scores(posted, sizes, query_terms(text, stemmed), weights)
-    return found.orderBy(F.desc(F.round("score", 9)), "chunk_id").limit(top_k)
+    return found.orderBy(F.desc("score"), "chunk_id").limit(top_k)
 
 
 def corpus_digest(chunks: DataFrame) -> DataFrame:
@@ -194,9 +206,12 @@ def corpus_digest(chunks: DataFrame) -> DataFrame:
     return rows.agg(F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.transform(listed, lambda x: x["h"]), ""), 256).alias("digest"))
 
 
-def bucket_digests(chunks: DataFrame, bits: int = 12) -> DataFrame:
-    """(bucket, n, digest): corpus_digest() of the chunks whose id's hash falls into each of 2**bits buckets."""
-    bucket = F.shiftrightunsigned(F.xxhash64("chunk_id"), 64 - bits)
+def bucket_digests(chunks: DataFrame, digits: int = 4) -> DataFrame:
+    """(bucket, n, digest): corpus_digest() of the chunks by the first hexadecimal digits of their id's SHA-256.
+
+    The digits grow with the corpus: a bucket's list is one value, of some 64 characters a chunk.
+    """
+    bucket = F.substring(F.sha2("chunk_id", 256), 1, digits)
     row = F.sha2(F.concat_ws(SEPARATOR, "chunk_id", F.coalesce("context", F.lit("")), "text"), 256)
     rows = chunks.select(bucket.alias("bucket"), F.struct("chunk_id", row.alias("h")).alias("x"))
     return rows.groupBy("bucket").agg(
@@ -204,6 +219,15 @@ def bucket_digests(chunks: DataFrame, bits: int = 12) -> DataFrame:
     )
 
 
+def fingerprint(chunks: DataFrame, tokenize: str = TOKENIZE, weights: tuple[float, float] = WEIGHTS) -> DataFrame:
+    """One row: chunk_count, digest of the buckets' digests in order, tokenize, weights, schema_version."""
+    listed = F.array_sort(F.collect_list(F.struct("bucket", "digest")))
+    whole = bucket_digests(chunks).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("chunk_count"), F.sha2(F.array_join(F.transform(listed, lambda x: x["digest"]), ""), 256).alias("digest")
+    )
+    return whole.select("*", F.lit(tokenize).alias("tokenize"), F.lit(json.dumps(list(weights))).alias("weights"), F.lit(SCHEMA_VERSION).alias("schema_version"))
+
+
 class Index:
     """An index in a folder. Its fingerprint is removed before anything is written and written last."""
 
@@ -229,17 +253,12 @@ class Index:
         fs.delete(at, True)
 
     def fingerprint(self, chunks: DataFrame) -> DataFrame:
-        digests = bucket_digests(chunks)
-        listed = F.array_sort(F.collect_list(F.struct("bucket", "digest")))
-        whole = digests.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("chunk_count"), F.sha2(F.array_join(F.transform(listed, lambda x: x["digest"]), ""), 256).alias("digest"))
-        return whole.select(
-            "*", F.lit(self.tokenize).alias("tokenize"), F.lit(json.dumps(list(self.weights))).alias("weights"), F.lit(SCHEMA_VERSION).alias("schema_version")
-        )
+        return fingerprint(chunks, self.tokenize, self.weights)
 
     def build(self, chunks: DataFrame) -> None:
         self.invalidate()
         posted = postings(chunks, self.stemmed)
-        posted.repartitionByRange("term").sortWithinPartitions("term").write.mode("overwrite").parquet(f"{self.path}/postings")
+        posted.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id").write.mode("overwrite").parquet(f"{self.path}/postings")
         lengths(chunks).write.mode("overwrite").parquet(f"{self.path}/lengths")
         made = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("built_at")
         self.fingerprint(chunks).select("*", made).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/meta")

@@ -2,13 +2,29 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillstone.functions import ids
+from quillstone.operators.chunking import html_blocks, structural_chunks
+from quillstone.operators.contexts import valid_pins, with_contexts
+from quillstone.operators.graph import build_graph, documents_of, replace_edges
+from quillstone.operators.lexical import Index
+
+#: Columns that the stored tables must have.
+SCHEMAS = {
+    "sources": "canonical_url string",
+    "docs": "doc_id string",
+    "chunks": "chunk_id string, doc_id string",
+    "edges": "edge_id string, from_chunk string, to_chunk string, edge_type string",
+}
+#: How stored edges are read; a column that a version lacks is null.
 EDGES = "edge_id string, from_chunk string, to_chunk string, to_external_ref string, provenance string, confidence double, edge_type string"
 TABLES = ("sources", "docs", "chunks", "edges", "ingest_runs")
+_MARK = "current-"
 
 
 @dataclass(frozen=True)
@@ -76,22 +92,62 @@ def run_row(stats: DataFrame, run_id: str) -> DataFrame:
     return stats.select(F.lit(run_id).alias("ingest_run_id"), at.alias("finished_at"), "status", F.to_json(F.struct("built", "skipped", "chunks", "errors")).alias("stats"))
 
 
+def upsert(old: DataFrame, new: DataFrame, *key: str) -> DataFrame:
+    """old with the rows of new, which replace those of their key; of new rows with one key, the one with the largest hash."""
+    once = new.groupBy(*key).agg(F.max_by(F.struct(*new.columns), F.xxhash64(*new.columns)).alias("r")).select("r.*")
+    return old.join(new.select(*key).distinct(), list(key), "left_anti").select(old.columns).unionByName(once)
+
+
+def _marks(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """(number, version) of the versions that are complete."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    names = [x.getPath().getName() for x in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted((int(n.split("-")[1]), n.split("-")[2]) for n in names if n.startswith(_MARK))
+
+
 def save(store: Store, path: str) -> None:
-    """Each table anew beside the old ones; edges by type, so that reading one type reads its files only."""
+    """A new version of all tables beside the old one, which the frames may be read from.
+
+    A mark, made last and at once, makes the version the current one; the version before stays for those
+    that still read it, older ones go. Edges lie by type, so that reading one type reads its files only.
+    """
+    spark = store.docs.sparkSession
+    for name, schema in SCHEMAS.items():
+        lacks = [c.split()[0] for c in schema.split(", ") if c.split()[0] not in getattr(store, name).columns]
+        if lacks:
+            raise ValueError(f"{name} lacks {', '.join(lacks)}")
+    marks, version = _marks(spark, path), uuid.uuid4().hex
     for name in ("sources", "docs", "chunks"):
-        getattr(store, name).write.mode("overwrite").parquet(f"{path}/{name}")
-    store.edges.write.mode("overwrite").partitionBy("edge_type").parquet(f"{path}/edges")
+        getattr(store, name).write.parquet(f"{path}/{version}/{name}")
+    store.edges.write.partitionBy("edge_type").parquet(f"{path}/{version}/edges")
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    number = marks[-1][0] + 1 if marks else 0
+    fs.create(at(f"{path}/{_MARK}{number:08d}-{version}")).close()
+    for n, old in marks[:-1]:
+        fs.delete(at(f"{path}/{_MARK}{n:08d}-{old}"), False)
+        fs.delete(at(f"{path}/{old}"), True)
+
+
+def current(spark: SparkSession, path: str) -> str:
+    """The folder of the current version."""
+    marks = _marks(spark, path)
+    if not marks:
+        raise FileNotFoundError(f"no store at {path}")
+    return f"{path}/{marks[-1][1]}"
 
 
 def load(spark: SparkSession, path: str) -> Store:
-    read = [spark.read.parquet(f"{path}/{name}") for name in ("sources", "docs", "chunks")]
-    return Store(*read, spark.read.schema(EDGES).parquet(f"{path}/edges"))
+    at = current(spark, path)
+    read = [spark.read.parquet(f"{at}/{name}") for name in ("sources", "docs", "chunks")]
+    return Store(*read, spark.read.schema(EDGES).parquet(f"{at}/edges"))
 
 
 def count_rows(spark: SparkSession, path: str, table: str) -> int:
     if table not in TABLES:
         raise ValueError(f"no such table: {table}")
-    return spark.read.parquet(f"{path}/{table}").count()
+    return spark.read.parquet(f"{current(spark, path)}/{table}").count()
 
 
 def chunk(chunks: DataFrame, chunk_id: str) -> DataFrame:
@@ -100,3 +156,43 @@ def chunk(chunks: DataFrame, chunk_id: str) -> DataFrame:
 
 def chunks_of(chunks: DataFrame, doc_id: str) -> DataFrame:
     return chunks.where(F.col("doc_id") == doc_id).orderBy("chunk_index")
+
+
+def load_documents(manifest: DataFrame, pins: DataFrame, pages: DataFrame, drop_boilerplate: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Documents (doc_id, slug, url, title) and chunks (doc_id, chunk_id, chunk_index, heading_path, chunk_type, text) of pinned sources.
+
+    pages: slug, html. The pin's version gives the ids; a source without a pin or page gives nothing. The
+    title is the first heading of level 1, or the slug.
+    """
+    pinned = pins.where(F.col("resolved_version").isNotNull()).select("slug", "resolved_version")
+    named = manifest.select("slug", "url").join(pinned, "slug").join(pages.select("slug").distinct(), "slug", "left_semi")
+    blocks = html_blocks(pages.join(named.select("slug"), "slug", "left_semi"), "slug", "html")
+    titles = blocks.where("kind = 'heading' and level = 1").groupBy("doc").agg(F.min_by("text", "pos").alias("title"))
+    url, version = F.col("url"), F.col("resolved_version")
+    known = named.join(titles.withColumnRenamed("doc", "slug"), "slug", "left")
+    docs = known.select(ids.doc_id(url, version).alias("doc_id"), "slug", "url", F.coalesce("title", "slug").alias("title"))
+    chunks = structural_chunks(blocks, drop_boilerplate=drop_boilerplate).withColumnRenamed("doc", "slug").join(named, "slug")
+    return docs, chunks.select(
+        ids.doc_id(url, version).alias("doc_id"), ids.chunk_id(url, version, F.col("chunk_index")).alias("chunk_id"),
+        F.col("chunk_index").cast("long").alias("chunk_index"), "heading_path", "chunk_type", "text",
+    )
+
+
+def build_corpus(store: Store, manifest: DataFrame, pins: DataFrame, pages: DataFrame, context_pins: DataFrame, model: str, prompt_version: int, index: Index | None = None) -> tuple[Store, DataFrame]:
+    """From manifest to chunks with contexts, edges and a row of counts; what is present already isn't parsed again.
+
+    Contexts come from valid pins. The graph is built anew over all chunks. index, if given, is
+    invalidated before anything else: it is to be built again from the new chunks.
+    """
+    if index is not None:
+        index.invalidate()
+    known = documents_of(manifest, pins)
+    wanted = to_build(known, store.docs, store.chunks).select("slug")
+    docs, chunks = load_documents(manifest, pins, pages.join(wanted, "slug", "left_semi"))
+    chunks = with_contexts(chunks, valid_pins(context_pins, chunks, model, prompt_version)).drop("origin")
+    lost = known.join(pages.select("slug").distinct(), "slug", "left_anti").join(present_docs(store.docs, store.chunks).select("doc_id"), "doc_id", "left_anti")
+    errors = lost.select("slug", F.lit("no page").alias("error"))
+    sources = manifest.select(F.col("url").alias("canonical_url"))
+    built, stats = rebuild(store, sources, docs, chunks, errors)
+    edges, _ = build_graph(built.chunks, manifest, pins)
+    return Store(built.sources, built.docs, built.chunks, replace_edges(built.edges, edges.select(built.edges.columns), ["references", "adjacent"])), stats

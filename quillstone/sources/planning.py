@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+# Formats, file endings and the field names of manifests and pins.
 FORMATS = ("html", "pdf", "other")
 EXTENSIONS = {"html": ".html", "pdf": ".pdf"}
 REQUIRED = ("doc_id", "url", "format", "license", "license_ok", "version")
@@ -163,20 +164,113 @@ def paths(slug: Column, raw_dir: str, contexts_dir: str, parsed_dir: str) -> Col
     return F.struct(at(raw_dir, ".meta.json").alias("meta"), at(contexts_dir, ".json").alias("contexts"), at(parsed_dir, ".json").alias("parsed"))
 
 
+def json_records(texts: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
+    """The JSON objects of texts that hold one object, over any lines, or one object a line.
+
+    What is broken, or is no object, gives no row.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    value = F.col(column)
+    lines = F.filter(F.transform(F.split(value, "\n"), lambda x: F.trim(F.replace(x, F.lit("\r"), F.lit("")))), lambda x: x != "")
+    by_line = F.forall(lines, lambda x: x.startswith("{") & x.endswith("}"))
+    pieces = texts.select(F.explode(F.when(by_line, lines).otherwise(F.array(F.regexp_replace(value, r"\A\s+", "")))).alias("v")).where(F.col("v").startswith("{"))
+    checked = T.StructType([*schema.fields, T.StructField("_corrupt_record", T.StringType())])
+    return pieces.select(F.from_json("v", checked).alias("r")).where("r is not null and r._corrupt_record is null").select("r.*").drop("_corrupt_record")
+
+
+def read_json(spark: SparkSession, glob: str, schema: T.StructType | str) -> DataFrame:
+    """json_records() of whole files."""
+    return json_records(spark.read.text(glob, wholetext=True), "value", schema)
+
+
+def _fs(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def restore_json(spark: SparkSession, path: str) -> None:
+    """Brings back what a write_json() that was cut off between its two renames had put aside."""
+    fs, at = _fs(spark, path), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    if not fs.exists(at(path)) and fs.exists(at(f"{path}.old")):
+        fs.rename(at(f"{path}.old"), at(path))
+
+
+def write_json(rows: DataFrame, path: str) -> None:
+    """A folder of JSON lines in place of the one that is there, which may be what the rows are read from.
+
+    The new files are whole before the old ones are put aside, and these go last: at any time one of
+    the two folders is complete, and restore_json() finds it.
+    """
+    spark = rows.sparkSession
+    fs, at = _fs(spark, path), spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    restore_json(spark, path)
+    rows.write.mode("overwrite").json(f"{path}.new")
+    fs.delete(at(f"{path}.old"), True)
+    if fs.exists(at(path)) and not fs.rename(at(path), at(f"{path}.old")):
+        raise OSError(f"{path} can't be put aside")
+    if not fs.rename(at(f"{path}.new"), at(path)):
+        raise OSError(f"{path}.new can't be renamed")
+    fs.delete(at(f"{path}.old"), True)
+
+
+def pin_records(texts: DataFrame, column: str) -> DataFrame:
+    """Pins (see PIN, doc_id as slug) of JSON texts."""
+    return json_records(texts, column, PIN).where("doc_id is not null").withColumnRenamed("doc_id", "slug")
+
+
 def read_pins(spark: SparkSession, glob: str) -> DataFrame:
-    """One row for each readable pin file; a broken file gives no row."""
-    rows = spark.read.schema(T.StructType([*PIN.fields, T.StructField("_corrupt_record", T.StringType())])).option("multiLine", True).json(glob)
-    return rows.where("_corrupt_record is null").drop("_corrupt_record").withColumnRenamed("doc_id", "slug")
+    """One row for each pin in files that hold one object or one a line; a broken one gives no row."""
+    return pin_records(spark.read.text(glob, wholetext=True), "value")
 
 
 def write_pins(pins: DataFrame, path: str) -> None:
-    pins.write.mode("overwrite").json(path)
+    """Pins (slug, ...) as JSON lines that read_pins() reads."""
+    write_json(pins.withColumnRenamed("slug", "doc_id"), path)
+
+
+def local_path(url: Column) -> Column:
+    """Where a local source lies: the path of a file:// address with its %XX decoded, or the address itself."""
+    plus = F.replace(F.regexp_replace(url, r"(?i)^file://(?:localhost)?", ""), F.lit("+"), F.lit("%2B"))
+    return F.when(F.lower(F.substring(url, 1, 7)) == "file://", F.url_decode(plus)).otherwise(url)
+
+
+def content_hash(content: Column) -> Column:
+    return F.sha2(content, 256)
+
+
+def fetched(manifest: DataFrame, answers: DataFrame) -> DataFrame:
+    """(slug, recipe, status, format, final_url, error) given what a connector has got.
+
+    answers: url, content_hash, error. An arXiv source is taken as HTML or, if that failed, as PDF, and
+    other sources from their address in their own format. A source without an answer, or with errors only,
+    has status `error` and the last error; no source stops the others.
+    """
+    kind = recipe(F.col("url"))
+    html, pdf = arxiv_urls(F.col("url"), F.col("version"))
+    tries = F.when(kind == "arxiv", F.array(html, pdf)).otherwise(F.array(F.when(kind == "local", local_path(F.col("url"))).otherwise(F.col("url"))))
+    rows = manifest.select("slug", F.col("format").alias("own"), kind.alias("recipe"), F.posexplode(tries).alias("nth", "try"))
+    got = answers.select(F.col("url").alias("try"), "content_hash", "error")
+    ok = F.col("content_hash").isNotNull()
+    form = F.when(F.col("recipe") != "arxiv", F.col("own")).when(F.col("nth") == 0, "html").otherwise("pdf")
+    rows = rows.join(got, "try", "left").withColumn("x", F.struct("nth", form.alias("format"), "try"))
+    found = rows.groupBy("slug", "recipe").agg(F.min(F.when(ok, F.col("x"))).alias("x"), F.max_by("error", "nth").alias("error"))
+    failed = F.col("x").isNull()
+    return found.select(
+        "slug", "recipe", F.when(failed, "error").otherwise("ok").alias("status"), "x.format", F.col("x.try").alias("final_url"),
+        F.when(failed, F.coalesce("error", F.lit("no answer"))).alias("error"),
+    )
+
+
+def should_retry(status: Column, attempt: Column, retries: int) -> Column:
+    """Whether a request is made again: after no answer (null status) or one of 500 and above, up to `retries` times; 4xx fail at once."""
+    return (status.isNull() | (status >= 500)) & (attempt < retries)
 
 
 def read_raw(spark: SparkSession, glob: str) -> DataFrame:
     """(raw_filename, content, content_hash) of raw files."""
     files = spark.read.format("binaryFile").load(glob)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("raw_filename"), "content", F.sha2("content", 256).alias("content_hash"))
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("raw_filename"), "content", content_hash(F.col("content")).alias("content_hash"))
 
 
 def cached(pins: DataFrame, files: DataFrame) -> DataFrame:

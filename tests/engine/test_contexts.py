@@ -2,6 +2,7 @@ import hashlib
 import json
 
 from quillstone.operators import contexts
+from quillstone.sources import planning
 
 
 def test_pin_files_are_read_merged_and_replaced(spark, tmp_path):
@@ -30,3 +31,29 @@ def test_pin_files_are_read_merged_and_replaced(spark, tmp_path):
         assert contexts.read_pin_files(spark, str(tmp_path / "saved")).count() == 1
     usage = spark.createDataFrame([(1, 2), (3, None)], "input long, output long")
     assert tuple(contexts.usage_total(usage, "input", "output").first()) == (4, 2)
+
+
+def test_many_pins_survive_their_files_and_a_crash(spark, tmp_path):
+    one = lambda k: {"doc_id": f"d{k}", "model": "m", "prompt_version": 1, "contexts": {f"c{k}": {"context": "x", "text_sha256": "s", "window_index": k}}}
+    for k in range(6):
+        (tmp_path / f"{k}.json").write_text(json.dumps(one(k), indent=1))
+    (tmp_path / "broken.json").write_text('{"doc_id": "y", "mod')
+    (tmp_path / "list.json").write_text("[1]")
+    files = contexts.read_pin_files(spark, str(tmp_path / "*.json"))
+    assert files.count() == 6 == contexts.pin_rows(files).count()
+    at = str(tmp_path / "saved")
+    contexts.save_pin_files(files.coalesce(1), at)
+    again = contexts.read_pin_files(spark, at)
+    assert sorted(again.collect()) == sorted(files.collect())
+    contexts.save_pin_files(again.where("doc_id <> 'd0'"), at)  # over what it is read from
+    assert contexts.read_pin_files(spark, at).count() == 5
+    (tmp_path / "saved").rename(tmp_path / "saved.old")  # cut off between the renames
+    planning.restore_json(spark, at)
+    assert contexts.read_pin_files(spark, at).count() == 5
+
+
+def test_fetch_pins_are_read_back(spark, tmp_path):
+    pins = spark.createDataFrame([(f"s{k}", "v1") for k in range(6)], "slug string, resolved_version string")
+    planning.write_pins(pins.coalesce(1), str(tmp_path / "pins"))
+    got = planning.read_pins(spark, str(tmp_path / "pins"))
+    assert got.count() == 6 and {(r.slug, r.resolved_version) for r in got.collect()} == {tuple(r) for r in pins.collect()}

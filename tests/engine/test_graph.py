@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from quillstone.operators import citations, gates, graph
 from quillstone.plans import build
 
@@ -88,3 +90,22 @@ def test_rebuild_skips_replaces_and_prunes(spark, tmp_path):
     assert build.prune(new, docs("a"), spark.createDataFrame([("x", "e")], none.schema), True).docs.count() == 3
     build.save(left, str(tmp_path))
     assert build.count_rows(spark, str(tmp_path), "docs") == 2 and build.load(spark, str(tmp_path)).chunks.count() == 2
+
+
+def test_a_loaded_store_is_saved_to_its_own_place(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "ua"), ("b", "ub")], "doc_id string, canonical_url string")
+    chunks = spark.createDataFrame([("a0", "a"), ("b0", "b")], "chunk_id string, doc_id string")
+    edges = spark.createDataFrame([("e", "a0", "b0", "adjacent"), ("f", "b0", "b0", "references")], "edge_id string, from_chunk string, to_chunk string, edge_type string")
+    at = str(tmp_path / "store")
+    build.save(build.Store(docs.select("canonical_url"), docs, chunks, edges), at)
+    for gone, left in (("a", 1), ("b", 0)):
+        old = build.load(spark, at)
+        build.save(build.delete_docs(old, old.docs.where(f"doc_id = '{gone}'")), at)
+        new = build.load(spark, at)
+        assert new.docs.count() == new.chunks.count() == left and new.sources.count() == 2
+        assert old.docs.count() == left + 1  # the version before stays readable
+    assert build.load(spark, at).edges.count() == 0 and len(list((tmp_path / "store").glob("current-*"))) == 2
+    with pytest.raises(ValueError):
+        build.save(build.Store(docs, docs, chunks.drop("doc_id"), edges), at)
+    with pytest.raises(FileNotFoundError):
+        build.load(spark, str(tmp_path / "nowhere"))

@@ -36,6 +36,19 @@ def test_scores_equal_sqlite(spark):
         lexical.search(posted, sizes, "the", -1)
 
 
+def test_clamped_terms_and_marks_rank_as_in_sqlite(spark):
+    """A term of most chunks has an idf of 1e-6; its scores still differ by length. Queries and texts are divided alike."""
+    rows = [(f"c{i:03d}", None, " ".join(["common", "filler"][: 1 + i % 2] + ["pad"] * (20 - i))) for i in range(20)]
+    rows += [("x0", None, "नमस्ते दुनिया"), ("x1", None, "नम अन्य")]
+    frame = chunks(spark, rows)
+    posted, sizes = lexical.postings(frame).cache(), lexical.lengths(frame).cache()
+    got, want = lexical.search(posted, sizes, "common", 5).collect(), fts(rows, "common", 5)
+    assert [r.chunk_id for r in got] == [i for i, _ in want]
+    assert all(abs(r.score - s) < 1e-15 for r, (_, s) in zip(got, want))
+    assert [r.chunk_id for r in lexical.search(posted, sizes, "नमस्ते").collect()][0] == "x0"
+    assert lexical.query_terms("cafe\u0301 a_b \u0301x", False) == ["cafe\u0301", "a", "b", "x"]
+
+
 def test_stems_equal_sqlite():
     db = sqlite3.connect(":memory:")
     db.execute("CREATE VIRTUAL TABLE f USING fts5(t, tokenize='porter unicode61')")
