@@ -39,11 +39,11 @@ def shared_dir(spark: SparkSession) -> str:
 _left: dict[str, SparkSession] = {}
 
 
-def write_scratch(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+def write_scratch(df: DataFrame, label: str, compression: str = "snappy") -> tuple[DataFrame, str]:
     """Cuts the lineage: the rows as a Parquet table in the shared folder, and its path for drop_scratch()."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/quillstone-{label}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     _left[path] = spark
     return spark.read.schema(df.schema).parquet(path), path
 

@@ -1,6 +1,9 @@
 import hashlib
 import random
 
+import numpy as np
+
+from quillstone.llm import suffix_dedup
 from quillstone.llm.suffix_dedup import MATCH, remove_repeats
 from tests.llm.cases import CLASH, docs
 
@@ -59,13 +62,10 @@ def test_large_groups_go_window_by_window(spark):
 
 
 def test_long_text_in_overlapping_parts(spark, monkeypatch):
-    from quillstone.llm import suffix_dedup
-
     rng = random.Random(5)
     t = "".join(rng.choice("abcdefgh") for _ in range(5000))
     for size in (700, 1000):
         monkeypatch.setattr(suffix_dedup, "SLICE_BYTES", size)
-        import numpy as np
         import pyarrow as pa
 
         whole = t + t[100:900] + t
@@ -73,12 +73,41 @@ def test_long_text_in_overlapping_parts(spark, monkeypatch):
         real = suffix_dedup.text_slices
         monkeypatch.setattr(suffix_dedup, "text_slices", lambda c, most=size: real(c, most))
         for b in suffix_dedup._anchors(iter([pa.RecordBatch.from_arrays([pa.array([1]), pa.array([0]), pa.array([whole])], names=list("abc"))])):
-            parts |= {p for p, s in zip(b.column("pos").to_pylist(), b.column("settled").to_pylist())}
+            parts |= {p for p, s in zip(b.column("pos").to_pylist(), b.column("kind").to_pylist())}
         monkeypatch.setattr(suffix_dedup, "text_slices", real)
         data = np.frombuffer(whole.encode(), np.uint8)
         assert parts == set(suffix_dedup.find_anchors(data, np.array([0, len(data)]))[1].tolist())
 
 
+def test_multikey_quicksort_is_a_stable_sort(monkeypatch):
+    rng = np.random.default_rng(3)
+    for segment in (1, 4, 2048):
+        monkeypatch.setattr(suffix_dedup, "SEGMENT_ROWS", segment)
+        for n in (0, 1, 2, 50, 3000):
+            rows = rng.integers(0, 3, (n, 20), dtype=np.uint8)
+            rows[: n // 2, :17] = 1
+            want = sorted(range(n), key=lambda i: bytes(rows[i]))
+            assert suffix_dedup.multikey_quicksort(suffix_dedup._words(rows)).tolist() == want
+
+
+def test_a_passage_in_a_third_of_the_rows(spark, monkeypatch):
+    rng = random.Random(21)
+    noise = lambda k: "".join(rng.choices("abcdefghij ", k=k))
+    passage = noise(400)
+    texts = [noise(rng.randint(0, 300)) + (passage[rng.randint(0, 90) :] if k % 3 == 0 else "") + noise(rng.randint(0, 200)) for k in range(90)]
+    for rows, block in ((50_000, 20_000), (10, 20)):
+        monkeypatch.setattr(suffix_dedup, "BLOCK_ROWS", block)
+        check(remove_repeats(docs(spark, texts).repartition(6), rows), list(enumerate(texts)))
+
+
+def test_an_id_with_different_texts(spark):
+    rng = random.Random(2)
+    a, b = ("".join(rng.choices("abcdefgh", k=300)) for _ in range(2))
+    got = remove_repeats(docs(spark, [a, b, a[:200], b], [1, 1, 0, 1])).collect()
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    assert sorted((r.doc_id, r.n_removed, r.kept_sha256) for r in got) == sorted([(0, 0, sha(a[:200])), (1, 200, sha(a[200:])), (1, 0, sha(b)), (1, 0, sha(b))])
+
+
 def test_repeated_rows_null_ids_and_no_rows(spark):
     t = "".join(random.Random(9).choices("abcdefgh", k=300))
     got = remove_repeats(docs(spark, [t, t, t, t + "q"], [4, 4, None, None])).collect()
