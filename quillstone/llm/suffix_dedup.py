@@ -4,7 +4,8 @@ Every window of MATCH bytes picks its smallest GRAM-byte substring (by hash) as
 equal windows have anchors at the same offset, and only suffixes at anchors need sorting: about one
 for every 39 bytes. Hashes only choose anchors and candidates; what is removed is decided by bytes.
 
-1. `_anchors`, `_candidates`: anchors whose surroundings or one side of them seem to occur again.
+1. `_anchors`, `_candidates`: anchors whose surroundings or one side of them seem to occur again. Those whose leading
+   bytes are common in a sample are all taken.
 2. `_contexts`: the candidates' suffixes (MATCH bytes) and what stands before them (LEFT bytes). Equal
    ones within a batch are settled there, so that a common passage is not one key's rows.
 3. Sampled splitters range-partition the suffixes by their leading GRAM bytes, so that suffixes that can
@@ -26,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import BROADCAST_ROWS, drop_scratch, free_shuffles, set_batches, write_scratch
+from quillstone.llm.common import BROADCAST_ROWS, HOT_KEYS, drop_scratch, free_shuffles, set_batches, write_scratch
 from quillstone.llm.textops import SLICE_BYTES, U, mix, prefix_hash, span_hash, text_slices
 
 MATCH, GRAM = 100, 24
@@ -81,6 +82,8 @@ def find_anchors(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...
 
 #: kind: 0 may have a partner, 1 has one in its slice, 2 is the first of several in its slice.
 _ANCHOR = "kind byte, h long, c long, doc long, tie long, pos int, sides int"
+#: One in so many documents tells which leading bytes are so common that their anchors don't fit one task.
+SAMPLED = 64
 
 
 def _pieces(column) -> Iterator[tuple[np.ndarray, np.ndarray, int, int, int]]:
@@ -124,43 +127,39 @@ def _anchors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
-def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, bool, bool]]:
-    """Runs of whole groups of a sorted partition, with whether they hold its first and its last rows."""
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[pa.Table, bool]]:
+    """Runs of whole groups of a sorted partition, and whether a run is the last one."""
     held: list[pa.RecordBatch] = []
-    first = True
     for batch in batches:
         if not batch.num_rows:
             continue
         values = batch.column(key).to_numpy(zero_copy_only=False)
         cut = int(np.searchsorted(values, values[-1], "left"))
         if held and held[0].column(key)[0].as_py() != values[-1] or cut:
-            yield pa.Table.from_batches([*held, batch.slice(0, cut)]), first, False
-            held, first = [batch.slice(cut)], False
+            yield pa.Table.from_batches([*held, batch.slice(0, cut)]), False
+            held = [batch.slice(cut)]
         else:
             held.append(batch)
     if held:
-        yield pa.Table.from_batches(held), first, True
+        yield pa.Table.from_batches(held), True
 
 
 def _candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Anchors that share h and c with another one, or h and enough bytes on one side, or may do so beyond the bucket's edge."""
-    for t, at_start, at_end in _groups(batches, "h"):
-        kind = t["kind"].to_numpy()
-        h, c, doc, tie, pos, sides = (t[k].to_numpy() for k in ("h", "c", "doc", "tie", "pos", "sides"))
+    """Anchors that share h and c with another one, or h and enough bytes on one side, or whose h is common."""
+    for t, _ in _groups(batches, "h"):
+        order = np.lexsort((t["c"].to_numpy(), t["h"].to_numpy()))
+        kind, h, c, doc, tie, pos, sides = (t[k].to_numpy()[order] for k in ("kind", "h", "c", "doc", "tie", "pos", "sides"))
         apart = kind == 1
         same = np.r_[False, (h[1:] == h[:-1]) & (c[1:] == c[:-1])] & ~apart
         chosen = same | (kind > 0)
         chosen[:-1] |= same[1:]
+        chosen |= t["common"].to_numpy(zero_copy_only=False)[order].astype(bool)
         first = np.flatnonzero(~same & ~apart)
         for part in (sides >> 16, sides & 0xFFFF):
             use = first[part[first] > 0]
             key = mix(h[use].view(np.uint64) ^ mix(part[use].astype(np.uint64)))
             _, back, count = np.unique(key, return_inverse=True, return_counts=True)
             chosen[use[count[back] > 1]] = True
-        if at_start:
-            chosen[first[h[first] == h[0]]] = True
-        if at_end:
-            chosen[first[h[first] == h[-1]]] = True
         keep = np.flatnonzero(chosen)
         yield pa.RecordBatch.from_arrays([pa.array(doc[keep]), pa.array(tie[keep]), pa.array(pos[keep])], names=["doc", "tie", "pos"])
 
@@ -267,6 +266,9 @@ class _Classes:
         self.order = multikey_quicksort(_words(rows))
         differ = rows[self.order][1:] != rows[self.order][:-1]
         self.shared = np.where(differ.any(axis=1), differ.argmax(axis=1), rows.shape[1])
+        #: How many first bytes each row shares with any other one: with one of its neighbours in the order.
+        self.most = np.zeros(len(self.order), np.int64)
+        self.most[self.order] = np.maximum(np.r_[0, self.shared], np.r_[self.shared, 0])
 
     def at(self, n: int) -> np.ndarray:
         out = np.zeros(len(self.order), np.int64)
@@ -288,7 +290,7 @@ _SPAN = "doc long, tie long, lo int, hi int"
 
 def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[pa.Table] = []
-    for whole, _, last in _groups(batches, "lead"):
+    for whole, last in _groups(batches, "lead"):
         held.append(whole)
         if last or sum(map(len, held)) > BLOCK_ROWS:
             yield _compare(pa.concat_tables(held))
@@ -298,16 +300,14 @@ def _resolve(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _compare(t: pa.Table) -> pa.RecordBatch:
     """The spans of the windows of whole groups that stand earlier in their group."""
     around, lefts, rights, doc, tie, pos = _ordered(t)
-    after = _Classes(around[:, LEFT:])
-    gram = after.at(GRAM)
-    met = np.flatnonzero(np.bincount(gram)[gram] > 1)
-    if len(met) < len(gram):
-        around, lefts, rights, doc, tie, pos = (x[met] for x in (around, lefts, rights, doc, tie, pos))
-        after = _Classes(around[:, LEFT:])
-    before = _Classes(around[:, :LEFT][:, ::-1])
+    after, before = _Classes(around[:, LEFT:]), _Classes(around[:, :LEFT][:, ::-1])
+    # no window of a row has more bytes in common than its sides have with any other row
+    left, right = np.minimum(lefts, before.most), np.minimum(rights, after.most)
     lo, hi = np.full(len(pos), -1, np.int64), np.full(len(pos), LEFT + 1, np.int64)
     for o in range(LEFT + 1):
-        rows = np.flatnonzero((lefts >= o) & (rights >= MATCH - o))
+        rows = np.flatnonzero((left >= o) & (right >= MATCH - o))
+        if not len(rows):
+            continue
         key = before.at(o)[rows] * len(pos) + after.at(MATCH - o)[rows]
         order = np.argsort(key, kind="stable")
         later = rows[order[1:][key[order[1:]] == key[order[:-1]]]]
@@ -370,8 +370,15 @@ def repeated_spans(docs: DataFrame, group_rows: int = GROUP_ROWS) -> tuple[DataF
     tie = F.xxhash64(text) if several else F.when(F.col("doc_id").isNull(), F.xxhash64(text)).otherwise(F.lit(0))
     rows = docs.select(doc.alias("doc"), tie.cast("long").alias("tie"), text.alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     anchors = rows.select("doc", "tie", "text").mapInArrow(_anchors, _ANCHOR)
-    dealt = anchors.repartitionByRange("h", "c", "doc", "pos").sortWithinPartitions("h", "c", "doc", "tie", "pos")
+    sample = rows.where(F.pmod(F.xxhash64("doc", F.lit(3)), F.lit(SAMPLED)) == 0).select("doc", "tie", "text").mapInArrow(_anchors, _ANCHOR).where("kind <> 1")
+    counts, counts_path = write_scratch(sample.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "suffix")
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    common = F.broadcast(counts.where((F.col("n") > 1) & (F.col("n") * HOT_KEYS > total)).select("h", F.lit(True).alias("common")))
+    # anchors of a common h are dealt out by c as well, and are candidates, since no task sees all of them
+    dealt = anchors.join(common, "h", "left").withColumn("common", F.coalesce("common", F.lit(False)))
+    dealt = dealt.repartition("h", F.when(F.col("common"), F.col("c")).otherwise(0)).sortWithinPartitions("h")
     found, found_path = write_scratch(dealt.mapInArrow(_candidates, "doc long, tie long, pos int"), "suffix")
+    drop_scratch(spark, counts_path)
     free_shuffles(spark)
     some = found.groupBy("doc", "tie").agg(F.collect_list("pos").alias("found"))
     contexts, contexts_path = write_scratch(rows.select("doc", "tie", "text").join(some, ["doc", "tie"]).mapInArrow(_contexts, _CONTEXT), "suffix", "zstd")
