@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Turns in one rendered part; no window or list is longer, however long a conversation is.
+#: Turns in one rendered part, and turn numbers in one block. No list is longer, and no window if turn numbers of a
+#: conversation differ; rows that share a conversation and a block of turn numbers are sorted in one task, spilling to disk.
 PART = 256
 # The marks of the public ChatML layout.
 START, END = "<|im_start|>", "<|im_end|>"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 from array import array
 from collections.abc import Iterator
@@ -45,6 +46,8 @@ class Vocabulary:
                 self.raw.append(piece.replace(SPACE, " ").encode())
         if min(self.byte_ids) < 0:
             raise ValueError("the vocabulary has no byte pieces, so texts can't be restored")
+        #: Names the vocabulary: all its pieces, ids and scores.
+        self.key = hashlib.sha256(repr((self.pieces, self.byte_ids)).encode()).hexdigest()
         #: No piece has a space mark after another character: then no path crosses the start of a word.
         self.by_word = not any(SPACE in p.lstrip(SPACE) for p, _, _ in self.pieces)
 
@@ -127,22 +130,24 @@ class Codec:
         return b"".join([raw[i] for i in ids])[1:].decode()
 
 
-_codecs: dict[int, Codec] = {}
+_codecs: dict[str, Codec] = {}
 
 
 def _codec(vocabulary: Vocabulary) -> Codec:
-    key = hash((len(vocabulary.pieces), *vocabulary.pieces[:: max(1, len(vocabulary.pieces) // 50)]))
-    if key not in _codecs:
+    """The worker's codec of a vocabulary; it keeps one."""
+    if vocabulary.key not in _codecs:
         _codecs.clear()
-        _codecs[key] = Codec(vocabulary)
-    return _codecs[key]
+        _codecs[vocabulary.key] = Codec(vocabulary)
+    return _codecs[vocabulary.key]
 
 
 def encode_documents(docs: DataFrame, model: str = MODEL) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_tokens, ids, round_trip.
 
-    round_trip says whether the decoded ids equal the text. Null text is empty and has no ids. Long
-    texts are encoded whole, word by word where the vocabulary allows it. Other columns are ignored.
+    round_trip says whether the decoded ids equal the text. Of encodings with equal sums of scores, the one
+    whose last piece is longest is taken, and so on backwards. Null text is empty and has no ids. Long
+    texts are encoded whole, word by word where the vocabulary allows it; memory follows the longest word
+    and the batch. Repeated rows each get their row, null ids stay null. Other columns are ignored.
     """
     spark = docs.sparkSession
     set_batches(spark)

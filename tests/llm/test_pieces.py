@@ -1,5 +1,7 @@
+import hashlib
 import random
 
+from quillstone.llm import pieces
 from quillstone.llm.pieces import SPACE, Codec, Vocabulary, decode_documents, encode_documents
 from tests.llm.cases import CLASH, docs
 
@@ -45,3 +47,11 @@ def test_documents_round_trip(spark):
     back = {r.doc_id: r.text for r in decode_documents(encoded).collect() if r.doc_id is not None}
     assert back == {i: t or "" for i, t in enumerate(TEXTS)}
     assert encode_documents(docs(spark, [])).count() == 0
+
+
+def test_vocabularies_that_differ_in_one_piece_have_codecs_of_their_own():
+    one, two = Vocabulary(), Vocabulary()
+    at = next(k for k, (p, _, _) in enumerate(two.pieces) if p == "▁the")
+    two.pieces[at] = (two.pieces[at][0], two.pieces[at][1], -1e6)
+    two.key = hashlib.sha256(repr((two.pieces, two.byte_ids)).encode()).hexdigest()
+    assert pieces._codec(one).encode("the") != pieces._codec(two).encode("the")
