@@ -56,25 +56,69 @@ FOR = {
 AGAINST = r"(?i)\b(version|isbn|issn|order|serial|ticket|invoice|id|ref|sku|build|section|page)\b"
 #: Characters before a span that the context labeler reads.
 CONTEXT = 40
+#: No match is shorter than four characters, so the context of one ends within so many matches before it.
+REACH = CONTEXT // 4
 ROUNDS = 10
-_NONE = "array<struct<lo:int,hi:int,s:string>>"
+#: Steps of a search by halves among the spans of a text; an array holds less than 2**31.
+HALVINGS = 31
+
+
+def _none() -> Column:
+    return F.array().cast("array<struct<lo:int,hi:int,s:string,before:string>>")
+
+
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is computed once, however often body's own lambdas read it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
 
 
 def _found(text: Column, pattern: str, hint: str) -> Column:
-    """All matches of a pattern with start and end in code points: lengths of what lies between are summed up."""
+    """All matches of a pattern: start and end in code points, the match, and the CONTEXT characters before it.
+
+    Lengths of matches and of what lies between are summed up within blocks of as many matches as there
+    are blocks, so that n matches cost n times the root of n; no text is walked again for a match.
+    """
     pairs = F.zip_with(
-        F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda g, m: F.struct(F.length(g).alias("g"), m.alias("m"))
+        F.split(text, pattern, -1),
+        F.regexp_extract_all(text, F.lit(pattern), F.lit(0)),
+        lambda g, m: F.struct(
+            F.length(g).alias("gap"),
+            F.length(m).alias("len"),
+            m.alias("s"),
+            F.right(g, F.lit(CONTEXT)).alias("near"),
+            F.right(F.concat(g, m), F.lit(CONTEXT)).alias("tail"),
+        ),
     )
-    zero = F.struct(F.lit(0).alias("at"), F.array().cast(_NONE).alias("out"))
 
-    def step(acc: Column, x: Column) -> Column:
-        lo = acc["at"] + x["g"]
-        hi = lo + F.length(x["m"])
-        one = F.array(F.struct(lo.alias("lo"), hi.alias("hi"), x["m"].alias("s")))
-        return F.when(x["m"].isNull(), acc).otherwise(F.struct(hi.alias("at"), F.concat(acc["out"], one).alias("out")))
+    def block(at: Column, part: Column) -> Column:
+        def step(acc: Column, x: Column) -> Column:
+            lo = acc["at"] + x["gap"]
+            hi = lo + x["len"]
+            one = F.struct(lo.alias("lo"), hi.alias("hi"), x["s"].alias("s"), x["before"].alias("before"))
+            return F.struct(hi.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+        return F.aggregate(part, F.struct(at.alias("at"), _none().alias("out")), step, lambda acc: acc["out"])
+
+    def placed(p: Column) -> Column:
+        def before(x: Column, i: Column) -> Column:
+            last = F.slice(p, F.greatest(i - REACH, F.lit(0)) + 1, F.least(i, F.lit(REACH)))
+            told = F.concat(F.array_join(F.transform(last, lambda y: y["tail"]), ""), x["near"])
+            return F.struct(x["gap"].alias("gap"), x["len"].alias("len"), x["s"].alias("s"), F.right(told, F.lit(CONTEXT)).alias("before"))
+
+        def joined(q: Column) -> Column:
+            size = F.ceil(F.sqrt(F.size(q))).cast("int")
+            parts = F.transform(F.sequence(F.lit(1), F.size(q), size), lambda i: F.slice(q, i, size))
+            return _let(parts, summed)
+
+        def summed(parts: Column) -> Column:
+            lengths = F.transform(parts, lambda x: F.aggregate(x, F.lit(0), lambda acc, y: acc + y["gap"] + y["len"]))
+            starts = F.aggregate(lengths, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+            return F.flatten(F.zip_with(parts, F.slice(starts, F.lit(1), F.size(parts)), lambda part, at: block(at, part)))
+
+        return F.when(F.size(p) == 0, _none()).otherwise(_let(F.transform(p, before), joined))
 
     hinted = text.contains(hint) if hint == "@" else text.rlike(hint)
-    return F.when(hinted, F.aggregate(pairs, zero, step, lambda acc: acc["out"])).otherwise(F.array().cast(_NONE))
+    return F.when(hinted, _let(F.filter(pairs, lambda x: x["s"].isNotNull()), placed)).otherwise(_none())
 
 
 def _luhn(digits: Column) -> Column:
@@ -102,16 +146,14 @@ def _candidates(text: Column) -> Column:
     """All base matches and wide forms: kind, lo, hi, form (0 base, 1 failed its check, 2 wide), the votes and features."""
     parts = []
     for k, kind in enumerate(KINDS):
-        parts.append(F.transform(_found(text, BASE[kind], HINT[kind]), _described(text, kind, k, True)))
-        parts.append(F.transform(_found(text, WIDE[kind], WIDE_HINT[kind]), _described(text, kind, k, False)))
+        parts.append(F.transform(_found(text, BASE[kind], HINT[kind]), _described(kind, k, True)))
+        parts.append(F.transform(_found(text, WIDE[kind], WIDE_HINT[kind]), _described(kind, k, False)))
     return F.concat(*parts)
 
 
-def _described(text: Column, kind: str, k: int, base: bool) -> Callable[[Column], Column]:
+def _described(kind: str, k: int, base: bool) -> Callable[[Column], Column]:
     def one(x: Column) -> Column:
-        s, lo = x["s"], x["lo"]
-        start = F.greatest(lo - CONTEXT, F.lit(0))
-        before = F.substring(text, start + 1, lo - start)
+        s, before = x["s"], x["before"]
         digits = F.regexp_replace(s, "[^0-9]", "")
         valid = _valid(kind, s) if base else F.lit(True)
         context = F.when(before.rlike(FOR[kind]), 1).when(before.rlike(AGAINST), -1).otherwise(0)
@@ -120,7 +162,7 @@ def _described(text: Column, kind: str, k: int, base: bool) -> Callable[[Column]
         plain = _luhn(digits) if kind == "card" else ~s.rlike("[0-9]{5}")
         return F.struct(
             F.lit(k).alias("kind"),
-            lo.alias("lo"),
+            x["lo"].alias("lo"),
             x["hi"].alias("hi"),
             (F.when(valid, 0).otherwise(1) if base else F.lit(2)).alias("form"),
             (F.when(valid, 1).otherwise(-1) if base else F.lit(0)).alias("v0"),
@@ -196,6 +238,21 @@ def _fit(patterns: DataFrame) -> list[list[float]]:
     return weights
 
 
+def _overlaps(base: Column, x: Column) -> Column:
+    """Whether x overlaps one of the spans in base, which lie apart and in order: the last one that starts before x ends tells."""
+
+    def halve(acc: Column, _: Column) -> Column:
+        mid = F.shiftright(acc["lo"] + acc["hi"], 1)
+        below = F.get(base, mid)["lo"] < x["hi"]
+        lo = F.when((acc["lo"] < acc["hi"]) & below, mid + 1).otherwise(acc["lo"])
+        hi = F.when((acc["lo"] < acc["hi"]) & ~below, mid).otherwise(acc["hi"])
+        return F.struct(lo.alias("lo"), hi.alias("hi"))
+
+    ends = F.struct(F.lit(0).alias("lo"), F.size(base).alias("hi"))
+    first = F.aggregate(F.sequence(F.lit(1), F.lit(HALVINGS)), ends, halve, lambda acc: acc["lo"])
+    return F.coalesce(F.get(base, first - 1)["hi"] > x["lo"], F.lit(False))
+
+
 def find_personal_data(docs: DataFrame) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_email, n_ip, n_card, n_phone, base_sha256, spans.
 
@@ -231,13 +288,15 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
         F.transform(F.filter("found", lambda x: x["form"] == 0), short).alias("base"),
         F.transform(F.filter("found", accepted), short).alias("more"),
     )
-    apart = F.filter(
-        "more", lambda x: ~F.exists("base", lambda b: (b["kind"] == x["kind"]) & (b["lo"] < x["hi"]) & (x["lo"] < b["hi"]))
-    )
+    of = lambda spans, k: F.filter(spans, lambda x: x["kind"] == k)
+
+    def apart(k: int) -> Column:
+        return _let(of("base", k), lambda base: F.filter(of("more", k), lambda x: ~_overlaps(base, x)))
+
     count = lambda k: F.size(F.filter("base", lambda x: x["kind"] == k)).cast("long")
     return split.select(
         "doc_id",
         *[count(k).alias(f"n_{kind}") for k, kind in enumerate(KINDS)],
         F.sha2(written(F.array_sort("base")), 256).alias("base_sha256"),
-        written(F.array_sort(F.concat("base", apart))).alias("spans"),
+        written(F.array_sort(F.concat("base", *[apart(k) for k in range(len(KINDS))]))).alias("spans"),
     )
