@@ -58,16 +58,96 @@ def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return near_duplicates(table(spark, sf_dir, "documents"))
+    """The classes; n_links is left to the operator, since it counts the links by which the search went."""
+    return near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")
 
 
 def queries() -> dict[str, Query]:
     return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op5_chat_formatting, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
 
 
+#: Equal words of a document and an item by alignment; the best window starts at one of them or is the last that fits.
+_OVERLAPS = r"""
+    WITH i AS (
+        SELECT item_id, row_number() OVER () AS ir, string_split(norm, ' ') AS t
+        FROM (SELECT DISTINCT item_id, trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM benchmark)
+    ), d AS (
+        SELECT doc_id, row_number() OVER () AS dr, string_split(norm, ' ') AS t
+        FROM (SELECT DISTINCT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM documents)
+    ), iw AS (
+        SELECT item_id, ir, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM i WHERE len(t) >= 8
+    ), dw AS (
+        SELECT doc_id, dr, len(t) AS m, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM d
+    ), e AS (
+        SELECT doc_id, dr, item_id, ir, n, iw.p AS p, dw.p - iw.p AS shift, least(n, 13) AS width,
+               greatest(1, 1 - (dw.p - iw.p)) AS lo, least(n, m - (dw.p - iw.p)) - least(n, 13) + 1 AS hi
+        FROM dw JOIN iw ON dw.w = iw.w
+    ), c AS (
+        SELECT *, count(*) OVER (PARTITION BY dr, ir, shift ORDER BY p RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS c FROM e WHERE hi >= lo
+    ), a AS (
+        SELECT any_value(doc_id) AS doc_id, any_value(item_id) AS item_id, any_value(n) AS n, any_value(width) AS width, count(*) AS matched,
+               greatest(coalesce(max(c) FILTER (p <= hi), 0), count(*) FILTER (p >= hi)) AS best
+        FROM c GROUP BY dr, ir, shift
+    )
+    SELECT doc_id, item_id, max(best) AS window_matches, max(matched) AS matched, max(n) AS item_tokens
+    FROM a WHERE best >= width - CASE WHEN width = 13 THEN 2 ELSE 0 END
+    GROUP BY doc_id, item_id
+"""
+#: All windows of 100 bytes, as hexadecimal digits, from blocks of 1,000 starts; tables whose ids are present and differ.
+_REPEATS = """
+    WITH b AS (
+        SELECT doc_id, hex(encode(coalesce(text, ''))) AS x, strlen(coalesce(text, '')) AS n FROM documents
+    ), parts AS (
+        SELECT doc_id, n, k * 1000 AS start, substring(x, 2000 * k + 1, 2198) AS y FROM b, unnest(range(0, n // 1000 + 1)) AS u(k)
+    ), w AS (
+        SELECT doc_id, start + j AS s, substring(y, 2 * j + 1, 200) AS h FROM parts, unnest(range(0, least(1000, n - start - 99))) AS u(j)
+    ), later AS (
+        SELECT doc_id, s FROM (SELECT doc_id, s, row_number() OVER (PARTITION BY h ORDER BY doc_id, s) AS r FROM w) WHERE r > 1
+    ), marked AS (
+        SELECT doc_id, s, s > coalesce(lag(s) OVER (PARTITION BY doc_id ORDER BY s) + 100, -1) AS opens FROM later
+    ), runs AS (
+        SELECT doc_id, min(s) AS lo, max(s) + 100 AS hi
+        FROM (SELECT doc_id, s, count(*) FILTER (opens) OVER (PARTITION BY doc_id ORDER BY s) AS g FROM marked) GROUP BY doc_id, g
+    ), ends AS (
+        SELECT doc_id, lo, hi FROM runs UNION ALL SELECT doc_id, n, n FROM b
+    ), pieces AS (
+        SELECT doc_id, lo, hi, coalesce(lag(hi) OVER (PARTITION BY doc_id ORDER BY lo, hi), 0) AS since FROM ends
+    )
+    SELECT doc_id, any_value(n) AS n_bytes, CAST(sum(hi - lo) AS BIGINT) AS n_removed, count(*) FILTER (hi > lo) AS n_spans,
+           sha256(unhex(string_agg(substring(x, 2 * since + 1, 2 * (lo - since)), '' ORDER BY lo, hi))) AS kept_sha256
+    FROM pieces JOIN b USING (doc_id) GROUP BY doc_id
+"""
+#: All pairs of different texts that share a shingle, and what links them up.
+_CLASSES = r"""
+    WITH RECURSIVE r AS (
+        SELECT doc_id, CASE WHEN norm = '' THEN chr(10) || doc_id ELSE norm END AS node, norm
+        FROM (SELECT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM documents)
+    ), texts AS (
+        SELECT row_number() OVER () AS id, node, string_split(any_value(norm), ' ') AS t FROM r GROUP BY node
+    ), bags AS (
+        SELECT id, array_to_string(t[p : p + 4], ' ') AS s, count(*) AS c
+        FROM (SELECT id, t, unnest(range(1, greatest(2, len(t) - 3))) AS p FROM texts WHERE t <> ['']) GROUP BY ALL
+    ), sizes AS (
+        SELECT id, sum(c) AS n FROM bags GROUP BY id
+    ), shared AS (
+        SELECT a.id AS a, b.id AS b, sum(least(a.c, b.c)) AS n FROM bags a JOIN bags b ON a.s = b.s AND a.id <> b.id GROUP BY a.id, b.id
+    ), links AS (
+        SELECT a, b FROM shared JOIN sizes x ON x.id = a JOIN sizes y ON y.id = b WHERE shared.n / CAST(x.n + y.n - shared.n AS DOUBLE) >= 0.8
+    ), reach AS (
+        SELECT id AS a, id AS b FROM texts UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+    ), placed AS (
+        SELECT doc_id, root FROM r JOIN texts USING (node) JOIN (SELECT a AS id, min(b) AS root FROM reach GROUP BY a) USING (id)
+    )
+    SELECT doc_id, min(doc_id) OVER (PARTITION BY root) AS class_id, count(*) OVER (PARTITION BY root) AS class_size,
+           doc_id = min(doc_id) OVER (PARTITION BY root) AS kept
+    FROM placed
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op5_chat_formatting": chat.SQL,
+        "op6_benchmark_decontamination": _OVERLAPS,
         "op7_exact_dedup": r"""
             WITH d AS (
                 SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS norm FROM documents
@@ -79,4 +159,6 @@ def oracle_sql() -> dict[str, str]:
                    sha256(norm) AS text_sha256
             FROM d
         """,
+        "op9_suffix_dedup": _REPEATS,
+        "op10_minhash_near_dedup": _CLASSES,
     }
