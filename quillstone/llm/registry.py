@@ -5,11 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from quillstone.llm import chat
 from quillstone.llm.common import table
 from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
+from quillstone.llm.line_dedup import drop_lines
 from quillstone.llm.minhash import near_duplicates
 from quillstone.llm.pii import find_personal_data
 from quillstone.llm.pieces import encode_documents
@@ -62,8 +64,19 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("n_links")
 
 
+def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = drop_lines(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+_ALL = (
+    op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op5_chat_formatting, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity,
+    op9_suffix_dedup, op10_minhash_near_dedup, op11_line_dedup,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op5_chat_formatting, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity, op9_suffix_dedup, op10_minhash_near_dedup)}
+    return {f.__name__: f for f in _ALL}
 
 
 #: Equal words of a document and an item by alignment; the best window starts at one of them or is the last that fits.
@@ -142,6 +155,22 @@ _CLASSES = r"""
            doc_id = min(doc_id) OVER (PARTITION BY root) AS kept
     FROM placed
 """
+#: Tables whose ids are present and differ.
+_LINES = r"""
+    WITH d AS (
+        SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS t FROM documents
+    ), l AS (
+        SELECT doc_id, p, line, translate(trim(line, ' ' || chr(9) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+        FROM (SELECT doc_id, unnest(t) AS line, generate_subscripts(t, 1) AS p FROM d)
+    ), k AS (
+        SELECT key, min(doc_id) AS first FROM l WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+    ), m AS (
+        SELECT l.doc_id, p, line, coalesce(l.doc_id <> k.first, false) AS gone FROM l LEFT JOIN k ON l.key = k.key
+    )
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+           sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT gone), '')) AS kept_sha256
+    FROM m GROUP BY doc_id
+"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -161,4 +190,5 @@ def oracle_sql() -> dict[str, str]:
         """,
         "op9_suffix_dedup": _REPEATS,
         "op10_minhash_near_dedup": _CLASSES,
+        "op11_line_dedup": _LINES,
     }

@@ -9,7 +9,7 @@ from quillstone.llm import registry
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 
-@pytest.mark.parametrize("name", ["op6_benchmark_decontamination", "op9_suffix_dedup", "op10_minhash_near_dedup"])
+@pytest.mark.parametrize("name", ["op6_benchmark_decontamination", "op9_suffix_dedup", "op10_minhash_near_dedup", "op11_line_dedup"])
 def test_rows_equal_the_sql(spark, name):
     import duckdb
 
