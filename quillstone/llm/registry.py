@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.llm import chat
+from quillstone.llm.ball_kmeans import cluster_vectors
 from quillstone.llm.common import table
 from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
@@ -17,6 +18,7 @@ from quillstone.llm.pii import find_personal_data
 from quillstone.llm.pieces import encode_documents
 from quillstone.llm.quality import score_quality
 from quillstone.llm.sharding import shard_documents
+from quillstone.llm.spelling import SLIP, count_words, group_spellings
 from quillstone.llm.suffix_dedup import remove_repeats
 from quillstone.llm.toxicity import score_toxicity
 
@@ -69,9 +71,19 @@ def op11_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return group_spellings(count_words(table(spark, sf_dir, "documents"), slip=SLIP))
+
+
+def op13_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = cluster_vectors(table(spark, sf_dir, "embeddings"))
+    digest = F.sha2(F.array_join(F.col("centroid").cast("array<string>"), ","), 256)
+    return found.withColumn("centroid_sha256", digest).drop("centroid")
+
+
 _ALL = (
     op1_sharding, op2_quality_classifier, op3_pii, op4_sentencepiece, op5_chat_formatting, op6_benchmark_decontamination, op7_exact_dedup, op8_toxicity,
-    op9_suffix_dedup, op10_minhash_near_dedup, op11_line_dedup,
+    op9_suffix_dedup, op10_minhash_near_dedup, op11_line_dedup, op12_spelling_variants, op13_centroid_clustering,
 )
 
 
@@ -172,6 +184,74 @@ _LINES = r"""
     FROM m GROUP BY doc_id
 """
 
+#: CRC-32 by its table of 256 remainders, made here bit by bit; near words by equal remains after one character is left out or masked.
+_SPELLINGS = r"""
+    WITH RECURSIVE remainders AS (
+        SELECT range AS b, 0 AS step, range AS x FROM range(256)
+        UNION ALL
+        SELECT b, step + 1, xor(x >> 1, CASE WHEN x & 1 = 1 THEN 3988292384 ELSE 0 END) FROM remainders WHERE step < 8
+    ), crc AS (
+        SELECT list(x ORDER BY b) AS t FROM remainders WHERE step = 8
+    ), runs AS (
+        SELECT doc_id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS w, count(*) AS n
+        FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')) AS run FROM documents) WHERE length(run) >= 5 GROUP BY ALL
+    ), hashed AS (
+        SELECT w, n, xor(4294967295, list_reduce(
+            list_prepend(4294967295, flatten(list_transform(string_split(doc_id || ':' || w, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS BIGINT)] ELSE [195, unicode(c) - 64] END))),
+            lambda h, b: xor(h >> 8, t[(xor(h, b) & 255) + 1]))) AS h
+        FROM runs, crc
+    ), words AS MATERIALIZED (
+        SELECT w, CAST(sum(n) AS BIGINT) AS n FROM (
+            SELECT CASE WHEN h % 97 = 0 THEN w[: h % length(w)] || w[h % length(w) + 2 :] ELSE w END AS w, n FROM hashed
+        ) WHERE length(w) >= 5 GROUP BY w HAVING sum(n) >= 3
+    ), cut AS (
+        SELECT w, n, p, w[: p - 1] || w[p + 1 :] AS rest FROM (SELECT w, n, unnest(range(1, length(w) + 1)) AS p FROM words)
+    ), near AS MATERIALIZED (
+        SELECT a.w, b.w AS o, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.p = b.p AND a.w <> b.w
+        UNION SELECT a.w, b.w, b.n FROM cut a JOIN words b ON a.rest = b.w
+        UNION SELECT b.w, a.w, a.n FROM cut a JOIN words b ON a.rest = b.w
+    ), best AS (
+        SELECT w, o, n, count(*) OVER (PARTITION BY w) AS n_near FROM near QUALIFY row_number() OVER (PARTITION BY w ORDER BY n DESC, o) = 1
+    ), placed AS (
+        SELECT words.w, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.n >= 2 * words.n THEN o END AS form, CASE WHEN best.n >= 2 * words.n THEN best.n END AS form_n
+        FROM words LEFT JOIN best USING (w)
+    ), ways AS (
+        SELECT w, w AS here, form AS next FROM placed UNION ALL SELECT ways.w, ways.next, placed.form FROM ways JOIN placed ON placed.w = ways.next
+    )
+    SELECT w AS word, form, here AS root, n, n_near, form_n FROM placed JOIN (SELECT w, here FROM ways WHERE next IS NULL) USING (w)
+"""
+
+
+def _means(clusters: int = 8, rounds: int = 10) -> str:
+    """Plain rounds of assignment and means, one after the other; tables whose ids are present and differ."""
+    steps = [f"""
+        e AS MATERIALIZED (
+            SELECT vec_id, k, CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT) AS x
+            FROM (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS k FROM embeddings WHERE len(embedding) = 64)
+            QUALIFY count(*) FILTER (x IS NOT NULL AND isfinite(x)) OVER (PARTITION BY vec_id) = 64
+        ), c0 AS MATERIALIZED (
+            SELECT j, k, x AS c FROM e JOIN (
+                SELECT vec_id, row_number() OVER (ORDER BY sha256('3:' || vec_id)) - 1 AS j FROM (SELECT DISTINCT vec_id FROM e)
+            ) USING (vec_id) WHERE j < {clusters}
+        )"""]
+    for r in range(rounds + 1):
+        steps.append(f"""
+        a{r} AS MATERIALIZED (
+            SELECT vec_id, j, CAST(sum((x - c) * (x - c)) AS BIGINT) AS d FROM e JOIN c{r} USING (k) GROUP BY vec_id, j
+            QUALIFY row_number() OVER (PARTITION BY vec_id ORDER BY d, j) = 1
+        )""")
+        if r < rounds:
+            steps.append(f"""
+        c{r + 1} AS MATERIALIZED (
+            SELECT j, k, CAST((s - ((s % n) + n) % n) // n AS BIGINT) AS c FROM (SELECT j, k, sum(x) AS s, count(*) AS n FROM e JOIN a{r} USING (vec_id) GROUP BY j, k)
+            UNION ALL SELECT j, k, c FROM c{r} WHERE j NOT IN (SELECT j FROM a{r})
+        )""")
+    return "WITH" + ",".join(steps) + f"""
+        SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance, CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia,
+               CAST(sum(d) OVER () AS BIGINT) AS inertia, centroid_sha256
+        FROM a{rounds} JOIN (SELECT j, sha256(string_agg(CAST(c AS VARCHAR), ',' ORDER BY k)) AS centroid_sha256 FROM c{rounds} GROUP BY j) USING (j)
+    """
+
 
 def oracle_sql() -> dict[str, str]:
     return {
@@ -191,4 +271,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_suffix_dedup": _REPEATS,
         "op10_minhash_near_dedup": _CLASSES,
         "op11_line_dedup": _LINES,
+        "op12_spelling_variants": _SPELLINGS,
+        "op13_centroid_clustering": _means(),
     }
