@@ -502,7 +502,25 @@ def graph_gate(spark, sf_dir):
     return gates.graph_gate(expected, known, counts)
 
 
-@_query()
+#: The blocks of the driver's pages by regular expressions: what is skipped and comments go, block tags divide, other tags go, then entities.
+_BLOCKS = r""", b0 AS (
+        SELECT page_id, regexp_replace(regexp_replace(html, '(?is)<(script|style|noscript|template)\b[^>]*>.*?</(script|style|noscript|template)\s*>', '', 'g'), '(?s)<!--.*?-->', '', 'g') AS h FROM pages
+    ), b1 AS (
+        SELECT page_id, regexp_replace(regexp_replace(h, '(?i)<h([1-6])\b[^>]*>', chr(1) || chr(2) || '\1', 'g'), '(?i)</?(h[1-6]|p|li|td|th|div|pre|blockquote|article|section|br)\b[^>]*>', chr(1), 'g') AS h FROM b0
+    ), b2 AS (
+        SELECT page_id, unnest(x) AS t, generate_subscripts(x, 1) AS k FROM (SELECT page_id, string_split(regexp_replace(h, '<[a-zA-Z/!][^>]*>', '', 'g'), chr(1)) AS x FROM b1)
+    ), b3 AS (
+        SELECT page_id, k, starts_with(t, chr(2)) AS head, CASE WHEN starts_with(t, chr(2)) THEN t[2:2] ELSE '0' END AS level, CASE WHEN starts_with(t, chr(2)) THEN t[3:] ELSE t END AS t FROM b2
+    ), b4 AS (
+        SELECT page_id, k, head, CAST(level AS INTEGER) AS level,
+               trim(regexp_replace(regexp_replace(replace(replace(replace(t, '&quot;', '"'), '&copy;', '©'), '&middot;', '·'), '&amp;?', '&', 'g'), '\s+', ' ', 'g')) AS text FROM b3
+    ), blocks AS (
+        SELECT CAST(page_id AS VARCHAR) AS doc, CAST(row_number() OVER (PARTITION BY page_id ORDER BY k) - 1 AS INTEGER) AS pos, CASE WHEN head THEN 'heading' ELSE 'text' END AS kind, level, text
+        FROM b4 WHERE text <> ''
+    ) """
+
+
+@_query(f"{_BLOCKS} SELECT * FROM blocks")
 def html_blocks(spark, sf_dir):
     return chunking.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html")
 
@@ -645,14 +663,72 @@ def built_chunks(spark, sf_dir):
     manifest, pins, pages = _web(spark, sf_dir)
     rows = build.load_documents(manifest, pins, pages)[1].where("chunk_index = 2")
     pinned = rows.select("chunk_id", F.lit("m").alias("model"), F.lit(1).alias("prompt_version"), F.lit(" about it").alias("context"), ids.text_sha256(F.col("text")).alias("text_sha256"))
-    return build.build_corpus(_empty_store(spark, sf_dir), manifest, pins, pages, pinned, "m", 1)[0].chunks.select("doc_id", "chunk_index", "context")
+    return build.build_corpus(_empty_store(spark, sf_dir), manifest, pins, pages, pinned, "m", 1).store.chunks.select("doc_id", "chunk_index", "context")
 
 
 @_query(f""", {_HTML} SELECT count(*) FILTER (chunk_index = 0) AS built, 0::BIGINT AS skipped, count(*) AS chunks, 0::BIGINT AS errors, 'ok' AS status, true AS full FROM x""")
 def build_counts(spark, sf_dir):
     manifest, pins, pages = _web(spark, sf_dir)
-    none = spark.createDataFrame([], "chunk_id string, model string, prompt_version int, context string, text_sha256 string")
-    return build.build_corpus(_empty_store(spark, sf_dir), manifest, pins, pages, none, "m", 1)[1]
+    made = build.build_corpus(_empty_store(spark, sf_dir), manifest.join(pins, "slug", "left_semi"), pins, pages, _no_contexts(spark), "m", 1)
+    return _counted(made, "built", "skipped", "chunks", "errors").withColumn("full", F.lit(True))
+
+
+def _no_contexts(spark):
+    return spark.createDataFrame([], "chunk_id string, model string, prompt_version int, context string, text_sha256 string")
+
+
+def _counted(made, *names):
+    got = F.from_json("stats", "map<string,bigint>")
+    return made.run.select(*[got[n].alias(n) for n in names], "status")
+
+
+def _faulty(spark, sf_dir):
+    """Manifest, pins and the driver's own pages: of each hundred, one page that no parser reads, one source without a pin and one without a page."""
+    manifest, _, _ = _web(spark, sf_dir)
+    k = F.col("page_id")
+    html = F.when(k % 100 == 7, F.concat(F.lit("<![foo[x]]>"), "html")).otherwise(F.col("html"))
+    pages = table(spark, sf_dir, "pages").select(*_page(html.alias("html"))).where(k % 100 != 9)
+    return manifest, manifest.where(k % 100 != 3).select("slug", F.lit("v1").alias("resolved_version")), pages
+
+
+@_query("""SELECT 'p' || page_id AS slug, CASE page_id % 100 WHEN 3 THEN 'no pin' WHEN 7 THEN 'AssertionError' ELSE 'no page' END AS error FROM pages WHERE page_id % 100 IN (3, 7, 9)""")
+def build_errors(spark, sf_dir):
+    """A source that fails, also while its page is parsed, is a row and stops nothing."""
+    made = build.build_corpus(_empty_store(spark, sf_dir), *_faulty(spark, sf_dir), _no_contexts(spark), "m", 1)
+    return made.errors.select("slug", F.substring_index("error", ":", 1).alias("error"))
+
+
+@_query("""SELECT count(*) FILTER (page_id % 100 NOT IN (3, 7, 9)) AS built, count(*) FILTER (page_id % 100 IN (3, 7, 9)) AS errors, 0::BIGINT AS pruned, 'partial' AS status, '*' AS shortfall FROM pages""")
+def build_with_errors(spark, sf_dir):
+    """The run's row; contexts are required and missing, and nothing is pruned from the store that has documents of a former manifest."""
+    store = _former(spark, sf_dir)
+    made = build.build_corpus(store, *_faulty(spark, sf_dir), _no_contexts(spark), "m", 1, require_context=True)
+    counts = _counted(made, "built", "errors", "pruned").withColumn("errors", F.col("errors") - 1)
+    return counts.withColumn("shortfall", made.errors.where("error like '% chunks have no context'").agg(F.max("slug")).scalar())
+
+
+def _former(spark, sf_dir):
+    """A store with a document and a chunk of each third page in a version that has gone, one without chunks, and edges between them."""
+    manifest, _, _ = _web(spark, sf_dir)
+    old = manifest.where(F.col("page_id") % 3 == 0).select("page_id", ids.doc_id(F.col("url"), F.lit("v0")).alias("doc_id"), "slug", "url", F.col("slug").alias("title"))
+    chunks = old.where("page_id % 9 <> 0").select("doc_id", F.concat(F.lit("c"), "doc_id").alias("chunk_id"), F.lit(0).cast("long").alias("chunk_index"), F.array().cast("array<string>").alias("heading_path"), F.lit("text").alias("chunk_type"), F.lit("old").alias("text"), F.lit(None).cast("string").alias("context"))
+    edges = graph.identified(chunks.select(F.col("chunk_id").alias("from_chunk"), F.col("chunk_id").alias("to_chunk"), F.lit(None).cast("string").alias("to_external_ref"), F.lit("similar").alias("edge_type"), F.lit(None).cast("string").alias("provenance"), F.lit(1.0).alias("confidence")))
+    return build.Store(old.select(F.col("url").alias("canonical_url")), old.drop("page_id"), chunks, edges.select("edge_id", "from_chunk", "to_chunk", "to_external_ref", "provenance", "confidence", "edge_type"))
+
+
+@_query(f""", {_HTML}, n AS (SELECT count(*) AS chunks FROM x) SELECT 'doc' AS kind, doc_id AS id FROM x WHERE chunk_index = 0
+    UNION ALL SELECT 'chunk', sha256(url || chr(31) || 'v1' || chr(31) || chunk_index) FROM x
+    UNION ALL SELECT 'edge', edge_type FROM (SELECT 'adjacent' AS edge_type FROM x WHERE chunk_index > 0)
+    UNION ALL SELECT 'pruned', '' || count(*) FROM pages WHERE page_id % 3 = 0 AND page_id % 9 <> 0
+    UNION ALL SELECT 'status', 'ok'""")
+def pruned_store(spark, sf_dir):
+    """After a whole build without errors, the documents of a former manifest, their chunks and edges have gone."""
+    manifest, pins, pages = _web(spark, sf_dir)
+    made = build.build_corpus(_former(spark, sf_dir), manifest.join(pins, "slug", "left_semi"), pins, pages, _no_contexts(spark), "m", 1)
+    named = lambda kind, frame, c: frame.select(F.lit(kind).alias("kind"), F.col(c).alias("id"))
+    counts = _counted(made, "pruned").select(F.col("pruned").cast("string").alias("pruned"), "status")
+    rows = named("doc", made.store.docs, "doc_id").unionByName(named("chunk", made.store.chunks, "chunk_id")).unionByName(named("edge", made.store.edges, "edge_type"))
+    return rows.unionByName(named("pruned", counts, "pruned")).unionByName(named("status", counts, "status"))
 
 
 @_query("""SELECT sha256(url || chr(31) || 'v1') AS doc_id, kind, value, sha256(url || chr(31) || 'v1' || chr(31) || 0) AS target FROM (

@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 
 from quillstone.functions.text import est_tokens, heading_line, is_boilerplate, strip
 
+HEADING_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BLOCK_TAGS = ("p", "li", "td", "th", "div", "pre", "blockquote", "article", "section", "br")
 SKIPPED_TAGS = ("script", "style", "noscript", "template")
+#: Characters of a parser's message that are kept.
+MOST_ERROR = 500
 
 
 def dense_chunks(blocks: DataFrame, drop_boilerplate: bool = True) -> DataFrame:
@@ -143,9 +146,9 @@ class _Blocks(HTMLParser):
     def handle_starttag(self, tag: str, attrs) -> None:
         if tag in SKIPPED_TAGS:
             self.skipped += 1
-        elif tag[0] == "h" and tag[1:].isdigit():
+        elif tag in HEADING_TAGS:
             self.flush()
-            self.kind, self.level = "heading", int(tag[1:])
+            self.kind, self.level = "heading", int(tag[1])
         elif tag == "tr":
             self.flush()
             self.row = []
@@ -155,7 +158,7 @@ class _Blocks(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag in SKIPPED_TAGS:
             self.skipped = max(0, self.skipped - 1)
-        elif tag[0] == "h" and tag[1:].isdigit():
+        elif tag in HEADING_TAGS:
             self.flush()
             self.kind, self.level = "text", 0
         elif tag == "tr" and self.row is not None:
@@ -171,24 +174,36 @@ class _Blocks(HTMLParser):
             self.text.append(data)
 
 
-def html_blocks(pages: DataFrame, id_column: str, html_column: str) -> DataFrame:
-    """(doc, pos, kind, level, text): headings, table rows and text blocks of HTML in order. Null HTML has none."""
+def parse_pages(pages: DataFrame, id_column: str, html_column: str) -> DataFrame:
+    """(doc, pos, kind, level, text, error): the blocks of each page in order, or one row with its error.
+
+    A page that the parser gives up on has no blocks and stops nothing. Null HTML has neither.
+    """
+
+    def blocks(html: str | None) -> list[tuple]:
+        parser = _Blocks()
+        try:
+            parser.feed(html or "")
+            parser.close()
+            parser.flush()
+        except Exception as e:  # whatever the parser says of a page is that page's error
+            return [(0, None, None, None, f"{type(e).__name__}: {e}"[:MOST_ERROR])]
+        return [(pos, *block, None) for pos, block in enumerate(parser.out)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for doc, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                parser = _Blocks()
-                parser.feed(html or "")
-                parser.close()
-                parser.flush()
-                rows += [(doc, pos, *block) for pos, block in enumerate(parser.out)]
-            kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string()]
-            columns = list(zip(*rows)) or [[]] * 5
-            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=["doc", "pos", "kind", "level", "text"])
+            rows = [(doc, *row) for doc, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) for row in blocks(html)]
+            kinds = [pa.string(), pa.int32(), pa.string(), pa.int32(), pa.string(), pa.string()]
+            columns = list(zip(*rows)) or [[]] * 6
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds)], names=["doc", "pos", "kind", "level", "text", "error"])
 
     chosen = pages.select(F.col(id_column).cast("string").alias("doc"), F.col(html_column).alias("html"))
-    return chosen.mapInArrow(run, "doc string, pos int, kind string, level int, text string")
+    return chosen.mapInArrow(run, "doc string, pos int, kind string, level int, text string, error string")
+
+
+def html_blocks(pages: DataFrame, id_column: str, html_column: str) -> DataFrame:
+    """(doc, pos, kind, level, text): headings (h1 to h6), table rows and text blocks of HTML in order; none of pages with an error."""
+    return parse_pages(pages, id_column, html_column).where("error is null").drop("error")
 
 
 def structural_chunks(blocks: DataFrame, max_tokens: int = 512, chars_per_token: int = 4, drop_boilerplate: bool = True) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from dataclasses import dataclass
 
@@ -9,10 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import ids
-from quillstone.operators.chunking import html_blocks, structural_chunks
+from quillstone.operators.chunking import html_blocks, parse_pages, structural_chunks
+from quillstone.operators.citations import references
 from quillstone.operators.contexts import valid_pins, with_contexts
-from quillstone.operators.graph import build_graph, documents_of, replace_edges
+from quillstone.operators.graph import adjacent_edges, anchor_index, candidates, document_anchors, reference_edges, replace_edges, resolve, scopes
 from quillstone.operators.lexical import Index
+from quillstone.plans.stages import Stages
 
 #: Columns that the stored tables must have.
 SCHEMAS = {
@@ -178,21 +181,114 @@ def load_documents(manifest: DataFrame, pins: DataFrame, pages: DataFrame, drop_
     )
 
 
-def build_corpus(store: Store, manifest: DataFrame, pins: DataFrame, pages: DataFrame, context_pins: DataFrame, model: str, prompt_version: int, index: Index | None = None) -> tuple[Store, DataFrame]:
-    """From manifest to chunks with contexts, edges and a row of counts; what is present already isn't parsed again.
+@dataclass(frozen=True)
+class Built:
+    """What a build has made: the store, the row of the run, and its errors (slug, error)."""
+
+    store: Store
+    run: DataFrame
+    errors: DataFrame
+    counts: dict[str, int]
+
+
+#: Ids of wanted documents up to which they are broadcast, so that pages stay where they are.
+BROADCAST_IDS = 1_000_000
+
+
+def _few(frame: DataFrame, n: int) -> DataFrame:
+    return F.broadcast(frame) if n <= BROADCAST_IDS else frame
 
-    Contexts come from valid pins. The graph is built anew over all chunks. index, if given, is
-    invalidated before anything else: it is to be built again from the new chunks.
+
+def build_corpus(
+    store: Store, manifest: DataFrame, pins: DataFrame, pages: DataFrame, context_pins: DataFrame, model: str, prompt_version: int,
+    index: Index | None = None, stages: Stages | None = None, only: list[str] | None = None, require_context: bool = False, run_id: str | None = None,
+    extractors: tuple[str, ...] = ("legal", "academic"), min_body_chars: int = 0,
+) -> Built:
+    """From manifest to chunks with contexts, edges, errors and the row of the run; what is present already isn't parsed again.
+
+    Every step is a table in the folder of `stages`, written once and read by those after it: each page is
+    parsed once, anchors and citations are looked for once, and counters are observed on the way.
+    A build that breaks off goes on in the same folder; the store's frames read it, so it stays until
+    the store is saved.
+
+    A source without a pin or page, or whose page the parser gives up on, is a row of errors and adds
+    nothing; the others are built, and the status is `partial`. Documents that the manifest no
+    longer has go, but only after a whole build (`only` is None) without such errors. Contexts come from valid pins;
+    if some are missing, that is noted in the run or, with require_context, an error. The graph is built
+    anew over all chunks. index, if given, is invalidated before anything else.
     """
     if index is not None:
         index.invalidate()
-    known = documents_of(manifest, pins)
-    wanted = to_build(known, store.docs, store.chunks).select("slug")
-    docs, chunks = load_documents(manifest, pins, pages.join(wanted, "slug", "left_semi"))
-    chunks = with_contexts(chunks, valid_pins(context_pins, chunks, model, prompt_version)).drop("origin")
-    lost = known.join(pages.select("slug").distinct(), "slug", "left_anti").join(present_docs(store.docs, store.chunks).select("doc_id"), "doc_id", "left_anti")
-    errors = lost.select("slug", F.lit("no page").alias("error"))
-    sources = manifest.select(F.col("url").alias("canonical_url"))
-    built, stats = rebuild(store, sources, docs, chunks, errors)
-    edges, _ = build_graph(built.chunks, manifest, pins)
-    return Store(built.sources, built.docs, built.chunks, replace_edges(built.edges, edges.select(built.edges.columns), ["references", "adjacent"])), stats
+    stages = stages or Stages(store.docs.sparkSession)
+    one, n_null = F.count(F.lit(1)), lambda c: F.count_if(F.col(c).isNull())
+    chosen = manifest if only is None else manifest.where(F.col("slug").isin(only))
+    version = pins.where(F.col("resolved_version").isNotNull()).select("slug", "resolved_version")
+    present, n_present = stages.keep("present", lambda: present_docs(store.docs, store.chunks).select("doc_id"), n=one)
+
+    def placed() -> DataFrame:
+        rows = chosen.select("slug", "url").join(version, "slug", "left").join(pages.select("slug", F.lit(True).alias("paged")).distinct(), "slug", "left")
+        rows = rows.withColumn("doc_id", F.when(F.col("resolved_version").isNotNull(), ids.doc_id(F.col("url"), F.col("resolved_version"))))
+        return rows.join(_few(present.withColumn("here", F.lit(True)), n_present["n"]), "doc_id", "left")
+
+    new = F.col("doc_id").isNotNull() & F.col("here").isNull() & F.col("paged").isNotNull()
+    known, n_known = stages.keep("known", placed, wanted=F.count_if(new), unpinned=n_null("doc_id"), unpaged=F.count_if(F.col("doc_id").isNotNull() & F.col("here").isNull() & F.col("paged").isNull()))
+    wanted = known.where(new).select("doc_id", "slug", "url", "resolved_version")
+    parsed, n_parsed = stages.keep(
+        "parsed", lambda: parse_pages(pages.join(_few(wanted.select("slug"), n_known["wanted"]), "slug", "left_semi"), "slug", "html"), failed=F.count("error")
+    )
+    failed = parsed.where("error is not null").select(F.col("doc").alias("slug"), "error")
+    blocks = parsed.where("error is null").drop("error")
+
+    def chunked() -> DataFrame:
+        rows = structural_chunks(blocks).withColumnRenamed("doc", "slug").join(_few(wanted, n_known["wanted"]), "slug")
+        made = ids.chunk_id(F.col("url"), F.col("resolved_version"), F.col("chunk_index"))
+        rows = rows.select("doc_id", made.alias("chunk_id"), F.col("chunk_index").cast("long").alias("chunk_index"), "heading_path", "chunk_type", "text")
+        return with_contexts(rows, valid_pins(context_pins, rows, model, prompt_version))
+
+    chunks, n_chunks = stages.keep("chunks", chunked, chunks=one, missing=F.count_if(F.col("origin") == "missing"))
+
+    def titled() -> DataFrame:
+        titles = blocks.where("kind = 'heading' and level = 1").groupBy("doc").agg(F.min_by("text", "pos").alias("title"))
+        whole = wanted.join(_few(failed.select("slug"), n_parsed["failed"]), "slug", "left_anti")
+        return whole.join(titles.withColumnRenamed("doc", "slug"), "slug", "left").select("doc_id", "slug", "url", F.coalesce("title", "slug").alias("title"))
+
+    docs, n_docs = stages.keep("docs", titled, docs=one)
+    lost = F.when(F.col("doc_id").isNull(), "no pin").when(F.col("here").isNull() & F.col("paged").isNull(), "no page")
+    errors = known.select("slug", lost.alias("error")).where("error is not null").unionByName(failed)
+    n_errors = n_known["unpinned"] + n_known["unpaged"] + n_parsed["failed"]
+    whole = only is None and not n_errors
+
+    def leaving() -> DataFrame:
+        stored = store.docs.select("doc_id")
+        gone = stored.join(present, "doc_id", "left_anti").unionByName(docs.select("doc_id"))
+        if whole:
+            gone = gone.unionByName(prune_plan(stored.join(present, "doc_id", "left_semi"), known.where("doc_id is not null")))
+        return gone.distinct()
+
+    gone, n_gone = stages.keep("gone", leaving, n=one)
+    pruned = n_present["n"] - present.join(gone, "doc_id", "left_anti").count() if whole and n_gone["n"] else 0
+    cleared = delete_docs(store, gone) if n_gone["n"] else store
+    all_chunks = cleared.chunks.unionByName(chunks.drop("origin"))
+    stored_docs = cleared.docs.unionByName(docs)
+    found, _ = stages.keep("references", lambda: references(all_chunks, extractors, "doc_id"))
+    heads = anchor_index(all_chunks, min_body_chars).unionByName(document_anchors(manifest, pins, all_chunks))
+    resolved, _ = stages.keep("resolved", lambda: resolve(candidates(found, heads, scopes(manifest, pins))))
+    columns = store.edges.columns
+    made = lambda: adjacent_edges(all_chunks).select(columns).unionByName(reference_edges(resolved).select(columns))
+    edges, n_edges = stages.keep("edges", made, edges=one)
+    counts = {
+        "built": n_docs["docs"], "skipped": n_present["n"] - pruned, "chunks": n_chunks["chunks"], "contexts": n_chunks["chunks"] - n_chunks["missing"],
+        "contexts_missing": n_chunks["missing"], "pruned": pruned, "edges": n_edges["edges"], "errors": n_errors,
+    }
+    spark = store.docs.sparkSession
+    note = f"{counts['contexts_missing']} of {counts['chunks']} chunks have no context" if counts["contexts_missing"] else None
+    if note and require_context:
+        errors = errors.unionByName(spark.createDataFrame([("*", note)], "slug string, error string"))
+        counts["errors"] += 1
+    status = "partial" if counts["errors"] else "ok"
+    at = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    run = spark.createDataFrame([(run_id or f"build-{uuid.uuid4().hex[:8]}", status, json.dumps(counts), None if require_context else note)], "ingest_run_id string, status string, stats string, note string")
+    run = run.select("ingest_run_id", at.alias("finished_at"), "status", "stats", "note")
+    sources = add_sources(store.sources, chosen.select(F.col("url").alias("canonical_url"), *[F.lit(None).cast(f.dataType).alias(f.name) for f in store.sources.schema if f.name != "canonical_url"]))
+    kept = replace_edges(cleared.edges, edges, ["references", "adjacent"])
+    return Built(Store(sources, stored_docs, all_chunks, kept), run, errors, counts)
