@@ -24,6 +24,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 BROADCAST_ROWS = 200_000
 #: A key with more than one in so many of the rows is hot; there can't be more than so many of them.
 HOT_KEYS = 1_000
+#: Rows of one key that meet its value in one task where the value is a whole text.
+SPREAD_ROWS = 256
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -131,6 +133,23 @@ def join_groups(rows: DataFrame, groups: DataFrame, keys: Sequence[str], size: s
     return clean(near).unionByName(clean(far))
 
 
+def join_spread(rows: DataFrame, values: DataFrame, key: str, by: str, counted: DataFrame | None = None, per: int | None = None, few: int = BROADCAST_ROWS) -> DataFrame:
+    """rows joined with values, which has one large value for each key, so that at most about `per` rows of one key meet in a task.
+
+    The rows of a key with more of them are dealt by the hash of `by`, and its value goes to each deal: one copy for
+    `per` rows, not one for each. counted has the same keys as rows, for which it stands where these cost more
+    to be read twice. The keys dealt are at most a `per`-th of the rows and are broadcast up to `few`.
+    """
+    per = per or SPREAD_ROWS
+    many = (rows if counted is None else counted).groupBy(key).agg(F.count(F.lit(1)).alias("_rows")).where(F.col("_rows") > per).select(key, F.floor(F.col("_rows") / per).cast("int").alias("_deals"))
+    many, _ = write_scratch(many, "deals")
+    dealt = F.broadcast(many) if many.count() <= few else many
+    at = F.pmod(F.xxhash64(by), F.coalesce("_deals", F.lit(0)) + 1).cast("int")
+    left = rows.join(dealt, key, "left").withColumn("_deal", at).drop("_deals")
+    right = values.join(dealt, key, "left").withColumn("_deal", F.explode(F.sequence(F.lit(0), F.coalesce("_deals", F.lit(0))))).drop("_deals")
+    return left.join(right, [key, "_deal"]).drop("_deal")
+
+
 def _digest(edges: DataFrame) -> tuple:
     """Number of edges and two sums of hashes: equal for equal sets."""
     r = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(20,0)")), F.sum(F.xxhash64("v", F.lit(7), "u").cast("decimal(20,0)"))).first()

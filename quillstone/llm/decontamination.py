@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,10 @@ from quillstone.llm.minhash import words_of
 MASKS = ("11010111", "11110011")
 SPAN = len(MASKS[0])
 WINDOW, SUBSTITUTED = 13, 2
+#: Fixed masks for items of SPAN to WINDOW - 1 tokens, laid on the first SPAN tokens: whichever single token
+#: differs, one of the three ignores it (checked by the tests). Shorter items are joined as they are.
+SHORT_MASKS = ("00011111", "11100011", "11111100")
+SHORT_SUBSTITUTED = 1
 #: Seeds of the benchmark, in rows, up to which they are broadcast (some 40 bytes each); beyond, both sides are shuffled.
 BROADCAST_SEEDS = 1_000_000
 
@@ -25,19 +31,24 @@ BLOCK = 256
 _NONE = "array<struct<seed:bigint,pos:int>>"
 
 
+def _all_known(known: str, taken: list[int]) -> Callable[[Column], Column]:
+    """Whether the benchmark has all tokens at those distances from a place."""
+
+    def fits(i: Column) -> Column:
+        found = F.get(known, i + taken[0])
+        for k in taken[1:]:
+            found = found & F.get(known, i + k)
+        return found
+
+    return fits
+
+
 def _places(hashes: str, known: str | None) -> Column:
     """The positions where a mask fits and, if `known` says which tokens the benchmark has, all tokens are known that both masks take."""
     everywhere = F.sequence(F.lit(0), F.size(hashes) - SPAN)
     if known:
         shared = [k for k in range(SPAN) if all(m[k] == "1" for m in MASKS)]
-
-        def fits(i: Column) -> Column:
-            found = F.get(known, i + shared[0])
-            for k in shared[1:]:
-                found = found & F.get(known, i + k)
-            return found
-
-        everywhere = F.filter(everywhere, fits)
+        everywhere = F.filter(everywhere, _all_known(known, shared))
     return F.when(F.size(hashes) >= SPAN, everywhere).otherwise(F.array().cast("array<int>"))
 
 
@@ -54,6 +65,25 @@ def _seeds(hashes: str, known: str | None = None) -> Column:
     return F.flatten(F.transform(_places(hashes, known), both)).cast(_NONE)
 
 
+def _short_seed(hashes: str, number: int, taken: list[int]) -> Callable[[Column], Column]:
+    return lambda i: F.struct(F.xxhash64(F.lit(number), *[F.get(hashes, i + k) for k in taken]).alias("seed"), i.cast("int").alias("pos"))
+
+
+def _short_seeds(hashes: str, known: str | None = None) -> Column:
+    """(seed, pos) for each of SHORT_MASKS: of an item at its start, of a text (`known` given) wherever the benchmark has all tokens that the mask takes."""
+    made = []
+    for number, mask in enumerate(SHORT_MASKS, len(MASKS)):
+        taken = [k for k, bit in enumerate(mask) if bit == "1"]
+        places = F.filter(F.sequence(F.lit(0), F.size(hashes) - SPAN), _all_known(known, taken)) if known else F.array(F.lit(0))
+        made.append(F.transform(places, _short_seed(hashes, number, taken)))
+    return F.when(F.size(hashes) >= SPAN, F.concat(*made)).otherwise(F.array().cast(_NONE)).cast(_NONE)
+
+
+def tolerance(n: Column) -> Column:
+    """Tokens that may differ in the best window of an item of n tokens."""
+    return F.when(n >= WINDOW, SUBSTITUTED).when(n >= SPAN, SHORT_SUBSTITUTED).otherwise(0)
+
+
 def _tokens(norm: Column) -> Column:
     return F.split(norm, " ")
 
@@ -68,13 +98,30 @@ def _screen(tokens: DataFrame) -> DataFrame:
     return filled.agg(F.sort_array(F.collect_list("x")).alias("x")).select(F.col("x.bits").alias("screen"))
 
 
+def _whole(rows: DataFrame, items: DataFrame, length: int, screen: Column, shown: Callable[[Column], Column], broadcast_rows: int) -> DataFrame:
+    """The rows of contaminated() for items of `length` tokens, all of which must follow one another in a text. The words
+    themselves are joined, each run of them once for each text, so there is nothing to verify."""
+    phrase = lambda t, i: F.array_join(F.slice(t, i + 1, length), " ")
+    texts = rows.select("doc_id", _tokens(F.col("norm")).alias("d")).withColumn("screen", screen)
+    texts = texts.select("doc_id", "d", F.transform("d", lambda x: shown(F.xxhash64(x))).alias("known"))
+
+    places = F.when(F.size("d") >= length, F.filter(F.sequence(F.lit(0), F.size("d") - length), _all_known("known", list(range(length)))))
+    texts = texts.select("doc_id", "d", places.alias("places")).where(F.size("places") > 0)
+    found = texts.select("doc_id", F.explode(F.array_distinct(F.transform("places", lambda i: phrase("d", i)))).alias("phrase"))
+    wanted = items.select("item_id", F.array_join("t", " ").alias("phrase"))
+    few = wanted.limit(broadcast_rows + 1).count() <= broadcast_rows
+    n = F.lit(length).cast("long")
+    return found.join(F.broadcast(wanted) if few else wanted, "phrase").select("doc_id", "item_id", n.alias("window_matches"), n.alias("matched"), n.alias("item_tokens")).distinct()
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = BROADCAST_SEEDS) -> DataFrame:
     """A row (doc_id, item_id, window_matches, matched, item_tokens) for each document and item that overlap.
 
     Tokens are lower-case words between white space. A document overlaps an item if WINDOW aligned
-    tokens differ in at most SUBSTITUTED places; an item of SPAN to WINDOW - 1 tokens must occur
-    whole. Items of fewer tokens can't be told from common phrases and match nothing.
-    window_matches is the best window's number of equal tokens, matched that of the whole alignment.
+    tokens differ in at most SUBSTITUTED places. Of an item of SPAN to WINDOW - 1 tokens all are
+    aligned and SHORT_SUBSTITUTED may differ; an item of fewer tokens must occur word for word. Items without
+    tokens match nothing. window_matches is the best window's number of equal tokens, matched that
+    of the whole alignment; whoever finds very short items too common can choose by item_tokens.
 
     Masked hashes of test and training tokens are joined; the alignments hit are then compared token
     by token, so hash collisions add nothing. What is compared is the part of the text that lies
@@ -84,15 +131,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
     null id stands for all rows without id.
     """
     spark = docs.sparkSession
-    items = benchmark.select("item_id", words_of(F.col("text")).alias("norm")).distinct()
+    items = benchmark.select("item_id", words_of(F.col("text")).alias("norm")).where("norm <> ''").distinct()
     tokens = items.select("item_id", _tokens(F.col("norm")).alias("t"), F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
-    seeds = (
-        tokens.select("item_id", F.inline(_seeds("hashes")))
-        .select("item_id", F.col("seed").alias("item_seed"), F.col("pos").alias("item_pos"))
-    )
+    n = F.size("t")
+    middling = (n >= SPAN) & (n < WINDOW)
+    longest, short, lengths = tokens.agg(F.max(n), F.max(middling), F.sort_array(F.collect_set(F.when(n < SPAN, n)))).first()
+    longest = longest or 0
+    made = F.when(n >= WINDOW, _seeds("hashes")).when(middling, _short_seeds("hashes"))
+    seeds = tokens.select("item_id", F.inline(made)).select("item_id", F.col("seed").alias("item_seed"), F.col("pos").alias("item_pos"))
     seeds, seeds_path = write_scratch(seeds, "seeds")
     small = seeds.limit(broadcast_seeds + 1).count() <= broadcast_seeds
-    longest = tokens.agg(F.max(F.size("t"))).first()[0] or 0
     rows = docs.select("doc_id", words_of(F.col("text")).alias("norm")).withColumn("key", F.xxhash64("doc_id", "norm"))
     hashed = rows.select("key", F.transform(_tokens(F.col("norm")), lambda x: F.xxhash64(x)).alias("hashes"))
     screen = _screen(tokens).scalar()
@@ -103,7 +151,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
         return F.getbit(word, F.shiftrightunsigned(h, top).bitwiseAND(F.lit(63).cast("long")).cast("int")) == 1
 
     found = hashed.withColumn("screen", screen).select("key", "hashes", F.transform("hashes", shown).alias("known"))
-    found = found.select("key", F.inline(_seeds("hashes", "known")))
+    found = found.select("key", F.inline(F.concat(_seeds("hashes", "known"), _short_seeds("hashes", "known")) if short else _seeds("hashes", "known")))
     hits, hits_path = write_scratch(
         found.join(F.broadcast(seeds) if small else seeds, F.col("seed") == F.col("item_seed"))
         .select("key", "item_id", (F.col("pos") - F.col("item_pos")).alias("shift"))
@@ -129,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
     best = F.array_max(
         F.transform(F.sequence(F.lit(0), F.size("equal") - F.col("width")), lambda j: F.aggregate(F.slice("equal", j + 1, F.col("width")), F.lit(0), add))
     )
-    need = F.col("width") - F.when(F.col("width") == WINDOW, SUBSTITUTED).otherwise(0)
+    need = F.col("width") - tolerance(F.col("width"))
     judged = (
         aligned.where(F.size("t") > low)
         .select("doc_id", "item_id", F.size("t").alias("item_tokens"), equal.alias("equal"), width.alias("width"))
@@ -143,6 +191,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, broadcast_seeds: int = B
             F.max("item_tokens").cast("long").alias("item_tokens"),
         )
     )
+    for length in lengths:
+        judged = judged.unionByName(_whole(rows, tokens.where(n == length), length, screen, shown, broadcast_seeds))
     result, _ = write_scratch(judged, "overlaps")
     drop_scratch(spark, seeds_path, hits_path)
     return result

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillstone.llm.common import BROADCAST_ROWS, components, drop_scratch, free_shuffles, join_groups, set_batches, write_scratch
+from quillstone.llm.common import BROADCAST_ROWS, components, drop_scratch, free_shuffles, join_groups, join_spread, set_batches, write_scratch
 from quillstone.llm.textops import U, mix, shingles, text_slices
 
 WORDS, SIMILAR = 5, 0.8
@@ -158,20 +158,19 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     link, and two texts share at most the smaller of what either has left.
 
     Buckets, classes and copies of one text may hold any share of the rows: what is known of them goes
-    back to their rows by join_groups(). Null text counts as empty; texts without words stay alone. Null
-    ids are never a class_id unless no row of the class has another. Rows that repeat the id that stays
+    back to their rows by join_groups(). Null text counts as empty; rows without words stay alone each,
+    with or without an id. Null ids are never a class_id unless no row of the class has another. Rows that repeat the id that stays
     are all kept. Other columns are ignored.
     """
     spark = docs.sparkSession
     set_batches(spark)
     norm = words_of(F.col("text"))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), norm.alias("norm"))
-    # a text without words is its own node through its id, so that it links to nothing
-    alone = F.concat(F.lit("\n"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
-    rows = rows.withColumn("gid", F.unhex(F.md5(F.when(F.col("norm") == "", alone).otherwise(F.col("norm")))))
+    # a row without words is no node and links to nothing, whatever its id
+    rows = rows.withColumn("gid", F.when(F.col("norm") != "", F.unhex(F.md5("norm"))))
     signed, _ = write_scratch(rows.select("doc_id", "gid", "norm").mapInArrow(_sign, _SIGNED), "minhash")
     n_rows = signed.count()
-    nodes = signed.groupBy("gid").agg(F.min(F.struct("size", "bands")).alias("x"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
+    nodes = signed.where("gid is not null").groupBy("gid").agg(F.min(F.struct("size", "bands")).alias("x"), F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"))
     nodes, nodes_path = write_scratch(nodes.select("gid", "first_id", "copies", "x.size", "x.bands"), "minhash")
     free_shuffles(spark)
     banded = nodes.select("gid", "size", F.explode("bands").alias("band"))
@@ -197,12 +196,15 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     within = shared >= similar * (F.col("sa") + F.col("sb") - shared)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        """Pairs to links (a, b), each once; bags whose bounds are too low can't be similar."""
-        pairs = pairs.where(F.col("a") != F.col("b")).where(within)
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        left, right = texts.select(F.col("gid").alias("a"), F.col("norm").alias("ta")), texts.select(F.col("gid").alias("b"), F.col("norm").alias("tb"))
-        found = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-        return found.mapInArrow(_verify, "a binary, b binary, similarity double").where(F.col("similarity") >= similar).select("a", "b")
+        """Pairs (a: any text, b: a leader) to links (a, b), each once; bags whose bounds are too low can't be similar.
+
+        A leader has any number of pairs; its text goes once to so many of them, and theirs to it."""
+        pairs, path = write_scratch(pairs.where(F.col("a") != F.col("b")).where(within).select("a", "b").distinct(), "minhash")
+        paths.append(path)
+        text = lambda gid, as_: texts.select(F.col("gid").alias(gid), F.col("norm").alias(as_))
+        found = join_spread(join_spread(pairs, text("a", "ta"), "a", "b"), text("b", "tb"), "b", "a", pairs).select("a", "b", "ta", "tb")
+        alike = found.mapInArrow(_verify, "a binary, b binary, similarity double").where(F.col("similarity") >= similar)
+        return alike.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
     def kept_apart(placed: DataFrame) -> DataFrame:
         """Members of the buckets that hold several classes."""
@@ -220,10 +222,11 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         rows = rows.drop("most").join(own, "gid", "left").withColumn("most", F.col("size") - F.coalesce("own", F.lit(0))).drop("own")
         return rows.where(F.col("most") >= similar * F.col("size"))
 
+    paths: list[str] = []
     scored = scored.withColumn("most", F.col("size").cast("long"))
     leaders = scored.groupBy("band").agg(best().alias("leader"), F.first("n").alias("of"))
     links, links_path = write_scratch(verified(sides(join_groups(scored, leaders, ["band"], "of", n_scored, how="inner"), "leader")), "minhash")
-    paths = [links_path, scored_path, texts_path, nodes_path]
+    paths += [links_path, scored_path, texts_path, nodes_path]
     for step in ("leaders", "rest"):
         classes = components(links, "a", "b", "minhash")
         open_ = kept_apart(scored.join(classes.withColumnRenamed("node", "gid"), "gid", "left").withColumn("root", F.coalesce("root", "gid")))

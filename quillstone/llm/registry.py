@@ -100,7 +100,7 @@ _OVERLAPS = r"""
         SELECT doc_id, row_number() OVER () AS dr, string_split(norm, ' ') AS t
         FROM (SELECT DISTINCT doc_id, trim(regexp_replace(lower(coalesce(text, '')), '[\x20\x09-\x0D]+', ' ', 'g'), ' ') AS norm FROM documents)
     ), iw AS (
-        SELECT item_id, ir, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM i WHERE len(t) >= 8
+        SELECT item_id, ir, len(t) AS n, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM i WHERE t <> ['']
     ), dw AS (
         SELECT doc_id, dr, len(t) AS m, unnest(t) AS w, generate_subscripts(t, 1) AS p FROM d
     ), e AS (
@@ -115,7 +115,7 @@ _OVERLAPS = r"""
         FROM c GROUP BY dr, ir, shift
     )
     SELECT doc_id, item_id, max(best) AS window_matches, max(matched) AS matched, max(n) AS item_tokens
-    FROM a WHERE best >= width - CASE WHEN width = 13 THEN 2 ELSE 0 END
+    FROM a WHERE best >= width - CASE WHEN width = 13 THEN 2 WHEN width >= 8 THEN 1 ELSE 0 END
     GROUP BY doc_id, item_id
 """
 #: All windows of 100 bytes, as hexadecimal digits, from blocks of 1,000 starts; tables whose ids are present and differ.

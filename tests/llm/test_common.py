@@ -36,10 +36,38 @@ def test_components(spark, monkeypatch, few):
     assert {r.node: r.root for r in got} == {n: find(n) for n in linked} and len(got) == len(linked)
 
 
-def test_shared_folder_comes_from_the_session(spark):
-    assert common.shared_dir(spark) == "/tmp/checkpoints"
-    spark.conf.set("spark.checkpoint.dir", "file:///tmp/other/")
+def test_join_spread_is_a_plain_join_in_which_no_task_gets_a_hot_key(spark):
+    rows = spark.createDataFrame([(1 if k % 3 == 0 else k, k) for k in range(900)], "a int, b int")
+    values = spark.createDataFrame([(k, f"text {k}") for k in range(0, 900, 2)] + [(1, "one")], "a int, text string")
+    plain = sorted(map(tuple, rows.join(values, "a").select("a", "b", "text").collect()))
+    for few in (10**6, 0):
+        got = common.join_spread(rows, values, "a", "b", per=10, few=few)
+        assert sorted(map(tuple, got.select("a", "b", "text").collect())) == plain
+    for k, v in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        spark.conf.set(k, v)
     try:
-        assert common.shared_dir(spark) == "file:///tmp/other"
+        placed = common.join_spread(rows, values, "a", "b", per=10, few=0).where("a = 1").groupBy(F.spark_partition_id()).count().collect()
     finally:
-        spark.conf.unset("spark.checkpoint.dir")
+        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"):
+            spark.conf.unset(k)
+    assert len(placed) == 4 and max(r["count"] for r in placed) < 150
+
+
+class Session:
+    """What shared_dir() asks of a session."""
+
+    def __init__(self, master, settings):
+        self.sparkContext = type("Context", (), {"master": master})
+        self.conf = settings
+
+
+@pytest.mark.parametrize("master", ["local[4]", "local-cluster[3,2,3000]", "yarn"])
+def test_shared_folder_comes_from_the_session(master):
+    assert common.shared_dir(Session(master, {"spark.checkpoint.dir": "hdfs://store/shared/"})) == "hdfs://store/shared"
+
+
+def test_only_one_machine_may_leave_the_shared_folder_unset():
+    assert common.shared_dir(Session("local[4]", {})) == "/tmp/checkpoints"
+    for master in ("local-cluster[3,2,3000]", "yarn"):
+        with pytest.raises(ValueError):
+            common.shared_dir(Session(master, {}))

@@ -4,7 +4,7 @@ from itertools import combinations
 import numpy as np
 
 from quillstone.llm import decontamination
-from quillstone.llm.decontamination import MASKS, SPAN, SUBSTITUTED, WINDOW, contaminated
+from quillstone.llm.decontamination import MASKS, SHORT_MASKS, SHORT_SUBSTITUTED, SPAN, SUBSTITUTED, WINDOW, contaminated
 from tests.llm.cases import CLASH, docs
 
 
@@ -15,6 +15,23 @@ def test_masks_find_every_window_within_the_tolerance():
         )
 
 
+def test_short_masks_find_every_item_with_one_token_replaced():
+    assert SHORT_SUBSTITUTED == 1
+    for length in range(SPAN, WINDOW):
+        for wrong in range(length):
+            assert any(all(k != wrong for k, bit in enumerate(m) if bit == "1") for m in SHORT_MASKS)
+
+
+def test_short_items(spark):
+    w = [f"w{k}" for k in range(12)]
+    bench = spark.createDataFrame([(n, " ".join(w[:n])) for n in (1, 2, 6, 7, 8, 10, 12)], "item_id long, text string")
+    swapped = lambda n, *at: " ".join("x" if k in at else t for k, t in enumerate(w[:n]))
+    texts = ["a " + " ".join(w[:6]) + " b", swapped(10, 4), swapped(10, 0, 9), swapped(8, 7), swapped(12, 0), swapped(6, 3), "w0w1 W0 ", ""]
+    got = sorted((r.doc_id, r.item_id, r.matched) for r in contaminated(docs(spark, texts), bench).collect())
+    assert [x[:2] for x in got] == sorted(brute(enumerate(texts), [(n, " ".join(w[:n])) for n in (1, 2, 6, 7, 8, 10, 12)]))
+    assert {(0, 6, 6), (1, 10, 9), (3, 8, 7), (4, 12, 11), (6, 1, 1)} <= set(got) and not any(i == 2 and j == 10 for i, j, _ in got)
+
+
 def brute(texts, items):
     """All windows of all alignments, a matrix of equal tokens for each document and item."""
     number, out = {}, set()
@@ -24,11 +41,11 @@ def brute(texts, items):
         d = coded(t)
         for j, b in held:
             w = min(WINDOW, len(b))
-            if w < SPAN or len(d) < w:
+            if not w or len(d) < w:
                 continue
             same = (d[:, None] == b[None, :]).astype(np.int8)
             rows, columns = len(d) - w + 1, len(b) - w + 1
-            if sum(same[k : k + rows, k : k + columns] for k in range(w)).max() >= w - (SUBSTITUTED if w == WINDOW else 0):
+            if sum(same[k : k + rows, k : k + columns] for k in range(w)).max() >= w - (SUBSTITUTED if w == WINDOW else SHORT_SUBSTITUTED if w >= SPAN else 0):
                 out.add((i, j))
     return out
 
@@ -37,7 +54,7 @@ def test_equals_brute_force(spark):
     rng = random.Random(8)
     vocabulary = ["the", "of", "and"] + ["".join(rng.choices("abcdeé", k=4)) for _ in range(60)]
     prose = lambda n: rng.choices(vocabulary, k=n)
-    items = [(k, " ".join(prose(rng.choice([5, 8, 10, 13, 20, 40])))) for k in range(25)] + [(90, None), (91, ""), (92, "the " * 30)]
+    items = [(k, " ".join(prose(rng.choice([1, 2, 5, 8, 10, 13, 20, 40])))) for k in range(25)] + [(90, None), (91, ""), (92, "the " * 30)]
     texts = [None, "", "the", "the " * 40]
     for _ in range(150):
         t = prose(rng.randint(0, 60))

@@ -4,6 +4,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 
+from quillstone.llm import common
 from quillstone.llm.common import table
 from quillstone.llm.minhash import REGISTERS, bags, near_duplicates, overlap, signatures
 from quillstone.llm.textops import text_slices
@@ -74,6 +75,18 @@ def test_classes_equal_brute_force(spark):
         assert all(r.class_size == sizes[r.class_id] and r.kept == (r.doc_id == r.class_id) for r in got)
 
 
+def test_a_third_of_the_rows_in_one_class(spark, monkeypatch):
+    """The leader of that class has hundreds of pairs, which are dealt out."""
+    monkeypatch.setattr(common, "SPREAD_ROWS", 16)
+    rng = random.Random(8)
+    base = [f"w{k}" for k in range(60)]
+    texts = [" ".join(base[:k] + [f"x{n}"] + base[k + 1 :]) for n in range(200) for k in [rng.choice([0, 1, 58, 59])]]
+    texts += [" ".join(rng.choices([f"v{k}" for k in range(900)], k=50)) for _ in range(400)]
+    classes = {r.doc_id: r.class_id for r in near_duplicates(docs(spark, texts)).collect()}
+    assert classes == brute(list(enumerate(texts)))
+    assert sum(c == 0 for c in classes.values()) == 200
+
+
 def test_recall_of_similar_pairs(spark):
     """Queries: every row whose id is divisible by 50, against all rows; found: in the same class."""
     rows = [(r.doc_id, bag(r.text)) for r in table(spark, "/root/testdata/sf0.01", "documents").collect()]
@@ -92,4 +105,6 @@ def test_null_ids_repeated_rows_and_no_rows(spark):
     assert sorted((str(r.doc_id), str(r.class_id), r.class_size, r.kept) for r in got) == [
         ("3", "3", 1, True), ("7", "7", 3, True), ("7", "7", 3, True), ("None", "7", 3, False), ("None", "None", 1, True)
     ]
+    got = near_duplicates(docs(spark, [None, "", " ", "a b c", ""], [None, None, None, None, 4])).collect()
+    assert sorted((str(r.doc_id), str(r.class_id), r.class_size, r.kept) for r in got) == [("4", "4", 1, True)] + [("None", "None", 1, True)] * 4
     assert near_duplicates(docs(spark, [])).count() == 0

@@ -1,9 +1,11 @@
 import re
+import zlib
 
 import pytest
 
 import corpus_pipeline
 from quillstone.llm.common import table
+from quillstone.llm.labelled import training_rows
 from tests.llm import test_decontamination, test_minhash
 from pyspark.sql import functions as F
 
@@ -84,3 +86,30 @@ def test_more_rejected_rows_than_are_broadcast(spark, monkeypatch):
     frame = docs(spark, ["A", "B", "A", "A"], [5, 6, 7, 8], DOCS)
     monkeypatch.setattr(corpus_pipeline, "BROADCAST_KEYS", 1)
     assert sorted(r.doc_id for r in corpus_pipeline.exact(spark, frame, SF).collect()) == [5, 6]
+
+
+def test_a_repeated_id_changes_no_other_training_row(spark, monkeypatch):
+    """Labels and the held-out fold go by the documents' own ids, also where an id stands for two texts."""
+    seen = []
+
+    def fit(docs, labels):
+        seen.append({tuple(r) for r in training_rows(docs, labels, "toxic", 5_000, 1 << 12).collect()})
+        return {}
+
+    monkeypatch.setattr(corpus_pipeline, "fit_toxicity", fit)
+    monkeypatch.setattr(corpus_pipeline, "score_toxicity", lambda docs, labels, model: docs.selectExpr("doc_id", "0 AS predicted"))
+    frame = table(spark, SF, "documents")
+    again = frame.where("doc_id = 3").withColumn("text", F.lit("another text under the same id"))
+    kept = [corpus_pipeline.toxicity(spark, x, SF).count() for x in (frame, frame.unionByName(again))]
+    plain, repeated = seen
+    assert kept == [frame.count(), frame.count() + 1] and len(plain) > 20
+    assert {r for r in plain if r[0] != 3} == {r for r in repeated if r[0] != 3}
+    labels = {r.doc_id: r.toxic for r in table(spark, SF, "labels").collect()}
+    texts = {r.doc_id: r.text for r in frame.collect()}
+    assert all(labels[i] == y and texts[i] == t and zlib.crc32(str(i).encode()) % 5 for i, t, y in plain)
+
+
+def test_short_benchmark_items_reject_no_documents(spark, tmp_path):
+    spark.createDataFrame([(1, "one two"), (2, "one two three four five")], "item_id long, text string").write.parquet(str(tmp_path / "benchmark.parquet"))
+    frame = docs(spark, ["one two is here", "and one two three four five", "else"], schema=DOCS)
+    assert ids(corpus_pipeline.decontamination(spark, frame, str(tmp_path))) == [(False, 0), (False, 2)]
