@@ -10,12 +10,14 @@ from quillstone.llm.decontamination import contaminated
 from quillstone.llm.exact_dedup import exact_dedup
 from quillstone.llm.minhash import near_duplicates
 from quillstone.llm.pieces import encode_documents
-from quillstone.llm.toxicity import score_toxicity
+from quillstone.llm.toxicity import fit_toxicity, score_toxicity
 
 #: Ranges of ids within which rows are numbered where an id stands for different texts.
 RANGES = 200
 #: Keys of rejected rows, of 8 bytes each, up to which they are broadcast, so that the documents stay where they are.
 BROADCAST_KEYS = 1_000_000
+#: Tokens that a benchmark item has at least for documents that hold it to be rejected: a shorter one is a common phrase.
+ITEM_TOKENS = 5
 
 
 def _keyed(docs: DataFrame) -> tuple[DataFrame, str]:
@@ -53,9 +55,14 @@ def _without(docs: DataFrame, key: str, rejected: DataFrame) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not predicted toxic."""
+    """Documents that are not predicted toxic.
+
+    The model is trained by the documents' own ids, by which labels and the held-out fold go, not by the
+    keys that rows have within the stage; the rows are scored by their text alone.
+    """
     rows, key = _keyed(docs)
-    return _without(rows, key, score_toxicity(_judged(rows, key), table(spark, sf_dir, "labels")).where("predicted = 1"))
+    model = fit_toxicity(docs.select("doc_id", "text"), table(spark, sf_dir, "labels"))
+    return _without(rows, key, score_toxicity(_judged(rows, key), None, model=model).where("predicted = 1"))
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -73,9 +80,10 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that overlap no benchmark item."""
+    """Documents that overlap no benchmark item of at least ITEM_TOKENS tokens."""
     rows, key = _keyed(docs)
-    return _without(rows, key, contaminated(_judged(rows, key), table(spark, sf_dir, "benchmark")))
+    found = contaminated(_judged(rows, key), table(spark, sf_dir, "benchmark"))
+    return _without(rows, key, found.where(F.col("item_tokens") >= ITEM_TOKENS))
 
 
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
