@@ -7,14 +7,15 @@ begins with the header `Article k+1` and ends in a citation.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import ids, text as tx
-from quillstone.operators import chunking, citations, contexts, gates, graph, lexical
-from quillstone.plans import build
+from quillstone.operators import chunking, citations, contexts, gates, graph, inverted, lexical
+from quillstone.plans import build, stages
 from quillstone.sources import planning
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -468,6 +469,62 @@ def bm25_topk_stemmed(spark, sf_dir):
     return lexical.search(lexical.postings(rows), lexical.lengths(rows), BM25_QUERY, 50)
 
 
+def _indexed(rows):
+    """An index of rows that is unstemmed, as SQL can be, in a folder of its own."""
+    index = inverted.Index(rows.sparkSession, f"{stages.shared_folder(rows.sparkSession)}/quillstone-index-{uuid.uuid4().hex}", "unicode61")
+    index.build(rows)
+    return index
+
+
+#: A search over the chunks that `live` has, of the terms and phrases that `q` (nth, term) and `ps` (phrase, chunk_id, tf_context, tf_text) have.
+_SEARCH = """, n1 AS (SELECT count(*) AS n, avg(length) AS average FROM ln WHERE chunk_id IN (SELECT chunk_id FROM live)),
+    df1 AS (SELECT phrase, count(*) AS df FROM ps GROUP BY phrase),
+    sx1 AS (
+        SELECT chunk_id, nth, CASE WHEN ln((n - df + 0.5) / (df + 0.5)) <= 0 THEN 1e-6 ELSE ln((n - df + 0.5) / (df + 0.5)) END
+            * ((tf_context + 2.0::DOUBLE * tf_text) * 2.2::DOUBLE / (tf_context + 2.0::DOUBLE * tf_text + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average))) AS part
+        FROM ps JOIN q USING (phrase) JOIN df1 USING (phrase) JOIN ln USING (chunk_id), n1
+    ), best AS (SELECT chunk_id, list_sum(list(part ORDER BY nth)) AS score FROM sx1 GROUP BY chunk_id)
+    SELECT chunk_id, round(score, 6) AS score FROM best ORDER BY best.score DESC, chunk_id LIMIT 50"""
+
+
+@_query(f""", live AS (SELECT chunk_id FROM c), q AS (SELECT unnest(range(5)) AS nth, unnest(string_split('{BM25_QUERY}', ' ')) AS phrase),
+    ps AS (SELECT term AS phrase, chunk_id, tf_context, tf_text FROM po WHERE term IN (SELECT phrase FROM q)){_SEARCH}""")
+def index_search(spark, sf_dir):
+    """A search on a stored index, which skips the blocks that can't reach the best 50."""
+    return _indexed(corpus(spark, sf_dir)).search(BM25_QUERY, 50).select("chunk_id", F.round("score", 6).alias("score"))
+
+
+@_query(f""", live AS (SELECT chunk_id FROM c WHERE d % 100 <> 1), q AS (SELECT unnest(range(5)) AS nth, unnest(string_split('{BM25_QUERY}', ' ')) AS phrase),
+    ps AS (SELECT term AS phrase, chunk_id, tf_context, tf_text FROM po WHERE term IN (SELECT phrase FROM q) AND chunk_id IN (SELECT chunk_id FROM live)){_SEARCH}""")
+def index_updated_search(spark, sf_dir):
+    """Of an index that held 1 % of the chunks with other texts, lacked 1 % and had 1 % that have gone: the rows of one built anew."""
+    rows = corpus(spark, sf_dir)
+    old = rows.where("d % 100 <> 3").withColumn("text", F.when(F.col("d") % 100 == 2, F.concat("text", F.lit(" idiot thorough"))).otherwise(F.col("text")))
+    index = _indexed(old)
+    index.update(rows.where("d % 100 IN (2, 3)"), rows.where("d % 100 = 1").select("chunk_id"))
+    return index.search(BM25_QUERY, 50).select("chunk_id", F.round("score", 6).alias("score"))
+
+
+PHRASE_QUERY = "idiot of_the in_the_of la_de"
+
+
+@_query(f""", live AS (SELECT chunk_id FROM c), q AS (SELECT unnest(range(4)) AS nth, unnest(string_split('{PHRASE_QUERY}', ' ')) AS phrase),
+    tp AS (SELECT chunk_id, regexp_extract_all(lower(text), '([\\p{{L}}\\p{{N}}\\p{{Co}}][\\p{{L}}\\p{{N}}\\p{{Co}}\\x{{300}}-\\x{{331}}]*)') AS ts FROM c),
+    ti AS (SELECT chunk_id, unnest(ts) AS a, generate_subscripts(ts, 1) AS k, ts FROM tp),
+    ps AS (SELECT phrase, chunk_id, 0 AS tf_context, count(*) AS tf_text FROM ti, q WHERE a = string_split(phrase, '_')[1] AND ts[k : k + len(string_split(phrase, '_')) - 1] = string_split(phrase, '_') GROUP BY ALL){_SEARCH}""")
+def index_phrases(spark, sf_dir):
+    """Words with underscores are phrases: their tokens have to follow one another."""
+    return _indexed(corpus(spark, sf_dir)).search(PHRASE_QUERY, 50).select("chunk_id", F.round("score", 6).alias("score"))
+
+
+@_query("SELECT term, chunk_id, array_to_string(list_sort(list(k) FILTER (field = 0)), ',') AS context, array_to_string(list_sort(list(k) FILTER (field = 1)), ',') AS text FROM ("
+    "SELECT chunk_id, field, unnest(ts) AS term, generate_subscripts(ts, 1) - 1 AS k FROM (SELECT chunk_id, f AS field, regexp_extract_all(lower(CASE WHEN f = 0 THEN context ELSE text END), "
+    "'([\\p{L}\\p{N}\\p{Co}][\\p{L}\\p{N}\\p{Co}\\x{300}-\\x{331}]*)') AS ts FROM c, (SELECT unnest([0, 1]) AS f))) GROUP BY term, chunk_id")
+def positional_postings(spark, sf_dir):
+    rows = inverted.positional_postings(corpus(spark, sf_dir), stemmed=False)
+    return rows.select("term", "chunk_id", *[F.nullif(F.array_join(c, ","), F.lit("")).alias(c) for c in ("context", "text")])
+
+
 @_query("""SELECT conv_id, turn, array_to_string(list_transform(regexp_extract_all(text, '([\\p{L}\\p{N}\\p{M}_]+)'), lambda x: '"' || x || '"'), ' OR ') AS query FROM conversations""")
 def match_query(spark, sf_dir):
     return table(spark, sf_dir, "conversations").select("conv_id", "turn", tx.match_query(F.col("text")).alias("query"))

@@ -8,8 +8,10 @@ import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -122,27 +124,35 @@ def stem(token: str) -> str:
     return _porter.stem(fold(token))
 
 
-@F.pandas_udf(T.StringType())
-def _stems(words: Iterator[pd.Series]) -> Iterator[pd.Series]:
-    for batch in words:
-        yield batch.map(stem)
+@lru_cache(maxsize=1_000_000)
+def _known(token: str) -> str:
+    return stem(token)
 
 
-def _occurrences(chunks: DataFrame) -> DataFrame:
-    """(chunk_id, field, word) for every token of context (0) and text (1)."""
-    field = lambda n, c: F.transform(tokens(F.coalesce(F.col(c), F.lit(""))), lambda t: F.struct(F.lit(n).alias("field"), t.alias("word")))
-    return chunks.select("chunk_id", F.inline(F.concat(field(0, "context"), field(1, "text"))))
+@F.arrow_udf(T.ArrayType(T.StringType()))
+def _stemmed(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    """Lists of tokens to lists of stems: each distinct token of a batch is stemmed once, and remembered."""
+    for batch in lists:
+        coded = batch.flatten().dictionary_encode()
+        stems = pa.array([_known(w) for w in coded.dictionary.to_pylist()], pa.string())
+        sizes = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False)
+        ends = pa.array(np.r_[0, np.cumsum(sizes)].astype(np.int32))
+        yield pa.ListArray.from_arrays(ends, stems.take(coded.indices) if len(coded) else stems.cast(pa.string()))
+
+
+def terms(text: Column, stemmed: bool = True) -> Column:
+    """The terms of a text (null: none) in their order."""
+    found = tokens(F.coalesce(text, F.lit("")))
+    return _stemmed(found) if stemmed else found
 
 
 def postings(chunks: DataFrame, stemmed: bool = True) -> DataFrame:
-    """(term, chunk_id, tf_context, tf_text). Words are counted before they are stemmed, so that the
-    stemmer sees each distinct word once: it runs over the vocabulary, not over the occurrences."""
+    """(term, chunk_id, tf_context, tf_text). Tokens are stemmed where they lie, within a chunk's row, so that the
+    commonest word goes nowhere but to the counts by (term, chunk)."""
+    rows = chunks.select("chunk_id", terms(F.col("context"), stemmed).alias("c"), terms(F.col("text"), stemmed).alias("t"))
+    field = lambda n, c: F.transform(c, lambda t: F.struct(F.lit(n).alias("field"), t.alias("term")))
     n = lambda f: F.count_if(F.col("field") == f)
-    counts = _occurrences(chunks).groupBy("word", "chunk_id").agg(n(0).alias("tf_context"), n(1).alias("tf_text"))
-    if not stemmed:
-        return counts.withColumnRenamed("word", "term")
-    stemmed_words = counts.select("word").distinct().withColumn("term", _stems("word"))
-    return counts.join(stemmed_words, "word").groupBy("term", "chunk_id").agg(F.sum("tf_context").alias("tf_context"), F.sum("tf_text").alias("tf_text"))
+    return rows.select("chunk_id", F.inline(F.concat(field(0, "c"), field(1, "t")))).groupBy("term", "chunk_id").agg(n(0).alias("tf_context"), n(1).alias("tf_text"))
 
 
 def lengths(chunks: DataFrame) -> DataFrame:
@@ -177,12 +187,18 @@ def scores(posted: DataFrame, sizes: DataFrame, terms: list[str], weights: tuple
     return parts.select("chunk_id", F.aggregate("xs", F.lit(0.0), lambda acc, x: acc + x["part"]).alias("score"))
 
 
+def query_phrases(text: str, stemmed: bool = True) -> list[list[str]]:
+    """A query's words, each as the list of its tokens: a word with underscores is a phrase, since these divide tokens but not words."""
+    of = lambda c: unicodedata.category(c)
+    kept = "".join(c if of(c)[0] in "LN" or of(c) == "Co" or "\u0300" <= c <= "\u0331" or c == "_" else " " for c in text.lower())
+    marks = "".join(map(chr, range(0x300, 0x332)))
+    found = [[t for t in (x.lstrip(marks) for x in word.split("_")) if t] for word in kept.split()]
+    return [[stem(t) for t in word] if stemmed else word for word in found if word]
+
+
 def query_terms(text: str, stemmed: bool = True) -> list[str]:
     """The tokens of a query by the rule of tokens()."""
-    of = lambda c: unicodedata.category(c)
-    kept = "".join(c if of(c)[0] in "LN" or of(c) == "Co" or "\u0300" <= c <= "\u0331" else " " for c in text.lower())
-    found = [t for t in (x.lstrip("".join(map(chr, range(0x300, 0x332)))) for x in kept.split()) if t]
-    return [stem(t) for t in found] if stemmed else found
+    return [t for word in query_phrases(text, stemmed) for t in word]
 
 
 def search(posted: DataFrame, sizes: DataFrame, text: str, top_k: int = 50, stemmed: bool = True, weights: tuple[float, float] = WEIGHTS) -> DataFrame:
@@ -211,9 +227,18 @@ def bucket_digests(chunks: DataFrame, digits: int = 4) -> DataFrame:
 
     The digits grow with the corpus: a bucket's list is one value, of some 64 characters a chunk.
     """
+    return digests_of(row_hashes(chunks), digits)
+
+
+def row_hashes(chunks: DataFrame) -> DataFrame:
+    """(chunk_id, h): the SHA-256 of what is indexed of a chunk."""
+    return chunks.select("chunk_id", F.sha2(F.concat_ws(SEPARATOR, "chunk_id", F.coalesce("context", F.lit("")), "text"), 256).alias("h"))
+
+
+def digests_of(hashes: DataFrame, digits: int = 4) -> DataFrame:
+    """bucket_digests() from row_hashes()."""
     bucket = F.substring(F.sha2("chunk_id", 256), 1, digits)
-    row = F.sha2(F.concat_ws(SEPARATOR, "chunk_id", F.coalesce("context", F.lit("")), "text"), 256)
-    rows = chunks.select(bucket.alias("bucket"), F.struct("chunk_id", row.alias("h")).alias("x"))
+    rows = hashes.select(bucket.alias("bucket"), F.struct("chunk_id", "h").alias("x"))
     return rows.groupBy("bucket").agg(
         F.count(F.lit(1)).alias("n"), F.sha2(F.array_join(F.transform(F.array_sort(F.collect_list("x")), lambda x: x["h"]), ""), 256).alias("digest")
     )
@@ -221,56 +246,13 @@ def bucket_digests(chunks: DataFrame, digits: int = 4) -> DataFrame:
 
 def fingerprint(chunks: DataFrame, tokenize: str = TOKENIZE, weights: tuple[float, float] = WEIGHTS) -> DataFrame:
     """One row: chunk_count, digest of the buckets' digests in order, tokenize, weights, schema_version."""
+    return fingerprint_of(row_hashes(chunks), tokenize, weights)
+
+
+def fingerprint_of(hashes: DataFrame, tokenize: str = TOKENIZE, weights: tuple[float, float] = WEIGHTS) -> DataFrame:
+    """fingerprint() from row_hashes()."""
     listed = F.array_sort(F.collect_list(F.struct("bucket", "digest")))
-    whole = bucket_digests(chunks).agg(
+    whole = digests_of(hashes).agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("chunk_count"), F.sha2(F.array_join(F.transform(listed, lambda x: x["digest"]), ""), 256).alias("digest")
     )
     return whole.select("*", F.lit(tokenize).alias("tokenize"), F.lit(json.dumps(list(weights))).alias("weights"), F.lit(SCHEMA_VERSION).alias("schema_version"))
-
-
-class Index:
-    """An index in a folder. Its fingerprint is removed before anything is written and written last."""
-
-    def __init__(self, spark: SparkSession, path: str, tokenize: str = TOKENIZE, weights: tuple[float, float] = WEIGHTS):
-        if not re.fullmatch("[a-z0-9_ ]+", tokenize):
-            raise ValueError(f"not a tokenizer: {tokenize}")
-        self.spark, self.path, self.tokenize, self.weights = spark, path, tokenize, weights
-
-    @property
-    def stemmed(self) -> bool:
-        return "porter" in self.tokenize.split()
-
-    def _fs(self):
-        at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.path}/meta")
-        return at.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), at
-
-    def built(self) -> bool:
-        fs, at = self._fs()
-        return fs.exists(self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(at, "_SUCCESS"))
-
-    def invalidate(self) -> None:
-        fs, at = self._fs()
-        fs.delete(at, True)
-
-    def fingerprint(self, chunks: DataFrame) -> DataFrame:
-        return fingerprint(chunks, self.tokenize, self.weights)
-
-    def build(self, chunks: DataFrame) -> None:
-        self.invalidate()
-        posted = postings(chunks, self.stemmed)
-        posted.repartitionByRange("term", "chunk_id").sortWithinPartitions("term", "chunk_id").write.mode("overwrite").parquet(f"{self.path}/postings")
-        lengths(chunks).write.mode("overwrite").parquet(f"{self.path}/lengths")
-        made = F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("built_at")
-        self.fingerprint(chunks).select("*", made).coalesce(1).write.mode("overwrite").parquet(f"{self.path}/meta")
-
-    def is_stale(self, chunks: DataFrame) -> bool:
-        if not self.built():
-            return True
-        old = self.spark.read.parquet(f"{self.path}/meta").drop("built_at").collect()
-        return old != self.fingerprint(chunks).collect()
-
-    def search(self, text: str, top_k: int = 50) -> DataFrame:
-        if not self.built():
-            raise NotBuiltError(self.path)
-        read = self.spark.read.parquet
-        return search(read(f"{self.path}/postings"), read(f"{self.path}/lengths"), text, top_k, self.stemmed, self.weights)

@@ -14,7 +14,7 @@ from quillstone.operators.chunking import html_blocks, parse_pages, structural_c
 from quillstone.operators.citations import references
 from quillstone.operators.contexts import valid_pins, with_contexts
 from quillstone.operators.graph import adjacent_edges, anchor_index, candidates, document_anchors, reference_edges, replace_edges, resolve, scopes
-from quillstone.operators.lexical import Index
+from quillstone.operators.inverted import Index
 from quillstone.plans.stages import Stages
 
 #: Columns that the stored tables must have.

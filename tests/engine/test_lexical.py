@@ -3,7 +3,7 @@ import sqlite3
 
 import pytest
 
-from quillstone.operators import lexical
+from quillstone.operators import inverted, lexical
 
 
 def chunks(spark, rows):
@@ -14,7 +14,7 @@ def fts(rows, query, k=50):
     db = sqlite3.connect(":memory:")
     db.execute("CREATE VIRTUAL TABLE f USING fts5(chunk_id UNINDEXED, context, text, tokenize='porter unicode61')")
     db.executemany("INSERT INTO f VALUES (?,?,?)", [(i, c or "", t) for i, c, t in rows])
-    match = " OR ".join(f'"{w}"' for w in query.split())
+    match = " OR ".join(f'"{w}"' for w in query.split())  # a word with underscores is a phrase there
     return [(i, -s) for i, s in db.execute("SELECT chunk_id, bm25(f, 0.0, 1.0, 2.0) s FROM f WHERE f MATCH ? ORDER BY s, chunk_id LIMIT ?", (match, k))]
 
 
@@ -64,15 +64,79 @@ def test_stems_equal_sqlite():
 def test_index_is_stale_after_any_change(spark, tmp_path):
     rows = [("a", "ctx", "protein"), ("b", None, "law")]
     frame = chunks(spark, rows)
-    index = lexical.Index(spark, str(tmp_path / "i"))
+    index = inverted.Index(spark, str(tmp_path / "i"))
     with pytest.raises(lexical.NotBuiltError):
         index.search("law")
     assert index.is_stale(frame)
     index.build(frame)
     assert not index.is_stale(frame) and index.search("laws").first().chunk_id == "b"
     assert index.is_stale(chunks(spark, [("a", "other", "protein"), rows[1]])) and index.is_stale(chunks(spark, rows[:1]))
-    assert lexical.Index(spark, index.path, weights=(1.0, 1.0)).is_stale(frame) and lexical.Index(spark, index.path, "unicode61").is_stale(frame)
+    assert inverted.Index(spark, index.path, weights=(1.0, 1.0)).is_stale(frame) and inverted.Index(spark, index.path, "unicode61").is_stale(frame)
     index.invalidate()
     assert not index.built()
     with pytest.raises(ValueError):
-        lexical.Index(spark, index.path, "porter'; drop")
+        inverted.Index(spark, index.path, "porter'; drop")
+
+
+def same(got, want):
+    got = [(r.chunk_id, r.score) for r in got.collect()]
+    assert [i for i, _ in got] == [i for i, _ in want]
+    assert all(abs(a - b) < 1e-9 for (_, a), (_, b) in zip(got, want))
+
+
+def texts(rng, n, first=0):
+    return [(f"c{first + i:04d}", rng.choice([None, "", " ".join(rng.choices(WORDS, k=4))]), " ".join(rng.choices(WORDS, k=rng.randint(0, 30)))) for i in range(n)]
+
+
+def test_phrases_equal_sqlite(spark, tmp_path):
+    rng = random.Random(3)
+    rows = [(i, c, t.replace(" protein", rng.choice([" protein", "_protein"]))) for i, c, t in texts(rng, 150)]
+    rows += [("x0", "a a a", "b a a a b"), ("x1", "a", "a b"), ("x2", "protein", "synthesis")]
+    index = inverted.Index(spark, str(tmp_path / "i"))
+    index.build(chunks(spark, rows))
+    for query in ("protein_synthesis", "damage_liabilities not", "a_a", "a_b protein_synthesis_the", "the_the the", "gone_never", "sky__cry"):
+        same(index.search(query), fts(rows, query))
+    assert lexical.query_phrases("foo_Bar _x_ __ a", False) == [["foo", "bar"], ["x"], ["a"]]
+
+
+def test_updates_equal_a_rebuild(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inverted, "MOST_SEGMENTS", 2)
+    rng = random.Random(4)
+    rows = dict((r[0], r) for r in texts(rng, 300))
+    index = inverted.Index(spark, str(tmp_path / "i"))
+    index.build(chunks(spark, list(rows.values())))
+    seen = []
+    for step in range(3):
+        changed = [(i, *texts(rng, 1)[0][1:]) for i in rng.sample(sorted(rows), 3)] + texts(rng, 3, 1000 + 10 * step)
+        gone = [i for i in rng.sample(sorted(rows), 4) if i not in {r[0] for r in changed}]
+        index.update(chunks(spark, changed + changed[:1]), spark.createDataFrame([(i,) for i in [*gone, "never"]], "chunk_id string"))
+        rows |= {r[0]: r for r in changed}
+        rows = {i: r for i, r in rows.items() if i not in gone}
+        whole = chunks(spark, list(rows.values()))
+        assert not index.is_stale(whole) and index.is_stale(whole.limit(5))
+        fresh = inverted.Index(spark, str(tmp_path / f"fresh{step}"))
+        fresh.build(whole)
+        for query in ("damages", "liability protein protein", "protein_synthesis the"):
+            assert index.search(query).collect() == fresh.search(query).collect()
+            same(index.search(query), fts(list(rows.values()), query))
+        seen.append((len(index.version()["segments"]), len(index.version()["marks"])))
+    assert seen == [(2, 1), (1, 0), (2, 1)]
+    index.update(chunks(spark, []), whole.select("chunk_id"))
+    assert index.search("the").count() == 0
+
+
+def test_blocks_that_cannot_reach_the_best_are_skipped(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(inverted, "BLOCK_CHUNKS", 8)
+    rng = random.Random(5)
+    rows = [(f"c{i:04d}", None, " ".join(["common"] * (1 + (i % 97 == 0) * 9) + ["rare"] * (i % 211 == 0) + rng.choices(["x", "y", "z"], k=20))) for i in range(2000)]
+    index = inverted.Index(spark, str(tmp_path / "i"))
+    index.build(chunks(spark, rows))
+    index.update(chunks(spark, []), spark.createDataFrame([(f"c{i:04d}",) for i in range(0, 2000, 97 * 3)], "chunk_id string"))
+    for query, k in (("common", 5), ("common rare", 5), ("rare", 3), ("common rare x", 40)):
+        pruned = index.search(query, k).collect()
+        report = index.report
+        assert pruned == index.search(query, k, prune=False).collect() and len(pruned) == k
+        if query != "rare":
+            assert report.blocks > 100
+        if query in ("common", "common rare"):
+            assert report.skipped > report.blocks / 2
