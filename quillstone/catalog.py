@@ -582,6 +582,37 @@ def html_blocks(spark, sf_dir):
     return chunking.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html")
 
 
+#: Blocks of the driver's pages, whose headings are all of level 1, packed up to 2,048 characters; longer ones by sentences and words.
+_PACKED = _BLOCKS + r""", bh AS (
+        SELECT doc, pos, kind, text, last_value(CASE WHEN kind = 'heading' THEN text END IGNORE NULLS) OVER (PARTITION BY doc ORDER BY pos) AS path FROM blocks
+    ), bs AS (
+        SELECT doc, pos, path, text, sum(CASE WHEN turn THEN 1 ELSE 0 END) OVER (PARTITION BY doc ORDER BY pos) AS sec
+        FROM (SELECT *, row_number() OVER w = 1 OR lag(path) OVER w IS DISTINCT FROM path AS turn FROM bh WHERE kind <> 'heading' WINDOW w AS (PARTITION BY doc ORDER BY pos))
+    ), sn AS (
+        SELECT doc, pos, path, sec, unnest(x) AS t, generate_subscripts(x, 1) AS a
+        FROM (SELECT *, CASE WHEN length(text) > 2048 THEN string_split(regexp_replace(text, '([.!?]) +', '\1' || chr(10), 'g'), chr(10)) ELSE [text] END AS x FROM bs)
+    ), pc AS (
+        SELECT doc, pos, path, sec, unnest(y) AS t, a, generate_subscripts(y, 1) AS b FROM (SELECT *, CASE WHEN length(t) > 2048 THEN regexp_split_to_array(t, ' +') ELSE [t] END AS y FROM sn)
+    ), it AS (
+        SELECT doc, pos, path, sec, t, row_number() OVER (PARTITION BY doc, sec ORDER BY pos, a, b) AS i, a = 1 AND b = 1 AS opens FROM pc WHERE t <> ''
+    ), pk AS (
+        SELECT doc, sec, i, length(t) AS used, 0 AS bin FROM it WHERE i = 1
+        UNION ALL
+        SELECT it.doc, it.sec, it.i, CASE WHEN pk.used + 1 + length(it.t) > 2048 THEN length(it.t) ELSE pk.used + 1 + length(it.t) END, CASE WHEN pk.used + 1 + length(it.t) > 2048 THEN bin + 1 ELSE bin END
+        FROM pk JOIN it ON it.doc = pk.doc AND it.sec = pk.sec AND it.i = pk.i + 1
+    ), ck AS (
+        SELECT it.doc, it.sec, bin, any_value(path) AS path, string_agg(CASE WHEN opens THEN chr(10) ELSE ' ' END || t, '' ORDER BY it.i)[2:] AS text, max(length(t)) AS longest
+        FROM it JOIN pk ON it.doc = pk.doc AND it.sec = pk.sec AND it.i = pk.i GROUP BY it.doc, it.sec, bin
+    ) """
+
+
+@_query(f"{_PACKED} SELECT doc, row_number() OVER (PARTITION BY doc ORDER BY sec, bin) - 1 AS chunk_index, coalesce(path, '') AS path, 'text' AS chunk_type, text FROM ck")
+def capped_chunks(spark, sf_dir):
+    """Chunks of the driver's pages, none over the cap."""
+    rows = chunking.structural_chunks(chunking.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html"))
+    return rows.select("doc", F.col("chunk_index").cast("long").alias("chunk_index"), F.array_join("heading_path", " > ").alias("path"), "chunk_type", "text")
+
+
 @_query()
 def page_chunks(spark, sf_dir):
     return chunking.structural_chunks(chunking.html_blocks(table(spark, sf_dir, "pages"), "page_id", "html"))

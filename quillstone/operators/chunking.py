@@ -9,7 +9,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstone.functions.text import est_tokens, heading_line, is_boilerplate, strip
+from quillstone.functions.text import heading_line, is_boilerplate, strip
+from quillstone.operators.packing import pack_runs
+from quillstone.plans.stages import Stages
 
 HEADING_TAGS = ("h1", "h2", "h3", "h4", "h5", "h6")
 BLOCK_TAGS = ("p", "li", "td", "th", "div", "pre", "blockquote", "article", "section", "br")
@@ -45,46 +47,32 @@ def context_windows(chunks: DataFrame, target: int = 6000, most: int = 8000, cha
 
     A section that fits is added to the open window unless that would pass the target. A section
     above the cap (the larger of the two limits) starts a window of its own and is split between
-    chunks, each costed with its heading; what follows it starts a new window. One pass per
-    document folds over numbers alone: the texts don't leave the projection.
+    chunks, each costed with its heading; what follows it starts a new window.
+
+    So the sections between two large ones are a run that is packed up to the target, and the chunks
+    of a large one are a run that is packed up to the cap: pack_runs() has no row for a whole document, however
+    long. Only lengths and headings leave the chunks; they are written once.
     """
-    cap = max(target, most)
+    cap, target = max(target, most, 1), max(1, target)
     size = F.length("text")
     head = F.length(heading_line(F.col("heading_path")))
     tokens = lambda chars: F.greatest(F.lit(1), F.ceil(chars / max(1, chars_per_token)).cast("int"))
-    rows = with_sections(chunks).select("doc", "chunk_index", "section_index", size.alias("chars"), head.alias("head"))
-    section = Window.partitionBy("doc", "section_index")
+    rows = with_sections(chunks.select("doc", "chunk_index", "heading_path", size.alias("chars"), head.alias("head"))).drop("heading_path")
+    section, order = Window.partitionBy("doc", "section_index"), Window.partitionBy("doc").orderBy("chunk_index")
     rows = rows.select(
         "*",
         tokens(F.col("head") + 1 + F.sum("chars").over(section) + 2 * (F.count(F.lit(1)).over(section) - 1)).alias("section_tokens"),
         tokens(F.col("head") + 1 + F.col("chars")).alias("chunk_tokens"),
-        (F.min("chunk_index").over(section) == F.col("chunk_index")).alias("starts"),
-    )
-    step = F.struct("chunk_index", "section_index", "chars", "head", "section_tokens", "chunk_tokens", "starts")
-    docs = rows.groupBy("doc").agg(F.array_sort(F.collect_list(step)).alias("steps"))
-    zero = F.struct(F.lit(-1).alias("w"), F.lit(0).alias("used"), F.lit(True).alias("shut"), F.array().cast("array<int>").alias("out"))
-
-    def place(s: Column, x: Column) -> Column:
-        large = x["section_tokens"] > cap
-        limit, cost = F.when(large, cap).otherwise(target), F.when(large, x["chunk_tokens"]).otherwise(x["section_tokens"])
-        goes_on = ~large & ~x["starts"]
-        fresh = F.when(goes_on, False).otherwise(s["shut"] | (large & x["starts"]) | (s["used"] + cost > limit))
-        used = F.when(goes_on, s["used"]).when(fresh, cost).otherwise(s["used"] + cost)
-        w = s["w"] + fresh.cast("int")
-        # after a large section the window stays shut for the next section, but not for its own chunks
-        return F.struct(w.alias("w"), used.alias("used"), F.lit(False).alias("shut"), F.concat(s["out"], F.array(w)).alias("out"))
-
-    def fold(s: Column, pair: Column) -> Column:
-        after_large = pair["starts"] & pair["after_large"]
-        opened = F.struct(s["w"].alias("w"), s["used"].alias("used"), (s["shut"] | after_large).alias("shut"), s["out"].alias("out"))
-        return place(opened, pair)
-
-    flagged = F.transform(
-        "steps",
-        lambda x, i: x.withField("after_large", F.coalesce(F.get("steps", i - 1)["section_tokens"] > cap, F.lit(False))),
-    )
-    packed = docs.select("doc", "steps", F.aggregate(flagged, zero, fold, lambda s: s["out"]).alias("windows"))
-    placed = packed.select("doc", F.explode(F.arrays_zip("steps", "windows")).alias("x")).select("doc", "x.steps.*", F.col("x.windows").alias("window_index"))
+        (F.min("chunk_index").over(section) == F.col("chunk_index")).alias("first"),
+    ).withColumn("large", F.col("section_tokens") > cap)
+    begins = F.col("first") & (F.col("large") | F.coalesce(F.lag("large").over(order), F.lit(True)))
+    stages = Stages(chunks.sparkSession)
+    rows, _ = stages.keep("rows", lambda: rows.withColumn("begins", begins.cast("int")).withColumn("run", F.sum("begins").over(order)).drop("begins"))
+    cost = F.when(F.col("large"), F.col("chunk_tokens")).otherwise(F.col("section_tokens")).cast("long")
+    limit = F.when(F.col("large"), cap).otherwise(target).cast("long")
+    items = rows.where(F.col("large") | F.col("first")).select("doc", "run", "chunk_index", cost.alias("cost"), limit.alias("limit"))
+    opened = pack_runs(items, ["doc", "run"], "chunk_index", "cost", "limit", [target, cap]).select("doc", "chunk_index", "starts")
+    placed = rows.join(opened, ["doc", "chunk_index"], "left").withColumn("window_index", (F.sum(F.coalesce(F.col("starts").cast("int"), F.lit(0))).over(order) - 1).cast("int"))
     parts = placed.groupBy("doc", "window_index", "section_index").agg(
         F.collect_list("chunk_index").alias("chunks"), (F.first("head") + 1 + F.sum("chars") + 2 * (F.count(F.lit(1)) - 1)).alias("chars")
     )
@@ -206,12 +194,23 @@ def html_blocks(pages: DataFrame, id_column: str, html_column: str) -> DataFrame
     return parse_pages(pages, id_column, html_column).where("error is null").drop("error")
 
 
+def pieces(text: Column, most_chars: int) -> Column:
+    """A text as it is if it has at most so many characters, or as its sentences, and those that are longer as their words.
+
+    Sentences end with a full stop, question or exclamation mark before a space; words lie between spaces.
+    """
+    sentences = F.split(F.regexp_replace(text, "([.!?]) +", "$1\n"), "\n")
+    cut = F.flatten(F.transform(sentences, lambda s: F.when(F.length(s) > most_chars, F.split(s, " +")).otherwise(F.array(s))))
+    return F.when(F.length(text) > most_chars, F.filter(cut, lambda x: x != "")).otherwise(F.array(text))
+
+
 def structural_chunks(blocks: DataFrame, max_tokens: int = 512, chars_per_token: int = 4, drop_boilerplate: bool = True) -> DataFrame:
     """Chunks (doc, chunk_index, heading_path, chunk_type, text) of html_blocks().
 
-    A block's heading path has the last heading of each level above it. Blocks of one path are packed
-    in order while their running token estimate stays within the same multiple of max_tokens; a
-    block above it is a chunk of its own.
+    A block's heading path has the last heading of each level above it. Blocks of one path and kind are packed
+    in order as long as the chunk's text has at most max_tokens by est_tokens(); a block that is longer is
+    packed by its pieces(). So no chunk has more, but one that is a single longer word. Blocks are divided by
+    line feeds, pieces of one block by spaces.
     """
     order = Window.partitionBy("doc").orderBy("pos")
     rows = blocks
@@ -226,12 +225,18 @@ def structural_chunks(blocks: DataFrame, max_tokens: int = 512, chars_per_token:
         path.append(F.when(live, h["text"]))
         above = F.greatest(above, F.coalesce(h["pos"], F.lit(-1)))
     rows = rows.withColumn("heading_path", F.filter(F.array(*path), lambda x: x.isNotNull())).where("kind <> 'heading'")
-    rows = with_sections(rows.withColumn("chunk_index", F.col("pos")))
-    inside = Window.partitionBy("doc", "section_index", "kind").orderBy("pos")
-    spent = F.sum(est_tokens(F.col("text"), chars_per_token)).over(inside)
-    rows = rows.withColumn("pack", F.floor((spent - 1) / max_tokens))
-    packed = rows.groupBy("doc", "section_index", "kind", "pack").agg(
-        F.min("pos").alias("pos"), F.first("heading_path").alias("heading_path"), F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("x")
+    rows = with_sections(rows.withColumn("chunk_index", F.col("pos"))).select("doc", "pos", "kind", "heading_path", "section_index", "text")
+    most = max(1, max_tokens) * max(1, chars_per_token)
+    cut = rows.select("doc", "pos", "kind", "heading_path", "section_index", F.posexplode(pieces(F.col("text"), most)).alias("piece", "part"))
+    nth = F.row_number().over(Window.partitionBy("doc").orderBy("pos", "piece")).cast("long")
+    # a piece costs its characters and the one that divides it from those before it
+    cut = cut.select("*", nth.alias("nth"), (F.length("part") + 1).cast("long").alias("cost"), F.lit(most + 1).cast("long").alias("limit"))
+    items, _ = Stages(blocks.sparkSession).keep("pieces", lambda: cut)
+    packed = pack_runs(items, ["doc", "section_index", "kind"], "nth", "cost", "limit", [most + 1])
+    shown = F.concat(F.when(F.col("piece") == 0, "\n").otherwise(" "), F.col("part"))
+    packed = packed.groupBy("doc", "section_index", "kind", "bin").agg(
+        F.min("nth").alias("pos"), F.first("heading_path").alias("heading_path"), F.array_sort(F.collect_list(F.struct("nth", shown.alias("part")))).alias("x")
     )
-    packed = packed.select("doc", "pos", "heading_path", F.col("kind").alias("chunk_type"), strip(F.array_join(F.col("x.text"), "\n")).alias("text"))
+    text = F.substring(F.array_join(F.col("x.part"), ""), 2, 2**31 - 1)
+    packed = packed.select("doc", "pos", "heading_path", F.col("kind").alias("chunk_type"), strip(text).alias("text"))
     return dense_chunks(packed, drop_boilerplate).drop("pos")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Callable
 
@@ -18,8 +19,20 @@ def shared_folder(spark: SparkSession) -> str:
     return where.rstrip("/")
 
 
+_unnamed: list[Stages] = []
+
+
+@atexit.register
+def _drop_unnamed() -> None:
+    for stages in _unnamed:
+        try:
+            stages.drop()
+        except Exception:  # the session has ended before the interpreter
+            return
+
+
 class Stages:
-    """Tables in a folder of their own. A table without its mark, which is made last, is made again, so that a
+    """Tables in a folder of their own, which goes at the interpreter's exit if it wasn't given. A table without its mark, which is made last, is made again, so that a
     build that starts once more in the same folder goes on where it ended."""
 
     def __init__(self, spark: SparkSession, path: str | None = None):
@@ -27,6 +40,8 @@ class Stages:
         self.path = path or f"{shared_folder(spark)}/quillstone-build-{uuid.uuid4().hex}"
         #: Names of the stages that this object has made, not found.
         self.made: list[str] = []
+        if not path:
+            _unnamed.append(self)
 
     def _whole(self, path: str) -> bool:
         at = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")

@@ -1,8 +1,11 @@
 import random
+import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from quillstone.operators import chunking, contexts
+from quillstone.functions.text import est_tokens
+from quillstone.operators import chunking, contexts, packing
 
 
 def est(chars, cpt=4):
@@ -40,7 +43,10 @@ def brute(rows, target, most):
     return [([i for _, s in w for i in s], est(sum(cost(h, s) for h, s in w) + 2 * (len(w) - 1))) for w in out]
 
 
-def test_windows_equal_the_plain_rule(spark):
+@pytest.mark.parametrize("most_folded", [4096, 3])
+def test_windows_equal_the_plain_rule(spark, monkeypatch, most_folded):
+    monkeypatch.setattr(packing, "MOST_FOLDED", most_folded)
+    monkeypatch.setattr(packing, "BLOCK", 4)
     rng = random.Random(3)
     for target, most in ((30, 50), (60, 60), (100, 80)):
         docs = {d: [(rng.choice("AB"), "x" * rng.choice([0, 5, 40, 90, 300])) for _ in range(rng.randint(1, 25))] for d in range(60)}
@@ -86,3 +92,58 @@ def test_pins_coverage_and_texts(spark):
     windows = spark.createDataFrame([(1, 0, [0, 1, 2])], "doc long, window_index int, chunk_indices array<long>")
     rows = spark.createDataFrame([(1, 0, ["A"], "x"), (1, 1, ["A"], "y"), (1, 2, ["B"], "z")], "doc long, chunk_index long, heading_path array<string>, text string")
     assert chunking.window_texts(rows, windows).first().text == "## A\nx\n\ny\n\n## B\nz"
+
+
+def bins(costs, limit):
+    out, used = [], None
+    for c in costs:
+        fresh = used is None or used + c > limit
+        used = c if fresh else used + c
+        out.append(fresh)
+    return out
+
+
+def test_a_long_run_is_packed_in_spread_tasks(spark, monkeypatch):
+    rng = random.Random(6)
+    runs = {("a", 1): [rng.choice([1, 2, 9, 30, 70]) for _ in range(6000)], ("a", 2): [1] * 3000, ("b", 1): [99] * 40, ("c", 1): [5], ("d", 1): [rng.randint(1, 60) for _ in range(500)]}
+    limits = {("a", 1): 60, ("a", 2): 7, ("b", 1): 60, ("c", 1): 60, ("d", 1): 60}
+    rows = [(*k, 10 + i, c, limits[k], "x") for k, costs in runs.items() for i, c in enumerate(costs)]
+    frame = spark.createDataFrame(rows, "doc string, run int, n long, cost long, limit long, other string").repartition(4)
+    monkeypatch.setattr(packing, "BLOCK", 256)
+    got = {}
+    for r in packing.pack_runs(frame, ["doc", "run"], "n", "cost", "limit", [60, 7], most_folded=450).orderBy("n").collect():
+        got.setdefault((r.doc, r.run), []).append((r.starts, r.bin))
+    for k, costs in runs.items():
+        starts = bins(costs, limits[k])
+        assert [s for s, _ in got[k]] == starts
+        assert [b for _, b in got[k]] == [sum(starts[: i + 1]) - 1 for i in range(len(starts))]
+
+
+def plain_chunks(blocks, most):
+    """Texts of one section's chunks."""
+    out, now = [], ""
+    for text in blocks:
+        parts = [text]
+        if len(text) > most:
+            parts = [p for s in re.sub(r"([.!?]) +", r"\1\n", text).split("\n") for p in (re.split(" +", s) if len(s) > most else [s]) if p]
+        for k, part in enumerate(parts):
+            if now and len(now) + 1 + len(part) > most:
+                out, now = out + [now], ""
+            now = part if not now else now + (" " if k else "\n") + part
+    return out + [now] if now else out
+
+
+@pytest.mark.parametrize("most_folded", [4096, 5])
+def test_no_chunk_is_over_the_cap(spark, monkeypatch, most_folded):
+    monkeypatch.setattr(packing, "MOST_FOLDED", most_folded)
+    rng = random.Random(7)
+    sentence = lambda: " ".join("w" * rng.choice([1, 3, 8, 30]) for _ in range(rng.randint(1, 12))) + rng.choice([".", "!", "?", "", "..."])
+    docs = {f"d{d}": [" ".join(sentence() for _ in range(rng.randint(1, 8))) for _ in range(rng.randint(1, 30))] for d in range(30)}
+    docs["one"] = ["500 tokens. " * 20, "x" * 300, "end"]
+    rows = [(d, i, "text", 0, t.strip()) for d, x in docs.items() for i, t in enumerate(x)]
+    chunks = chunking.structural_chunks(spark.createDataFrame(rows, "doc string, pos int, kind string, level int, text string"), 20)
+    got = {}
+    for r in chunks.withColumn("n", est_tokens(F.col("text"))).orderBy("doc", "chunk_index").collect():
+        got.setdefault(r.doc, []).append(r.text)
+        assert r.n <= 20 or " " not in r.text
+    assert got == {d: plain_chunks([t.strip() for t in x], 80) for d, x in docs.items()}
