@@ -17,6 +17,7 @@ from quillstone.functions import ids, text as tx
 from quillstone.operators import chunking, citations, contexts, gates, graph, inverted, lexical
 from quillstone.plans import build, stages
 from quillstone.sources import planning
+from quillstone.streaming import ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
 _queries: dict[str, Query] = {}
@@ -890,6 +891,51 @@ def edges_replaced(spark, sf_dir):
     return graph.replace_edges(old.unionByName(kept), graph.adjacent_edges(rows.where("d % 2 = 0")), ["adjacent"]).select("edge_type", "from_chunk")
 
 
+@_query("SELECT 'references' AS edge_type, from_chunk, to_chunk FROM re UNION ALL SELECT 'adjacent', from_chunk, to_chunk FROM ad JOIN c ON c.chunk_id = from_chunk WHERE d % 2 = 0")
+def store_kept_references(spark, sf_dir):
+    """A stored graph of which only the adjacent edges are built again, without references: the stored ones stay, file by file."""
+    rows, manifest, pins = legal(spark, sf_dir), _manifest(spark, sf_dir), _pins(spark, sf_dir)
+    at = f"{stages.shared_folder(spark)}/quillstone-store-{uuid.uuid4().hex}"
+    edges, _ = graph.build_graph(rows, manifest, pins, ("legal",), MIN_BODY)
+    docs = rows.select("doc_id").distinct()
+    build.save(build.Store(manifest.select(F.col("url").alias("canonical_url")), docs, rows.select("chunk_id", "doc_id", "chunk_index"), edges), at)
+    near, _ = graph.build_graph(rows.where("d % 2 = 0"), manifest, pins, with_references=False)
+    build.replace(spark, at, {"adjacent": near})
+    return build.load(spark, at).edges.select("edge_type", "from_chunk", "to_chunk")
+
+
+@_query("""SELECT c.chunk_id, 'arxiv' AS kind, '2001.' || (10000 + CASE WHEN (d + chunk_index) % 3 = 0 THEN 0 ELSE d % 40 END) AS value,
+        CASE WHEN (d + chunk_index) % 3 = 0 OR d % 40 BETWEEN 1 AND 9 THEN CASE WHEN chunk_index = 0 AND d = CASE WHEN (d + chunk_index) % 3 = 0 THEN 0 ELSE d % 40 END THEN 'self' ELSE 'resolved' END
+             WHEN d % 40 = 10 THEN 'ambiguous' WHEN d % 40 = 0 THEN CASE WHEN chunk_index = 0 AND d = 0 THEN 'self' ELSE 'resolved' END ELSE 'unresolved' END AS outcome
+    FROM c UNION ALL SELECT chunk_id, 'article', cited, outcome FROM rr""")
+def global_refs(spark, sf_dir):
+    """Papers that are cited from anywhere, one of them by a third of all chunks, beside citations within scope; a paper that two documents are is ambiguous."""
+    d, k = F.col("d"), F.col("chunk_index")
+    paper = F.when((d + k) % 3 == 0, 0).otherwise(d % 40)
+    rows = legal(spark, sf_dir).withColumn("text", F.concat("text", F.lit(" (arXiv:2001."), (F.lit(10000) + paper).cast("string"), F.lit(")")))
+    manifest = _manifest(spark, sf_dir).select("*", F.substring("slug", 2, 20).cast("long").alias("d"))
+    # documents 0 to 9 are a paper each, 10 and 11 are the same one
+    address = F.concat(F.lit("https://arxiv.org/abs/2001."), (F.lit(10000) + F.least(F.col("d"), F.lit(10))).cast("string"))
+    own = manifest.where("d < 12").select(address.alias("paper"), ids.doc_id(F.col("url"), F.col("version")).alias("doc_id"))
+    heads = rows.groupBy("doc_id").agg(F.min_by("chunk_id", "chunk_index").alias("target"))
+    papers = own.join(heads, "doc_id").select("doc_id", F.lit("arxiv").alias("kind"), planning.arxiv_id(F.col("paper")).alias("value"), "target")
+    index = graph.anchor_index(rows, MIN_BODY).unionByName(papers)
+    refs = citations.references(rows, ("legal", "academic"), "doc_id")
+    found = graph.resolve(graph.candidates(refs, index, graph.scopes(_manifest(spark, sf_dir), _pins(spark, sf_dir))))
+    return found.select("chunk_id", "kind", "value", "outcome")
+
+
+@_query("SELECT chunk_id, CASE WHEN d % 2 = 0 THEN 0 WHEN d % 3 = 0 THEN 1 ELSE 2 END AS batch FROM c")
+def ingested_chunks(spark, sf_dir):
+    """Three batches that overlap, the second twice: each chunk is stored once, by the first batch that has it."""
+    at = f"{stages.shared_folder(spark)}/quillstone-ingest-{uuid.uuid4().hex}"
+    write = ingest.upsert(at)
+    rows = _sources(spark, sf_dir).select("d", "url", "version", "text")
+    for number, which in ((0, "d % 2 = 0"), (1, "d % 3 = 0"), (1, "d % 3 = 0"), (2, "true")):
+        write(rows.where(which).drop("d"), number)
+    return spark.read.option("basePath", at).parquet(f"{at}/batch=*").select("chunk_id", F.col("batch").cast("int").alias("batch"))
+
+
 @_query("SELECT CAST(sum(o_orderkey) AS BIGINT) AS o_orderkey, CAST(sum(o_custkey) AS BIGINT) AS o_custkey FROM orders")
 def usage_totals(spark, sf_dir):
     return contexts.usage_total(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey")

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from quillstone.functions.ids import doc_id, edge_id
 from quillstone.operators.citations import anchor_list, references
+from quillstone.operators.joins import join_hot
+from quillstone.plans.stages import Stages
 from quillstone.sources.planning import arxiv_id, host_matches
 
 #: Kinds that name one document wherever it is cited.
@@ -62,17 +64,24 @@ def scopes(manifest: DataFrame, pins: DataFrame) -> DataFrame:
 
 
 def candidates(refs: DataFrame, index: DataFrame, scope: DataFrame) -> DataFrame:
-    """(chunk_id, doc_id, kind, value, raw, targets): each reference with the distinct chunks it may mean.
+    """(chunk_id, doc_id, kind, value, raw, targets): each reference with the distinct chunks it may mean; of more than two, the smallest and largest.
 
     refs: chunk_id, doc_id, kind, value, raw. Global kinds match any document; the others equi-join
-    over (scope document, kind, value). A document without scope has itself.
+    over (scope document, kind, value). A document without scope has itself. Whatever a third of all chunks cite, or
+    a document with a third of all citations, stays where it is: see join_hot(). So that they aren't looked for
+    again, the references are written once.
     """
+    refs, _ = Stages(refs.sparkSession).keep("refs", lambda: refs)
     wide = F.col("kind").isin(*GLOBAL_KINDS)
-    own = refs.where(~wide).join(scope, "doc_id", "left").withColumn("scope_doc", F.coalesce("scope_doc", "doc_id"))
-    near = own.join(index.select(F.col("doc_id").alias("scope_doc"), "kind", "value", "target"), ["scope_doc", "kind", "value"], "left")
-    far = refs.where(wide).join(index.select("kind", "value", "target"), ["kind", "value"], "left")
+    ends = lambda frame, *by: frame.groupBy(*by).agg(F.min("target").alias("least"), F.max("target").alias("most"))
+    own = join_hot(refs.where(~wide), scope, ["doc_id"]).withColumn("scope_doc", F.coalesce("scope_doc", "doc_id"))
+    known = ends(index.withColumnRenamed("doc_id", "scope_doc"), "scope_doc", "kind", "value")
+    near = join_hot(own, known, ["scope_doc", "kind", "value"])
+    far = join_hot(refs.where(wide), ends(index, "kind", "value"), ["kind", "value"])
     keys = ["chunk_id", "doc_id", "kind", "value", "raw"]
-    return near.select(*keys, "target").unionByName(far.select(*keys, "target")).groupBy(*keys).agg(F.collect_set("target").alias("targets"))
+    columns = [*keys, "least", "most"]
+    both = near.select(columns).unionByName(far.select(columns)).groupBy(*keys).agg(F.min("least").alias("a"), F.max("most").alias("b"))
+    return both.select(*keys, F.array_distinct(F.filter(F.array("a", "b"), lambda x: x.isNotNull())).alias("targets"))
 
 
 def resolve(found: DataFrame) -> DataFrame:
@@ -115,8 +124,15 @@ def identified(edges: DataFrame) -> DataFrame:
     return edges.select(ids.alias("edge_id"), *rest).groupBy("edge_id").agg(last.alias("e")).select("edge_id", "e.*")
 
 
-def build_graph(chunks: DataFrame, manifest: DataFrame, pins: DataFrame, extractors=("legal", "academic"), min_body_chars: int = 0, record_unresolved: bool = True) -> tuple[DataFrame, DataFrame]:
-    """All edges, and one row of counts: adjacent, resolved, unresolved, ambiguous, self_citations."""
+def build_graph(chunks: DataFrame, manifest: DataFrame, pins: DataFrame, extractors=("legal", "academic"), min_body_chars: int = 0, record_unresolved: bool = True, with_references: bool = True) -> tuple[DataFrame, DataFrame]:
+    """All edges, and one row of counts: adjacent, resolved, unresolved, ambiguous, self_citations.
+
+    Without references, only the adjacent edges are made; replace_edges() then leaves stored references alone.
+    """
+    if not with_references:
+        near = adjacent_edges(chunks)
+        none = chunks.sparkSession.createDataFrame([], "outcome string")
+        return near, graph_stats(near, none, record_unresolved)
     index = anchor_index(chunks, min_body_chars).unionByName(document_anchors(manifest, pins, chunks))
     refs = references(chunks, extractors, "doc_id")
     resolved = resolve(candidates(refs, index, scopes(manifest, pins)))

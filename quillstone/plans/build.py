@@ -26,7 +26,7 @@ SCHEMAS = {
 }
 #: How stored edges are read; a column that a version lacks is null.
 EDGES = "edge_id string, from_chunk string, to_chunk string, to_external_ref string, provenance string, confidence double, edge_type string"
-TABLES = ("sources", "docs", "chunks", "edges", "ingest_runs")
+TABLES = ("sources", "docs", "chunks", "edges")
 _MARK = "current-"
 
 
@@ -109,48 +109,87 @@ def _marks(spark: SparkSession, path: str) -> list[tuple[int, str]]:
     return sorted((int(n.split("-")[1]), n.split("-")[2]) for n in names if n.startswith(_MARK))
 
 
-def save(store: Store, path: str) -> None:
-    """A new version of all tables beside the old one, which the frames may be read from.
+def _fs(spark: SparkSession, path: str):
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), at
+
+
+def manifest_of(spark: SparkSession, path: str, version: str | None = None) -> dict:
+    """Where the tables of a version (by default the current one) lie: sources, docs, chunks, and edges by type."""
+    if version is None:
+        marks = _marks(spark, path)
+        if not marks:
+            raise FileNotFoundError(f"no store at {path}")
+        version = marks[-1][1]
+    return json.loads(spark.read.text(f"{path}/{version}/manifest").first()[0])
+
+
+def replace(spark: SparkSession, path: str, edges: dict[str, DataFrame] | None = None, **tables: DataFrame) -> None:
+    """A new version with these tables (sources, docs, chunks) and types of edges; all others are those of the version
+    before, file by file. A type of edges without rows has none then.
 
-    A mark, made last and at once, makes the version the current one; the version before stays for those
-    that still read it, older ones go. Edges lie by type, so that reading one type reads its files only.
+    The version's manifest says where each table lies. A mark, made last and at once, makes it the
+    current one; the version before stays for those that still read it. Folders that neither names go.
     """
-    spark = store.docs.sparkSession
-    for name, schema in SCHEMAS.items():
-        lacks = [c.split()[0] for c in schema.split(", ") if c.split()[0] not in getattr(store, name).columns]
+    for name, frame in tables.items():
+        lacks = [c.split()[0] for c in SCHEMAS[name].split(", ") if c.split()[0] not in frame.columns]
         if lacks:
             raise ValueError(f"{name} lacks {', '.join(lacks)}")
     marks, version = _marks(spark, path), uuid.uuid4().hex
-    for name in ("sources", "docs", "chunks"):
-        getattr(store, name).write.parquet(f"{path}/{version}/{name}")
-    store.edges.write.partitionBy("edge_type").parquet(f"{path}/{version}/edges")
-    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    fs = at(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    placed = manifest_of(spark, path) if marks else {"edges": {}}
+    for name, frame in tables.items():
+        frame.write.parquet(f"{path}/{version}/{name}")
+        placed[name] = f"{version}/{name}"
+    for kind, frame in (edges or {}).items():
+        lacks = [c.split()[0] for c in SCHEMAS["edges"].split(", ") if c.split()[0] not in frame.columns]
+        if lacks:
+            raise ValueError(f"edges lacks {', '.join(lacks)}")
+        number = f"{version}/edges-{len(placed['edges'])}-{uuid.uuid4().hex[:6]}"
+        frame.where(F.col("edge_type") == kind).write.parquet(f"{path}/{number}")
+        placed["edges"][kind] = number
+    fs, at = _fs(spark, path)
+    spark.createDataFrame([(json.dumps(placed),)], "v string").coalesce(1).write.text(f"{path}/{version}/manifest")
     number = marks[-1][0] + 1 if marks else 0
     fs.create(at(f"{path}/{_MARK}{number:08d}-{version}")).close()
     for n, old in marks[:-1]:
         fs.delete(at(f"{path}/{_MARK}{n:08d}-{old}"), False)
-        fs.delete(at(f"{path}/{old}"), True)
+    kept = [manifest_of(spark, path, v) for _, v in _marks(spark, path)]
+    named = {x for m in kept for x in (*(v for k, v in m.items() if k != "edges"), *m["edges"].values())}
+    versions = {v for _, v in _marks(spark, path)}
+    for folder in (x.getPath().getName() for x in fs.listStatus(at(path)) if x.isDirectory()):
+        for table in (x.getPath().getName() for x in fs.listStatus(at(f"{path}/{folder}"))):
+            if f"{folder}/{table}" not in named and not (table == "manifest" and folder in versions):
+                fs.delete(at(f"{path}/{folder}/{table}"), True)
+        if folder not in versions and not fs.listStatus(at(f"{path}/{folder}")):
+            fs.delete(at(f"{path}/{folder}"), True)
 
 
-def current(spark: SparkSession, path: str) -> str:
-    """The folder of the current version."""
-    marks = _marks(spark, path)
-    if not marks:
-        raise FileNotFoundError(f"no store at {path}")
-    return f"{path}/{marks[-1][1]}"
+def save(store: Store, path: str) -> None:
+    """A version of all tables, which the frames may be read from; edges lie by type, so that reading one type reads its files only."""
+    spark = store.docs.sparkSession
+    lacks = [c.split()[0] for c in SCHEMAS["edges"].split(", ") if c.split()[0] not in store.edges.columns]
+    if lacks:
+        raise ValueError(f"edges lacks {', '.join(lacks)}")
+    types = [r.edge_type for r in store.edges.select("edge_type").distinct().collect()]
+    stored = set(manifest_of(spark, path)["edges"]) if _marks(spark, path) else set()
+    replace(spark, path, {t: store.edges for t in sorted(stored | set(types))}, sources=store.sources, docs=store.docs, chunks=store.chunks)
 
 
 def load(spark: SparkSession, path: str) -> Store:
-    at = current(spark, path)
-    read = [spark.read.parquet(f"{at}/{name}") for name in ("sources", "docs", "chunks")]
-    return Store(*read, spark.read.schema(EDGES).parquet(f"{at}/edges"))
+    placed = manifest_of(spark, path)
+    read = [spark.read.parquet(f"{path}/{placed[name]}") for name in ("sources", "docs", "chunks")]
+    edges = spark.createDataFrame([], EDGES)
+    for kind, at in sorted(placed["edges"].items()):
+        edges = edges.unionByName(spark.read.schema(EDGES).parquet(f"{path}/{at}"))
+    return Store(*read, edges)
 
 
 def count_rows(spark: SparkSession, path: str, table: str) -> int:
     if table not in TABLES:
         raise ValueError(f"no such table: {table}")
-    return spark.read.parquet(f"{current(spark, path)}/{table}").count()
+    if table == "edges":
+        return load(spark, path).edges.count()
+    return spark.read.parquet(f"{path}/{manifest_of(spark, path)[table]}").count()
 
 
 def chunk(chunks: DataFrame, chunk_id: str) -> DataFrame:

@@ -73,6 +73,62 @@ def test_gates(spark):
     assert gates.all_passed(pending).first().passed is True
 
 
+def test_needles_are_found_as_in_the_whole_document(spark):
+    rng = random.Random(3)
+    docs = {f"d{d}": [("".join(rng.choices("ab\n", k=rng.choice([0, 0, 1, 3, 12, 60]))), rng.choice(["text", "table"])) for _ in range(rng.randint(1, 12))] for d in range(25)}
+    rows = [(d, i, t, k) for d, x in docs.items() for i, (t, k) in enumerate(x)]
+    fixtures, want = [], {}
+    for n in range(150):
+        d = rng.choice([*docs, "none"])
+        needle = lambda: "".join(rng.choices("ab\n", k=rng.choice([0, 1, 3, 5, 8])))
+        anywhere, in_table = [needle() for _ in range(2)], [needle()]
+        whole, tables = ("\n".join(t for t, k in docs.get(d, []) if k in some) for some in (("text", "table"), ("table",)))
+        fixtures.append((f"f{n}", d, anywhere, in_table))
+        want[f"f{n}"] = [x for x in anywhere if x not in whole] + [x for x in in_table if x not in tables]
+    frame = spark.createDataFrame(rows, "doc_id string, chunk_index long, text string, chunk_type string")
+    got = gates.structure_gate(spark.createDataFrame(fixtures, "name string, doc_id string, must_contain array<string>, must_contain_in_table array<string>"), frame).collect()
+    assert {r.name: list(r.missing) for r in got} == want and all(r.passed == (not want[r.name]) for r in got)
+
+
+def test_a_third_of_all_chunks_cite_one_paper(spark):
+    manifest = spark.createDataFrame([(f"s{k}", f"https://arxiv.org/{'abs' if k < 9 else 'pdf'}/2001.{10000 + min(k, 8)}" if k else "https://x.example/big", []) for k in range(10)], "slug string, url string, references array<string>")
+    pins = spark.createDataFrame([(f"s{k}", "v1") for k in range(10)], "slug string, resolved_version string")
+    known = {r.slug: r.doc_id for r in graph.documents_of(manifest, pins).collect()}
+    text = lambda k: "arXiv:2001.10001" if k % 3 == 0 else f"arXiv:2001.{10000 + k % 9} and Article {k % 5}(1)"
+    rows = [(known["s0"], k, text(k), []) for k in range(600)] + [(known[f"s{k}"], 0, "a paper", []) for k in range(1, 10)]
+    edges, stats = graph.build_graph(frame(spark, rows), manifest, pins)
+    got = stats.first()
+    want = sum(1 for k in range(600) if k % 3 == 0) + sum(1 for k in range(600) if k % 3 and 1 <= k % 9 < 8)
+    assert got.resolved == want and got.ambiguous == sum(1 for k in range(600) if k % 3 and k % 9 == 8)
+    refs = citations.references(frame(spark, rows), ("academic",), "doc_id")
+    plain = refs.where("value = '2001.10001'").count()
+    found = graph.candidates(refs, graph.document_anchors(manifest, pins, frame(spark, rows)), graph.scopes(manifest, pins)).where("value = '2001.10001'").collect()
+    assert len(found) == plain and all(list(r.targets) == [known["s1"] + "0"] for r in found)
+
+
+def test_a_part_of_the_store_is_replaced_alone(spark, tmp_path):
+    docs = spark.createDataFrame([("a", "ua")], "doc_id string, canonical_url string")
+    chunks = spark.createDataFrame([("a0", "a")], "chunk_id string, doc_id string")
+    edge = lambda *rows: spark.createDataFrame(rows, "edge_id string, from_chunk string, to_chunk string, edge_type string")
+    at = str(tmp_path / "store")
+    build.save(build.Store(docs.select("canonical_url"), docs, chunks, edge(("e", "a0", "a0", "adjacent"), ("f", "a0", "a0", "references"))), at)
+    times = lambda: {str(p): p.stat().st_mtime_ns for p in (tmp_path / "store").rglob("*.parquet")}
+    before, old = times(), build.manifest_of(spark, at)
+    build.replace(spark, at, {"adjacent": edge(("g", "a0", "a0", "adjacent"), ("h", "a0", "a0", "references"))})
+    new = build.manifest_of(spark, at)
+    assert sorted((r.edge_id, r.edge_type) for r in build.load(spark, at).edges.collect()) == [("f", "references"), ("g", "adjacent")]
+    assert {k: v for k, v in new.items() if k != "edges"} == {k: v for k, v in old.items() if k != "edges"} and new["edges"]["references"] == old["edges"]["references"]
+    assert all(times()[p] == t for p, t in before.items())
+    assert build.count_rows(spark, at, "edges") == 2
+    build.replace(spark, at, docs=docs.limit(0))
+    assert build.load(spark, at).docs.count() == 0 and build.load(spark, at).chunks.count() == 1
+    assert old["edges"]["adjacent"] not in {p.split("/store/")[1].rsplit("/", 1)[0] for p in times()}
+    build.replace(spark, at, {"references": edge(("z", "a0", "a0", "references")).limit(0)})
+    assert [r.edge_id for r in build.load(spark, at).edges.collect()] == ["g"]
+    with pytest.raises(ValueError):
+        build.replace(spark, at, chunks=chunks.drop("doc_id"))
+
+
 def test_rebuild_skips_replaces_and_prunes(spark, tmp_path):
     docs = lambda *x: spark.createDataFrame([(i, "u" + i) for i in x], "doc_id string, canonical_url string")
     chunks = lambda *x: spark.createDataFrame([(i + "0", i) for i in x], "chunk_id string, doc_id string")
