@@ -18,6 +18,8 @@ BITS = 20
 EACH, MOST_BYTES = 5_000, 1 << 13
 EPOCHS, ALPHA, BETA, L1, L2 = 3, 0.3, 1.0, 0.02, 1.0
 THRESHOLD = 0.3
+#: One in so many training rows sets the scores' scale and is not trained on.
+SLICE = 5
 
 #: Bytes by kind: lower-case and other letters, upper case, digits; every other byte stands for itself.
 _KIND = np.arange(256)
@@ -73,8 +75,25 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
     return row, (key & U((1 << BITS) - 1)).astype(np.int64), np.sqrt(count / total[row])
 
 
+def calibration(logits: np.ndarray, labels: np.ndarray) -> tuple[float, float]:
+    """Slope and shift of the logits by which scores are probabilities where both labels weigh the same: logistic regression of one
+    variable, by Newton's method, with the two targets drawn in from 0 and 1 as few rows suggest (Platt 1999). (1, 0) if a label has no rows."""
+    n = np.array([(labels == v).sum() for v in (0, 1)], np.float64)
+    if not n.all():
+        return 1.0, 0.0
+    target = np.where(labels == 1, (n[1] + 1) / (n[1] + 2), 1 / (n[0] + 2))
+    weight = np.where(labels == 1, 0.5 / n[1], 0.5 / n[0]) * len(labels)
+    x, at = np.stack([logits, np.ones(len(logits))], 1), np.array([1.0, 0.0])
+    for _ in range(50):
+        p = 1 / (1 + np.exp(-x @ at))
+        step = np.linalg.solve((x * (weight * p * (1 - p))[:, None]).T @ x + 1e-6 * np.eye(2), x.T @ (weight * (p - target)))
+        at = at - np.clip(step, -2, 2)
+    return (float(at[0]), float(at[1])) if at[0] > 0 else (1.0, 0.0)
+
+
 def train(rows: list[tuple[str, int]]) -> np.ndarray:
-    """Weights, the last one the bias, by per-coordinate FTRL-proximal over shuffled epochs. Without rows: zeros."""
+    """Weights, the last one the bias, by per-coordinate FTRL-proximal over shuffled epochs; every SLICE-th row is left
+    out of that, and the weights are scaled and shifted by calibration() on those. Without rows: zeros."""
     z, n = np.zeros((1 << BITS) + 1), np.zeros((1 << BITS) + 1)
     bias = 1 << BITS
     examples = []
@@ -87,15 +106,21 @@ def train(rows: list[tuple[str, int]]) -> np.ndarray:
         return np.where(np.abs(z[i]) <= L1, 0.0, -(z[i] - np.sign(z[i]) * L1) / ((BETA + np.sqrt(n[i])) / ALPHA + L2))
 
     rng = np.random.default_rng(11)
+    apart = np.arange(len(examples)) % SLICE == SLICE - 1
     for _ in range(EPOCHS):
-        for k in rng.permutation(len(examples)):
+        for k in rng.permutation(np.flatnonzero(~apart)):
             index, value, label = examples[k]
             w = weights(index)
             g = (1 / (1 + np.exp(-(w @ value))) - label) * value
             sigma = (np.sqrt(n[index] + g * g) - np.sqrt(n[index])) / ALPHA
             z[index] += g - sigma * w
             n[index] += g * g
-    return weights(np.arange(bias + 1)).astype(np.float32)
+    w = weights(np.arange(bias + 1))
+    kept = np.flatnonzero(apart)
+    slope, shift = calibration(np.array([w[examples[k][0]] @ examples[k][1] for k in kept]), np.array([examples[k][2] for k in kept]))
+    w *= slope
+    w[bias] += shift / 0.3
+    return w.astype(np.float32)
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, each: int = EACH, most_bytes: int = MOST_BYTES, path: str | None = None) -> Parameters:

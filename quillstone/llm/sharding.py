@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from quillstone.llm.common import BROADCAST_ROWS, drop_scratch, gapless_rank, hash_bucket, join_groups, write_scratch
 
-#: A round that moves less than this share of the rows that wish to move is the last one.
-PROGRESS = 1 / 4
 #: Rows of a shard that are filled by trying all sums of group sizes; the rest is filled largest groups first.
 TAIL = 1 << 13
 
@@ -144,7 +142,7 @@ def _seat(state: DataFrame, room: list[int], few: bool) -> DataFrame:
     return filled.withColumn("shard", F.coalesce("to", "seat", "shard")).select(state.columns)
 
 
-def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None) -> DataFrame:
+def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None, cut: list[int] | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, size, text_crc32, law, shard, slot, grown_shard.
 
     Documents with equal texts are linked. Labels are shards. The start deals rows out evenly in
@@ -152,14 +150,17 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
     group is (ties by hash), pre-aggregated by (group, shard), so no pairs are made. The law `rows`
     (counts at most one apart) holds exactly: wishes of opposite directions, or around a circle of
     shards, are exchanged, and other moves are made as far as unlinked rows can go the other way,
-    small groups first. Rounds go on (at most `rounds` of them, if given) while they move a share
-    PROGRESS of what wishes to; groups that are split then are seated whole where they fit, by
-    counts of groups by size, see _pack. A group larger than a shard fills as many as it can alone
+    small groups first. Rounds go on (at most `rounds` of them, if given) as long as fewer rows than before lie
+    apart from most of their group; groups that are split then are seated whole where they fit, by counts of
+    groups by size, see _pack; all groups are only where that leaves fewer of them split. A group larger than a shard fills as many as it can alone
     before the start, and its remaining rows are a group of their own.
 
     Null text: size 1 and CRC 0, linked with other null texts only. slot numbers a shard's rows
-    from 0. grown_shard is null: the law is not `key`. Other columns are ignored. Only counts by
-    shard (at most shards squared) and by group size and shard reach the driver.
+    from 0. grown_shard is null: the law is not `key`. Rows that repeat, or that share an id or have none, are rows of their own,
+    ordered by (hash of id and text, id) wherever that matters; texts of any length count by their hash. Other columns
+    are ignored. Only counts by shard (at most shards squared) and by group size and shard reach the driver.
+
+    cut: gets, for each round, the number of rows that lie apart from most of their group: links cut by the shards.
     """
     spark = docs.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -202,7 +203,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
     dealt = dealt.withColumn("shard", (F.col("rank") % max(1, shards - closed) + closed).cast("int")).drop("rank")
     base, base_path = write_scratch(dealt if seated is None else dealt.unionByName(seated), "shard")
     drop_scratch(spark, path, sizes_path)
-    state, paths = base, [base_path]
+    state, paths, before = base, [base_path], None
     for turn in count():
         linked = state.where("gsize > 1").groupBy("gid", "gsize", "shard").agg(F.count(F.lit(1)).alias("n"))
         aims = linked.groupBy("gid", "gsize").agg(
@@ -225,11 +226,15 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
         state = ranked.select(base.columns)
         have = {(r.kind, r.queue): r.n for r in ranked.groupBy("kind", "queue").agg(F.count(F.lit(1)).alias("n")).collect()}
         wished = {divmod(q, shards): n for (kind, q), n in have.items() if kind == "move"}
+        wanted = sum(wished.values())
+        if cut is not None:
+            cut.append(wanted)
         if not wished:
             break
-        if rounds is not None and turn >= rounds:
+        if rounds is not None and turn >= rounds or before is not None and wanted >= before:
             state = _seat(state, room, few)
             break
+        before = wanted
         moved, given = _exchange(wished, [have.get(("free", s), 0) for s in range(shards)])
         flows = [("move", s * shards + t, 0, n, t) for (s, t), n in moved.items()]
         for s in range(shards):
@@ -237,10 +242,7 @@ def shard_documents(docs: DataFrame, shards: int = 8, rounds: int | None = None)
         todo = _plan(spark, "k string, q int, lo long, hi long, to int", flows)
         here = (F.col("kind") == F.col("k")) & (F.col("queue") == F.col("q")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
         state = ranked.join(todo, here, "left").withColumn("shard", F.coalesce("to", "shard")).select(base.columns)
-        done, wanted = sum(moved.values()), sum(wished.values())
-        if done == wanted:
-            break
-        if done < PROGRESS * wanted:
+        if not moved:
             state = _seat(state, room, few)
             break
     placed = gapless_rank(state.withColumn("salt", F.xxhash64("key", F.lit(-1))), ["shard"], hash_bucket(F.col("salt")), ["salt", "doc_id"], "slot")

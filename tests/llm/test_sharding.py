@@ -103,3 +103,19 @@ def test_few_repeated_and_no_rows(spark):
     rows = shard_documents(docs(spark, ["a", "a", "b"], [1, 1, None])).collect()
     assert sorted(Counter(r.shard for r in rows).values()) == [1, 1, 1]
     assert shard_documents(docs(spark, [])).count() == 0
+
+
+def test_propagation_cuts_fewer_links_each_round(spark):
+    texts = [f"four {g}" for g in range(60)] * 4 + [f"pair {g}" for g in range(50)] * 2 + [f"single {i}" for i in range(30)]
+    cut = []
+    rows = shard_documents(docs(spark, texts), shards=8, cut=cut).collect()
+    assert len(cut) >= 2 and all(a > b for a, b in zip(cut, cut[1:-1])) and cut[-1] < cut[0] / 4
+    check(rows, texts, 8)
+
+
+def test_null_and_repeated_ids(spark):
+    texts, ids = ["a", "a", "b", "b", None, "", "c" * 100_000, "a"], [1, 1, 1, None, None, 2, 3, None]
+    rows = shard_documents(docs(spark, texts, ids), shards=3).collect()
+    assert sorted((str(r.doc_id), r.size) for r in rows) == sorted((str(i), len(t or "") + 1) for i, t in zip(ids, texts))
+    assert sorted(Counter(r.shard for r in rows).values()) == [2, 3, 3]
+    assert all(sorted(r.slot for r in rows if r.shard == s) == list(range(n)) for s, n in Counter(r.shard for r in rows).items())
