@@ -7,7 +7,6 @@ begins with the header `Article k+1` and ends in a citation.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -472,7 +471,7 @@ def bm25_topk_stemmed(spark, sf_dir):
 
 def _indexed(rows):
     """An index of rows that is unstemmed, as SQL can be, in a folder of its own."""
-    index = inverted.Index(rows.sparkSession, f"{stages.shared_folder(rows.sparkSession)}/quillstone-index-{uuid.uuid4().hex}", "unicode61")
+    index = inverted.Index(rows.sparkSession, _folder(rows.sparkSession, "index"), "unicode61")
     index.build(rows)
     return index
 
@@ -895,7 +894,7 @@ def edges_replaced(spark, sf_dir):
 def store_kept_references(spark, sf_dir):
     """A stored graph of which only the adjacent edges are built again, without references: the stored ones stay, file by file."""
     rows, manifest, pins = legal(spark, sf_dir), _manifest(spark, sf_dir), _pins(spark, sf_dir)
-    at = f"{stages.shared_folder(spark)}/quillstone-store-{uuid.uuid4().hex}"
+    at = _folder(spark, "store")
     edges, _ = graph.build_graph(rows, manifest, pins, ("legal",), MIN_BODY)
     docs = rows.select("doc_id").distinct()
     build.save(build.Store(manifest.select(F.col("url").alias("canonical_url")), docs, rows.select("chunk_id", "doc_id", "chunk_index"), edges), at)
@@ -925,10 +924,76 @@ def global_refs(spark, sf_dir):
     return found.select("chunk_id", "kind", "value", "outcome")
 
 
+def _folder(spark, name):
+    """A place in the shared folder that goes at the interpreter's exit."""
+    return f"{stages.Stages(spark).path}/{name}"
+
+
+@_query("""SELECT unnest(['sources', 'docs', 'chunks', 'edges']) AS name, unnest([(SELECT count(*) FROM s), (SELECT count(DISTINCT doc_id) FROM c), (SELECT count(*) FROM c), (SELECT count(*) FROM ad)]) AS n""")
+def stored_counts(spark, sf_dir):
+    """A store that is written, read and counted table by table."""
+    rows, at = corpus(spark, sf_dir), _folder(spark, "store")
+    docs = rows.select("doc_id", "url").distinct()
+    build.save(build.Store(_sources(spark, sf_dir).select(F.col("url").alias("canonical_url")), docs, rows.select("chunk_id", "doc_id", "text"), graph.adjacent_edges(rows)), at)
+    return spark.createDataFrame([(t, build.count_rows(spark, at, t)) for t in build.TABLES], "name string, n long")
+
+
+@_query("""SELECT 'd' || d AS slug, version AS resolved_version, d % 3 = 0 AS cached FROM s WHERE d % 11 <> 0""")
+def stored_pins(spark, sf_dir):
+    """Pins that are written as JSON lines, replaced by themselves and read again; each third one names a file that exists."""
+    at = _folder(spark, "pins")
+    pins = _pins(spark, sf_dir).withColumn("raw_filename", F.concat("slug", F.lit(".html")))
+    planning.write_pins(pins, at)
+    planning.write_pins(planning.read_pins(spark, f"{at}/*.json"), at)
+    read = planning.read_pins(spark, f"{at}/*.json")
+    files = _sources(spark, sf_dir).where("d % 3 = 0").select(F.concat("slug", F.lit(".html")).alias("raw_filename"))
+    have = planning.cached(read, files).withColumn("cached", F.lit(True))
+    return read.join(have, "slug", "left").select("slug", "resolved_version", F.coalesce("cached", F.lit(False)).alias("cached"))
+
+
+@_query("""SELECT 'd' || d AS slug, chunk_id, lang || ' ' || source AS context, sha256(text) AS text_sha256, CAST(chunk_index // 3 AS INTEGER) AS window_index FROM c WHERE d % 7 <> 0""")
+def stored_context_pins(spark, sf_dir):
+    """Pin files of contexts, an object for each document, written and read again; of the documents d % 7 = 0 there is none."""
+    at = _folder(spark, "contexts")
+    one = F.struct("context", ids.text_sha256(F.col("text")).alias("text_sha256"), F.floor(F.col("chunk_index") / 3).cast("int").alias("window_index"))
+    rows = corpus(spark, sf_dir).where("d % 7 <> 0").groupBy(F.concat(F.lit("d"), F.col("d").cast("string")).alias("doc_id")).agg(F.map_from_entries(F.collect_list(F.struct("chunk_id", one))).alias("contexts"))
+    contexts.save_pin_files(rows.select("doc_id", F.lit("m").alias("model"), F.lit(1).alias("prompt_version"), F.lit("now").alias("generated_at"), "contexts"), at)
+    return contexts.pin_rows(contexts.read_pin_files(spark, f"{at}/*.json")).drop("model", "prompt_version")
+
+
+@_query("""SELECT 'p' || page_id AS slug, CASE WHEN page_id % 2 = 0 THEN 'local' ELSE 'generic' END AS recipe,
+        CASE WHEN page_id % 5 = 0 THEN 'cached' WHEN page_id % 2 = 0 AND page_id % 3 = 0 THEN 'error' ELSE 'ok' END AS status,
+        CASE WHEN page_id % 5 = 0 THEN 'pinned' WHEN page_id % 2 = 1 THEN 'wanted' WHEN page_id % 3 <> 0 THEN 'sha256:' || sha256(html) END AS resolved_version FROM pages""")
+def fetch_decisions(spark, sf_dir):
+    """Cached sources keep their pin, local ones get the hash of their bytes or, without a file, an error, others the manifest's version."""
+    k = F.col("page_id")
+    pages = table(spark, sf_dir, "pages")
+    url = F.when(k % 2 == 0, F.concat(F.lit("corpus/"), k.cast("string"), F.lit(".html"))).otherwise(F.concat(F.lit("https://x.example/"), k.cast("string")))
+    manifest = pages.select(*_page(url.alias("url"), F.lit("wanted").alias("version")))
+    raw = F.concat(F.lit("raw"), k.cast("string"))
+    pins = pages.where(k % 5 == 0).select(*_page(F.lit("pinned").alias("resolved_version"), raw.alias("raw_filename")))
+    hashed = planning.content_hash(F.col("html").cast("binary")).alias("content_hash")
+    files = pages.where(k % 5 == 0).select(raw.alias("raw_filename"), hashed).unionByName(pages.where((k % 2 == 0) & (k % 3 != 0)).select(url.alias("raw_filename"), hashed))
+    return planning.fetch_decisions(manifest, pins, files)
+
+
+@_query("""SELECT unnest(['same', 'other text', 'fewer', 'other weights', 'updated']) AS case_, unnest([false, true, true, true, false]) AS stale, (SELECT count(*) FROM c) AS chunks""")
+def index_staleness(spark, sf_dir):
+    """An index is stale after any change of what it holds, and isn't once it has been updated."""
+    rows = corpus(spark, sf_dir).select("chunk_id", "context", "text", "d")
+    index = _indexed(rows)
+    other = rows.withColumn("text", F.when(F.col("d") == 1, F.concat("text", F.lit("!"))).otherwise(F.col("text")))
+    weighed = inverted.Index(spark, index.path, "unicode61", (1.0, 1.0))
+    found = [("same", index.is_stale(rows)), ("other text", index.is_stale(other)), ("fewer", index.is_stale(rows.where("d <> 1"))), ("other weights", weighed.is_stale(rows))]
+    index.update(other.where("d = 1"))
+    found.append(("updated", index.is_stale(other)))
+    return spark.createDataFrame([(*x, index.version()["fingerprint"]["chunk_count"]) for x in found], "case_ string, stale boolean, chunks long")
+
+
 @_query("SELECT chunk_id, CASE WHEN d % 2 = 0 THEN 0 WHEN d % 3 = 0 THEN 1 ELSE 2 END AS batch FROM c")
 def ingested_chunks(spark, sf_dir):
     """Three batches that overlap, the second twice: each chunk is stored once, by the first batch that has it."""
-    at = f"{stages.shared_folder(spark)}/quillstone-ingest-{uuid.uuid4().hex}"
+    at = _folder(spark, "ingest")
     write = ingest.upsert(at)
     rows = _sources(spark, sf_dir).select("d", "url", "version", "text")
     for number, which in ((0, "d % 2 = 0"), (1, "d % 3 = 0"), (1, "d % 3 = 0"), (2, "true")):

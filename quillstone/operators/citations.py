@@ -124,9 +124,11 @@ def references(chunks: DataFrame, extractors: Sequence[str] = ("legal", "academi
 def _cited(body: Column, kind: str, pattern: str) -> Column:
     raws = F.when(_hinted(body, kind), F.regexp_extract_all(body, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
 
-    def one(raw: Column) -> Column:
+    def one(raw: Column, i: Column) -> Column:
         value = F.regexp_extract(raw, pattern, 1)
-        return F.struct(F.lit(kind).alias("kind"), (F.lower(value) if kind == "case" else value).alias("value"), raw.alias("raw"))
+        return F.struct((F.lower(value) if kind == "case" else value).alias("value"), i.alias("i"), raw.alias("raw"))
 
-    found = F.transform(raws, one)
-    return F.filter(found, lambda x, i: F.array_position(F.transform(found, lambda y: y["value"]), x["value"]) == i + 1)
+    # sorted by value and place, the first of each value is where the value before differs
+    first = lambda s: F.filter(s, lambda x, k: (k == 0) | (F.get(s, k - 1)["value"] != x["value"]))
+    kept = F.get(F.transform(F.array(F.array_sort(F.transform(raws, one))), first), F.lit(0))
+    return F.transform(kept, lambda x: F.struct(F.lit(kind).alias("kind"), x["value"].alias("value"), x["raw"].alias("raw")))
