@@ -374,9 +374,9 @@ def repeated_spans(docs: DataFrame, group_rows: int = GROUP_ROWS) -> tuple[DataF
     counts, counts_path = write_scratch(sample.groupBy("h").agg(F.count(F.lit(1)).alias("n")), "suffix")
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     common = F.broadcast(counts.where((F.col("n") > 1) & (F.col("n") * HOT_KEYS > total)).select("h", F.lit(True).alias("common")))
-    # anchors of a common h are dealt out by c as well, and are candidates, since no task sees all of them
+    # anchors of a common h are candidates whatever else there is, and are dealt out evenly, also those of one passage with equal surroundings
     dealt = anchors.join(common, "h", "left").withColumn("common", F.coalesce("common", F.lit(False)))
-    dealt = dealt.repartition("h", F.when(F.col("common"), F.col("c")).otherwise(0)).sortWithinPartitions("h")
+    dealt = dealt.repartition("h", F.when(F.col("common"), F.xxhash64("doc", "tie", "pos")).otherwise(0)).sortWithinPartitions("h")
     found, found_path = write_scratch(dealt.mapInArrow(_candidates, "doc long, tie long, pos int"), "suffix")
     drop_scratch(spark, counts_path)
     free_shuffles(spark)
