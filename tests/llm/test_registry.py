@@ -19,4 +19,4 @@ def test_rows_equal_the_sql(spark, name):
     found = registry.queries()[name](spark, SF)
     columns = ", ".join(sorted(found.columns))
     want = con.execute(f"SELECT {columns} FROM ({registry.oracle_sql()[name]})").fetchall()
-    assert sorted(map(tuple, found.select(*sorted(found.columns)).collect())) == sorted(want) and want
+    assert sorted(map(tuple, found.select(*sorted(found.columns)).collect()), key=repr) == sorted(want, key=repr) and want
