@@ -795,6 +795,22 @@ def build_with_errors(spark, sf_dir):
     return counts.withColumn("shortfall", made.errors.where("error like '% chunks have no context'").agg(F.max("slug")).scalar())
 
 
+@_query("""SELECT 'p' || page_id AS slug, 'context chunk ' || k || ': too long' AS error FROM pages, (SELECT unnest([0, 1, 2]) AS k) WHERE page_id % 4 <> 0 AND (page_id + k) % 5 = 0
+    UNION ALL SELECT '*', count(*) FILTER ((page_id + k) % 5 < 2) || ' of ' || count(*) || ' chunks have no context' FROM pages, (SELECT unnest([0, 1, 2]) AS k) WHERE page_id % 4 <> 0""")
+def context_errors(spark, sf_dir):
+    """A generator of contexts that fails for each fifth chunk and leaves another fifth blank: errors by chunk, and what is missing."""
+    manifest, pins, pages = _web(spark, sf_dir)
+    number = F.regexp_extract("slug", "([0-9]+)", 1).cast("long")
+    known = manifest.select(ids.doc_id(F.col("url"), F.lit("v1")).alias("doc_id"), number.alias("page"))
+
+    def generate(todo):
+        rest = (F.col("page") + F.col("chunk_index")) % 5
+        return todo.join(known, "doc_id").select("chunk_id", F.when(rest == 1, " ").when(rest > 1, "about it").alias("context"), F.when(rest == 0, "too long").alias("error"))
+
+    made = build.build_corpus(_empty_store(spark, sf_dir), manifest.join(pins, "slug", "left_semi"), pins, pages, _no_contexts(spark), "m", 1, require_context=True, generate=generate)
+    return made.errors
+
+
 def _former(spark, sf_dir):
     """A store with a document and a chunk of each third page in a version that has gone, one without chunks, and edges between them."""
     manifest, _, _ = _web(spark, sf_dir)

@@ -63,16 +63,20 @@ def valid_pins(pins: DataFrame, chunks: DataFrame, model: str, prompt_version: i
 
 def with_contexts(chunks: DataFrame, pinned: DataFrame, generate: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """chunks with context and origin (pinned, generated, missing). generate gets the chunks without a pin
-    and returns (chunk_id, context); blank contexts count as missing. Pins come first."""
+    and returns (chunk_id, context) or (chunk_id, context, error); blank contexts count as missing. Pins come first.
+    With errors there is context_error: what generate says of a chunk that it left without a context."""
     todo = chunks.join(pinned, "chunk_id", "left_anti")
     rows = chunks.join(pinned.select("chunk_id", F.col("context").alias("_pinned")), "chunk_id", "left")
     if generate is None:
         rows = rows.withColumn("_made", F.lit(None).cast("string"))
     else:
-        made = generate(todo).select("chunk_id", strip(F.col("context")).alias("_made")).where("_made <> ''")
-        rows = rows.join(made, "chunk_id", "left")
+        made = generate(todo)
+        said = ["error"] if "error" in made.columns else []
+        made = made.select("chunk_id", F.nullif(strip(F.col("context")), F.lit("")).alias("_made"), *[F.col(c).alias("_error") for c in said])
+        rows = rows.join(made.where(" or ".join(f"{c} is not null" for c in made.columns[1:])), "chunk_id", "left")
     origin = F.when(F.col("_pinned").isNotNull(), "pinned").when(F.col("_made").isNotNull(), "generated").otherwise("missing")
-    return rows.drop("context").select("*", F.coalesce("_pinned", "_made").alias("context"), origin.alias("origin")).drop("_pinned", "_made")
+    failed = [F.when(origin == "missing", F.col("_error")).alias("context_error")] if "_error" in rows.columns else []
+    return rows.drop("context").select("*", F.coalesce("_pinned", "_made").alias("context"), origin.alias("origin"), *failed).drop("_pinned", "_made", "_error")
 
 
 def merge_pins(old: DataFrame, new: DataFrame, model: str, prompt_version: int) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -241,7 +242,7 @@ def _few(frame: DataFrame, n: int) -> DataFrame:
 def build_corpus(
     store: Store, manifest: DataFrame, pins: DataFrame, pages: DataFrame, context_pins: DataFrame, model: str, prompt_version: int,
     index: Index | None = None, stages: Stages | None = None, only: list[str] | None = None, require_context: bool = False, run_id: str | None = None,
-    extractors: tuple[str, ...] = ("legal", "academic"), min_body_chars: int = 0,
+    extractors: tuple[str, ...] = ("legal", "academic"), min_body_chars: int = 0, generate: Callable[[DataFrame], DataFrame] | None = None,
 ) -> Built:
     """From manifest to chunks with contexts, edges, errors and the row of the run; what is present already isn't parsed again.
 
@@ -252,8 +253,8 @@ def build_corpus(
 
     A source without a pin or page, or whose page the parser gives up on, is a row of errors and adds
     nothing; the others are built, and the status is `partial`. Documents that the manifest no
-    longer has go, but only after a whole build (`only` is None) without such errors. Contexts come from valid pins;
-    if some are missing, that is noted in the run or, with require_context, an error. The graph is built
+    longer has go, but only after a whole build (`only` is None) without such errors. Contexts come from valid pins or
+    from generate (see with_contexts), whose errors are rows too, one for each chunk; the chunk itself is built. If some are missing, that is noted in the run or, with require_context, an error. The graph is built
     anew over all chunks. index, if given, is invalidated before anything else.
     """
     if index is not None:
@@ -282,9 +283,10 @@ def build_corpus(
         rows = structural_chunks(blocks).withColumnRenamed("doc", "slug").join(_few(wanted, n_known["wanted"]), "slug")
         made = ids.chunk_id(F.col("url"), F.col("resolved_version"), F.col("chunk_index"))
         rows = rows.select("doc_id", made.alias("chunk_id"), F.col("chunk_index").cast("long").alias("chunk_index"), "heading_path", "chunk_type", "text")
-        return with_contexts(rows, valid_pins(context_pins, rows, model, prompt_version))
+        rows = with_contexts(rows, valid_pins(context_pins, rows, model, prompt_version), generate)
+        return rows if "context_error" in rows.columns else rows.withColumn("context_error", F.lit(None).cast("string"))
 
-    chunks, n_chunks = stages.keep("chunks", chunked, chunks=one, missing=F.count_if(F.col("origin") == "missing"))
+    chunks, n_chunks = stages.keep("chunks", chunked, chunks=one, missing=F.count_if(F.col("origin") == "missing"), failed=F.count("context_error"))
 
     def titled() -> DataFrame:
         titles = blocks.where("kind = 'heading' and level = 1").groupBy("doc").agg(F.min_by("text", "pos").alias("title"))
@@ -294,7 +296,9 @@ def build_corpus(
     docs, n_docs = stages.keep("docs", titled, docs=one)
     lost = F.when(F.col("doc_id").isNull(), "no pin").when(F.col("here").isNull() & F.col("paged").isNull(), "no page")
     errors = known.select("slug", lost.alias("error")).where("error is not null").unionByName(failed)
-    n_errors = n_known["unpinned"] + n_known["unpaged"] + n_parsed["failed"]
+    unmade = chunks.where("context_error is not null").join(_few(wanted.select("doc_id", "slug"), n_known["wanted"]), "doc_id")
+    errors = errors.unionByName(unmade.select("slug", F.concat(F.lit("context chunk "), F.col("chunk_index").cast("string"), F.lit(": "), "context_error").alias("error")))
+    n_errors = n_known["unpinned"] + n_known["unpaged"] + n_parsed["failed"] + n_chunks["failed"]
     whole = only is None and not n_errors
 
     def leaving() -> DataFrame:
@@ -307,7 +311,7 @@ def build_corpus(
     gone, n_gone = stages.keep("gone", leaving, n=one)
     pruned = n_present["n"] - present.join(gone, "doc_id", "left_anti").count() if whole and n_gone["n"] else 0
     cleared = delete_docs(store, gone) if n_gone["n"] else store
-    all_chunks = cleared.chunks.unionByName(chunks.drop("origin"))
+    all_chunks = cleared.chunks.unionByName(chunks.drop("origin", "context_error"))
     stored_docs = cleared.docs.unionByName(docs)
     found, _ = stages.keep("references", lambda: references(all_chunks, extractors, "doc_id"))
     heads = anchor_index(all_chunks, min_body_chars).unionByName(document_anchors(manifest, pins, all_chunks))
