@@ -71,13 +71,13 @@ def candidates(refs: DataFrame, index: DataFrame, scope: DataFrame) -> DataFrame
     a document with a third of all citations, stays where it is: see join_hot(). So that they aren't looked for
     again, the references are written once.
     """
-    refs, _ = Stages(refs.sparkSession).keep("refs", lambda: refs)
     wide = F.col("kind").isin(*GLOBAL_KINDS)
+    refs, n = Stages(refs.sparkSession).keep("refs", lambda: refs, wide=F.count_if(wide), own=F.count_if(~wide))
     ends = lambda frame, *by: frame.groupBy(*by).agg(F.min("target").alias("least"), F.max("target").alias("most"))
-    own = join_hot(refs.where(~wide), scope, ["doc_id"]).withColumn("scope_doc", F.coalesce("scope_doc", "doc_id"))
+    own = join_hot(refs.where(~wide), scope, ["doc_id"], total=n["own"]).withColumn("scope_doc", F.coalesce("scope_doc", "doc_id"))
     known = ends(index.withColumnRenamed("doc_id", "scope_doc"), "scope_doc", "kind", "value")
     near = join_hot(own, known, ["scope_doc", "kind", "value"])
-    far = join_hot(refs.where(wide), ends(index, "kind", "value"), ["kind", "value"])
+    far = join_hot(refs.where(wide), ends(index, "kind", "value"), ["kind", "value"], total=n["wide"])
     keys = ["chunk_id", "doc_id", "kind", "value", "raw"]
     columns = [*keys, "least", "most"]
     both = near.select(columns).unionByName(far.select(columns)).groupBy(*keys).agg(F.min("least").alias("a"), F.max("most").alias("b"))

@@ -11,15 +11,18 @@ from pyspark.sql import functions as F
 HOT_KEYS = 1_000
 
 
-def join_hot(rows: DataFrame, values: DataFrame, keys: Sequence[str], how: str = "left", hot_keys: int | None = None) -> DataFrame:
+def join_hot(rows: DataFrame, values: DataFrame, keys: Sequence[str], how: str = "left", total: int | None = None, hot_keys: int | None = None) -> DataFrame:
     """rows joined (left or inner) with values, which has few rows for each key.
 
     The keys that have more than a thousandth of all rows are counted; their values are broadcast and their rows stay
-    where they are, all others are shuffled. rows are read several times, so they should be a written table.
+    where they are, all others are shuffled. rows are read several times, so they should be a written table;
+    total is their number, if it is known.
     """
     keys = list(keys)
     counts = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = rows.count()
+    total = rows.count() if total is None else total
+    if not total:
+        return rows.join(values, keys, how)
     hot = [tuple(r[k] for k in keys) for r in counts.where(F.col("_n") * (hot_keys or HOT_KEYS) > total).select(*keys).collect()]
     if not hot:
         return rows.join(values, keys, how)
