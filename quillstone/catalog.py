@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillstone.functions import ids, text as tx
-from quillstone.operators import chunking, citations, contexts, gates, graph, inverted, lexical
+from quillstone.operators import chunking, citations, contexts, gates, graph, inverted, lexical, vectors
 from quillstone.plans import build, stages
 from quillstone.sources import planning
 from quillstone.streaming import ingest
@@ -1017,6 +1017,104 @@ def ingested_chunks(spark, sf_dir):
     return spark.read.option("basePath", at).parquet(f"{at}/batch=*").select("chunk_id", F.col("batch").cast("int").alias("batch"))
 
 
+DIM = 64
+#: Pairs of each vector with an id divisible by 50 and all others; `nr` is the rank of the nearest first.
+_VECTORS = """, vs AS (
+        SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+        WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    ), vp AS (
+        SELECT a.vec_id AS query_id, b.vec_id AS id, list_distance(a.v, b.v) AS distance FROM vs a JOIN vs b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+    ), vn AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(distance, 12), id) AS nr FROM vp
+    ) """
+
+
+def _neighbours(spark, sf_dir, top_k, exact, index=None):
+    rows = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    index = index or vectors.VectorIndex(spark, DIM).build(rows)
+    asked = rows.where("id % 50 = 0").select(F.col("id").alias("query_id"), "vector")
+    return vectors.nearest_others(index.search(asked, top_k + 1, exact=exact), top_k), index
+
+
+@_query(_VECTORS + "SELECT query_id, id, CAST(nr AS INTEGER) AS rank, round(distance, 6) AS distance FROM vn WHERE nr <= 10")
+def vector_neighbours(spark, sf_dir):
+    """The ten nearest others of each vector with an id divisible by 50, none missed."""
+    return _neighbours(spark, sf_dir, 10, True)[0].withColumn("distance", F.round("distance", 6))
+
+
+@_query()
+def vector_search(spark, sf_dir):
+    """The same from the nearest lists only: 0.9 of the ten at least."""
+    return _neighbours(spark, sf_dir, 10, False)[0].withColumn("distance", F.round("distance", 6))
+
+
+@_query(_VECTORS + "SELECT count(*) AS wanted, true AS enough FROM vn WHERE nr <= 10")
+def vector_recall(spark, sf_dir):
+    """Of the ten nearest others of each query, 0.9 at least are found without an exact search."""
+    exact, index = _neighbours(spark, sf_dir, 10, True)
+    found = _neighbours(spark, sf_dir, 10, False, index)[0].select("query_id", "id", F.lit(1).alias("hit"))
+    met = exact.select("query_id", "id").join(found, ["query_id", "id"], "left")
+    return met.agg(F.count(F.lit(1)).alias("wanted"), (F.coalesce(F.sum("hit"), F.lit(0)) >= 0.9 * F.count(F.lit(1))).alias("enough"))
+
+
+#: Whole documents as chunks, the three rarest words of each with an id divisible by 50 as its query.
+_HYBRID = """, dd AS (
+        SELECT doc_id, lower(lang || ' ' || source) AS context, lower(coalesce(text, '')) AS text FROM documents WHERE doc_id IS NOT NULL
+    ), dt AS (
+        SELECT doc_id, 0 AS field, unnest(regexp_extract_all(context, '([\\p{L}\\p{N}\\p{Co}][\\p{L}\\p{N}\\p{Co}\\x{300}-\\x{331}]*)')) AS term FROM dd
+        UNION ALL SELECT doc_id, 1, unnest(regexp_extract_all(text, '([\\p{L}\\p{N}\\p{Co}][\\p{L}\\p{N}\\p{Co}\\x{300}-\\x{331}]*)')) FROM dd
+    ), dp AS (
+        SELECT term, doc_id, count(*) FILTER (field = 0) AS tc, count(*) FILTER (field = 1) AS tt FROM dt GROUP BY ALL
+    ), dl AS (
+        SELECT dd.doc_id, count(dt.term) AS length FROM dd LEFT JOIN dt ON dt.doc_id = dd.doc_id GROUP BY ALL
+    ), df AS (
+        SELECT term, count(*) AS df FROM dp GROUP BY term
+    ), dw AS (
+        SELECT dp.doc_id AS query_id, term, df, row_number() OVER (PARTITION BY dp.doc_id ORDER BY df, term) AS nth
+        FROM dp JOIN df USING (term) WHERE doc_id % 50 = 0 AND tt > 0 AND df >= 2
+    ), dg AS (
+        SELECT count(*) AS n, avg(length) AS average FROM dl
+    ), ds AS (
+        SELECT query_id, dp.doc_id AS id, round(sum(CASE WHEN n - df <= df THEN 1e-6::DOUBLE ELSE ln((n - df + 0.5::DOUBLE) / (df + 0.5::DOUBLE)) END
+                * (tc + 2.0::DOUBLE * tt) * 2.2::DOUBLE / (tc + 2.0::DOUBLE * tt + 1.2::DOUBLE * (0.25::DOUBLE + 0.75::DOUBLE * length / average))), 9) AS score
+        FROM dw JOIN dp USING (term) JOIN dl ON dl.doc_id = dp.doc_id, dg WHERE nth <= 3 GROUP BY ALL
+    ), lr AS (
+        SELECT query_id, id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS nr FROM ds WHERE id <> query_id
+    )"""
+
+
+def _lexical_ranks(spark, sf_dir, top_k):
+    docs = table(spark, sf_dir, "documents").where("doc_id IS NOT NULL")
+    rows = docs.select(F.col("doc_id").alias("chunk_id"), F.concat("lang", F.lit(" "), "source").alias("context"), "text")
+    kept = stages.Stages(spark)
+    posted, _ = kept.keep("postings", lambda: lexical.postings(rows, stemmed=False))
+    sizes, _ = kept.keep("lengths", lambda: lexical.lengths(rows))
+    asked, _ = kept.keep("asked", lambda: lexical.rarest_terms(posted, rows.where("chunk_id % 50 = 0")))
+    found = lexical.search_many(posted, sizes, asked, top_k + 1).withColumnRenamed("chunk_id", "id")
+    return vectors.nearest_others(found, top_k)
+
+
+@_query(_HYBRID + "SELECT lr.query_id, lr.id, CAST(nr AS INTEGER) AS rank, round(score, 6) AS score FROM lr JOIN ds ON ds.query_id = lr.query_id AND ds.id = lr.id WHERE nr <= 20")
+def lexical_neighbours(spark, sf_dir):
+    """For each document with an id divisible by 50, the twenty others that score best for its three rarest words."""
+    return _lexical_ranks(spark, sf_dir, 20).select("query_id", "id", F.round("score", 6).alias("score"), "rank")
+
+
+@_query(_HYBRID + _VECTORS.rstrip() + """, fu AS (
+        SELECT query_id, id, CAST(max(nr) FILTER (side = 0) AS INTEGER) AS lexical, CAST(max(nr) FILTER (side = 1) AS INTEGER) AS vector FROM (
+            SELECT query_id, id, nr, 0 AS side FROM lr WHERE nr <= 20 UNION ALL SELECT query_id, id, nr, 1 FROM vn WHERE nr <= 20) GROUP BY ALL
+    ), fs AS (
+        SELECT *, coalesce(1::DOUBLE / (lexical + 60), 0) + coalesce(1::DOUBLE / (vector + 60), 0) AS score FROM fu
+    ), fr AS (
+        SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM fs
+    ) SELECT query_id, id, rank, lexical, vector, round(score, 9) AS score FROM fr WHERE rank <= 10""")
+def hybrid_search(spark, sf_dir):
+    """The ranks by rare words and by vectors, where vector d is taken for document d's, fused by reciprocal ranks."""
+    near, _ = _neighbours(spark, sf_dir, 20, True)
+    fused = vectors.fuse({"lexical": _lexical_ranks(spark, sf_dir, 20), "vector": near}, top_k=10)
+    return fused.withColumn("score", F.round("score", 9))
+
+
 @_query("SELECT CAST(sum(o_orderkey) AS BIGINT) AS o_orderkey, CAST(sum(o_custkey) AS BIGINT) AS o_custkey FROM orders")
 def usage_totals(spark, sf_dir):
     return contexts.usage_total(table(spark, sf_dir, "orders"), "o_orderkey", "o_custkey")

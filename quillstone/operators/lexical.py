@@ -12,10 +12,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstone.functions.ids import SEPARATOR
+from quillstone.operators.joins import join_hot
 
 K1, B = 1.2, 0.75
 WEIGHTS = (1.0, 2.0)
@@ -209,6 +211,44 @@ def search(posted: DataFrame, sizes: DataFrame, text: str, top_k: int = 50, stem
     return found.orderBy(F.desc("score"), "chunk_id").limit(top_k)
 
 
+def rarest_terms(posted: DataFrame, chosen: DataFrame, number: int = 3, least_df: int = 2) -> DataFrame:
+    """(query_id, terms): of each chunk of chosen (chunk_id), the rarest terms of its text that least_df chunks hold, ties by term.
+
+    posted should be a written table. Chunks without such terms get no row.
+    """
+    known = posted.groupBy("term").agg(F.count(F.lit(1)).alias("df")).where(F.col("df") >= least_df)
+    rows = posted.where(F.col("tf_text") > 0).join(chosen.select("chunk_id").distinct(), "chunk_id", "left_semi").select("chunk_id", "term")
+    nth = F.row_number().over(W.partitionBy("chunk_id").orderBy("df", "term"))
+    rare = join_hot(rows, known, ["term"], "inner").withColumn("nth", nth).where(F.col("nth") <= number)
+    listed = F.array_sort(F.collect_list(F.struct("nth", "term")))
+    return rare.groupBy(F.col("chunk_id").alias("query_id")).agg(F.transform(listed, lambda x: x["term"]).alias("terms"))
+
+
+def search_many(posted: DataFrame, sizes: DataFrame, queries: DataFrame, top_k: int = 50, weights: tuple[float, float] = WEIGHTS, digits: int = 9) -> DataFrame:
+    """(query_id, chunk_id, score, rank): search() for many queries (query_id, terms), whose scores are rounded before they rank.
+
+    Queries of equal terms are answered once. A query's rows are those of its terms' postings, so common terms cost as much
+    for each query here as they do in a search; a term's postings may lie in any number of tasks. posted should be a written table.
+    """
+    asked = queries.where(F.size("terms") > 0)
+    whole = asked.groupBy(F.md5(F.array_join("terms", SEPARATOR)).alias("query"), "terms").agg(F.lit(1).alias("one")).drop("one")
+    words = whole.select("query", F.posexplode("terms").alias("nth", "term"))
+    known = posted.join(words.select("term").distinct(), "term", "left_semi").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    raw = F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5))
+    idf = F.when(raw <= 0, LEAST_IDF).otherwise(raw).alias("idf")
+    weighed = words.join(known, "term").crossJoin(F.broadcast(index_stats(sizes))).select("query", "nth", "term", idf, "average")
+    f = F.col("tf_context") * weights[0] + F.col("tf_text") * weights[1]
+    share = f * (K1 + 1) / (f + K1 * (1 - B + B * F.col("length") / F.col("average")))
+    hits = join_hot(posted, weighed, ["term"], "inner").join(sizes, "chunk_id")
+    parts = hits.groupBy("query", "chunk_id").agg(F.array_sort(F.collect_list(F.struct("nth", (F.col("idf") * share).alias("part")))).alias("xs"))
+    scored = parts.select("query", "chunk_id", F.round(F.aggregate("xs", F.lit(0.0), lambda acc, x: acc + x["part"]), digits).alias("score"))
+    rank = F.row_number().over(W.partitionBy("query").orderBy(F.desc("score"), "chunk_id"))
+    best = scored.withColumn("rank", rank).where(F.col("rank") <= top_k)
+    lists = best.groupBy("query").agg(F.sort_array(F.collect_list(F.struct("rank", "chunk_id", "score"))).alias("found"))
+    named = asked.select("query_id", F.md5(F.array_join("terms", SEPARATOR)).alias("query"))
+    return join_hot(named, lists, ["query"], "inner").select("query_id", F.inline("found")).select("query_id", "chunk_id", "score", "rank")
+
+
 def corpus_digest(chunks: DataFrame) -> DataFrame:
     """(n, digest): SHA-256 over the rows' id, context and text in order of chunk_id.
 
