@@ -27,7 +27,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstone.operators.lexical import B, K1, LEAST_IDF, TOKENIZE, WEIGHTS, NotBuiltError, fingerprint, fingerprint_of, query_phrases, row_hashes, terms
+from quillstone.operators.lexical import B, K1, LEAST_IDF, TOKENIZE, WEIGHTS, NotBuiltError, chunk_terms, fingerprint, fingerprint_of, query_phrases, row_hashes, terms
 
 #: Segments, and the share of all chunks that are marked, above which an update merges.
 MOST_SEGMENTS, MOST_MARKED = 8, 0.2
@@ -42,12 +42,7 @@ _POSTINGS = "term string, block int, chunk_id string, length long, context array
 
 def positional_postings(chunks: DataFrame, stemmed: bool = True) -> DataFrame:
     """(term, chunk_id, length, context, text): the places of each term of a chunk in its two fields, in order."""
-    lists = chunks.select("chunk_id", terms(F.col("context"), stemmed).alias("c"), terms(F.col("text"), stemmed).alias("t"))
-    lists = lists.select("chunk_id", (F.size("c") + F.size("t")).cast("long").alias("length"), "c", "t")
-    field = lambda n, c: F.transform(c, lambda t, i: F.struct(F.lit(n).alias("field"), i.alias("at"), t.alias("term")))
-    rows = lists.select("chunk_id", "length", F.inline(F.concat(field(0, "c"), field(1, "t"))))
-    places = lambda n: F.sort_array(F.collect_list(F.when(F.col("field") == n, F.col("at"))))
-    return rows.groupBy("term", "chunk_id").agg(F.first("length").alias("length"), places(0).alias("context"), places(1).alias("text"))
+    return chunk_terms(chunks, stemmed, True).select("term", "chunk_id", "length", "context", "text")
 
 
 def phrase_places(hits: DataFrame, phrase: list[str]) -> DataFrame:

@@ -140,3 +140,17 @@ def test_blocks_that_cannot_reach_the_best_are_skipped(spark, tmp_path, monkeypa
             assert report.blocks > 100
         if query in ("common", "common rare"):
             assert report.skipped > report.blocks / 2
+
+
+def test_terms_are_grouped_where_their_chunk_lies(spark):
+    """No posting is shuffled for its counts or places, and rows that repeat an id are still one chunk."""
+    rows = [("a", "x y", "y x y"), ("b", None, "x"), ("c", "", "?!")]
+    for stemmed in (False, True):
+        for made in (lexical.postings, inverted.positional_postings):
+            assert "Exchange" not in made(chunks(spark, rows), stemmed)._jdf.queryExecution().executedPlan().toString()
+    posted = {(r.term, r.chunk_id): (r.length, r.context, r.text) for r in inverted.positional_postings(chunks(spark, rows), False).collect()}
+    assert posted == {("x", "a"): (5, [0], [1]), ("y", "a"): (5, [1], [0, 2]), ("x", "b"): (1, [], [0])}
+    again = [*rows, ("b", "x", "z x"), (None, None, "x"), (None, None, "x")]
+    counts = {(r.term, r.chunk_id): (r.tf_context, r.tf_text) for r in lexical.postings(chunks(spark, again), False).collect()}
+    assert counts == {("x", "a"): (1, 1), ("y", "a"): (1, 2), ("x", "b"): (1, 2), ("z", "b"): (0, 1), ("x", None): (0, 2)}
+    assert {r.chunk_id: r.text for r in inverted.positional_postings(chunks(spark, again), False).where("term = 'x'").collect()} == {"a": [1], "b": [0, 1], None: [0, 0]}
