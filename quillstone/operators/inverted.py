@@ -2,14 +2,15 @@
 
 A segment holds what one build or update has added:
 
-- `postings` (term, block, chunk_id, length, context, text): the places of a term in a chunk's context and text, and the
-  chunk's length, sorted by term and block, so that a search reads its terms alone;
-- `docs` (chunk_id, length, h): the chunks and the hash of what is indexed of them;
-- `terms` (term, df): how many of its chunks have a term;
-- `blocks` (term, block, n, most_context, most_text, least_length): of the chunks of a block with that term, what bounds their scores.
-
-A block is a range of the chunk ids' hashes, the same for all terms and segments. An update adds a segment
-of what is new or changed and deletion marks (segment, chunk_id) with the counts that go (`terms`, negative)
+- `postings` (term, block, n, most_context, most_text, least_length, postings): of the chunks of a block with that term, their number,
+  what bounds their scores, and for each its number in the block, its length, and the term's places in its context and text; a file
+  holds some blocks, sorted by term, so that a search reads its terms alone;
+- `docs` (chunk_id, length, h, block, nth): the chunks, the hash of what is indexed of them, and their numbers in their blocks;
+- `terms` (term, df): how many of its chunks have a term.
+
+A block is a range of the chunk ids' hashes, the same for all terms and segments. Only texts are shuffled for an index, by their blocks,
+and a chunk is a small number in its postings; a number stands for one chunk of a block in all segments. An update adds a segment
+of what is new or changed and deletion marks (segment, block, nth) with the counts that go (`terms`, negative)
 for what has changed or gone. A version is one row of JSON that lists segments and marks with
 their counts; it is written last, so a search sees all of an update or nothing. When marks or
 segments are many, merge() writes one segment from the postings, without looking at a text.
@@ -21,23 +22,65 @@ import json
 import math
 import re
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillstone.operators.lexical import B, K1, LEAST_IDF, TOKENIZE, WEIGHTS, NotBuiltError, chunk_terms, fingerprint, fingerprint_of, query_phrases, row_hashes, terms
+from quillstone.operators.lexical import B, K1, LEAST_IDF, TOKENIZE, WEIGHTS, NotBuiltError, TermGroups, chunk_terms, fingerprint, fingerprint_of, query_phrases, repeated_ids, row_hashes, terms
 
 #: Segments, and the share of all chunks that are marked, above which an update merges.
 MOST_SEGMENTS, MOST_MARKED = 8, 0.2
-#: Chunks that a block has on average, as far as the number of blocks, 16**digits, allows.
+#: Chunks that a block has on average, to a factor of 4, as far as the number of blocks, 16**digits, allows.
 BLOCK_CHUNKS, MOST_DIGITS = 1024, 4
+#: Bytes of texts whose postings are sorted in one task and lie in one file.
+FILE_BYTES = 1 << 23
+#: Best chunks that are looked up in the table of chunks by a broadcast; more of them, with one score, are joined.
+FEW_CHUNKS = 100_000
 #: Bounds are raised by this share, more than any rounding.
 SLACK = 1e-9
 #: Blocks that are named in a filter, which the scan can use; more are joined.
 NAMED_BLOCKS = 1000
-_POSTINGS = "term string, block int, chunk_id string, length long, context array<int>, text array<int>"
+#: What names a chunk in a search.
+_CHUNK = ["segment", "block", "nth"]
+_POSTING = pa.struct([("nth", pa.int32()), ("length", pa.int32()), ("context", pa.list_(pa.int32())), ("text", pa.list_(pa.int32()))])
+_POSTINGS = (
+    "term string, block int, n int, most_context int, most_text int, least_length int, "
+    "postings array<struct<nth: int, length: int, context: array<int>, text: array<int>>>"
+)
+
+
+def _post(stemmed: bool, first: int) -> Callable[[pa.Table], pa.Table]:
+    """What makes a block's rows of postings from its chunks (block, chunk_id, c, t), whose numbers are from first on, in order of their ids."""
+
+    def post(chunks: pa.Table) -> pa.Table:
+        chunks = chunks.sort_by("chunk_id").combine_chunks()
+        column = lambda name: chunks.column(name).combine_chunks()
+        context, text = column("c"), column("t")
+        found = TermGroups.of(context, text, stemmed, by_term=True)
+        size = lambda lists: pc.list_value_length(lists).to_numpy()
+        length = (size(context) + size(text)).astype(np.int32)[found.row]
+        starts = np.flatnonzero(np.r_[True, found.code[1:] != found.code[:-1]]) if len(found.code) else np.zeros(0, np.int64)
+        ends = np.r_[starts, len(found.code)].astype(np.int32)
+        over = lambda f, values: pa.array(f.reduceat(values, starts).astype(np.int32) if len(starts) else values[:0].astype(np.int32))
+        rows = pa.StructArray.from_arrays([pa.array((found.row + first).astype(np.int32)), pa.array(length), *found.places], fields=list(_POSTING))
+        return pa.table({
+            "term": found.names.take(pa.array(found.code[starts])),
+            "block": pa.array(np.full(len(starts), chunks.column("block")[0].as_py(), np.int32)),
+            "n": pa.array(np.diff(ends)),
+            "most_context": over(np.maximum, found.n[0]),
+            "most_text": over(np.maximum, found.n[1]),
+            "least_length": over(np.minimum, length),
+            "postings": pa.ListArray.from_arrays(pa.array(ends), rows),
+        })
+
+    return post
 
 
 def positional_postings(chunks: DataFrame, stemmed: bool = True) -> DataFrame:
@@ -46,14 +89,14 @@ def positional_postings(chunks: DataFrame, stemmed: bool = True) -> DataFrame:
 
 
 def phrase_places(hits: DataFrame, phrase: list[str]) -> DataFrame:
-    """(chunk_id, length, context, text) of the chunks in which the terms of a phrase follow one another in a field, and where: the places of its
+    """(segment, block, nth, length, context, text) of the chunks in which the terms of a phrase follow one another in a field, and where: the places of its
     terms, each moved back by its number in the phrase, are intersected."""
-    asked = hits.sparkSession.createDataFrame(list(enumerate(phrase)), "nth int, term string")
-    back = lambda c: F.transform(c, lambda x: x - F.col("nth")).alias(c)
-    rows = hits.where(F.col("term").isin(sorted(set(phrase)))).join(F.broadcast(asked), "term").select("chunk_id", "length", back("context"), back("text"))
-    met = rows.groupBy("chunk_id").agg(F.first("length").alias("length"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("context", "text")).alias("x")).where(F.col("n") == len(phrase))
+    asked = hits.sparkSession.createDataFrame(list(enumerate(phrase)), "at int, term string")
+    back = lambda c: F.transform(c, lambda x: x - F.col("at")).alias(c)
+    rows = hits.where(F.col("term").isin(sorted(set(phrase)))).join(F.broadcast(asked), "term").select(*_CHUNK, "length", back("context"), back("text"))
+    met = rows.groupBy(*_CHUNK).agg(F.first("length").alias("length"), F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("context", "text")).alias("x")).where(F.col("n") == len(phrase))
     both = lambda c: F.aggregate(F.slice(F.col(f"x.{c}"), 2, len(phrase)), F.get(F.col(f"x.{c}"), F.lit(0)), F.array_intersect).alias(c)
-    return met.select("chunk_id", "length", both("context"), both("text")).where((F.size("context") > 0) | (F.size("text") > 0))
+    return met.select(*_CHUNK, "length", both("context"), both("text")).where((F.size("context") > 0) | (F.size("text") > 0))
 
 
 def score_share(f: Column, length: Column, average: float) -> Column:
@@ -143,12 +186,17 @@ class Index:
         return reduce(DataFrame.unionByName, frames) if frames else None
 
     def _live(self, version: dict, rows: DataFrame) -> DataFrame:
-        """rows (segment, chunk_id, ...) without those marked as gone; the marks are a bounded share of the index, see merge()."""
+        """rows (segment, block, nth, ...) without those marked as gone; the marks are a bounded share of the index, see merge()."""
         marks = self._marks(version, "chunks")
-        return rows if marks is None else rows.join(marks.select("segment", "chunk_id"), ["segment", "chunk_id"], "left_anti")
+        return rows if marks is None else rows.join(marks.select(*_CHUNK), _CHUNK, "left_anti")
+
+    def _hits(self, version: dict, wanted: list[str]) -> DataFrame:
+        """(segment, block, term, nth, length, context, text) of the chunks with one of the terms."""
+        rows = self._read(version, "postings").where(F.col("term").isin(wanted))
+        return self._live(version, rows.select("segment", "block", "term", F.inline("postings")))
 
     def live_docs(self, version: dict | None = None) -> DataFrame:
-        """(chunk_id, length, h, segment) of the chunks that a search can find."""
+        """(chunk_id, length, h, block, nth, segment) of the chunks that a search can find."""
         version = version or self.version()
         return self._live(version, self._read(version, "docs"))
 
@@ -162,35 +210,47 @@ class Index:
     def _block(self, digits: int) -> Column:
         return F.conv(F.substring(F.sha2("chunk_id", 256), 1, digits), 16, 10).cast("int")
 
-    def _segment(self, postings: DataFrame, docs: DataFrame, digits: int) -> dict:
-        """Writes a segment of postings (term, chunk_id, length, context, text) and docs (chunk_id, length, h)."""
+    def _segment(self, postings: DataFrame, docs: DataFrame, end: int = 0) -> dict:
+        """Writes a segment of postings, of which a partition has whole blocks, and docs (chunk_id, length, h, block, nth) with numbers up to end or beyond."""
         name = uuid.uuid4().hex
         at = f"{self.path}/segments/{name}"
-        rows = postings.withColumn("block", self._block(digits)).select("term", "block", "chunk_id", "length", "context", "text")
-        rows.repartitionByRange("term", "block", "chunk_id").sortWithinPartitions("term", "block", "chunk_id").write.parquet(f"{at}/postings")
-        docs.select("chunk_id", "length", "h").write.parquet(f"{at}/docs")
-        written = self.spark.read.schema(_POSTINGS).parquet(f"{at}/postings")
-        blocks = written.groupBy("term", "block").agg(
-            F.count(F.lit(1)).alias("n"), F.max(F.size("context")).alias("most_context"), F.max(F.size("text")).alias("most_text"), F.min("length").alias("least_length")
-        )
-        blocks.repartitionByRange("term", "block").sortWithinPartitions("term", "block").write.parquet(f"{at}/blocks")
-        counts = self.spark.read.parquet(f"{at}/blocks").groupBy("term").agg(F.sum("n").alias("df"))
+        postings.sortWithinPartitions("term", "block").write.option("compression", "zstd").parquet(f"{at}/postings")
+        docs.select("chunk_id", "length", "h", "block", "nth").write.option("compression", "zstd").parquet(f"{at}/docs")
+        counts = self.spark.read.schema(_POSTINGS).parquet(f"{at}/postings").groupBy("term").agg(F.sum("n").alias("df"))
         counts.repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{at}/terms")
-        n, tokens = self.spark.read.parquet(f"{at}/docs").agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
-        return {"id": name, "n": n, "tokens": tokens}
+        n, tokens, last = self.spark.read.parquet(f"{at}/docs").agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0)), F.max("nth")).first()
+        return {"id": name, "n": n, "tokens": tokens, "end": max(end, -1 if last is None else last) + 1}
+
+    def _of(self, chunks: DataFrame, digits: int, size: int, first: int = 0) -> tuple[DataFrame, DataFrame]:
+        """Postings and docs of chunks (chunk_id, context, text) with different ids and size characters, numbered from first on in each block."""
+        listed = lambda c: terms(F.col(c), False)
+        length = (F.size(listed("context")) + F.size(listed("text"))).cast("long")
+        docs = row_hashes(chunks.select("chunk_id", "context", "text", length.alias("length")), "length")
+        nth = F.row_number().over(W.partitionBy("block").orderBy("chunk_id")) + F.lit(first - 1)
+        docs = docs.withColumn("block", self._block(digits)).withColumn("nth", nth)
+        dealt = chunks.select(self._block(digits).alias("block"), "chunk_id", "context", "text").repartition(max(1, math.ceil(size / FILE_BYTES)), "block")
+        lists = dealt.select("block", "chunk_id", listed("context").alias("c"), listed("text").alias("t"))
+        return lists.groupBy("block").applyInArrow(_post(self.stemmed, first), _POSTINGS), docs
+
+    @staticmethod
+    def _one_by_id(chunks: DataFrame) -> DataFrame:
+        """Of several rows with one id, the one with the largest hash."""
+        return chunks.groupBy("chunk_id").agg(F.max_by(F.struct("context", "text"), F.xxhash64("context", "text")).alias("x")).select("chunk_id", "x.*")
 
-    def _of(self, chunks: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Postings and docs of chunks (chunk_id, context, text)."""
-        size = lambda c: F.size(terms(F.col(c), False))
-        lengths = chunks.select("chunk_id", (size("context") + size("text")).cast("long").alias("length"))
-        return positional_postings(chunks, self.stemmed), lengths.join(row_hashes(chunks), "chunk_id")
+    @staticmethod
+    def _measured(chunks: DataFrame) -> tuple[int, int]:
+        """Chunks and characters."""
+        chars = F.sum(F.length(F.coalesce("context", F.lit(""))).cast("long") + F.length(F.coalesce("text", F.lit(""))))
+        return tuple(chunks.agg(F.count(F.lit(1)), F.coalesce(chars, F.lit(0))).first())
 
     def build(self, chunks: DataFrame) -> None:
-        """An index of chunks (chunk_id, context, text) alone, whatever was there before."""
+        """An index of chunks (chunk_id, context, text) alone, whatever was there before. Of several rows with one id, the one with the largest hash counts."""
         self.invalidate()
-        n = chunks.count()
-        digits = min(MOST_DIGITS, max(1, math.ceil(math.log(max(1, n / BLOCK_CHUNKS), 16))))
-        segment = self._segment(*self._of(chunks), digits)
+        if repeated_ids(chunks) is not None:
+            chunks = self._one_by_id(chunks)
+        n, size = self._measured(chunks)
+        digits = min(MOST_DIGITS, max(1, round(math.log(max(1, n / BLOCK_CHUNKS), 16))))
+        segment = self._segment(*self._of(chunks, digits, size))
         self._commit({"segments": [segment], "marks": [], "digits": digits}, self.spark.read.parquet(f"{self.path}/segments/{segment['id']}/docs"))
 
     def update(self, changed: DataFrame, gone: DataFrame | None = None) -> None:
@@ -200,32 +260,45 @@ class Index:
         one with the largest hash counts; an id that is gone and changed is changed.
         """
         version = self.version()
-        new = changed.groupBy("chunk_id").agg(F.max_by(F.struct("context", "text"), F.xxhash64("context", "text")).alias("x")).select("chunk_id", "x.*")
+        new = self._one_by_id(changed)
         ids = new.select("chunk_id")
         if gone is not None:
             ids = ids.unionByName(gone.select("chunk_id")).distinct()
-        lost = self.live_docs(version).join(ids, "chunk_id", "left_semi").select("segment", "chunk_id", "length")
+        lost = self.live_docs(version).join(ids, "chunk_id", "left_semi").select(*_CHUNK, "length")
         name = uuid.uuid4().hex
         lost.write.parquet(f"{self.path}/marks/{name}/chunks")
         lost = self.spark.read.parquet(f"{self.path}/marks/{name}/chunks")
         n, tokens = lost.agg(F.count(F.lit(1)), F.coalesce(F.sum("length"), F.lit(0))).first()
         marks = version["marks"]
         if n:
-            less = self._read(version, "postings").select("segment", "chunk_id", "term").join(lost.select("segment", "chunk_id"), ["segment", "chunk_id"], "left_semi")
-            less.groupBy("term").agg((-F.count(F.lit(1))).alias("df")).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{self.path}/marks/{name}/terms")
+            less = self._gone(self._read(version, "postings").select("segment", "block", "term", "postings.nth"), lost).where("gone is not null")
+            less = less.select("term", F.size(F.array_intersect("nth", "gone")).alias("df")).where("df > 0")
+            less.groupBy("term").agg((-F.sum("df")).alias("df")).repartitionByRange("term").sortWithinPartitions("term").write.parquet(f"{self.path}/marks/{name}/terms")
             marks = [*marks, {"id": name, "n": n, "tokens": tokens}]
-        segment = self._segment(*self._of(new), version["digits"])
+        first = max(s["end"] for s in version["segments"])
+        segment = self._segment(*self._of(new, version["digits"], self._measured(new)[1], first))
         version |= {"segments": [*version["segments"], *([segment] if segment["n"] else [])], "marks": marks}
         self._commit(version, self.live_docs(version))
         marked = sum(m["n"] for m in marks)
         if len(version["segments"]) > MOST_SEGMENTS or marked > MOST_MARKED * sum(s["n"] for s in version["segments"]):
             self.merge()
 
+    @staticmethod
+    def _gone(rows: DataFrame, marks: DataFrame) -> DataFrame:
+        """rows (segment, block, ...) with the numbers of the block's chunks that are marked, `gone`, or null."""
+        return rows.join(marks.groupBy("segment", "block").agg(F.collect_set("nth").alias("gone")), ["segment", "block"], "left")
+
     def merge(self) -> None:
         """One segment of all that is live."""
         version = self.version()
-        live = self._live(version, self._read(version, "postings")).drop("segment", "block")
-        segment = self._segment(live, self.live_docs(version).drop("segment"), version["digits"])
+        rows, marks = self._read(version, "postings"), self._marks(version, "chunks")
+        kept = F.col("postings") if marks is None else F.filter("postings", lambda x: ~F.array_contains(F.coalesce("gone", F.array().cast("array<int>")), x["nth"]))
+        rows = (rows if marks is None else self._gone(rows, marks)).select("term", "block", kept.alias("postings")).where(F.size("postings") > 0)
+        files = max(1, sum(s["tokens"] for s in version["segments"]) * 5 // FILE_BYTES)
+        whole = rows.repartition(files, "block").groupBy("term", "block").agg(F.array_sort(F.flatten(F.collect_list("postings"))).alias("postings"))
+        most = lambda c: F.array_max(F.transform("postings", lambda x: F.size(x[c]))).alias(f"most_{c}")
+        whole = whole.select("term", "block", F.size("postings").alias("n"), most("context"), most("text"), F.array_min("postings.length").alias("least_length"), "postings")
+        segment = self._segment(whole, self.live_docs(version), max(s["end"] for s in version["segments"]) - 1)
         self._commit(version | {"segments": [segment], "marks": []}, self.spark.read.parquet(f"{self.path}/segments/{segment['id']}/docs"))
 
     def fingerprint(self, chunks: DataFrame) -> DataFrame:
@@ -243,11 +316,11 @@ class Index:
         return {r.term: r.df for r in rows.where(F.col("term").isin(wanted)).groupBy("term").agg(F.sum("df").alias("df")).collect()}
 
     def _scored(self, rows: DataFrame, asked: DataFrame, average: float) -> DataFrame:
-        """(chunk_id, score) of rows (phrase, chunk_id, length, context, text); parts are summed in the order of the query."""
+        """(segment, block, nth, score) of rows (phrase, segment, block, nth, length, context, text); parts are summed in the order of the query."""
         f = F.size("context") * self.weights[0] + F.size("text") * self.weights[1]
-        parts = rows.join(F.broadcast(asked), "phrase").select("chunk_id", F.struct("nth", (F.col("idf") * score_share(f, F.col("length"), average)).alias("part")).alias("x"))
-        summed = parts.groupBy("chunk_id").agg(F.array_sort(F.collect_list("x")).alias("xs"))
-        return summed.select("chunk_id", F.aggregate("xs", F.lit(0.0), lambda acc, x: acc + x["part"]).alias("score"))
+        parts = rows.join(F.broadcast(asked.withColumnRenamed("nth", "at")), "phrase").select(*_CHUNK, F.struct("at", (F.col("idf") * score_share(f, F.col("length"), average)).alias("part")).alias("x"))
+        summed = parts.groupBy(*_CHUNK).agg(F.array_sort(F.collect_list("x")).alias("xs"))
+        return summed.select(*_CHUNK, F.aggregate("xs", F.lit(0.0), lambda acc, x: acc + x["part"]).alias("score"))
 
     def search(self, text: str, top_k: int = 50, prune: bool = True) -> DataFrame:
         """(chunk_id, score), best first, ties by chunk_id. A word of the query with underscores is a phrase; a word given twice counts twice.
@@ -269,26 +342,34 @@ class Index:
         single = sorted({p[0] for p in phrases if len(p) == 1})
         wanted = sorted({t for p in phrases for t in p})
         df = {(t,): k for t, k in self._dfs(version, wanted).items()}
-        hits = self._live(version, self._read(version, "postings").where(F.col("term").isin(wanted)))
+        hits = self._hits(version, wanted)
         rows = hits.where(F.col("term").isin(single)).withColumn("phrase", F.col("term"))
         for p in sorted({p for p in phrases if len(p) > 1}):
             places = phrase_places(hits, list(p)).withColumn("phrase", F.lit(named.join(p)))
             df[p] = places.count()
-            rows = rows.select("phrase", "chunk_id", "length", "context", "text").unionByName(places.select("phrase", "chunk_id", "length", "context", "text"))
+            rows = rows.select("phrase", *_CHUNK, "length", "context", "text").unionByName(places.select("phrase", *_CHUNK, "length", "context", "text"))
         known = [(i, named.join(p), idf(n, df[p])) for i, p in enumerate(phrases) if df.get(p, 0) > 0]
         if not known:
             return none
         asked = self.spark.createDataFrame(known, "nth int, phrase string, idf double")
         if prune and all(len(p) == 1 for p in phrases):
             rows = self._pruned(version, rows, asked, average, top_k)
-        return self._scored(rows, asked, average).orderBy(F.desc("score"), "chunk_id").limit(top_k)
+        scored = self._scored(rows, asked, average)
+        least = scored.orderBy(F.desc("score")).limit(top_k).agg(F.min("score")).first()[0]
+        if least is None:
+            return none
+        best = scored.where(F.col("score") >= least)
+        few = best.count() <= FEW_CHUNKS
+        docs = self._read(version, "docs").select(*_CHUNK, "chunk_id")
+        named = docs.join(F.broadcast(best) if few else best, _CHUNK).select("chunk_id", "score")
+        return named.orderBy(F.desc("score"), "chunk_id").limit(top_k)
 
     def _pruned(self, version: dict, rows: DataFrame, asked: DataFrame, average: float, top_k: int) -> DataFrame:
         """rows of the blocks that can hold one of the best top_k chunks."""
         most = F.col("most_context") * self.weights[0] + F.col("most_text") * self.weights[1]
         weight = asked.groupBy("phrase").agg(F.sum("idf").alias("idf"))
         single = [r.phrase for r in weight.collect()]
-        held = self._read(version, "blocks").where(F.col("term").isin(single)).join(F.broadcast(weight), F.col("term") == F.col("phrase"))
+        held = self._read(version, "postings").drop("postings").where(F.col("term").isin(single)).join(F.broadcast(weight), F.col("term") == F.col("phrase"))
         bound = F.sum(F.col("idf") * score_share(most, F.col("least_length"), average)) * (1 + SLACK)
         # a row for each block of each segment: their number is bounded by 16**MOST_DIGITS for each of MOST_SEGMENTS
         bounds = held.groupBy("segment", "block").agg(bound.alias("bound"), F.max("n").alias("n")).orderBy(F.desc("bound"), "segment", "block").collect()

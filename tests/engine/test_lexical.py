@@ -154,3 +154,17 @@ def test_terms_are_grouped_where_their_chunk_lies(spark):
     counts = {(r.term, r.chunk_id): (r.tf_context, r.tf_text) for r in lexical.postings(chunks(spark, again), False).collect()}
     assert counts == {("x", "a"): (1, 1), ("y", "a"): (1, 2), ("x", "b"): (1, 2), ("z", "b"): (0, 1), ("x", None): (0, 2)}
     assert {r.chunk_id: r.text for r in inverted.positional_postings(chunks(spark, again), False).where("term = 'x'").collect()} == {"a": [1], "b": [0, 1], None: [0, 0]}
+
+
+def test_an_index_shuffles_texts_not_postings(spark, tmp_path):
+    """A posting names its chunk by a number in its block; a segment's rows come from the exchange of the texts alone. An id counts once."""
+    index = inverted.Index(spark, str(tmp_path / "i"), "unicode61")
+    frame = chunks(spark, [("a", "x", "y x"), ("b", None, "x"), ("b", None, "x"), ("c", None, None)])
+    made, docs = index._of(frame, 1, 10)
+    plan = made.sortWithinPartitions("term", "block")._jdf.queryExecution().executedPlan().toString()
+    assert plan.split("Initial Plan")[-1].count("Exchange") == 1
+    index.build(frame)
+    version = index.version()
+    assert (version["segments"][0]["n"], version["segments"][0]["tokens"]) == (3, 4)
+    assert "chunk_id" not in index._read(version, "postings").schema.simpleString()
+    assert sorted(r.chunk_id for r in index.search("x").collect()) == ["a", "b"]
