@@ -42,12 +42,22 @@ def blooms(rows: DataFrame) -> DataFrame:
     return rows.select("bucket", F.inline(_bits(F.col("chunk_id")))).groupBy("bucket", "word").agg(F.bit_or(one).alias("bits"))
 
 
+def possible_hashes(rows: DataFrame, filters: DataFrame) -> DataFrame:
+    """(batch, bucket, hash) of the rows (bucket, chunk_id) whose id a filter (batch, bucket, word, bits) may have; ids go by their 64-bit hash.
+
+    Two ids of one hash may only be asked for together, so no id that a filter has is left out.
+    """
+    bits = F.array_distinct(_bits(F.col("chunk_id")))
+    asked = rows.select("bucket", F.xxhash64("chunk_id").alias("hash"), bits.alias("bits_of"))
+    asked = asked.select("bucket", "hash", F.size("bits_of").alias("asked"), F.inline("bits_of"))
+    met = asked.join(filters, ["bucket", "word"]).where(F.getbit("bits", F.col("bit")) == 1)
+    return met.groupBy("batch", "bucket", "hash", "asked").agg(F.count(F.lit(1)).alias("met")).where("met >= asked").select("batch", "bucket", "hash")
+
+
 def possible(rows: DataFrame, filters: DataFrame) -> DataFrame:
-    """The rows (bucket, chunk_id) whose id a filter (batch, bucket, word, bits) may have, with that batch."""
-    asked = rows.select("bucket", "chunk_id", F.inline(_bits(F.col("chunk_id")))).distinct()
-    n = asked.groupBy("bucket", "chunk_id").agg(F.count(F.lit(1)).alias("asked"))
-    met = asked.join(filters, ["bucket", "word"]).where(F.getbit("bits", F.col("bit")) == 1).groupBy("batch", "bucket", "chunk_id").agg(F.count(F.lit(1)).alias("met"))
-    return met.join(n, ["bucket", "chunk_id"]).where("met = asked").select("batch", "bucket", "chunk_id")
+    """The rows (bucket, chunk_id) whose id a filter may have, with that batch."""
+    named = rows.select("bucket", "chunk_id", F.xxhash64("chunk_id").alias("hash")).distinct()
+    return named.join(possible_hashes(rows, filters), ["bucket", "hash"]).select("batch", "bucket", "chunk_id")
 
 
 def upsert(path: str, seen: list[tuple[int, int, int]] | None = None) -> Callable[[DataFrame, int], None]:
@@ -70,7 +80,7 @@ def upsert(path: str, seen: list[tuple[int, int, int]] | None = None) -> Callabl
         fresh = rows
         if before:
             filters = spark.read.schema("batch int, bucket string, word int, bits long").option("basePath", f"{path}/_blooms").parquet(*[f"{path}/_blooms/{n}" for n in before])
-            maybe, _ = Stages(spark).keep("maybe", lambda: possible(rows, filters))
+            maybe, _ = Stages(spark).keep("maybe", lambda: possible_hashes(rows, filters))
             # at most a row for each bucket of each batch
             held = [(r.batch, r.bucket) for r in maybe.select("batch", "bucket").distinct().collect()]
             parts = [f"{path}/batch={b}/bucket={k}" for b, k in sorted(held) if fs.exists(jvm(f"{path}/batch={b}/bucket={k}"))]
@@ -78,7 +88,7 @@ def upsert(path: str, seen: list[tuple[int, int, int]] | None = None) -> Callabl
                 seen.append((number, len(parts), filters.select("batch", "bucket").distinct().count()))
             if parts:
                 known = spark.read.schema(chunk_lines(batch).schema).parquet(*parts).select("chunk_id")
-                known = known.join(maybe.select("chunk_id").distinct(), "chunk_id", "left_semi")
+                known = known.join(maybe.select("hash").distinct(), F.xxhash64("chunk_id") == F.col("hash"), "left_semi")
                 fresh = rows.join(known, "chunk_id", "left_anti")
         fresh.write.mode("overwrite").partitionBy("bucket").parquet(f"{path}/batch={number}")
         done = spark.read.schema(rows.schema).parquet(f"{path}/batch={number}")

@@ -34,3 +34,13 @@ def test_filters_lose_no_id(spark):
     found = {r.chunk_id for r in ingest.possible(rows, filters).collect()}
     held = {f"c{k}" for k in range(500) if f"c{k}" < "c3"}
     assert held <= found and len(found - held) < 10
+
+
+def test_filters_are_asked_by_hash(spark):
+    """An id goes to the filters as 8 bytes, and its bits are told apart in its row."""
+    rows = spark.createDataFrame([(f"{i % 4:02d}", f"{i % 4:02d}-{i}") for i in range(400)], "bucket string, chunk_id string")
+    filters = ingest.blooms(rows.where("bucket < '02'")).selectExpr("7 AS batch", "*")
+    found = ingest.possible_hashes(rows, filters)
+    assert set(found.columns) == {"batch", "bucket", "hash"}
+    held = rows.where("bucket < '02'").selectExpr("bucket", "xxhash64(chunk_id) AS hash")
+    assert held.join(found, ["bucket", "hash"], "left_anti").isEmpty() and found.where("bucket >= '02'").isEmpty()
