@@ -1,3 +1,4 @@
+import hashlib
 import random
 import sqlite3
 
@@ -168,3 +169,14 @@ def test_an_index_shuffles_texts_not_postings(spark, tmp_path):
     assert (version["segments"][0]["n"], version["segments"][0]["tokens"]) == (3, 4)
     assert "chunk_id" not in index._read(version, "postings").schema.simpleString()
     assert sorted(r.chunk_id for r in index.search("x").collect()) == ["a", "b"]
+
+
+def test_the_digest_reads_packed_hashes_in_order(spark):
+    rows = [(f"c{i % 900:04d}", None if i % 7 == 0 else f"k{i % 3}", f"text {i}") for i in range(1000)]
+    frame = spark.createDataFrame(rows, "chunk_id string, context string, text string").repartition(5)
+    hashes = sorted((c, hashlib.sha256("\x1f".join((c, k or "", t)).encode()).hexdigest()) for c, k, t in rows)
+    packed = lexical.packed_hashes(frame).collect()
+    assert sum(len(r.hashes) for r in packed) == 32 * len(rows) and len(packed) <= len(rows) / lexical.PACKED + 4
+    assert b"".join(r.hashes for r in sorted(packed)).hex() == "".join(h for _, h in hashes)
+    assert tuple(lexical.corpus_digest(frame).first()) == (1000, hashlib.sha256("".join(h for _, h in hashes).encode()).hexdigest())
+    assert tuple(lexical.corpus_digest(frame.limit(0)).first()) == (0, hashlib.sha256(b"").hexdigest())
