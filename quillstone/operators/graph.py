@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from quillstone.functions.ids import doc_id, edge_id
 from quillstone.operators.citations import anchor_list, references
-from quillstone.operators.joins import join_hot
+from quillstone.operators.joins import join_hot, marked, repeated
 from quillstone.plans.stages import Stages
 from quillstone.sources.planning import arxiv_id, host_matches
 
 #: Kinds that name one document wherever it is cited.
 GLOBAL_KINDS = ("arxiv", "doi")
+#: Documents that may cite one document, up to which its anchors go to them.
+MOST_USERS = 16
 # Fixed value: the shape of a DOI in an address.
 DOI = r"(?Ui)\b(10\.\d{4,9}/[-._;()/:A-Za-z0-9]+)"
 
@@ -63,25 +65,46 @@ def scopes(manifest: DataFrame, pins: DataFrame) -> DataFrame:
     )
 
 
-def candidates(refs: DataFrame, index: DataFrame, scope: DataFrame) -> DataFrame:
-    """(chunk_id, doc_id, kind, value, raw, targets): each reference with the distinct chunks it may mean; of more than two, the smallest and largest.
+def candidates(refs: DataFrame, index: DataFrame, scope: DataFrame, named: DataFrame | None = None) -> DataFrame:
+    """(chunk_id, doc_id, kind, value, raw, again, targets): each reference with the distinct chunks it may mean; of more than two, the smallest and largest.
 
-    refs: chunk_id, doc_id, kind, value, raw. Global kinds match any document; the others equi-join
-    over (scope document, kind, value). A document without scope has itself. Whatever a third of all chunks cite, or
-    a document with a third of all citations, stays where it is: see join_hot(). So that they aren't looked for
-    again, the references are written once.
+    refs: chunk_id, doc_id, kind, value, raw. Global kinds match any document, in index and named; the others match
+    over (scope document, kind, value) in index. A document without scope has itself. So that references aren't looked for
+    again, they are written once, and they are shuffled once: a document's anchors go to the documents that may cite it,
+    where those that are equal become one row. Only those of a document that more than MOST_USERS
+    may cite stay, and the references go there. Whatever a thousandth of all chunks cite stays where it is: see join_hot().
+    `again` says which references may share chunk and wording with another one; where none do, it is constant.
     """
-    wide = F.col("kind").isin(*GLOBAL_KINDS)
-    refs, n = Stages(refs.sparkSession).keep("refs", lambda: refs, wide=F.count_if(wide), own=F.count_if(~wide))
-    ends = lambda frame, *by: frame.groupBy(*by).agg(F.min("target").alias("least"), F.max("target").alias("most"))
-    own = join_hot(refs.where(~wide), scope, ["doc_id"], total=n["own"]).withColumn("scope_doc", F.coalesce("scope_doc", "doc_id"))
-    known = ends(index.withColumnRenamed("doc_id", "scope_doc"), "scope_doc", "kind", "value")
-    near = join_hot(own, known, ["scope_doc", "kind", "value"])
-    far = join_hot(refs.where(wide), ends(index, "kind", "value"), ["kind", "value"], total=n["wide"])
-    keys = ["chunk_id", "doc_id", "kind", "value", "raw"]
-    columns = [*keys, "least", "most"]
-    both = near.select(columns).unionByName(far.select(columns)).groupBy(*keys).agg(F.min("least").alias("a"), F.max("most").alias("b"))
-    return both.select(*keys, F.array_distinct(F.filter(F.array("a", "b"), lambda x: x.isNotNull())).alias("targets"))
+    wide, keys = F.col("kind").isin(*GLOBAL_KINDS), ["chunk_id", "doc_id", "kind", "value", "raw"]
+    stages, counters = Stages(refs.sparkSession), {"wide": F.count_if(wide), "own": F.count_if(~wide)}
+    refs, n = stages.keep("refs", lambda: refs.select(*keys), **counters)
+    twice = repeated(refs, "chunk_id", "raw")
+    if twice is not None:
+        refs, n = stages.keep("once", lambda: refs.distinct(), **counters)
+        twice = repeated(refs, "chunk_id", "raw")
+    refs = marked(refs, twice, "chunk_id", "raw")
+    ends = lambda frame, *by: frame.groupBy(*by).agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    both = lambda frame: frame.select("*", F.col("target").alias("least"), F.col("target").alias("most"))
+    common, n_common = stages.keep("common", lambda: scope.groupBy("scope_doc").agg(F.count(F.lit(1)).alias("users")).where(F.col("users") > MOST_USERS).select("scope_doc"), n=F.count(F.lit(1)))
+    near = scope.join(common, "scope_doc", "left_anti") if n_common["n"] else scope
+    # of each document those that may cite it, itself where it has no scope
+    users = near.select(F.col("scope_doc").alias("doc_id"), F.col("doc_id").alias("user")).unionByName(scope.select("doc_id", F.lit(None).cast("string").alias("user")))
+    scoped = F.max(F.col("user").isNull()).alias("scoped")
+    reach = users.groupBy("doc_id").agg(F.collect_set("user").alias("users"), scoped)
+    known = ends(both(index.where(~wide)), "doc_id", "kind", "value").join(reach, "doc_id", "left")
+    alone = F.when(F.coalesce("scoped", F.lit(False)), F.array().cast("array<string>")).otherwise(F.array("doc_id"))
+    reached = known.select(F.explode(F.array_union(F.coalesce("users", F.array().cast("array<string>")), alone)).alias("doc_id"), "kind", "value", "least", "most")
+    columns = [*keys, "again", "least", "most"]
+    found = join_hot(refs.where(~wide), ends(reached, "doc_id", "kind", "value"), ["doc_id", "kind", "value"], total=n["own"]).select(columns)
+    if n_common["n"]:
+        far = scope.join(common, "scope_doc", "left_semi")
+        asked, _ = stages.keep("asked", lambda: join_hot(refs.where(~wide), far, ["doc_id"], "inner", total=n["own"]))
+        held = ends(both(index.where(~wide).join(common.withColumnRenamed("scope_doc", "doc_id"), "doc_id", "left_semi")), "doc_id", "kind", "value").withColumnRenamed("doc_id", "scope_doc")
+        found = ends(found.unionByName(join_hot(asked, held, ["scope_doc", "kind", "value"], "inner").select(columns)), *keys, "again")
+    if n["wide"]:
+        every = index.where(wide) if named is None else index.where(wide).unionByName(named.where(wide).select(index.columns))
+        found = found.unionByName(join_hot(refs.where(wide), ends(both(every), "kind", "value"), ["kind", "value"], total=n["wide"]).select(columns))
+    return found.select(*keys, "again", F.array_distinct(F.filter(F.array("least", "most"), lambda x: x.isNotNull())).alias("targets"))
 
 
 def resolve(found: DataFrame) -> DataFrame:
@@ -103,25 +126,35 @@ def reference_edges(resolved: DataFrame, record_unresolved: bool = True) -> Data
         F.lit("references").alias("edge_type"),
         F.col("raw").alias("provenance"),
         F.when(F.col("outcome") == "resolved", 1.0).otherwise(0.0).alias("confidence"),
+        *[c for c in kept.columns if c == "again"],
     )
     return identified(rows)
 
 
 def adjacent_edges(chunks: DataFrame) -> DataFrame:
+    """An edge from each chunk to the document's next one; ids of chunks that repeat are looked for first, as only theirs can give an edge twice."""
+    twice = repeated(chunks, "chunk_id")
     order = Window.partitionBy("doc_id").orderBy("chunk_index")
     rows = chunks.select(F.col("chunk_id").alias("from_chunk"), F.lead("chunk_id").over(order).alias("to_chunk")).where("to_chunk is not null")
+    rows = marked(rows, twice, "from_chunk")
     none = F.lit(None).cast("string")
     return identified(
-        rows.select("from_chunk", "to_chunk", none.alias("to_external_ref"), F.lit("adjacent").alias("edge_type"), none.alias("provenance"), F.lit(1.0).alias("confidence"))
+        rows.select("from_chunk", "to_chunk", none.alias("to_external_ref"), F.lit("adjacent").alias("edge_type"), none.alias("provenance"), F.lit(1.0).alias("confidence"), "again")
     )
 
 
 def identified(edges: DataFrame) -> DataFrame:
-    """Edges with edge_id, one for each id (the external name decides between rows with one id)."""
+    """Edges with edge_id, one for each id (the external name decides between rows with one id).
+
+    If there is `again`, only edges that have it may share an id, so the others stay where they are.
+    """
     ids = edge_id(F.col("from_chunk"), F.col("to_chunk"), F.col("edge_type"), F.col("provenance"))
-    rest = [c for c in edges.columns if c != "edge_id"]
+    rest = [c for c in edges.columns if c not in ("edge_id", "again")]
     last = F.max_by(F.struct(*rest), F.coalesce("to_external_ref", F.lit("")))
-    return edges.select(ids.alias("edge_id"), *rest).groupBy("edge_id").agg(last.alias("e")).select("edge_id", "e.*")
+    once = lambda frame: frame.select(ids.alias("edge_id"), *rest).groupBy("edge_id").agg(last.alias("e")).select("edge_id", "e.*")
+    if "again" not in edges.columns:
+        return once(edges)
+    return edges.where(~F.col("again")).select(ids.alias("edge_id"), *rest).unionByName(once(edges.where("again")))
 
 
 def build_graph(chunks: DataFrame, manifest: DataFrame, pins: DataFrame, extractors=("legal", "academic"), min_body_chars: int = 0, record_unresolved: bool = True, with_references: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -133,9 +166,8 @@ def build_graph(chunks: DataFrame, manifest: DataFrame, pins: DataFrame, extract
         near = adjacent_edges(chunks)
         none = chunks.sparkSession.createDataFrame([], "outcome string")
         return near, graph_stats(near, none, record_unresolved)
-    index = anchor_index(chunks, min_body_chars).unionByName(document_anchors(manifest, pins, chunks))
     refs = references(chunks, extractors, "doc_id")
-    resolved = resolve(candidates(refs, index, scopes(manifest, pins)))
+    resolved = resolve(candidates(refs, anchor_index(chunks, min_body_chars), scopes(manifest, pins), document_anchors(manifest, pins, chunks)))
     near = adjacent_edges(chunks)
     edges = near.unionByName(reference_edges(resolved, record_unresolved))
     return edges, graph_stats(near, resolved, record_unresolved)

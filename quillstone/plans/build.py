@@ -125,9 +125,16 @@ def manifest_of(spark: SparkSession, path: str, version: str | None = None) -> d
     return json.loads(spark.read.text(f"{path}/{version}/manifest").first()[0])
 
 
-def replace(spark: SparkSession, path: str, edges: dict[str, DataFrame] | None = None, **tables: DataFrame) -> None:
+def _check_edges(edges: DataFrame) -> None:
+    lacks = [c.split()[0] for c in SCHEMAS["edges"].split(", ") if c.split()[0] not in edges.columns]
+    if lacks:
+        raise ValueError(f"edges lacks {', '.join(lacks)}")
+
+
+def replace(spark: SparkSession, path: str, edges: dict[str, DataFrame] | DataFrame | None = None, **tables: DataFrame) -> None:
     """A new version with these tables (sources, docs, chunks) and types of edges; all others are those of the version
-    before, file by file. A type of edges without rows has none then.
+    before, file by file. A type of edges without rows has none then. A frame of edges stands for all
+    types; it is computed once and dealt out to a folder for each type.
 
     The version's manifest says where each table lies. A mark, made last and at once, makes it the
     current one; the version before stays for those that still read it. Folders that neither names go.
@@ -141,14 +148,24 @@ def replace(spark: SparkSession, path: str, edges: dict[str, DataFrame] | None =
     for name, frame in tables.items():
         frame.write.parquet(f"{path}/{version}/{name}")
         placed[name] = f"{version}/{name}"
+    fs, at = _fs(spark, path)
+    if isinstance(edges, DataFrame):
+        _check_edges(edges)
+        dealt, placed["edges"] = f"{path}/{version}/dealt", {}
+        named = F.concat(F.lit("k"), F.hex(F.encode("edge_type", "UTF-8"))).alias("kind")
+        edges.where("edge_type is not null").select("*", named).write.partitionBy("kind").parquet(dealt)
+        for n, name in enumerate(sorted(x.getPath().getName() for x in fs.listStatus(at(dealt)) if x.isDirectory())):
+            number = f"{version}/edges-{n}-{uuid.uuid4().hex[:6]}"
+            if not fs.rename(at(f"{dealt}/{name}"), at(f"{path}/{number}")):
+                raise OSError(f"{dealt}/{name} can't be renamed")
+            placed["edges"][bytes.fromhex(name.removeprefix("kind=k")).decode()] = number
+        fs.delete(at(dealt), True)
+        edges = None
     for kind, frame in (edges or {}).items():
-        lacks = [c.split()[0] for c in SCHEMAS["edges"].split(", ") if c.split()[0] not in frame.columns]
-        if lacks:
-            raise ValueError(f"edges lacks {', '.join(lacks)}")
+        _check_edges(frame)
         number = f"{version}/edges-{len(placed['edges'])}-{uuid.uuid4().hex[:6]}"
         frame.where(F.col("edge_type") == kind).write.parquet(f"{path}/{number}")
         placed["edges"][kind] = number
-    fs, at = _fs(spark, path)
     spark.createDataFrame([(json.dumps(placed),)], "v string").coalesce(1).write.text(f"{path}/{version}/manifest")
     number = marks[-1][0] + 1 if marks else 0
     fs.create(at(f"{path}/{_MARK}{number:08d}-{version}")).close()
@@ -167,13 +184,8 @@ def replace(spark: SparkSession, path: str, edges: dict[str, DataFrame] | None =
 
 def save(store: Store, path: str) -> None:
     """A version of all tables, which the frames may be read from; edges lie by type, so that reading one type reads its files only."""
-    spark = store.docs.sparkSession
-    lacks = [c.split()[0] for c in SCHEMAS["edges"].split(", ") if c.split()[0] not in store.edges.columns]
-    if lacks:
-        raise ValueError(f"edges lacks {', '.join(lacks)}")
-    types = [r.edge_type for r in store.edges.select("edge_type").distinct().collect()]
-    stored = set(manifest_of(spark, path)["edges"]) if _marks(spark, path) else set()
-    replace(spark, path, {t: store.edges for t in sorted(stored | set(types))}, sources=store.sources, docs=store.docs, chunks=store.chunks)
+    _check_edges(store.edges)
+    replace(store.docs.sparkSession, path, store.edges, sources=store.sources, docs=store.docs, chunks=store.chunks)
 
 
 def load(spark: SparkSession, path: str) -> Store:
@@ -315,8 +327,8 @@ def build_corpus(
     all_chunks = cleared.chunks.unionByName(chunks.drop("origin", "context_error"))
     stored_docs = cleared.docs.unionByName(docs)
     found, _ = stages.keep("references", lambda: references(all_chunks, extractors, "doc_id"))
-    heads = anchor_index(all_chunks, min_body_chars).unionByName(document_anchors(manifest, pins, all_chunks))
-    resolved, _ = stages.keep("resolved", lambda: resolve(candidates(found, heads, scopes(manifest, pins))))
+    heads, named = anchor_index(all_chunks, min_body_chars), document_anchors(manifest, pins, all_chunks)
+    resolved, _ = stages.keep("resolved", lambda: resolve(candidates(found, heads, scopes(manifest, pins), named)))
     columns = store.edges.columns
     made = lambda: adjacent_edges(all_chunks).select(columns).unionByName(reference_edges(resolved).select(columns))
     edges, n_edges = stages.keep("edges", made, edges=one)

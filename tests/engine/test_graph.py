@@ -165,3 +165,63 @@ def test_a_loaded_store_is_saved_to_its_own_place(spark, tmp_path):
         build.save(build.Store(docs, docs, chunks.drop("doc_id"), edges), at)
     with pytest.raises(FileNotFoundError):
         build.load(spark, str(tmp_path / "nowhere"))
+
+
+@pytest.mark.parametrize("most_users", [0, 2, 99])
+def test_candidates_equal_plain_ones(spark, monkeypatch, most_users):
+    monkeypatch.setattr(graph, "MOST_USERS", most_users)
+    rng = random.Random(most_users)
+    docs = [f"d{k}" for k in range(12)]
+    scope = {(d, o) for d in docs[:9] for o in {d, "d0", rng.choice(docs)}}
+    index = {(rng.choice(docs), rng.choice(["article", "arxiv"]), str(rng.randint(1, 4)), f"t{rng.randint(0, 5)}") for _ in range(70)}
+    refs = [(f"c{rng.randint(0, 40)}", rng.choice(docs), rng.choice(["article", "arxiv"]), str(rng.randint(1, 5)), f"r{rng.randint(0, 3)}") for _ in range(400)]
+    refs += refs[:50] + [(f"c{k}", "d1", "article", "1", "hot") for k in range(100, 400)]
+    reach = lambda d: {o for a, o in scope if a == d} or {d}
+    want = {}
+    for c, d, kind, value, raw in set(refs):
+        met = sorted({t for o, k, v, t in index if (k, v) == (kind, value) and (k == "arxiv" or o in reach(d))})
+        want[c, d, kind, value, raw] = set(met if len(met) < 3 else (met[0], met[-1]))
+    found = graph.candidates(
+        spark.createDataFrame(refs, "chunk_id string, doc_id string, kind string, value string, raw string"),
+        spark.createDataFrame(sorted(index), "doc_id string, kind string, value string, target string"),
+        spark.createDataFrame(sorted(scope), "doc_id string, scope_doc string"),
+    )
+    got = found.collect()
+    assert {tuple(r)[:5]: set(r.targets) for r in got} == want and len(got) == len(want)
+    edges = graph.reference_edges(graph.resolve(found)).collect()
+    assert len({r.edge_id for r in edges}) == len(edges)
+    outcomes = {(k[0], next(iter(t)) if t else None, k[4]) for k, t in want.items() if len(t) < 2 and t != {k[0]}}
+    assert {(r.from_chunk, r.to_chunk, r.provenance) for r in edges} == outcomes
+
+
+def test_edges_are_not_shuffled_by_their_ids(spark):
+    manifest = spark.createDataFrame([(f"s{k}", f"https://x.example/{k}", []) for k in range(5)], "slug string, url string, references array<string>")
+    pins = spark.createDataFrame([(f"s{k}", "v1") for k in range(5)], "slug string, resolved_version string")
+    known = {r.slug: r.doc_id for r in graph.documents_of(manifest, pins).collect()}
+    rows = [(known[f"s{k % 5}"], k, f"Article {k}\nsee Article {k % 7}(1)", []) for k in range(50)]
+    plan = lambda frame: frame._jdf.queryExecution().executedPlan().toString()
+    edges, _ = graph.build_graph(frame(spark, rows), manifest, pins)
+    assert "hashpartitioning(edge_id" not in plan(edges)
+    twice, _ = graph.build_graph(frame(spark, rows + rows[:9]), manifest, pins)
+    assert twice.select("edge_id").distinct().count() == twice.count()
+    assert {r.edge_id for r in edges.where("edge_type = 'references'").collect()} == {r.edge_id for r in twice.where("edge_type = 'references'").collect()}
+
+
+def test_saved_edges_are_computed_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    docs = spark.createDataFrame([("a", "ua")], "doc_id string, canonical_url string")
+    kinds = ["adjacent", "a/b c", "é"]
+    edges = spark.createDataFrame([(f"e{k}", "a0", "a0", kinds[k % 3]) for k in range(30)], "edge_id string, from_chunk string, to_chunk string, edge_type string")
+    at = str(tmp_path / "store")
+    build.save(build.Store(docs.select("canonical_url"), docs, spark.createDataFrame([("a0", "a")], "chunk_id string, doc_id string"), edges.mapInArrow(count, edges.schema)), at)
+    assert seen.value == 30
+    assert {(r.edge_id, r.edge_type) for r in build.load(spark, at).edges.collect()} == {(f"e{k}", kinds[k % 3]) for k in range(30)}
+    assert set(build.manifest_of(spark, at)["edges"]) == set(kinds)
+    build.replace(spark, at, {"é": edges.limit(0)})
+    assert build.load(spark, at).edges.count() == 20
