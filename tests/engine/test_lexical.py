@@ -50,6 +50,43 @@ def test_clamped_terms_and_marks_rank_as_in_sqlite(spark):
     assert lexical.query_terms("cafe\u0301 a_b \u0301x", False) == ["cafe\u0301", "a", "b", "x"]
 
 
+def test_a_search_without_postings_reads_texts_once(spark):
+    rng = random.Random(4)
+    rows = [(f"c{i:03d}", rng.choice([None, "", " ".join(rng.choices(WORDS, k=4))]), rng.choice([None, "", *[" ".join(rng.choices(WORDS, k=rng.randint(1, 30)))] * 8])) for i in range(90)]
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    plain = chunks(spark, rows)
+    frame = plain.mapInArrow(count, plain.schema)
+    posted = {s: lexical.postings(plain, s).cache() for s in (False, True)}
+    assert lexical.search_chunks(plain, "?!", 5, False).count() == 0
+    for query, stemmed in (("liability protein protein not", False), ("hoping cafe relational 22", True)):
+        seen.value = 0
+        got = lexical.search_chunks(frame, query, 50, stemmed).collect()
+        assert got == lexical.search(posted[stemmed], lexical.lengths(plain), query, 50, stemmed).collect()
+        assert seen.value == len(rows)
+    assert lexical.search_chunks(plain.limit(0), "the").count() == 0
+    with pytest.raises(ValueError):
+        lexical.search_chunks(plain, "the", -1)
+    hits, stats = lexical.matches(chunks(spark, [("a", "x", "x y"), ("a", None, "x z"), ("b", "", "z"), ("a", None, "x")]), ["x"], False)
+    assert [tuple(r) for r in hits.collect()] == [("a", 6, "x", 1, 3)] and tuple(stats.first()) == (4, 7 / 4)
+
+
+def test_what_may_have_a_stem(spark):
+    """A word's stem differs from its beginning in the last two characters at most; words that fold are always looked at."""
+    rng = random.Random(6)
+    ends = ["", "s", "es", "ed", "ing", "ies", "ational", "tional", "enci", "anci", "izer", "bli", "alli", "entli", "eli", "ousli", "ization", "ation", "ator", "alism", "iveness", "fulness", "ousness", "aliti", "iviti", "biliti", "logi", "icate", "iciti", "ical", "ement", "ion", "y", "e", "ll"]
+    words = sorted({"".join(rng.choices("abcdeilnoprstuyz", k=rng.randint(1, 6))) + rng.choice(ends) + rng.choice(["", "", "ed", "ing", "s"]) for _ in range(20000)} | {"café", "naïves"})
+    rows = spark.createDataFrame([(w, lexical.stem(w)) for w in words], "word string, stem string")
+    for stem in rng.sample(sorted({lexical.stem(w) for w in words}), 8) + ["cafe"]:
+        assert rows.where(~lexical._may_stem_to(rows.word, [stem])).where(rows.stem == stem).count() == 0
+    assert all(lexical.stem(w)[:-2] == w[: len(lexical.stem(w)[:-2])] for w in words if w.isascii())
+
+
 def test_stems_equal_sqlite():
     db = sqlite3.connect(":memory:")
     db.execute("CREATE VIRTUAL TABLE f USING fts5(t, tokenize='porter unicode61')")

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillstone.operators import lexical, vectors
+from quillstone.plans import stages
 
 DIM = 6
 SCHEMA = "id long, vector array<float>"
@@ -142,6 +143,13 @@ def test_many_searches_equal_single_ones(spark):
     for q, terms in asks:
         want = lexical.scores(posted, sizes, terms).withColumn("score", F.round("score", 9)).orderBy(F.desc("score"), "chunk_id").limit(10)
         assert [(r.chunk_id, r.score) for r in sorted((r for r in many if r.query_id == q), key=lambda r: r["rank"])] == [tuple(r) for r in want.collect()]
+    written = stages.Stages(spark)
+    held, _ = written.keep("posted", lambda: lexical.chunk_terms(chunks, False, False))
+    again = lexical.search_many(held, None, spark.createDataFrame(asks, "query_id long, terms array<string>"), 10, stats=lexical.index_stats(sizes))
+    assert sorted(again.collect()) == sorted(many)
+    # all postings were read before, and only those of the queries' terms are read for the ranks
+    assert not [f for f in again.inputFiles() if "/posted/" in f]
+    assert not [f for f in lexical.rarest_terms(held, chunks).inputFiles() if "/posted/" in f]
 
 
 def test_rarest_terms(spark):
