@@ -58,11 +58,17 @@ def _header(content: Column) -> Column:
 def _text_anchors(text: Column) -> Column:
     """(kind, value, line, end) of the first header line of each (kind, value); end: characters up to its end."""
     lines = F.split(text, "\n", -1)
-    marked = F.filter(F.transform(lines, lambda c, i: F.struct(_header(c).alias("a"), i.alias("line"))), lambda x: x["a"].isNotNull())
-    first = F.filter(marked, lambda x, i: F.array_position(F.transform(marked, lambda y: y["a"]), x["a"]) == i + 1)
-    upto = lambda line: F.length(F.array_join(F.slice(lines, 1, line + 1), "\n"))
-    found = F.transform(first, lambda x: F.struct(x["a"]["kind"].alias("kind"), x["a"]["value"].alias("value"), x["line"].alias("line"), upto(x["line"]).alias("end")))
-    return F.when(_hinted(text, "article", "recital"), found.cast(_ANCHOR)).otherwise(F.array().cast(_ANCHOR))
+    hinted = lambda c: F.when(_hinted(c, "article", "recital"), _header(c))
+    marked = F.filter(F.transform(lines, lambda c, i: F.struct(hinted(c).alias("a"), i.alias("line"))), lambda x: x["a"].isNotNull())
+
+    def found(x: Column) -> Column:
+        first = F.filter(x["marked"], lambda y, i: F.array_position(F.transform(x["marked"], lambda z: z["a"]), y["a"]) == i + 1)
+        upto = lambda line: F.length(F.array_join(F.slice(x["lines"], 1, line + 1), "\n"))
+        return F.transform(first, lambda y: F.struct(y["a"]["kind"].alias("kind"), y["a"]["value"].alias("value"), y["line"].alias("line"), upto(y["line"]).alias("end")))
+
+    # as the one element of an array, the marked lines are looked for once, not for each use
+    once = F.get(F.transform(F.array(F.struct(marked.alias("marked"), lines.alias("lines"))), found), F.lit(0))
+    return F.when(_hinted(text, "article", "recital"), once.cast(_ANCHOR)).otherwise(F.array().cast(_ANCHOR))
 
 
 def text_anchors(chunks: DataFrame, *keep: str) -> DataFrame:

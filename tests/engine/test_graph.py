@@ -38,6 +38,13 @@ def test_patterns_equal_python(spark):
     assert {(r.chunk_id, r.kind, r.value, r.end) for r in citations.text_anchors(rows).collect()} == heads
 
 
+def test_header_lines_are_looked_for_once(spark):
+    """A line is matched and its number taken once for each pattern, and only in lines that name what the pattern does."""
+    plan = citations.text_anchors(frame(spark, [("d", 0, "x", [])]))._jdf.queryExecution().optimizedPlan().toString()
+    for _, pattern in citations.ANCHORS:
+        assert 0 < plan.count(pattern) <= 2
+
+
 def test_first_definer_and_thin_headers(spark):
     rows = frame(spark, [("a", 3, "Article 22\nlate", []), ("a", 1, "Article 22\nfirst", []), ("a", 2, "body", ["T", " 1201. "]), ("b", 0, "x\nArticle 30\n 1.", []), ("b", 1, "long body", ["CHAPTER 2 [1201 - 1206]"])])
     index = lambda n: {(r.doc_id, r.kind, r.value): r.target for r in graph.anchor_index(rows, n).collect()}
